@@ -1,0 +1,163 @@
+"""Event tables: creation, replay-safe writes, reads and upkeep.
+
+A table is partitioned by ingest date, stream and micro-batch. A micro-batch
+owns exactly one partition and every write replaces that partition, so a batch
+that is run again after a failure is stored once. ``_stream`` is the id of the
+streaming query, which keeps the batch numbers of different checkpoints apart.
+"""
+
+import logging
+from collections.abc import Iterable
+from dataclasses import dataclass
+from datetime import date, datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
+
+from tidemark.operators.decode import INGEST_DATE, INGEST_TIME
+
+STREAM = "_stream"
+BATCH = "_batch_id"
+BOOKKEEPING = (STREAM, BATCH)
+PARTITIONS = {INGEST_DATE: "DATE", STREAM: "STRING", BATCH: "BIGINT"}
+
+# Fixed value: the codec of the data files.
+CODEC = "zstd"
+
+log = logging.getLogger(__name__)
+
+
+@dataclass(frozen=True)
+class TableSpec:
+    """Where a table lives and how it is made when it does not exist yet."""
+
+    name: str
+    provider: str = "parquet"
+    location: str | None = None
+    evolve: bool = False
+
+
+def _columns_ddl(fields: Iterable[StructField]) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+
+
+def _quoted(table: str) -> str:
+    return ".".join(f"`{part}`" for part in table.split("."))
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def create_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
+    place = f" LOCATION {_text(location)}" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(name)}{place}")
+
+
+def create_table(spark: SparkSession, target: TableSpec, schema: StructType) -> None:
+    """Create the table for rows of ``schema`` unless it is there already.
+
+    At an explicit ``location`` the partitions that an earlier catalog wrote
+    there are registered again.
+    """
+    data = [f for f in schema.fields if f.name not in PARTITIONS]
+    partitions = ", ".join(f"`{name}` {kind}" for name, kind in PARTITIONS.items())
+    place = f" LOCATION {_text(target.location)}" if target.location else ""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {_quoted(target.name)} ({_columns_ddl(data)}, {partitions}) "
+        f"USING {target.provider} OPTIONS (compression '{CODEC}') "
+        f"PARTITIONED BY ({', '.join(f'`{p}`' for p in PARTITIONS)}){place}"
+    )
+    if target.location:
+        spark.sql(f"ALTER TABLE {_quoted(target.name)} RECOVER PARTITIONS")
+
+
+def add_columns(spark: SparkSession, table: str, fields: Iterable[StructField]) -> None:
+    """Add columns to a table; rows already stored read NULL in them."""
+    spark.sql(f"ALTER TABLE {_quoted(table)} ADD COLUMNS ({_columns_ddl(fields)})")
+
+
+def fit_columns(spark: SparkSession, target: TableSpec, rows: DataFrame) -> DataFrame:
+    """Put the data columns of ``rows`` in the order of the table.
+
+    A column the rows lack is filled with NULL. A column the table lacks is
+    added to it if ``target.evolve`` and is an error otherwise, as is a column of
+    another type.
+    """
+    table = target.name
+    stored = {f.name: f.dataType for f in spark.table(_quoted(table)).schema.fields}
+    given = {f.name: f for f in rows.schema.fields if f.name not in PARTITIONS}
+    wrong = [n for n, f in given.items() if n in stored and stored[n] != f.dataType]
+    if wrong:
+        raise ValueError(f"types differ from table {table}: {', '.join(wrong)}")
+    new = [f for n, f in given.items() if n not in stored]
+    if new and not target.evolve:
+        raise ValueError(f"not in table {table}: {', '.join(f.name for f in new)}")
+    if new:
+        add_columns(spark, table, new)
+        stored |= {f.name: f.dataType for f in new}
+    return rows.select(
+        *(
+            F.col(name) if name in given else F.lit(None).cast(kind).alias(name)
+            for name, kind in stored.items()
+            if name not in PARTITIONS
+        )
+    )
+
+
+def write_partition(
+    spark: SparkSession, table: str, rows: DataFrame, day: date, stream: str, batch_id: int
+) -> None:
+    """Store ``rows`` as the whole content of one micro-batch partition.
+
+    All partition values are given, so no task sorts by them and any object
+    store committer works. The catalog learns of a new partition only after its
+    files are complete.
+    """
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {_quoted(table)} PARTITION "
+        f"({INGEST_DATE} = DATE'{day.isoformat()}', {STREAM} = {_text(stream)}, "
+        f"{BATCH} = {int(batch_id)}) SELECT * FROM {{rows}}",
+        rows=rows,
+    )
+
+
+def ingest_day(rows: DataFrame) -> date | None:
+    """The ingest date all rows of a stamped batch bear; None if there are none."""
+    first = rows.select(INGEST_DATE).head()
+    return first and first[INGEST_DATE]
+
+
+def store_batch(
+    spark: SparkSession, target: TableSpec, rows: DataFrame, day: date, stream: str, batch_id: int
+) -> None:
+    """Store one batch in its table, which is created if it is not there yet."""
+    if not spark.catalog.tableExists(target.name):
+        log.info("creating table %s", target.name)
+        create_table(spark, target, rows.schema)
+    fitted = fit_columns(spark, target, rows)
+    write_partition(spark, target.name, fitted, day, stream, batch_id)
+
+
+def read_table(spark: SparkSession, table: str) -> DataFrame:
+    """The rows of a table without its bookkeeping columns."""
+    return spark.table(_quoted(table)).drop(*BOOKKEEPING)
+
+
+def as_of_batch(
+    spark: SparkSession, table: str, batch_id: int, stream: str | None = None
+) -> DataFrame:
+    """The table as it was right after a micro-batch; reads only older partitions."""
+    rows = spark.table(_quoted(table)).filter(F.col(BATCH) <= batch_id)
+    if stream is not None:
+        rows = rows.filter(F.col(STREAM) == stream)
+    return rows.drop(*BOOKKEEPING)
+
+
+def as_of_time(spark: SparkSession, table: str, moment: datetime) -> DataFrame:
+    """The table as it was at a moment; reads only partitions up to that day."""
+    at = F.lit(moment).cast("timestamp")
+    rows = spark.table(_quoted(table))
+    kept = rows.filter((F.col(INGEST_DATE) <= at.cast("date")) & (F.col(INGEST_TIME) <= at))
+    return kept.drop(*BOOKKEEPING)
