@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from tidemark.schemas import WIRE_FIELDS
 from tidemark.sources.stream import LATEST, Source
-from tidemark.sources.tables import TableSpec, create_namespace
+from tidemark.tables.event_table import TableSpec, create_namespace
 from tidemark.streaming.ingest import IngestJob, run_ingest
 from tidemark.streaming.progress import ProgressLog
 

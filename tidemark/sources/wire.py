@@ -2,6 +2,9 @@
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
+
+from tidemark.functions.scalars import iso_timestamp
 
 PAYLOAD = "data"
 PARTITION_KEY = "partition_key"
@@ -16,9 +19,14 @@ SHARDS_MAX = 50
 def encode(rows: DataFrame, key: str = "customer_id", keep: tuple[str, ...] = ()) -> DataFrame:
     """Rows as wire records: partition key and UTF-8 JSON object.
 
-    NULL fields are written out, so every payload names every field.
+    NULL fields are written out, so every payload names every field, and
+    timestamps keep their microseconds.
     """
-    fields = [c for c in rows.columns if c not in keep]
+    fields = [
+        iso_timestamp(F.col(f.name)).alias(f.name) if f.dataType == TimestampType() else f.name
+        for f in rows.schema.fields
+        if f.name not in keep
+    ]
     payload = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
     return rows.select(
         *keep, F.col(key).alias(PARTITION_KEY), F.encode(payload, "UTF-8").alias(PAYLOAD)

@@ -3,6 +3,7 @@
 import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -12,8 +13,8 @@ from tidemark.operators.dedup import dedup_watermark
 from tidemark.schemas import get_schema
 from tidemark.session import configure
 from tidemark.sources.stream import LATEST, Source, open_stream
-from tidemark.sources.tables import TableSpec
-from tidemark.streaming.sink import TableSink
+from tidemark.tables.event_table import TableSpec
+from tidemark.streaming.sink import BatchReport, TableSink, store_micro_batch
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -98,8 +99,8 @@ def run_ingest(
 def run_all(spark: SparkSession, jobs: Sequence[IngestJob]) -> list[RunningJob]:
     """Run several jobs in one session, each with its own checkpoint.
 
-    Jobs end when their triggers are done. The first failure stops the others
-    and is raised.
+    Returns when the triggers of all jobs are done. The first failure stops the
+    others and is raised.
     """
     places = [job.checkpoint for job in jobs]
     if len(set(places)) != len(places):
@@ -108,15 +109,23 @@ def run_all(spark: SparkSession, jobs: Sequence[IngestJob]) -> list[RunningJob]:
     try:
         for job in jobs:
             running.append(start_ingest(spark, job))
-        pending = [r.query for r in running]
-        while pending:
-            for query in pending:
-                query.awaitTermination(1)
-            pending = [q for q in pending if q.isActive]
-        for r in running:
-            if r.query.exception() is not None:
-                raise r.query.exception()
+        waiting = [r.query for r in running]
+        while waiting:
+            waiting = [q for q in waiting if not q.awaitTermination(1)]
     finally:
         for r in running:
             r.query.stop()
     return running
+
+
+def load_batch(
+    records: DataFrame, job: IngestJob, batch_id: int, ingested_at: datetime
+) -> BatchReport | None:
+    """Ingest a static set of records as one batch, the way the stream would.
+
+    A retry with the same number and stamp replaces what the first try stored.
+    Batches loaded this way are kept apart from streams by the name of the job.
+    """
+    schema = get_schema(job.schema_name)
+    rows = decode(records, schema, job.source.payload_column, ingested_at)
+    return store_micro_batch(job.table, rows, job.job_name, batch_id)

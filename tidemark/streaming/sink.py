@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import EVENT_KEY, dedup_batch
-from tidemark.sources.tables import TableSpec, ingest_day, store_batch
+from tidemark.tables.event_table import TableSpec, ingest_day, store_batch
 
 QUERY_ID = "sql.streaming.queryId"
 REPORTS_KEPT = 1000
@@ -31,8 +31,36 @@ class BatchReport:
     stored: int
 
 
+def store_micro_batch(
+    target: TableSpec, rows: DataFrame, stream: str, batch_id: int
+) -> BatchReport | None:
+    """Deduplicate and store one batch in a single pass; None if it is empty.
+
+    Only an empty batch costs no table write, and it creates no table either.
+    """
+    day = ingest_day(rows)
+    if day is None:
+        log.info("batch %d for %s is empty, skipped", batch_id, target.name)
+        return None
+    before, after = Observation(), Observation()
+    received = rows.observe(
+        before,
+        F.count(F.lit(1)).alias("received"),
+        F.count_if(F.col(EVENT_KEY).isNull()).alias("undecodable"),
+    )
+    kept = dedup_batch(received).observe(after, F.count(F.lit(1)).alias("stored"))
+    store_batch(rows.sparkSession, target, kept, day, stream, batch_id)
+    report = BatchReport(batch_id, **before.get, **after.get)
+    log.info("stored in %s: %s", target.name, report)
+    return report
+
+
 class TableSink:
-    """A ``foreachBatch`` function that stores micro-batches in one table."""
+    """A ``foreachBatch`` function that stores micro-batches in one table.
+
+    ``after_write`` is called with the number of each stored batch before the
+    stream commits it.
+    """
 
     def __init__(self, target: TableSpec, after_write: Callable[[int], None] | None = None):
         self.target = target
@@ -40,29 +68,14 @@ class TableSink:
         self.reports: deque[BatchReport] = deque(maxlen=REPORTS_KEPT)
 
     def __call__(self, rows: DataFrame, batch_id: int) -> None:
+        stream = rows.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
         try:
-            self._store(rows, batch_id)
+            report = store_micro_batch(self.target, rows, stream, batch_id)
         except Exception:
             log.exception("batch %d for %s failed", batch_id, self.target.name)
             raise
-        if self.after_write:
-            self.after_write(batch_id)
-
-    def _store(self, rows: DataFrame, batch_id: int) -> None:
-        day = ingest_day(rows)
-        if day is None:
-            log.info("batch %d for %s is empty, skipped", batch_id, self.target.name)
+        if report is None:
             return
-        spark = rows.sparkSession
-        before, after = Observation(), Observation()
-        received = rows.observe(
-            before,
-            F.count(F.lit(1)).alias("received"),
-            F.count_if(F.col(EVENT_KEY).isNull()).alias("undecodable"),
-        )
-        kept = dedup_batch(received).observe(after, F.count(F.lit(1)).alias("stored"))
-        stream = spark.sparkContext.getLocalProperty(QUERY_ID)
-        store_batch(spark, self.target, kept, day, stream, batch_id)
-        report = BatchReport(batch_id, **before.get, **after.get)
         self.reports.append(report)
-        log.info("stored in %s: %s", self.target.name, report)
+        if self.after_write:
+            self.after_write(batch_id)

@@ -38,11 +38,11 @@ class TableSpec:
     evolve: bool = False
 
 
-def _columns_ddl(fields: Iterable[StructField]) -> str:
+def columns_ddl(fields: Iterable[StructField]) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
 
-def _quoted(table: str) -> str:
+def quoted(table: str) -> str:
     return ".".join(f"`{part}`" for part in table.split("."))
 
 
@@ -52,7 +52,7 @@ def _text(value: str) -> str:
 
 def create_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
     place = f" LOCATION {_text(location)}" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(name)}{place}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(name)}{place}")
 
 
 def create_table(spark: SparkSession, target: TableSpec, schema: StructType) -> None:
@@ -65,17 +65,19 @@ def create_table(spark: SparkSession, target: TableSpec, schema: StructType) ->
     partitions = ", ".join(f"`{name}` {kind}" for name, kind in PARTITIONS.items())
     place = f" LOCATION {_text(target.location)}" if target.location else ""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {_quoted(target.name)} ({_columns_ddl(data)}, {partitions}) "
+        f"CREATE TABLE IF NOT EXISTS {quoted(target.name)} ({columns_ddl(data)}, {partitions}) "
         f"USING {target.provider} OPTIONS (compression '{CODEC}') "
         f"PARTITIONED BY ({', '.join(f'`{p}`' for p in PARTITIONS)}){place}"
     )
     if target.location:
-        spark.sql(f"ALTER TABLE {_quoted(target.name)} RECOVER PARTITIONS")
+        # Appending nothing makes sure that there is a folder to look through.
+        spark.table(quoted(target.name)).limit(0).write.insertInto(target.name)
+        spark.sql(f"ALTER TABLE {quoted(target.name)} RECOVER PARTITIONS")
 
 
 def add_columns(spark: SparkSession, table: str, fields: Iterable[StructField]) -> None:
     """Add columns to a table; rows already stored read NULL in them."""
-    spark.sql(f"ALTER TABLE {_quoted(table)} ADD COLUMNS ({_columns_ddl(fields)})")
+    spark.sql(f"ALTER TABLE {quoted(table)} ADD COLUMNS ({columns_ddl(fields)})")
 
 
 def fit_columns(spark: SparkSession, target: TableSpec, rows: DataFrame) -> DataFrame:
@@ -86,7 +88,7 @@ def fit_columns(spark: SparkSession, target: TableSpec, rows: DataFrame) -> Data
     another type.
     """
     table = target.name
-    stored = {f.name: f.dataType for f in spark.table(_quoted(table)).schema.fields}
+    stored = {f.name: f.dataType for f in spark.table(quoted(table)).schema.fields}
     given = {f.name: f for f in rows.schema.fields if f.name not in PARTITIONS}
     wrong = [n for n, f in given.items() if n in stored and stored[n] != f.dataType]
     if wrong:
@@ -116,7 +118,7 @@ def write_partition(
     files are complete.
     """
     spark.sql(
-        f"INSERT OVERWRITE TABLE {_quoted(table)} PARTITION "
+        f"INSERT OVERWRITE TABLE {quoted(table)} PARTITION "
         f"({INGEST_DATE} = DATE'{day.isoformat()}', {STREAM} = {_text(stream)}, "
         f"{BATCH} = {int(batch_id)}) SELECT * FROM {{rows}}",
         rows=rows,
@@ -142,14 +144,14 @@ def store_batch(
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
     """The rows of a table without its bookkeeping columns."""
-    return spark.table(_quoted(table)).drop(*BOOKKEEPING)
+    return spark.table(quoted(table)).drop(*BOOKKEEPING)
 
 
 def as_of_batch(
     spark: SparkSession, table: str, batch_id: int, stream: str | None = None
 ) -> DataFrame:
     """The table as it was right after a micro-batch; reads only older partitions."""
-    rows = spark.table(_quoted(table)).filter(F.col(BATCH) <= batch_id)
+    rows = spark.table(quoted(table)).filter(F.col(BATCH) <= batch_id)
     if stream is not None:
         rows = rows.filter(F.col(STREAM) == stream)
     return rows.drop(*BOOKKEEPING)
@@ -158,6 +160,6 @@ def as_of_batch(
 def as_of_time(spark: SparkSession, table: str, moment: datetime) -> DataFrame:
     """The table as it was at a moment; reads only partitions up to that day."""
     at = F.lit(moment).cast("timestamp")
-    rows = spark.table(_quoted(table))
+    rows = spark.table(quoted(table))
     kept = rows.filter((F.col(INGEST_DATE) <= at.cast("date")) & (F.col(INGEST_TIME) <= at))
     return kept.drop(*BOOKKEEPING)
