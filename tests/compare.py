@@ -8,6 +8,17 @@ from decimal import Decimal
 
 import duckdb
 
+# The name each engine gives to a type that results may have.
+TYPES = {
+    "string": "VARCHAR",
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
 
 def plain(value):
     if isinstance(value, float):
@@ -25,20 +36,22 @@ def sorted_rows(columns, rows):
 
 
 def check_rows(sf_dir, sql):
-    """Column names and rows of the check SQL."""
+    """Column names, types and rows of the check SQL."""
     with duckdb.connect() as db:
         for path in glob.glob(f"{sf_dir}/*.parquet"):
             name = os.path.basename(path).removesuffix(".parquet")
             db.sql(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
         found = db.sql(sql)
-        return found.columns, found.fetchall()
+        return found.columns, [str(t) for t in found.types], found.fetchall()
 
 
 def differences(frame, sf_dir, sql):
     """A description of how the results differ; empty when they are equal."""
-    columns, rows = check_rows(sf_dir, sql)
-    if sorted(columns) != sorted(frame.columns):
-        return f"columns {sorted(frame.columns)} != {sorted(columns)}"
+    columns, types, rows = check_rows(sf_dir, sql)
+    want = sorted(zip(columns, types))
+    have = sorted((f.name, TYPES[f.dataType.simpleString()]) for f in frame.schema.fields)
+    if have != want:
+        return f"columns {have} != {want}"
     want = sorted_rows(columns, rows)
     have = sorted_rows(frame.columns, frame.collect())
     if have == want:

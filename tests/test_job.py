@@ -1,0 +1,38 @@
+import pytest
+
+from tidemark.job import parse
+from tidemark.sources.stream import LATEST, Source
+from tidemark.tables.event_table import TableSpec
+
+NEEDED = [
+    "--job-name", "j", "--table", "raw.t", "--schema", "ad_revenue", "--checkpoint", "/c",
+]
+
+
+def test_defaults():
+    job = parse([*NEEDED, "--path", "/in"])
+    assert (job.job_name, job.schema_name, job.checkpoint) == ("j", "ad_revenue", "/c")
+    assert job.table == TableSpec("raw.t")
+    assert job.source == Source(path="/in")
+    assert (job.start, job.dedup_delay, job.trigger) == (LATEST, None, {})
+
+
+def test_all():
+    job = parse(
+        [
+            *NEEDED, "--format", "kafka", "--option", "subscribe=topic", "--option", "a=b=c",
+            "--payload", "p", "--start", "TRIM_HORIZON", "--dedup-delay", "2 days",
+            "--interval", "30 seconds", "--evolve",
+        ]
+    )
+    assert job.source.options == {"subscribe": "topic", "a": "b=c"}
+    assert job.source.payload_column == "p"
+    assert job.trigger == {"processingTime": "30 seconds"}
+    assert (job.start, job.dedup_delay, job.table.evolve) == ("TRIM_HORIZON", "2 days", True)
+    assert parse([*NEEDED, "--once"]).trigger == {"availableNow": True}
+
+
+def test_missing_and_unknown(capsys):
+    for argv in ([], [*NEEDED[:-4], "--schema", "nope", "--checkpoint", "/c"]):
+        with pytest.raises(SystemExit):
+            parse(argv)

@@ -1,0 +1,53 @@
+from hashlib import md5
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.sources.wire import PARTITION_KEY, WIRE_SCHEMA, deliver, route, shard_of
+
+
+def records(spark, n=1000):
+    return spark.range(n).select(
+        F.concat(F.lit("cus_"), F.col("id") % 50).alias(PARTITION_KEY),
+        F.encode(F.concat(F.lit('{"n":'), F.col("id"), F.lit("}")), "UTF-8").alias("data"),
+    )
+
+
+@pytest.mark.parametrize("shards", [1, 2, 15, 50])
+def test_shard_is_the_range_of_the_digest(spark, shards):
+    for row in route(records(spark, 50), shards).collect():
+        digest = int(md5(row[PARTITION_KEY].encode()).hexdigest(), 16)
+        assert row["shard"] == digest * shards >> 128
+
+
+def test_number_of_shards_is_checked():
+    for shards in (0, 51):
+        with pytest.raises(ValueError, match="between 1 and 50"):
+            shard_of(F.lit("k"), shards)
+
+
+def test_deliver_counts_and_writes(spark, folder):
+    bad = spark.createDataFrame([(None, b"{}"), ("k", None)], WIRE_SCHEMA)
+    counts = deliver(records(spark).unionByName(bad), folder, 4)
+    assert counts == {"delivered": 1000, "failed": 2}
+    assert deliver(records(spark, 10), folder, 4) == {"delivered": 10, "failed": 0}
+    landed = spark.read.parquet(folder)
+    assert landed.count() == 1010
+    per_key = landed.groupBy(PARTITION_KEY).agg(F.count_distinct("shard").alias("n"))
+    assert per_key.filter("n <> 1").isEmpty()
+
+
+def test_a_large_shard_is_cut_over_several_tasks(spark, folder):
+    """One key with a third of the rows does not become one file or one task."""
+    rows = spark.range(60_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias(PARTITION_KEY),
+        F.encode(F.sha2(F.col("id").cast("string"), 512), "UTF-8").alias("data"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "400000")
+    try:
+        deliver(rows, folder, 2)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    landed = spark.read.parquet(folder).filter(F.col(PARTITION_KEY) == "hot")
+    assert landed.count() == 20_000
+    assert landed.select("_metadata.file_name").distinct().count() > 2

@@ -341,7 +341,7 @@ def stream_ingest_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_dedup_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    job = _stream(spark, sf_dir, _job(spark, "stream_watermark", dedup_delay="20 days"))
+    job = _stream(spark, sf_dir, _job(spark, "stream_watermark", dedup_delay="20 days", state_partitions=8))
     return _stored(spark, job)
 
 

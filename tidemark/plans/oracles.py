@@ -2,7 +2,13 @@
 
 from tidemark.functions.scalars import MIX_HIGH, MIX_PRIME, MIX_ROW, MIX_SALT, MIX_SPREAD
 from tidemark.plans.inputs import load_time
-from tidemark.plans.views import AD_REVENUE, CUTS, DELIVERIES, N_DELIVERIES, PARTNER_INVOICES, PAYMENTS
+from tidemark.plans.views import (
+    AD_REVENUE,
+    DELIVERIES,
+    N_DELIVERIES,
+    PARTNER_INVOICES,
+    PAYMENTS,
+)
 from tidemark.schemas import WIRE_FIELDS
 from tidemark.sources import synth
 
@@ -196,7 +202,7 @@ ORACLES: dict[str, str] = {
     "closed_days": _stored("batch_id <= 3"),
     "stream_ingest": _stored(),
     "stream_ingest_columns": f"""{WITH_DELIVERIES}, stored AS ({STORED})
-        SELECT batch_id, COUNT(*) AS n_rows, 1 AS n_stamps, TRUE AS same_day
+        SELECT batch_id, COUNT(*) AS n_rows, CAST(1 AS BIGINT) AS n_stamps, TRUE AS same_day
         FROM stored GROUP BY batch_id""",
     "stream_ingest_replay": _stored(),
     "stream_dedup_watermark": f"{WITH_PAYMENTS} SELECT {PAYMENT_FIELDS} FROM payments",

@@ -62,7 +62,8 @@ AD_REVENUE = """
 ad_revenue AS (
   SELECT
     'ad_evt_' || CAST(l_orderkey AS STRING) || '_' || CAST(l_linenumber AS STRING)
-      || '_' || CAST(l_partkey AS STRING) || '_' || CAST(l_suppkey AS STRING) AS event_id,
+      || '_' || CAST(l_partkey AS STRING) || '_' || CAST(l_suppkey AS STRING)
+      || '_' || CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS STRING) AS event_id,
     'ad.delivered' AS event_type,
     l_shipdate AS event_timestamp,
     'adv_' || CAST(l_suppkey % 40 AS STRING) AS advertiser_name,

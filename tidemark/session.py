@@ -2,12 +2,20 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tidemark-")
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings that right results depend on.
 
@@ -24,14 +32,31 @@ def local_session(app: str = "tidemark", cores: int | str = "*") -> SparkSession
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
-        .config(CHECKPOINT_DIR, tempfile.mkdtemp(prefix="tidemark-"))
+        .config(CHECKPOINT_DIR, _local_folder())
     )
     return configure(builder.getOrCreate())
 
 
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for the statements inside; a stream keeps those it started with."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder path on storage that every executor can reach.
 
@@ -42,6 +67,5 @@ def work_dir(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set(CHECKPOINT_DIR, base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

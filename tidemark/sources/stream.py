@@ -50,12 +50,9 @@ def open_stream(
     on. After the first start the checkpoint decides where to go on.
     """
     reader = spark.readStream.format(source.format).options(**source.options)
-    if source.format == "kafka":
-        return reader.option("startingOffsets", _known(start, KAFKA_OFFSETS)).load()
+    reader = reader.options(**start_options(source, start))
     if not source.is_files:
-        return reader.option("startingPosition", start).load()
-
-    _known(start, KAFKA_OFFSETS)
+        return reader.load()
     if source.format != "text":
         reader = reader.schema(WIRE_SCHEMA)
     records = reader.load(source.path)
@@ -66,10 +63,18 @@ def open_stream(
     return records.filter(arrived >= F.timestamp_seconds(F.lit(since)))
 
 
-def _known(start: str, positions: Mapping[str, str]) -> str:
-    if start not in positions:
-        raise ValueError(f"unknown start position {start!r}; known: {', '.join(positions)}")
-    return positions[start]
+def start_options(source: Source, start: str) -> dict[str, str]:
+    """The reader options that make a source begin at a start position.
+
+    Files have none, they are filtered by arrival. A source this package does
+    not know is handed the position as it is.
+    """
+    if source.format != "kafka" and not source.is_files:
+        return {"startingPosition": start}
+    if start not in KAFKA_OFFSETS:
+        known = ", ".join(KAFKA_OFFSETS)
+        raise ValueError(f"unknown start position {start!r}; known positions: {known}")
+    return {} if source.is_files else {"startingOffsets": KAFKA_OFFSETS[start]}
 
 
 def _remember_start(spark: SparkSession, checkpoint: str | None) -> int:

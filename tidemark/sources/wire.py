@@ -45,13 +45,16 @@ def shard_of(key: Column, shards: int) -> Column:
 
 
 def route(records: DataFrame, shards: int) -> DataFrame:
-    """Add the shard of each record and bring the records of a shard together.
+    """Add the shard of each record; all records of one key have the same."""
+    return records.withColumn(SHARD, shard_of(F.col(PARTITION_KEY), shards))
 
-    All records of one key carry the same shard. The rebalance hint lets AQE
-    merge small shards into one task and cut a large one over several, so one
-    key holding a third of the traffic does not become one task.
+
+def together(routed: DataFrame) -> DataFrame:
+    """Bring the records of a shard together before they are written.
+
+    The rebalance hint lets AQE merge small shards into one task and cut a large
+    one over several, so one key with a third of the traffic is not one task.
     """
-    routed = records.withColumn(SHARD, shard_of(F.col(PARTITION_KEY), shards))
     return routed.hint("rebalance", SHARD)
 
 
@@ -81,7 +84,7 @@ def deliver(records: DataFrame, path: str, shards: int) -> dict[str, int]:
         counts, F.count_if(sent).alias("delivered"), F.count_if(~sent).alias("failed")
     )
     (
-        route(observed.filter(sent), shards)
+        together(route(observed.filter(sent), shards))
         .write.mode("append")
         .option("compression", "zstd")
         .partitionBy(SHARD)

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.decode import decode
 from tidemark.operators.dedup import dedup_watermark
 from tidemark.schemas import get_schema
-from tidemark.session import configure
+from tidemark.session import configure, settings
 from tidemark.sources.stream import LATEST, Source, open_stream
 from tidemark.tables.event_table import TableSpec
 from tidemark.streaming.sink import BatchReport, TableSink, store_micro_batch
@@ -19,6 +19,9 @@ from tidemark.streaming.sink import BatchReport, TableSink, store_micro_batch
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+STATE_CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+STATE_PARTITIONS = "spark.sql.shuffle.partitions"
+
 log = logging.getLogger(__name__)
 
 
@@ -28,7 +31,8 @@ class IngestJob:
 
     ``dedup_delay`` is None to compare event ids within each micro-batch, or a
     delay such as ``"10 days"`` to compare them across batches too (see
-    ``dedup_watermark``). ``trigger`` is passed to ``DataStreamWriter.trigger``;
+    ``dedup_watermark``). ``state_partitions`` is the number of state stores
+    that needs; it cannot change once the checkpoint exists. ``trigger`` is passed to ``DataStreamWriter.trigger``;
     without it batches follow each other as fast as they can.
     """
 
@@ -39,6 +43,7 @@ class IngestJob:
     checkpoint: str
     start: str = LATEST
     dedup_delay: str | None = None
+    state_partitions: int | None = None
     trigger: dict[str, object] = field(default_factory=dict)
 
 
@@ -58,15 +63,23 @@ def event_rows(spark: SparkSession, job: IngestJob) -> DataFrame:
     return dedup_watermark(rows, job.dedup_delay) if job.dedup_delay else rows
 
 
+def _state_settings(job: IngestJob) -> dict[str, str]:
+    """Settings of the state store, for jobs that keep state."""
+    if not job.dedup_delay:
+        return {}
+    # State of days of event ids belongs on disk, not in the executor heap.
+    values = {STATE_STORE: ROCKSDB, STATE_CHANGELOG: "true"}
+    if job.state_partitions:
+        values[STATE_PARTITIONS] = str(job.state_partitions)
+    return values
+
+
 def start_ingest(
     spark: SparkSession, job: IngestJob, after_write: Callable[[int], None] | None = None
 ) -> RunningJob:
     """Start a job; it runs until it is stopped, fails, or its trigger is done."""
     configure(spark)
     log.info("job %s: reading %s into %s", job.job_name, job.source, job.table.name)
-    if job.dedup_delay:
-        # State of days of event ids belongs on disk, not in the executor heap.
-        spark.conf.set(STATE_STORE, ROCKSDB)
     sink = TableSink(job.table, after_write)
     writer = (
         event_rows(spark, job)
@@ -76,7 +89,8 @@ def start_ingest(
     )
     if job.trigger:
         writer = writer.trigger(**job.trigger)
-    query = writer.start()
+    with settings(spark, _state_settings(job)):
+        query = writer.start()
     log.info("job %s: started as query %s", job.job_name, query.id)
     return RunningJob(query, sink)
 

@@ -10,6 +10,9 @@ log = logging.getLogger(__name__)
 class ProgressLog(StreamingQueryListener):
     """Logs start, batches and end of every query of a session.
 
+    Row counts come from the sink: those in the progress also count the rows that
+    were read to see whether a batch is empty.
+
     Register it with ``spark.streams.addListener(ProgressLog())``.
     """
 
@@ -20,12 +23,10 @@ class ProgressLog(StreamingQueryListener):
         p = event.progress
         late = sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
         log.info(
-            "query %s batch %d: %d rows in %d ms, %.0f rows/s, %d late rows left out",
+            "query %s batch %d took %d ms, %d late rows left out",
             p.name,
             p.batchId,
-            p.numInputRows,
             p.batchDuration,
-            p.processedRowsPerSecond,
             late,
         )
 

@@ -9,11 +9,16 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import EVENT_KEY, dedup_batch
+from tidemark.session import settings
 from tidemark.tables.event_table import TableSpec, ingest_day, store_batch
 
 QUERY_ID = "sql.streaming.queryId"
 REPORTS_KEPT = 1000
 
+# By default AQE cuts a write into as many files as the cluster has cores. Files
+# of its advisory size are what a table of many micro-batches needs.
+FILE_SIZING = {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+
 log = logging.getLogger(__name__)
 
 
@@ -49,7 +54,9 @@ def store_micro_batch(
         F.count_if(F.col(EVENT_KEY).isNull()).alias("undecodable"),
     )
     kept = dedup_batch(received).observe(after, F.count(F.lit(1)).alias("stored"))
-    store_batch(rows.sparkSession, target, kept, day, stream, batch_id)
+    spark = rows.sparkSession
+    with settings(spark, FILE_SIZING):
+        store_batch(spark, target, kept, day, stream, batch_id)
     report = BatchReport(batch_id, **before.get, **after.get)
     log.info("stored in %s: %s", target.name, report)
     return report

@@ -50,6 +50,14 @@ def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def partition_spec(ingestion_date: date | str, _stream: str, _batch_id: int | str) -> str:
+    """The partition of one micro-batch, as SQL; arguments are named like its columns."""
+    return (
+        f"{INGEST_DATE} = DATE'{ingestion_date}', {STREAM} = {_text(_stream)}, "
+        f"{BATCH} = {int(_batch_id)}"
+    )
+
+
 def create_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
     place = f" LOCATION {_text(location)}" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(name)}{place}")
@@ -117,10 +125,9 @@ def write_partition(
     store committer works. The catalog learns of a new partition only after its
     files are complete.
     """
+    spec = partition_spec(day, stream, batch_id)
     spark.sql(
-        f"INSERT OVERWRITE TABLE {quoted(table)} PARTITION "
-        f"({INGEST_DATE} = DATE'{day.isoformat()}', {STREAM} = {_text(stream)}, "
-        f"{BATCH} = {int(batch_id)}) SELECT * FROM {{rows}}",
+        f"INSERT OVERWRITE TABLE {quoted(table)} PARTITION ({spec}) SELECT * FROM {{rows}}",
         rows=rows,
     )
 
@@ -142,16 +149,26 @@ def store_batch(
     write_partition(spark, target.name, fitted, day, stream, batch_id)
 
 
+def current(spark: SparkSession, table: str) -> DataFrame:
+    """All columns of a table, from the files it has now.
+
+    A session remembers the files of a partition. A replayed batch replaces
+    them, in the session of its stream, so the memory of this one is dropped.
+    """
+    spark.catalog.refreshTable(quoted(table))
+    return spark.table(quoted(table))
+
+
 def read_table(spark: SparkSession, table: str) -> DataFrame:
     """The rows of a table without its bookkeeping columns."""
-    return spark.table(quoted(table)).drop(*BOOKKEEPING)
+    return current(spark, table).drop(*BOOKKEEPING)
 
 
 def as_of_batch(
     spark: SparkSession, table: str, batch_id: int, stream: str | None = None
 ) -> DataFrame:
     """The table as it was right after a micro-batch; reads only older partitions."""
-    rows = spark.table(quoted(table)).filter(F.col(BATCH) <= batch_id)
+    rows = current(spark, table).filter(F.col(BATCH) <= batch_id)
     if stream is not None:
         rows = rows.filter(F.col(STREAM) == stream)
     return rows.drop(*BOOKKEEPING)
@@ -160,6 +177,6 @@ def as_of_batch(
 def as_of_time(spark: SparkSession, table: str, moment: datetime) -> DataFrame:
     """The table as it was at a moment; reads only partitions up to that day."""
     at = F.lit(moment).cast("timestamp")
-    rows = spark.table(quoted(table))
+    rows = current(spark, table)
     kept = rows.filter((F.col(INGEST_DATE) <= at.cast("date")) & (F.col(INGEST_TIME) <= at))
     return kept.drop(*BOOKKEEPING)

@@ -8,53 +8,77 @@ partitions of the live table can be dropped.
 """
 
 from datetime import date
+from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.decode import INGEST_DATE
-from tidemark.tables.event_table import BATCH, CODEC, STREAM, columns_ddl, quoted
+from tidemark.tables.event_table import (
+    BATCH,
+    CODEC,
+    STREAM,
+    add_columns,
+    columns_ddl,
+    current,
+    partition_spec,
+    quoted,
+)
 
 CLOSED_BEFORE = "tidemark.closed_before"
 
 
-def close_days(spark: SparkSession, live: str, closed: str, before: date) -> None:
-    """Copy the days before ``before`` that are not closed yet.
+def _partitions(spark: SparkSession, table: str, before: date) -> dict[date, list[dict[str, str]]]:
+    """The partitions of each day before ``before``, from the catalog alone."""
+    day = F.regexp_extract("partition", f"{INGEST_DATE}=([^/]+)", 1)
+    shown = spark.sql(f"SHOW PARTITIONS {quoted(table)}").filter(day < str(before))
+    days: dict[date, list[dict[str, str]]] = {}
+    for row in shown.collect():
+        levels = (level.split("=", 1) for level in row["partition"].split("/"))
+        values = {name: unquote(value) for name, value in levels}
+        days.setdefault(date.fromisoformat(values[INGEST_DATE]), []).append(values)
+    return dict(sorted(days.items()))
 
-    Rows are spread by AQE into files of its advisory size, whatever the size of
-    a day or a batch, and sorted by batch inside each file, so that reads as of
-    a batch skip row groups. A day is written as a whole: running this again
-    after a failure leaves one copy.
-    """
-    rows = spark.table(quoted(live))
-    fields = [f for f in rows.schema.fields if f.name != INGEST_DATE]
+
+def _match_columns(spark: SparkSession, live: str, closed: str) -> list[str]:
+    """Give the closed table every column of the live one; returns their order."""
+    fields = [f for f in spark.table(quoted(live)).schema.fields if f.name != INGEST_DATE]
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {quoted(closed)} ({columns_ddl(fields)}, "
         f"`{INGEST_DATE}` DATE) USING parquet OPTIONS (compression '{CODEC}') "
         f"PARTITIONED BY (`{INGEST_DATE}`)"
     )
-    have = {f.name for f in spark.table(quoted(closed)).schema.fields}
+    have = set(spark.table(quoted(closed)).columns)
     new = [f for f in fields if f.name not in have]
     if new:
-        spark.sql(f"ALTER TABLE {quoted(closed)} ADD COLUMNS ({columns_ddl(new)})")
-    since = closed_before(spark, closed)
-    days = rows.filter(F.col(INGEST_DATE) < F.lit(before))
-    if since is not None:
-        days = days.filter(F.col(INGEST_DATE) >= F.lit(since))
-    order = [f.name for f in spark.table(quoted(closed)).schema.fields]
-    merged = (
-        days.select(*order)
-        .hint("rebalance", INGEST_DATE)
-        .sortWithinPartitions(INGEST_DATE, STREAM, BATCH)
-    )
-    (
-        merged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(closed)
-    )
-    spark.sql(
-        f"ALTER TABLE {quoted(closed)} SET TBLPROPERTIES ('{CLOSED_BEFORE}' = '{before}')"
-    )
+        add_columns(spark, closed, new)
+    return [c for c in spark.table(quoted(closed)).columns if c != INGEST_DATE]
+
+
+def close_days(spark: SparkSession, live: str, closed: str, before: date) -> None:
+    """Copy the days before ``before`` that are not closed yet.
+
+    The rows of a day are spread by AQE into files of its advisory size, however
+    large its batches are, and sorted by batch inside each file, so that reads
+    as of a batch skip row groups. A day is replaced as a whole: running this
+    again after a failure leaves one copy.
+    """
+    columns = _match_columns(spark, live, closed)
+    since = closed_before(spark, closed) or date.min
+    for day in _partitions(spark, live, before):
+        if day < since:
+            continue
+        rows = current(spark, live).filter(F.col(INGEST_DATE) == F.lit(day))
+        merged = rows.select(*columns).hint("rebalance").sortWithinPartitions(STREAM, BATCH)
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {quoted(closed)} "
+            f"PARTITION ({INGEST_DATE} = DATE'{day}') SELECT * FROM {{merged}}",
+            merged=merged,
+        )
+    if before > since:
+        spark.sql(
+            f"ALTER TABLE {quoted(closed)} SET TBLPROPERTIES ('{CLOSED_BEFORE}' = '{before}')"
+        )
 
 
 def closed_before(spark: SparkSession, closed: str) -> date | None:
@@ -87,11 +111,6 @@ def drop_closed(spark: SparkSession, live: str, closed: str) -> None:
     first_open = closed_before(spark, closed)
     if first_open is None:
         return
-    parts = spark.sql(f"SHOW PARTITIONS {quoted(live)}")
-    day = F.regexp_extract("partition", f"{INGEST_DATE}=([^/]+)", 1)
-    days = parts.select(day.alias("day")).distinct().filter(F.col("day") < str(first_open))
-    for row in days.collect():
-        spark.sql(
-            f"ALTER TABLE {quoted(live)} DROP IF EXISTS "
-            f"PARTITION ({INGEST_DATE} = DATE'{row['day']}')"
-        )
+    for parts in _partitions(spark, live, first_open).values():
+        specs = ", ".join(f"PARTITION ({partition_spec(**part)})" for part in parts)
+        spark.sql(f"ALTER TABLE {quoted(live)} DROP IF EXISTS {specs}")
