@@ -162,7 +162,7 @@ def test_closed_days(spark, table):
     assert spark.table(table).count() == 20
     assert sorted(spark.table(view).collect()) == sorted(before)
     files = spark.table(closed).select("_metadata.file_path").distinct().count()
-    assert files < 4
+    assert files == 2
 
 
 def test_closed_days_take_new_columns(spark, table):

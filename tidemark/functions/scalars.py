@@ -3,9 +3,10 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Amounts below this are summed exactly; 2^53 still has room for the cents.
-EXACT_BELOW = 1e15
-MICRO = 1_000_000
+# A double holds micro-dollars exactly enough up to a billion dollars, and cents
+# up to ten trillion.
+MICROS_BELOW = 1e9
+CENTS_BELOW = 1e13
 
 
 def iso_timestamp(ts: Column) -> Column:
@@ -22,13 +23,19 @@ def money_sum(amount: Column) -> Column:
     """Sum of a double column that does not depend on the order of the rows.
 
     Whole dollars and micro-dollars are added as two integers, which is exact
-    and as fast as adding doubles, and joined once per group. What does not fit
-    (NaN, infinities, absurdly large values) is added as double, so it shows in
-    the result as it would in a plain ``SUM``.
+    and as fast as adding doubles, and joined once per group. Amounts over a
+    billion count to the cent. What does not fit (NaN, infinities, absurdly
+    large values) is added as double, so it shows in the result as it would in
+    a plain ``SUM``.
     """
-    fits = F.abs(amount) < EXACT_BELOW
+    fits = F.abs(amount) < CENTS_BELOW
     whole = F.floor(amount)
-    micros = F.rint((amount - whole) * MICRO).cast("bigint")
+    part = amount - whole
+    micros = (
+        F.when(F.abs(amount) < MICROS_BELOW, F.rint(part * 1_000_000))
+        .otherwise(F.rint(part * 100) * 10_000)
+        .cast("bigint")
+    )
     dollars = F.sum(F.when(fits, whole)).cast("decimal(20,0)")
     rest = F.sum(F.when(fits, micros)).cast("decimal(20,0)")
     exact = (dollars + rest * F.lit("0.000001").cast("decimal(6,6)")).cast("double")

@@ -1,6 +1,6 @@
 """Removal of redelivered events."""
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +31,20 @@ def dedup_batch(rows: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     return kept.select(*keys, "kept.*").select(*rows.columns)
 
 
-def _fold_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first row of each event id in every Arrow batch."""
-    for batch in batches:
-        ids = batch.column(EVENT_KEY).dictionary_encode(null_encoding="encode")
-        _, first = np.unique(ids.indices.to_numpy(), return_index=True)
-        yield batch if len(first) == len(batch) else batch.take(pa.array(first))
+def copy_folder(key: str = EVENT_KEY) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """A function that keeps the first row of each key in every Arrow batch.
+
+    It is made here, not defined at module level, so that it travels to the
+    executors by value and they need not have this package installed.
+    """
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(key).dictionary_encode(null_encoding="encode")
+            _, first = np.unique(ids.indices.to_numpy(), return_index=True)
+            yield batch if len(first) == len(batch) else batch.take(pa.array(first))
+
+    return fold
 
 
 def dedup_watermark(rows: DataFrame, delay: str) -> DataFrame:
@@ -54,5 +62,5 @@ def dedup_watermark(rows: DataFrame, delay: str) -> DataFrame:
     inside each map task, in Arrow batches: an id that makes up a third of the
     input, or a flood of undecodable rows, does not end up in one state task.
     """
-    folded = rows.mapInArrow(_fold_copies, rows.schema)
+    folded = rows.mapInArrow(copy_folder(), rows.schema)
     return folded.withWatermark(EVENT_TIME, delay).dropDuplicatesWithinWatermark([EVENT_KEY])

@@ -163,9 +163,8 @@ def dedup_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Undecodable records of a batch fold into one row of NULLs."""
     copies = inputs.deliveries(spark, sf_dir)
     records = encode(inputs.utc(copies), keep=("batch_id", "seq"))
-    cut = F.when(F.col("seq") % 3 == 0, F.substring(PAYLOAD, 1, 40)).otherwise(F.col(PAYLOAD))
     schema = get_schema("subscription_payment")
-    rows = decode(records.withColumn(PAYLOAD, cut), schema, keep=("batch_id",))
+    rows = decode(inputs.cut_payload(records, 3), schema, keep=("batch_id",))
     return dedup_batch(rows, within=("batch_id",)).select("batch_id", "event_id", "payment_id")
 
 
@@ -242,6 +241,21 @@ def latency_by_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest_latency(read_table(spark, job.table.name), INGEST_DATE)
 
 
+@query
+def batch_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the sink counted while it stored each batch, a fifth of it undecodable."""
+    job = _job(spark, "reports")
+    reports = []
+    for number in range(N_DELIVERIES):
+        rows = inputs.utc(inputs.delivery_rows(spark, sf_dir, number))
+        records = inputs.cut_payload(encode(rows, keep=("seq",)), 5)
+        reports.append(load_batch(records, job, number, inputs.load_time(number)))
+    return spark.createDataFrame(
+        [tuple(vars(r).values()) for r in reports if r],
+        "batch_id BIGINT, received BIGINT, undecodable BIGINT, stored BIGINT",
+    )
+
+
 @query
 def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows stored before a column was added read NULL in it."""

@@ -84,6 +84,12 @@ def delivery_records(spark: SparkSession, sf_dir: str, number: int) -> DataFrame
     return encode(utc(delivery_rows(spark, sf_dir, number).drop("seq")))
 
 
+def cut_payload(records: DataFrame, every: int) -> DataFrame:
+    """Records with the payload of every nth payment cut short; drops ``seq``."""
+    cut = F.when(F.col("seq") % every == 0, F.substring(PAYLOAD, 1, 40)).otherwise(F.col(PAYLOAD))
+    return records.withColumn(PAYLOAD, cut).drop("seq")
+
+
 def damaged_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every payment as a payload that is damaged in one of thirteen ways.
 

@@ -191,6 +191,11 @@ ORACLES: dict[str, str] = {
           MIN(ms) AS min_ms, quantile_disc(ms, 0.5) AS p50_ms, quantile_disc(ms, 0.95) AS p95_ms,
           MAX(ms) AS max_ms
         FROM delays GROUP BY 1""",
+    "batch_reports": f"""{WITH_DELIVERIES}
+        SELECT batch_id, COUNT(*) AS received,
+          COUNT(CASE WHEN seq % 5 = 0 THEN 1 END) AS undecodable,
+          COUNT(DISTINCT CASE WHEN seq % 5 = 0 THEN 'none' ELSE event_id END) AS stored
+        FROM deliveries GROUP BY batch_id""",
     "schema_evolution": f"""{WITH_DELIVERIES}, stored AS ({STORED})
         SELECT {PAYMENT_FIELDS}, CAST(NULL AS BOOLEAN) AS is_trial
         FROM stored WHERE batch_id <= 1""",

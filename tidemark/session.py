@@ -36,7 +36,6 @@ def local_session(app: str = "tidemark", cores: int | str = "*") -> SparkSession
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
-        .config(CHECKPOINT_DIR, _local_folder())
     )
     return configure(builder.getOrCreate())
 
@@ -63,7 +62,7 @@ def work_dir(spark: SparkSession, label: str) -> str:
     The cluster names that storage in ``spark.checkpoint.dir``. Only a local
     master may go without it, because there every task shares one disk.
     """
-    base = spark.conf.get(CHECKPOINT_DIR, None)
+    base = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")

@@ -21,6 +21,7 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 STATE_CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 STATE_PARTITIONS = "spark.sql.shuffle.partitions"
+POOL = "spark.scheduler.pool"
 
 log = logging.getLogger(__name__)
 
@@ -89,8 +90,14 @@ def start_ingest(
     )
     if job.trigger:
         writer = writer.trigger(**job.trigger)
-    with settings(spark, _state_settings(job)):
-        query = writer.start()
+    # Under a FAIR scheduler each job gets its share, however large the others' batches.
+    context = spark.sparkContext
+    context.setLocalProperty(POOL, job.job_name)
+    try:
+        with settings(spark, _state_settings(job)):
+            query = writer.start()
+    finally:
+        context.setLocalProperty(POOL, None)
     log.info("job %s: started as query %s", job.job_name, query.id)
     return RunningJob(query, sink)
 

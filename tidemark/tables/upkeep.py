@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.decode import INGEST_DATE
+from tidemark.session import settings
 from tidemark.tables.event_table import (
     BATCH,
     CODEC,
@@ -27,6 +28,13 @@ from tidemark.tables.event_table import (
 
 CLOSED_BEFORE = "tidemark.closed_before"
 
+# Pack small files into splits by their size, and use no more splits than it
+# takes, however many cores the cluster has.
+FULL_SPLITS = {
+    "spark.sql.files.openCostInBytes": "65536",
+    "spark.sql.files.minPartitionNum": "1",
+}
+
 
 def _partitions(spark: SparkSession, table: str, before: date) -> dict[date, list[dict[str, str]]]:
     """The partitions of each day before ``before``, from the catalog alone."""
@@ -58,10 +66,10 @@ def _match_columns(spark: SparkSession, live: str, closed: str) -> list[str]:
 def close_days(spark: SparkSession, live: str, closed: str, before: date) -> None:
     """Copy the days before ``before`` that are not closed yet.
 
-    The rows of a day are spread by AQE into files of its advisory size, however
-    large its batches are, and sorted by batch inside each file, so that reads
-    as of a batch skip row groups. A day is replaced as a whole: running this
-    again after a failure leaves one copy.
+    Nothing is shuffled: a task reads as many small files as make up one full
+    split and writes them as one, sorted by batch, so that reads as of a batch
+    skip row groups. A day is replaced as a whole: running this again after a
+    failure leaves one copy.
     """
     columns = _match_columns(spark, live, closed)
     since = closed_before(spark, closed) or date.min
@@ -69,12 +77,13 @@ def close_days(spark: SparkSession, live: str, closed: str, before: date) -> Non
         if day < since:
             continue
         rows = current(spark, live).filter(F.col(INGEST_DATE) == F.lit(day))
-        merged = rows.select(*columns).hint("rebalance").sortWithinPartitions(STREAM, BATCH)
-        spark.sql(
-            f"INSERT OVERWRITE TABLE {quoted(closed)} "
-            f"PARTITION ({INGEST_DATE} = DATE'{day}') SELECT * FROM {{merged}}",
-            merged=merged,
-        )
+        merged = rows.select(*columns).sortWithinPartitions(STREAM, BATCH)
+        with settings(spark, FULL_SPLITS):
+            spark.sql(
+                f"INSERT OVERWRITE TABLE {quoted(closed)} "
+                f"PARTITION ({INGEST_DATE} = DATE'{day}') SELECT * FROM {{merged}}",
+                merged=merged,
+            )
     if before > since:
         spark.sql(
             f"ALTER TABLE {quoted(closed)} SET TBLPROPERTIES ('{CLOSED_BEFORE}' = '{before}')"
