@@ -8,9 +8,24 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import copy_folder
-from tidemark.sources.stream import LATEST, TRIM_HORIZON, Source, open_stream, start_options
-from tidemark.sources.wire import WIRE_SCHEMA
-from tidemark.streaming.ingest import IngestJob, event_rows, load_batch, run_all, run_ingest
+from tidemark.sources.stream import (
+    LATEST,
+    TRIM_HORIZON,
+    Source,
+    batch_options,
+    open_stream,
+    start_options,
+)
+from tidemark.sources.synth import payment_stream
+from tidemark.sources.wire import WIRE_SCHEMA, encode
+from tidemark.streaming.ingest import (
+    IngestJob,
+    event_rows,
+    load_batch,
+    run_all,
+    run_ingest,
+    start_ingest,
+)
 from tidemark.streaming.progress import ProgressLog
 from tidemark.tables.event_table import TableSpec, current
 
@@ -107,6 +122,60 @@ def test_empty_batch_makes_no_table(spark, table, folder):
     assert not running.sink.reports
 
 
+def test_a_backlog_is_cut_into_batches(spark, table, folder):
+    limit = {"maxBytesPerTrigger": "1000"}
+    job = job_for(table, folder, source=Source(path=f"{folder}/wire", options=limit))
+    for n in range(3):
+        land(spark, job, [event(f"e{n}")])
+    running = run_ingest(spark, job)
+    assert ids(spark, table) == ["e0", "e1", "e2"]
+    assert len(running.sink.reports) == 3
+
+
+def test_a_small_batch_is_one_file(spark, table, folder):
+    job = job_for(table, folder)
+    land(spark, job, [event(f"e{n}") for n in range(500)])
+    run_ingest(spark, job)
+    assert current(spark, table).select("_metadata.file_path").distinct().count() == 1
+
+
+@pytest.mark.parametrize("trigger", [{}, {"processingTime": "1 second"}])
+def test_runs_until_it_is_stopped(spark, table, folder, trigger):
+    job = job_for(table, folder, trigger=trigger)
+    land(spark, job, [event("a")])
+    running = start_ingest(spark, job)
+    try:
+        land(spark, job, [event("b")])
+        running.query.processAllAvailable()
+        land(spark, job, [event("c")])
+        running.query.processAllAvailable()
+        assert running.query.isActive
+    finally:
+        running.query.stop()
+    assert ids(spark, table) == ["a", "b", "c"]
+
+
+def test_generated_stream_to_table(spark, table, folder):
+    """Generator, wire records and ingest, end to end and all of them streams."""
+    job = job_for(table, folder)
+    sent = (
+        encode(payment_stream(spark, 500))
+        .writeStream.format("parquet")
+        .option("path", job.source.path)
+        .option("checkpointLocation", f"{folder}/sender")
+        .start()
+    )
+    try:
+        while sent.isActive and not (sent.lastProgress and sent.lastProgress.batchId >= 2):
+            sent.awaitTermination(1)
+    finally:
+        sent.stop()
+    run_ingest(spark, job)
+    landed = spark.read.parquet(job.source.path).count()
+    assert current(spark, table).count() == landed >= 500
+    assert current(spark, table).filter("event_timestamp IS NULL").isEmpty()
+
+
 def test_text_files(spark, table, folder):
     job = job_for(table, folder, source=Source(path=f"{folder}/text", format="text"))
     lines = [(event("a"),), ("",), (event("b"),)]
@@ -181,6 +250,9 @@ def test_start_positions(spark):
     assert start_options(kafka, TRIM_HORIZON) == {"startingOffsets": "earliest"}
     assert start_options(Source(format="other"), "X") == {"startingPosition": "X"}
     assert start_options(Source(path="p"), LATEST) == {}
+    assert batch_options(Source(path="p"), 4) == {"maxBytesPerTrigger": str(2**30)}
+    assert batch_options(Source(path="p", options={"maxFilesPerTrigger": "9"}), 4) == {}
+    assert batch_options(kafka, 4) == {}
     assert (kafka.payload_column, Source().payload_column) == ("value", "data")
     with pytest.raises(ValueError, match="NEWEST.*LATEST, TRIM_HORIZON"):
         open_stream(spark, Source(path="p"), "NEWEST")

@@ -48,6 +48,13 @@ def test_create_append_replace(spark, table):
     assert read_table(spark, table).columns[-1] == "ingestion_date"
 
 
+def test_name_with_catalog(spark, table):
+    spec = TableSpec(f"spark_catalog.{table}", evolve=True)
+    store(spark, spec, rows(spark, 0, 10), 0)
+    store(spark, spec, rows(spark, 10, 12).withColumn("x", F.lit(1)), 1)
+    assert read_table(spark, spec.name).count() == 12
+
+
 def test_batch_numbers_of_two_streams_do_not_meet(spark, table):
     spec = TableSpec(table)
     store(spark, spec, rows(spark, 0, 10), 0, "one")

@@ -1,5 +1,7 @@
 """Scalar and aggregate expressions shared by the operators."""
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,11 @@ MICROS_BELOW = 1e9
 CENTS_BELOW = 1e13
 
 
+def moment(at: datetime) -> Column:
+    """A point in time as a timestamp; one without a zone is meant in UTC."""
+    return F.lit(at if at.tzinfo else at.replace(tzinfo=timezone.utc))
+
+
 def iso_timestamp(ts: Column) -> Column:
     """A timestamp as ISO-8601 text with microseconds and zone offset."""
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")

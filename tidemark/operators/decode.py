@@ -3,10 +3,12 @@
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.functions.scalars import moment
+
 EVENT_TIME = "event_timestamp"
 INGEST_TIME = "ingestion_timestamp"
 INGEST_DATE = "ingestion_date"
@@ -45,7 +47,7 @@ def stamp(rows: DataFrame, ingested_at: datetime | None = None) -> DataFrame:
     log, so a replayed batch gets the same stamp. Batch jobs that may be retried
     pass ``ingested_at`` and get that same guarantee.
     """
-    now: Column = F.current_timestamp() if ingested_at is None else F.lit(ingested_at)
+    now = F.current_timestamp() if ingested_at is None else moment(ingested_at)
     return rows.withColumns({INGEST_TIME: now, INGEST_DATE: now.cast("date")})
 
 

@@ -238,7 +238,10 @@ def ingest_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def latency_by_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     job = _load(spark, sf_dir, "latency")
-    return ingest_latency(read_table(spark, job.table.name), INGEST_DATE)
+    week = 7 * 24 * 3_600_000
+    limits = {"within_week": week, "within_month": 4 * week}
+    rows = read_table(spark, job.table.name)
+    return ingest_latency(rows, INGEST_DATE, limits_ms=limits).drop("p50_ms", "p95_ms")
 
 
 @query

@@ -5,7 +5,7 @@ from collections import deque
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import EVENT_KEY, dedup_batch
@@ -15,9 +15,9 @@ from tidemark.tables.event_table import TableSpec, ingest_day, store_batch
 QUERY_ID = "sql.streaming.queryId"
 REPORTS_KEPT = 1000
 
-# By default AQE cuts a write into as many files as the cluster has cores. Files
-# of its advisory size are what a table of many micro-batches needs.
-FILE_SIZING = {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+FILES_BY_SIZE = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+FIRST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+PARTITIONS = "spark.sql.shuffle.partitions"
 
 log = logging.getLogger(__name__)
 
@@ -36,6 +36,18 @@ class BatchReport:
     stored: int
 
 
+def write_settings(spark: SparkSession) -> dict[str, str]:
+    """How to shuffle and cut up a batch that is written.
+
+    By default AQE makes as many files as the cluster has cores; files of its
+    advisory size are what a table of many batches needs. It can merge shuffle
+    partitions but not cut them, so it starts from more than there are cores.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    partitions = max(int(spark.conf.get(PARTITIONS)), 2 * cores)
+    return {FILES_BY_SIZE: "false", FIRST_PARTITIONS: str(partitions)}
+
+
 def store_micro_batch(
     target: TableSpec, rows: DataFrame, stream: str, batch_id: int
 ) -> BatchReport | None:
@@ -55,7 +67,7 @@ def store_micro_batch(
     )
     kept = dedup_batch(received).observe(after, F.count(F.lit(1)).alias("stored"))
     spark = rows.sparkSession
-    with settings(spark, FILE_SIZING):
+    with settings(spark, write_settings(spark)):
         store_batch(spark, target, kept, day, stream, batch_id)
     report = BatchReport(batch_id, **before.get, **after.get)
     log.info("stored in %s: %s", target.name, report)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from tidemark.functions.scalars import moment
 from tidemark.operators.decode import INGEST_DATE, INGEST_TIME
 
 STREAM = "_stream"
@@ -174,9 +175,8 @@ def as_of_batch(
     return rows.drop(*BOOKKEEPING)
 
 
-def as_of_time(spark: SparkSession, table: str, moment: datetime) -> DataFrame:
+def as_of_time(spark: SparkSession, table: str, at: datetime) -> DataFrame:
     """The table as it was at a moment; reads only partitions up to that day."""
-    at = F.lit(moment).cast("timestamp")
-    rows = current(spark, table)
-    kept = rows.filter((F.col(INGEST_DATE) <= at.cast("date")) & (F.col(INGEST_TIME) <= at))
+    rows, end = current(spark, table), moment(at)
+    kept = rows.filter((F.col(INGEST_DATE) <= end.cast("date")) & (F.col(INGEST_TIME) <= end))
     return kept.drop(*BOOKKEEPING)
