@@ -12,6 +12,11 @@ PROBE = "event_id STRING, event_timestamp STRING, amount_usd DOUBLE, n INT, is_r
 NULLS = (None, None, None, None, None)
 NOON = datetime(2024, 3, 1, 12)
 
+
+def timed(text):
+    return json.dumps({"event_id": "e", "event_timestamp": text})
+
+
 CASES = [
     (
         '{"event_id":"e","event_timestamp":"2024-03-01T12:00:00+00:00",'
@@ -34,14 +39,14 @@ CASES = [
     ('{"event_id":"e","n":3000000000}', ("e",) + NULLS[1:]),
     ('{"event_id":"a","event_id":"b"}', ("b",) + NULLS[1:]),
     ('{"EVENT_ID":"e"}', NULLS),
-    ('{"event_id":"e","event_timestamp":"2024-03-01"}', ("e", datetime(2024, 3, 1)) + NULLS[2:]),
-    ('{"event_id":"e","event_timestamp":"2024-03-01T17:00:00+05:00"}', ("e", NOON) + NULLS[2:]),
+    (timed("2024-03-01"), ("e", datetime(2024, 3, 1)) + NULLS[2:]),
+    (timed("2024-03-01T17:00:00+05:00"), ("e", NOON) + NULLS[2:]),
     (
-        '{"event_id":"e","event_timestamp":"2024-03-01T12:00:00.123456+00:00"}',
+        timed("2024-03-01T12:00:00.123456+00:00"),
         ("e", NOON.replace(microsecond=123456)) + NULLS[2:],
     ),
-    ('{"event_id":"e","event_timestamp":"soon"}', ("e",) + NULLS[1:]),
-    ('{"event_id":"e","event_timestamp":""}', ("e",) + NULLS[1:]),
+    (timed("soon"), ("e",) + NULLS[1:]),
+    (timed(""), ("e",) + NULLS[1:]),
 ]
 
 

@@ -176,6 +176,14 @@ def test_generated_stream_to_table(spark, table, folder):
     assert current(spark, table).filter("event_timestamp IS NULL").isEmpty()
 
 
+def test_orc_files(spark, table, folder):
+    job = job_for(table, folder, source=Source(path=f"{folder}/orc", format="orc"))
+    records = [("k", event("a").encode())]
+    spark.createDataFrame(records, WIRE_SCHEMA).write.orc(job.source.path)
+    run_ingest(spark, job)
+    assert ids(spark, table) == ["a"]
+
+
 def test_text_files(spark, table, folder):
     job = job_for(table, folder, source=Source(path=f"{folder}/text", format="text"))
     lines = [(event("a"),), ("",), (event("b"),)]

@@ -40,7 +40,7 @@ def test_deliver_counts_and_writes(spark, folder):
 def test_a_large_shard_is_cut_over_several_tasks(spark, folder):
     """One key with a third of the rows does not become one file or one task."""
     rows = spark.range(60_000, numPartitions=8).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias(PARTITION_KEY),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.hex("id")).alias(PARTITION_KEY),
         F.encode(F.sha2(F.col("id").cast("string"), 512), "UTF-8").alias("data"),
     )
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "400000")

@@ -37,6 +37,10 @@ QUERIES: dict[str, Query] = {}
 
 NAMESPACE = "revenue_raw"
 SHARDS = 8
+
+# The check SQL compares ids per delivery, so a delivery must be one micro-batch
+# here, whatever its size.
+WHOLE_DELIVERIES = {"maxBytesPerTrigger": str(2**62)}
 STAMPS = (INGEST_TIME, INGEST_DATE)
 
 
@@ -180,7 +184,7 @@ def _job(
     table = f"{NAMESPACE}.{folder.rsplit('/', 1)[1].replace('-', '_')}"
     return IngestJob(
         job_name=name,
-        source=Source(path=f"{folder}/wire"),
+        source=Source(path=f"{folder}/wire", options=WHOLE_DELIVERIES),
         table=TableSpec(table, location=f"{folder}/table"),
         schema_name=schema,
         checkpoint=f"{folder}/checkpoint",
@@ -358,8 +362,9 @@ def stream_ingest_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_dedup_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    job = _stream(spark, sf_dir, _job(spark, "stream_watermark", dedup_delay="20 days", state_partitions=8))
-    return _stored(spark, job)
+    cores = spark.sparkContext.defaultParallelism
+    job = _job(spark, "stream_watermark", dedup_delay="20 days", state_partitions=cores)
+    return _stored(spark, _stream(spark, sf_dir, job))
 
 
 @query

@@ -89,7 +89,7 @@ def _synth() -> str:
       FROM drawn)
     SELECT 'evt_' || ms || '_' || suffix AS event_id,
       'payment.' || outcome AS event_type,
-      strftime(ts, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS event_timestamp,
+      {_iso("ts")} AS event_timestamp,
       'pay_' || ms || '_' || suffix AS payment_id,
       'cus_' || customer AS customer_id,
       'user_' || usr AS user_id,
@@ -108,10 +108,14 @@ def _synth() -> str:
     FROM priced"""
 
 
+def _iso(time: str) -> str:
+    return f"strftime({time}, '%Y-%m-%dT%H:%M:%S.%f+00:00')"
+
+
 def _wire_json() -> str:
     """The JSON text of a payment, built field by field."""
     texts = {
-        "event_timestamp": "'\"' || strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%f+00:00') || '\"'",
+        "event_timestamp": f"'\"' || {_iso('event_timestamp')} || '\"'",
         "amount_usd": "CAST(amount_usd AS STRING)",
         "is_refund": "CAST(is_refund AS STRING)",
     }

@@ -12,7 +12,7 @@ from tidemark.sources.wire import PAYLOAD, WIRE_SCHEMA
 LATEST = "LATEST"
 TRIM_HORIZON = "TRIM_HORIZON"
 
-FILE_FORMATS = ("text", "parquet", "orc", "json", "avro")
+FILE_FORMATS = ("text", "parquet", "orc")
 KAFKA_OFFSETS = {LATEST: "latest", TRIM_HORIZON: "earliest"}
 START_FILE = "_start_position"
 

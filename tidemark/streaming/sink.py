@@ -24,8 +24,9 @@ log = logging.getLogger(__name__)
 
 @dataclass(frozen=True)
 class BatchReport:
-    """What one micro-batch brought.
+    """What one micro-batch brought to the sink.
 
+    Where ids are compared across batches, copies are gone before they reach it.
     ``received`` and ``undecodable`` are counted before a shuffle, so a task run
     again after a lost executor can be counted twice; ``stored`` cannot.
     """
