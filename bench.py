@@ -80,13 +80,13 @@ def time_ingest(spark):
     wire = f"{folder}/wire"
     rows = sum(
         deliver(inputs.feed_records(spark, SF_DIR, "ad_revenue"), wire, 8)["delivered"]
-        for _ in range(2)
+        for _ in range(4)
     )
 
     def job(name):
         return IngestJob(
             job_name=name,
-            source=Source(path=f"{wire}/*/", options={"maxFilesPerTrigger": "2"}),
+            source=Source(path=f"{wire}/*/", options={"maxFilesPerTrigger": "8"}),
             table=TableSpec(f"bench.{name}"),
             schema_name="ad_revenue",
             checkpoint=f"{folder}/{name}",

@@ -6,6 +6,7 @@ Queries that store a table write it below the folder named by
 
 import time
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,7 @@ from tidemark.tables.event_table import (
 from tidemark.tables.upkeep import close_days, history_view
 from tidemark.sources.wire import PARTITION_KEY, PAYLOAD, deliver, delivery_counts, encode, route
 from tidemark.streaming.ingest import IngestJob, load_batch, run_all, run_ingest
+from tidemark.streaming.sink import store_micro_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -207,13 +209,13 @@ def _stored(spark: SparkSession, job: IngestJob) -> DataFrame:
 
 @query
 def table_create_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Create from the first batch, skip an empty one, append, retry, append."""
+    """Skip an empty batch, create from the next, append, load one batch again."""
     job = _job(spark, "create_append")
-    one, two = (inputs.delivery_records(spark, sf_dir, n) for n in (0, 1))
-    load_batch(one.limit(0), job, 0, inputs.load_time(0))
-    load_batch(one, job, 1, inputs.load_time(0))
-    load_batch(two, job, 2, inputs.load_time(1))
-    load_batch(two, job, 2, inputs.load_time(1))
+    nothing = inputs.delivery_records(spark, sf_dir, 0).limit(0)
+    load_batch(nothing, job, N_DELIVERIES, inputs.load_time(0))
+    for number in (*range(N_DELIVERIES), 1):
+        records = inputs.delivery_records(spark, sf_dir, number)
+        load_batch(records, job, number, inputs.load_time(number))
     return _stored(spark, job)
 
 
@@ -265,10 +267,19 @@ def batch_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows stored before a column was added read NULL in it."""
-    job = _load(spark, sf_dir, "evolution", 0)
+    """A column is added by hand, another comes with the rows of later batches.
+
+    Rows stored before that read NULL in both.
+    """
+    job = _load(spark, sf_dir, "evolution", 0, 1)
     add_columns(spark, job.table.name, [StructField("is_trial", BooleanType())])
-    load_batch(inputs.delivery_records(spark, sf_dir, 1), job, 1, inputs.load_time(1))
+    target = replace(job.table, evolve=True)
+    for number in range(2, N_DELIVERIES):
+        records = inputs.delivery_records(spark, sf_dir, number)
+        rows = decode(
+            records, get_schema(job.schema_name), ingested_at=inputs.load_time(number)
+        ).withColumn("is_free", F.col("amount_usd") == 0)
+        store_micro_batch(target, rows, job.job_name, number)
     return _stored(spark, job)
 
 
@@ -286,7 +297,7 @@ def revenue_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def codec_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows by the compression codec that the names of their files give."""
-    job = _load(spark, sf_dir, "codec", 0)
+    job = _load(spark, sf_dir, "codec")
     codec = F.regexp_extract(F.col("_metadata.file_name"), r"\.(\w+)\.parquet$", 1)
     rows = spark.table(job.table.name).select(codec.alias("codec"))
     return rows.groupBy("codec").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -179,7 +179,7 @@ ORACLES: dict[str, str] = {
         SELECT DISTINCT batch_id, CASE WHEN seq % 3 <> 0 THEN event_id END AS event_id,
           CASE WHEN seq % 3 <> 0 THEN payment_id END AS payment_id
         FROM deliveries""",
-    "table_create_append": _stored("batch_id IN (0, 1)"),
+    "table_create_append": _stored(),
     "as_of_batch_read": _stored("batch_id <= 2"),
     "as_of_time_read": _stored("batch_id <= 1"),
     "ingest_columns": f"""{WITH_DELIVERIES}, stored AS ({STORED})
@@ -202,13 +202,14 @@ ORACLES: dict[str, str] = {
           COUNT(DISTINCT CASE WHEN seq % 5 = 0 THEN 'none' ELSE event_id END) AS stored
         FROM deliveries GROUP BY batch_id""",
     "schema_evolution": f"""{WITH_DELIVERIES}, stored AS ({STORED})
-        SELECT {PAYMENT_FIELDS}, CAST(NULL AS BOOLEAN) AS is_trial
-        FROM stored WHERE batch_id <= 1""",
+        SELECT {PAYMENT_FIELDS}, CAST(NULL AS BOOLEAN) AS is_trial,
+          CASE WHEN batch_id >= 2 THEN amount_usd = 0 END AS is_free
+        FROM stored""",
     "revenue_sql": f"""{WITH_DELIVERIES}, stored AS ({STORED})
         SELECT subscription_tier, COUNT(*) AS n_events, ROUND(SUM(amount_usd), 2) AS revenue_usd
         FROM stored WHERE status = 'succeeded' GROUP BY subscription_tier""",
     "codec_of_files": f"""{WITH_DELIVERIES}, stored AS ({STORED})
-        SELECT 'zstd' AS codec, COUNT(*) AS n_rows FROM stored WHERE batch_id = 0""",
+        SELECT 'zstd' AS codec, COUNT(*) AS n_rows FROM stored""",
     "closed_days": _stored("batch_id <= 3"),
     "stream_ingest": _stored(),
     "stream_ingest_columns": f"""{WITH_DELIVERIES}, stored AS ({STORED})
