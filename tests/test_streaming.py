@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators.decode import EVENT_TIME, INGEST_TIME
 from tidemark.operators.dedup import copy_folder
 from tidemark.sources.stream import (
     LATEST,
@@ -192,8 +193,11 @@ def test_text_files(spark, table, folder):
     assert ids(spark, table) == ["", "a", "b"]
 
 
-def test_dedup_across_batches(spark, table, folder):
-    job = job_for(table, folder, dedup_delay="1 day", state_partitions=2)
+@pytest.mark.parametrize("time_column", [INGEST_TIME, EVENT_TIME])
+def test_dedup_across_batches(spark, table, folder, time_column):
+    job = job_for(
+        table, folder, dedup_delay="10 days", dedup_time=time_column, state_partitions=2
+    )
     before = spark.conf.get("spark.sql.shuffle.partitions")
     land(spark, job, [event("a"), event("a"), event("b")])
     run_ingest(spark, job)
@@ -219,11 +223,27 @@ def test_dedup_across_batches_folds_a_flood(spark, table, folder):
     assert sum(r.received for r in running.sink.reports) == 3
 
 
-def test_rows_without_event_time_survive_dedup_across_batches(spark, table, folder):
+def test_no_row_is_late_by_ingest_time(spark, table, folder):
+    """Old, timeless and undecodable rows are all stored, repeated ids once."""
     job = job_for(table, folder, dedup_delay="1 day", state_partitions=2)
-    land(spark, job, [event("a", "soon"), event("a", "soon"), event("b")])
+    land(spark, job, [event("a"), event("t", "soon"), event("t", "soon"), "broken", "worse"])
     run_ingest(spark, job)
-    assert ids(spark, table) == ["a", "b"]
+    land(spark, job, [event("old", "2020-01-01"), event("a"), event("t", "soon"), "broken"])
+    run_ingest(spark, job)
+    land(spark, job, [event("older", "2019-01-01"), event("old", "2020-01-01")])
+    run_ingest(spark, job)
+    assert ids(spark, table) == ["", "", "a", "old", "older", "t"]
+
+
+def test_late_rows_by_event_time(spark, table, folder):
+    job = job_for(table, folder, dedup_delay="1 day", dedup_time=EVENT_TIME, state_partitions=2)
+    land(spark, job, [event("a"), event("t", "soon"), event("t", "soon"), "broken", "worse"])
+    run_ingest(spark, job)
+    land(spark, job, [event("late", "2020-01-01"), event("b"), "broken"])
+    running = run_ingest(spark, job)
+    assert ids(spark, table) == ["", "", "a", "b", "t"]
+    states = [op for p in running.query.recentProgress for op in p.stateOperators]
+    assert sum(op.numRowsDroppedByWatermark for op in states) > 0
 
 
 def test_latest_leaves_out_what_was_there(spark, table, folder):

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
+from tidemark.operators.decode import EVENT_TIME, INGEST_TIME
 from tidemark.schemas import WIRE_FIELDS
 from tidemark.sources.stream import LATEST, Source
 from tidemark.tables.event_table import TableSpec, create_namespace
@@ -26,6 +27,7 @@ def parse(argv: Sequence[str] | None = None) -> IngestJob:
     args.add_argument("--option", action="append", default=[], metavar="NAME=VALUE")
     args.add_argument("--start", default=LATEST, help="LATEST or TRIM_HORIZON")
     args.add_argument("--dedup-delay", help="compare ids across batches, e.g. '10 days'")
+    args.add_argument("--dedup-time", choices=[INGEST_TIME, EVENT_TIME], default=INGEST_TIME)
     args.add_argument("--interval", help="time between batches, e.g. '30 seconds'")
     args.add_argument("--once", action="store_true", help="stop when all input is read")
     args.add_argument("--evolve", action="store_true", help="add new columns to the table")
@@ -48,6 +50,7 @@ def parse(argv: Sequence[str] | None = None) -> IngestJob:
         checkpoint=given.checkpoint,
         start=given.start,
         dedup_delay=given.dedup_delay,
+        dedup_time=given.dedup_time,
         trigger=trigger,
     )
 

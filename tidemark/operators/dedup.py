@@ -7,9 +7,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.decode import EVENT_TIME
+from tidemark.operators.decode import INGEST_TIME
 
 EVENT_KEY = "event_id"
+NULL_MARK = "_null_in"
 
 
 def dedup_batch(rows: DataFrame, within: Sequence[str] = ()) -> DataFrame:
@@ -47,15 +48,17 @@ def copy_folder(key: str = EVENT_KEY) -> Callable[..., Iterator[pa.RecordBatch]]
     return fold
 
 
-def dedup_watermark(rows: DataFrame, delay: str) -> DataFrame:
+def dedup_across(rows: DataFrame, delay: str, time: str = INGEST_TIME) -> DataFrame:
     """One row per event id across the micro-batches of a stream.
 
-    An id is remembered until the watermark (largest event time seen, less
-    ``delay``) passes the time of its first copy, so state is bounded by the
-    traffic of one ``delay``. It must exceed the longest redelivery gap: rows
-    older than the watermark count as late and are left out; the progress
-    reports their number. Rows without event time are compared within their
-    batch only.
+    An id is remembered for ``delay`` after its first copy, so state is bounded
+    by the traffic of one ``delay``, which must exceed the longest redelivery
+    gap. By ingest time no row is ever late and none is left out. By event time
+    a long backlog needs less state, but rows older than the watermark (largest
+    event time seen, less ``delay``) count as late and are left out, the
+    progress reports their number, and rows without event time are compared
+    within their batch only. NULL ids are equal within a batch, as they are in
+    ``dedup_batch``.
 
     The stateful operator takes every row through its shuffle unfolded, and a
     stream allows no plain aggregate before it. So copies are first folded
@@ -63,4 +66,6 @@ def dedup_watermark(rows: DataFrame, delay: str) -> DataFrame:
     input, or a flood of undecodable rows, does not end up in one state task.
     """
     folded = rows.mapInArrow(copy_folder(), rows.schema)
-    return folded.withWatermark(EVENT_TIME, delay).dropDuplicatesWithinWatermark([EVENT_KEY])
+    batch_of_null = F.when(F.col(EVENT_KEY).isNull(), F.col(INGEST_TIME))
+    keyed = folded.withColumn(NULL_MARK, batch_of_null).withWatermark(time, delay)
+    return keyed.dropDuplicatesWithinWatermark([EVENT_KEY, NULL_MARK]).drop(NULL_MARK)

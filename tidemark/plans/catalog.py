@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField
 
-from tidemark.operators.decode import INGEST_DATE, INGEST_TIME, decode
+from tidemark.operators.decode import EVENT_TIME, INGEST_DATE, INGEST_TIME, decode
 from tidemark.operators.dedup import dedup_batch
 from tidemark.operators.revenue import event_mix, ingest_latency, revenue_by, with_status
 from tidemark.plans import inputs
@@ -371,11 +371,25 @@ def stream_ingest_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, job)
 
 
+def _stream_across(spark: SparkSession, sf_dir: str, name: str, time: str) -> DataFrame:
+    job = _job(
+        spark,
+        name,
+        dedup_delay="20 days",
+        dedup_time=time,
+        state_partitions=spark.sparkContext.defaultParallelism,
+    )
+    return _stored(spark, _stream(spark, sf_dir, job))
+
+
+@query
+def stream_dedup_ingest_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stream_across(spark, sf_dir, "stream_ingest_time", INGEST_TIME)
+
+
 @query
 def stream_dedup_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cores = spark.sparkContext.defaultParallelism
-    job = _job(spark, "stream_watermark", dedup_delay="20 days", state_partitions=cores)
-    return _stored(spark, _stream(spark, sf_dir, job))
+    return _stream_across(spark, sf_dir, "stream_watermark", EVENT_TIME)
 
 
 @query

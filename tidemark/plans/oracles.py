@@ -216,6 +216,7 @@ ORACLES: dict[str, str] = {
         SELECT batch_id, COUNT(*) AS n_rows, CAST(1 AS BIGINT) AS n_stamps, TRUE AS same_day
         FROM stored GROUP BY batch_id""",
     "stream_ingest_replay": _stored(),
+    "stream_dedup_ingest_time": f"{WITH_PAYMENTS} SELECT {PAYMENT_FIELDS} FROM payments",
     "stream_dedup_watermark": f"{WITH_PAYMENTS} SELECT {PAYMENT_FIELDS} FROM payments",
     "start_position_latest": _stored("batch_id >= 2"),
     "three_feeds": f"""WITH {PAYMENTS}, {PARTNER_INVOICES}, {AD_REVENUE}

@@ -8,8 +8,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.decode import decode
-from tidemark.operators.dedup import dedup_watermark
+from tidemark.operators.decode import INGEST_TIME, decode
+from tidemark.operators.dedup import dedup_across
 from tidemark.schemas import get_schema
 from tidemark.session import configure, settings
 from tidemark.sources.stream import LATEST, Source, open_stream
@@ -31,8 +31,8 @@ class IngestJob:
     """What to ingest and how.
 
     ``dedup_delay`` is None to compare event ids within each micro-batch, or a
-    delay such as ``"10 days"`` to compare them across batches too (see
-    ``dedup_watermark``). ``state_partitions`` is the number of state stores
+    delay such as ``"10 days"`` to compare them across batches too, by
+    ``dedup_time`` (see ``dedup_across``). ``state_partitions`` is the number of state stores
     that needs; it cannot change once the checkpoint exists. ``trigger`` is passed to ``DataStreamWriter.trigger``;
     without it batches follow each other as fast as they can.
     """
@@ -44,6 +44,7 @@ class IngestJob:
     checkpoint: str
     start: str = LATEST
     dedup_delay: str | None = None
+    dedup_time: str = INGEST_TIME
     state_partitions: int | None = None
     trigger: dict[str, object] = field(default_factory=dict)
 
@@ -61,7 +62,9 @@ def event_rows(spark: SparkSession, job: IngestJob) -> DataFrame:
     schema = get_schema(job.schema_name)
     records = open_stream(spark, job.source, job.start, job.checkpoint)
     rows = decode(records, schema, job.source.payload_column)
-    return dedup_watermark(rows, job.dedup_delay) if job.dedup_delay else rows
+    if not job.dedup_delay:
+        return rows
+    return dedup_across(rows, job.dedup_delay, job.dedup_time)
 
 
 def _state_settings(job: IngestJob) -> dict[str, str]:
