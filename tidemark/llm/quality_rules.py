@@ -8,14 +8,14 @@ clean text shows as well.
 """
 
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Sequence
+from dataclasses import dataclass
 
-import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame
-from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, DoubleType, LongType
 
+from tidemark.llm.arrow import fields, map_texts
 from tidemark.llm.words import WORDS
 
 SYMBOLS = "#*$%&|<>"
@@ -45,13 +45,11 @@ class QualityRules:
     level: int = 3
     chunk: int = 4096
     bad_chunks: float = 0.5
-    bands: tuple[Band, ...] = field(
-        default=(
-            Band(512, 0.25, 1.15),
-            Band(2048, 0.20, 0.90),
-            Band(16384, 0.15, 0.85),
-            Band(float("inf"), 0.05, 0.85),
-        )
+    bands: tuple[Band, ...] = (
+        Band(512, 0.25, 1.15),
+        Band(2048, 0.20, 0.90),
+        Band(16384, 0.15, 0.85),
+        Band(float("inf"), 0.05, 0.85),
     )
 
     def band(self, size: int) -> Band:
@@ -90,9 +88,8 @@ def ratio(data: bytes, compressor: zstandard.ZstdCompressor) -> float:
     return len(compressor.compress(data)) / len(data) if data else 1.0
 
 
-def judge(text: str | None, rules: QualityRules, compressor) -> tuple:
+def judge(text: str, rules: QualityRules, compressor: zstandard.ZstdCompressor) -> tuple:
     """All columns of ``quality_rules`` for one text."""
-    text = text or ""
     tokens = WORDS.findall(text)
     n_words = len(tokens)
     n_symbols = sum(map(text.count, SYMBOLS))
@@ -106,11 +103,7 @@ def judge(text: str | None, rules: QualityRules, compressor) -> tuple:
     bad = sum(not limits.low <= ratio(c, compressor) <= limits.high for c in chunks)
     bad_share = bad / len(chunks) if chunks else 0.0
     failed = n_words < rules.min_words or 100 * n_repeat > rules.max_repeat_percent * n_words
-    kept = (
-        not failed
-        and band.low <= whole <= band.high
-        and bad_share <= rules.bad_chunks
-    )
+    kept = not failed and band.low <= whole <= band.high and bad_share <= rules.bad_chunks
     return (
         n_words,
         sum(map(len, tokens)),
@@ -124,23 +117,21 @@ def judge(text: str | None, rules: QualityRules, compressor) -> tuple:
     )
 
 
-VERDICT = StructType(
-    [
-        StructField("n_words", LongType()),
-        StructField("word_chars", LongType()),
-        StructField("n_symbols", LongType()),
-        StructField("n_dup_lines", LongType()),
-        StructField("n_repeat_words", LongType()),
-        StructField("base_failed", BooleanType()),
-        StructField("zstd_ratio", DoubleType()),
-        StructField("bad_chunks", DoubleType()),
-        StructField("kept", BooleanType()),
-    ]
+VERDICT = fields(
+    n_words=LongType(),
+    word_chars=LongType(),
+    n_symbols=LongType(),
+    n_dup_lines=LongType(),
+    n_repeat_words=LongType(),
+    base_failed=BooleanType(),
+    zstd_ratio=DoubleType(),
+    bad_chunks=DoubleType(),
+    kept=BooleanType(),
 )
 
 
 def quality_rules(
-    docs: DataFrame, rules: QualityRules | None = None, keep: tuple[str, ...] = ("doc_id",)
+    docs: DataFrame, rules: QualityRules | None = None, keep: Sequence[str] = ("doc_id",)
 ) -> DataFrame:
     """The columns ``keep`` of each row, then its counts, ratios and verdict.
 
@@ -150,17 +141,9 @@ def quality_rules(
     of a result is an error.
     """
     rules = rules or QualityRules()
-    if clash := set(keep) & set(VERDICT.names):
-        raise ValueError(f"columns {sorted(clash)} have the names of results")
-    columns = list(dict.fromkeys(keep))
-    schema = StructType([docs.schema[c] for c in columns] + VERDICT.fields)
 
-    def judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         compressor = zstandard.ZstdCompressor(level=rules.level)
-        for batch in batches:
-            found = [judge(t, rules, compressor) for t in batch.iloc[:, -1]]
-            out = pd.DataFrame(found, columns=VERDICT.names, index=batch.index)
-            yield pd.concat([batch.iloc[:, :-1], out], axis=1)
+        return lambda text: judge(text, rules, compressor)
 
-    texts = docs.select(*columns, docs["text"].alias("_text"))
-    return texts.mapInPandas(judged, schema)
+    return map_texts(docs, keep, VERDICT, make)
