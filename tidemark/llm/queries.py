@@ -3,8 +3,12 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.llm.mixing import mix_sources
 from tidemark.llm.quality_rules import quality_rules
+from tidemark.llm.secrets import scan_secrets
+from tidemark.llm.url_filter import ALLOW, BLOCK, filter_urls, in_host, listed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -20,6 +24,71 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Rules of the URL query: those its contract lists, and words that spam hosts carry.
+URL_RULES = (
+    listed("net", "/", BLOCK),
+    listed("example.net", "/en/", ALLOW),
+    listed("example.com", "/de/", BLOCK),
+    listed("org", "/fr/", ALLOW),
+    *map(in_host, ("casino", "pills", "poker", "porn", "spam", "viagra", "warez", "xxx")),
+)
+
+
+@query
+def op1_secret_scan(spark, sf_dir):
+    """Secrets of every document, in the text and below encodings."""
+    return scan_secrets(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_assign",
+        "n_access",
+        "n_hex",
+        F.sha2("base_spans", 256).alias("base_sha256"),
+        "spans",
+    )
+
+
+@query
+def op6_url_filter(spark, sf_dir):
+    """Verdict on the URL of every page."""
+    return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+ORACLES["op6_url_filter"] = r"""
+WITH split AS (
+    SELECT page_id,
+           coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+           coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+    FROM pages
+), ruled AS (
+    SELECT *,
+           CASE WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/')
+                    THEN 'example.com/de/'
+                WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/')
+                    THEN 'example.net/en/'
+                WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+                WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/'
+           END AS rule,
+           list_filter(['viagra', 'casino', 'warez', 'poker', 'pills', 'spam', 'porn', 'xxx'],
+               lambda w: list_contains(regexp_split_to_array(host, '[.-]'), w)) AS words
+    FROM split
+)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
+            WHEN rule IS NOT NULL THEN 'allow'
+            WHEN len(words) > 0 THEN 'block'
+            ELSE 'allow' END AS verdict,
+       coalesce(rule, '*' || words[1] || '*') AS matched
+FROM ruled
+"""
+
+
+@query
+def op7_source_mix(spark, sf_dir):
+    """What a mix at the sources' weights takes of every document."""
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_quality_rules(spark, sf_dir):
     """Counts, compression ratios and verdict of every document."""
