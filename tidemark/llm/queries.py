@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.quality_rules import quality_rules
+from tidemark.llm.rule_ensemble import score_quality, train_quality
 from tidemark.llm.secrets import scan_secrets
+from tidemark.llm.simhash import simhash_components
+from tidemark.llm.surrogates import replace_pii
 from tidemark.llm.url_filter import ALLOW, BLOCK, filter_urls, in_host, listed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +50,19 @@ def op1_secret_scan(spark, sf_dir):
     )
 
 
+@query
+def op2_rule_quality(spark, sf_dir):
+    """Quality score of every document, from rules learned on labels."""
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, train_quality(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op5_simhash_near_dedup(spark, sf_dir):
+    """Fingerprint and group of near copies of every document."""
+    return simhash_components(table(spark, sf_dir, "documents"), shingle=4, distance=4)
+
+
 @query
 def op6_url_filter(spark, sf_dir):
     """Verdict on the URL of every page."""
@@ -89,6 +105,16 @@ def op7_source_mix(spark, sf_dir):
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+# The surrogates of the query are the same in every run; a user passes a key of their own.
+PII_KEY = b"surrogates of the registered query"
+
+
+@query
+def op8_pii_surrogates(spark, sf_dir):
+    """Every document's text with surrogates for personal data."""
+    return replace_pii(table(spark, sf_dir, "documents"), PII_KEY)
+
+
 @query
 def op9_quality_rules(spark, sf_dir):
     """Counts, compression ratios and verdict of every document."""
