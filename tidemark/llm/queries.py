@@ -5,11 +5,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.decontamination import find_leaks
+from tidemark.llm.language_model import score_texts
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.rule_ensemble import score_quality, train_quality
 from tidemark.llm.secrets import scan_secrets
 from tidemark.llm.simhash import simhash_components
+from tidemark.llm.substring_dedup import dedup_substrings
 from tidemark.llm.surrogates import replace_pii
 from tidemark.llm.url_filter import ALLOW, BLOCK, filter_urls, in_host, listed
 
@@ -57,6 +60,18 @@ def op2_rule_quality(spark, sf_dir):
     return score_quality(docs, train_quality(docs, table(spark, sf_dir, "labels")))
 
 
+@query
+def op3_benchmark_leaks(spark, sf_dir):
+    """Benchmark items found in every document."""
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op4_language_model(spark, sf_dir):
+    """Base and model scores of every document."""
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_simhash_near_dedup(spark, sf_dir):
     """Fingerprint and group of near copies of every document."""
@@ -119,3 +134,30 @@ def op8_pii_surrogates(spark, sf_dir):
 def op9_quality_rules(spark, sf_dir):
     """Counts, compression ratios and verdict of every document."""
     return quality_rules(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_substring_dedup(spark, sf_dir):
+    """What is left of every document without the windows that an earlier one has."""
+    return dedup_substrings(table(spark, sf_dir, "documents"), window=13, digest=True)
+
+
+ORACLES["op10_substring_dedup"] = r"""
+WITH worded AS (
+    SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words
+    FROM documents
+), windows AS (
+    SELECT doc_id, unnest(range(1, len(words) - 11)) AS pos, words FROM worded WHERE len(words) >= 13
+), judged AS (
+    SELECT doc_id, pos, min(doc_id) OVER (PARTITION BY array_to_string(words[pos:pos + 12], ' ')) AS first
+    FROM windows
+), covered AS (
+    SELECT DISTINCT doc_id, unnest(range(pos, pos + 13)) AS pos FROM judged WHERE first < doc_id
+), gone AS (
+    SELECT doc_id, list(pos) AS places, count(*) AS n FROM covered GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(list_filter(words,
+           lambda w, i: places IS NULL OR NOT list_contains(places, i)), ' ')) AS kept_sha256
+FROM worded LEFT JOIN gone USING (doc_id)
+"""
