@@ -4,15 +4,16 @@ import pytest
 from compare import differences
 
 import __spark_entry__ as entry_point
+from tidemark.plans.catalog import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
 
 def test_every_query_has_check_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) <= set(entry_point.oracle_sql())
 
 
-@pytest.mark.parametrize("name", entry_point.queries())
+@pytest.mark.parametrize("name", sorted(entry_point.oracle_sql()))
 def test_query(spark, name):
     frame = entry_point.queries()[name](spark, SF_DIR)
     assert differences(frame, SF_DIR, entry_point.oracle_sql()[name]) == ""
