@@ -35,19 +35,21 @@ def _per(number: Column, of: Column) -> Column:
     return F.coalesce(number / F.nullif(of, F.lit(0)), F.lit(0.0))
 
 
-# Every statistic is defined and finite for any text, the empty one included.
-STATISTICS: dict[str, Column] = {
-    "log_words": F.log1p(F.size("_words")),
-    "word_length": _per(F.length("_text").cast("double"), F.size("_words")),
-    "distinct_words": _per(F.size(F.array_distinct("_words")).cast("double"), F.size("_words")),
-    "distinct_lines": _per(F.size(F.array_distinct("_lines")).cast("double"), F.size("_lines")),
-    "words_per_line": _per(F.size("_words").cast("double"), F.size("_lines")),
-    "upper_share": _share_of(r"\p{Lu}+"),
-    "digit_share": _share_of(r"\p{Nd}+"),
-    "symbol_share": _share_of(r"[#*$%&|<>@\\^~{}\[\]=+_]+"),
-    "exclaim_share": _share_of(r"[!?]+"),
-    "stop_share": _share_of(r"[.,;:]+"),
-}
+def statistics() -> dict[str, Column]:
+    """Expressions over _text, _words and _lines, defined and finite for any text."""
+    n_words, n_lines = F.size("_words"), F.size("_lines")
+    return {
+        "log_words": F.log1p(n_words),
+        "word_length": _per(F.length("_text").cast("double"), n_words),
+        "distinct_words": _per(F.size(F.array_distinct("_words")).cast("double"), n_words),
+        "distinct_lines": _per(F.size(F.array_distinct("_lines")).cast("double"), n_lines),
+        "words_per_line": _per(n_words.cast("double"), n_lines),
+        "upper_share": _share_of(r"\p{Lu}+"),
+        "digit_share": _share_of(r"\p{Nd}+"),
+        "symbol_share": _share_of(r"[#*$%&|<>@\\^~{}\[\]=+_]+"),
+        "exclaim_share": _share_of(r"[!?]+"),
+        "stop_share": _share_of(r"[.,;:]+"),
+    }
 
 
 def with_statistics(docs: DataFrame) -> DataFrame:
@@ -62,7 +64,7 @@ def with_statistics(docs: DataFrame) -> DataFrame:
         F.filter(F.split("_text", SPACE), lambda w: w != "").alias("_words"),
         F.split("_text", "\n").alias("_lines"),
     )
-    return arrays.select(*others, *(c.alias(n) for n, c in STATISTICS.items()))
+    return arrays.select(*others, *(c.alias(n) for n, c in statistics().items()))
 
 
 def tree_rules(described: str, names: list[str]) -> set[Rule]:
@@ -83,7 +85,7 @@ def tree_rules(described: str, names: list[str]) -> set[Rule]:
 
 @dataclass(frozen=True)
 class RuleModel:
-    """An intercept and weighted rules over ``STATISTICS``."""
+    """An intercept and weighted rules over ``statistics``."""
 
     intercept: float
     rules: tuple[tuple[Rule, float], ...]
@@ -117,7 +119,7 @@ def fit_rules(
         constant = {(): 0.0, (0.0,): -5.0, (1.0,): 5.0}[tuple(counts)]
         return RuleModel(constant, ())
     share = counts[1.0] / (counts[0.0] + counts[1.0])
-    names = list(STATISTICS)
+    names = list(statistics())
     vectors = VectorAssembler(inputCols=names, outputCol="features").transform(rows)
     forest = RandomForestClassifier(
         numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="onethird"

@@ -42,8 +42,9 @@ def text_number(text: str) -> int:
 
 def minimisers(tokens: list[str], window: int, gram: int, hashes: dict[str, int]) -> np.ndarray:
     """The minimiser of each window, as a signed long."""
-    for word in set(tokens) - hashes.keys():
-        hashes[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), SEED)
+    for word in tokens:
+        if word not in hashes:
+            hashes[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), SEED)
     single = np.fromiter(map(hashes.__getitem__, tokens), np.uint64, len(tokens))
     count = len(tokens) - gram + 1
     mixed = np.zeros(count, np.uint64)
