@@ -6,7 +6,8 @@ single packed string, about three words for each window in place of thirteen. Eq
 windows have equal minimisers, so they meet in one bucket, where sorting brings them
 together and the smallest id of each is found exactly.
 
-A passage that very many documents share is folded before it travels: of the rows of
+The rows that one Arrow batch has for one bin of buckets travel as a single compressed
+block. A passage that very many documents share is folded before it travels: of the rows of
 one Arrow batch with the same packed string, only the smallest id goes to the bucket.
 The others are known to be covered already. So a bucket gets at most one row per
 batch and string.
@@ -19,6 +20,7 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType
@@ -29,6 +31,10 @@ from tidemark.llm.words import WORDS
 SEED = 42
 # Fixed odd multipliers that mix the hashes of neighbouring words.
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
+# Characters of documents for each bin, of which a task holds one at a time, and the
+# level at which its blocks are compressed.
+BIN_CHARS = 4_000_000
+LEVEL = 6
 # Upper half of a place: which text of the id, should rows with one id differ in it.
 TEXT_SHIFT = 32
 
@@ -67,14 +73,37 @@ def super_kmers(
     yield from zip(smallest[starts].tolist(), starts.tolist(), lengths.tolist())
 
 
-def pack_rows(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """Rows (bucket, packed, doc, place, windows) for the buckets.
+ROWS = pa.schema(
+    [
+        ("bucket", pa.uint32()),
+        ("packed", pa.string()),
+        ("doc", pa.int64()),
+        ("place", pa.int64()),
+        ("windows", pa.int32()),
+    ]
+)
+
+
+def as_block(columns: list[pa.Array]) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, ROWS) as writer:
+        writer.write_batch(pa.RecordBatch.from_arrays(columns, schema=ROWS))
+    return zstandard.compress(sink.getvalue(), LEVEL)
+
+
+def from_blocks(blocks: list[bytes]) -> pa.Table:
+    """The rows of a bin in order of their buckets."""
+    parts = [pa.ipc.open_stream(zstandard.decompress(b)).read_all() for b in blocks]
+    return pa.concat_tables(parts).sort_by("bucket").combine_chunks()
+
+
+def pack_rows(docs: DataFrame, window: int, gram: int, bins: int) -> DataFrame:
+    """(bin, block): super-k-mers as rows of ``ROWS``, one block for each batch and bin.
 
     A row without a packed string is a mark: windows that are known to be in a document
-    with a smaller id.
+    with a smaller id. Buckets that share 32 bits and a bin are taken together, which
+    is harmless, since windows are compared in full.
     """
-    names = ["bucket", "packed", "doc", "place", "windows"]
-    types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32()]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -87,17 +116,27 @@ def pack_rows(docs: DataFrame, window: int, gram: int) -> DataFrame:
                 number = text_number(text) << TEXT_SHIFT
                 for bucket, start, count in super_kmers(tokens, window, gram, hashes):
                     packed = " ".join(tokens[start : start + count + window - 1])
-                    if first.setdefault(packed, doc) < doc:
-                        rows.append((doc, None, doc, number | start, count))
-                    else:
-                        rows.append((bucket, packed, doc, number | start, count))
-            columns = zip(*rows) if rows else [()] * len(names)
-            arrays = [pa.array(c, t) for c, t in zip(columns, types)]
-            yield pa.RecordBatch.from_arrays(arrays, names)
-
-    return docs.select("doc_id", "text").mapInArrow(
-        pack, "bucket long, packed string, doc long, place long, windows int"
-    )
+                    known = first.setdefault(packed, doc) < doc
+                    rows.append((bucket, None if known else packed, doc, number | start, count))
+            if not rows:
+                continue
+            buckets, *others = zip(*rows)
+            mixed = np.array(buckets, np.int64).view(np.uint64) * np.uint64(MIX[0])
+            low = (mixed & np.uint64(2**32 - 1)).astype(np.uint32)
+            places = (mixed >> np.uint64(32)) % np.uint64(bins)
+            table = [pa.array(low), *(pa.array(c, f.type) for c, f in zip(others, list(ROWS)[1:]))]
+            order = np.argsort(places, kind="stable")
+            ends = np.flatnonzero(np.diff(places[order], append=bins))
+            begin = 0
+            for end in ends + 1:
+                at = pa.array(order[begin:end])
+                block = as_block([c.take(at) for c in table])
+                bin_no = int(places[order[begin]])
+                arrays = [pa.array([bin_no]), pa.array([block], pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, ["bin", "block"])
+                begin = end
+
+    return docs.select("doc_id", "text").mapInArrow(pack, "bin long, block binary")
 
 
 def runs(flags: list[bool]) -> Iterator[tuple[int, int]]:
@@ -141,14 +180,14 @@ def find_marks(rows: DataFrame, window: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
     def marks_in(table: pa.Table) -> list[Mark]:
-        """Marks of whole buckets, sorted by bucket."""
+        """Marks of whole buckets, in order."""
         found = []
         mark = table.column("packed").is_null().to_numpy()
         known = table.filter(pa.array(mark)).select(names)
         found += zip(*(c.to_pylist() for c in known.columns))
         table = table.filter(pa.array(~mark))
         buckets = table.column("bucket").to_numpy()
-        starts = np.flatnonzero(np.diff(buckets, prepend=~buckets[0])) if len(buckets) else []
+        starts = np.flatnonzero(np.diff(buckets, prepend=~buckets[:1])) if len(buckets) else []
         sizes = np.diff(starts, append=len(buckets))
         for start, size in zip(starts, sizes):
             if size > 1:
@@ -160,21 +199,18 @@ def find_marks(rows: DataFrame, window: int) -> DataFrame:
         return found
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        held, blocks = None, []
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            buckets = batch.column(0).to_numpy()
-            same = int(np.searchsorted(buckets, buckets[-1]))
-            if same or (held and held[-1].column(0)[-1].as_py() != buckets[0]):
-                table = pa.Table.from_batches([*held, batch.slice(0, same)])
-                yield batch_of(marks_in(table))
-                held = []
-            held.append(batch.slice(same))
-        if held:
-            yield batch_of(marks_in(pa.Table.from_batches(held)))
-
-    dealt = rows.repartition("bucket").sortWithinPartitions("bucket")
+            for number, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if blocks and number != held:
+                    yield batch_of(marks_in(from_blocks(blocks)))
+                    blocks = []
+                held = number
+                blocks.append(block)
+        if blocks:
+            yield batch_of(marks_in(from_blocks(blocks)))
+
+    dealt = rows.repartition("bin").sortWithinPartitions("bin")
     return dealt.mapInArrow(meet, "doc long, place long, windows int")
 
 
@@ -207,7 +243,8 @@ def dedup_substrings(
     loses words nor takes any. Rows that repeat an id are each judged by their own text,
     and never against one another.
     """
-    marks = find_marks(pack_rows(docs, window, gram), window)
+    size = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    marks = find_marks(pack_rows(docs, window, gram, 1 + size // BIN_CHARS), window)
     lists = marks.groupBy(F.col("doc").alias("_doc")).agg(
         F.collect_list(F.struct("place", "windows")).alias("marks")
     )
