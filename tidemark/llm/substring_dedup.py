@@ -6,11 +6,11 @@ single packed string, about three words for each window in place of thirteen. Eq
 windows have equal minimisers, so they meet in one bucket, where sorting brings them
 together and the smallest id of each is found exactly.
 
-The rows that one Arrow batch has for one bin of buckets travel as a single compressed
-block. A passage that very many documents share is folded before it travels: of the rows of
-one Arrow batch with the same packed string, only the smallest id goes to the bucket.
-The others are known to be covered already. So a bucket gets at most one row per
-batch and string.
+The rows that a slice of an Arrow batch has for one bin of buckets travel as a single
+compressed block. A passage that very many documents share is folded before it travels:
+of the rows of one slice with the same packed string, only the smallest id goes to the
+bucket. The others are known to be covered already. So a bucket gets at most one row
+per slice and string.
 """
 
 import hashlib
@@ -35,6 +35,7 @@ MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 # level at which its blocks are compressed.
 BIN_CHARS = 4_000_000
 LEVEL = 6
+SLICE_BYTES = 6_000_000
 # Upper half of a place: which text of the id, should rows with one id differ in it.
 TEXT_SHIFT = 32
 
@@ -97,8 +98,16 @@ def from_blocks(blocks: list[bytes]) -> pa.Table:
     return pa.concat_tables(parts).sort_by("bucket").combine_chunks()
 
 
+def in_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``SLICE_BYTES`` of text, which bounds a task's memory."""
+    for batch in batches:
+        rows = max(1, int(batch.num_rows * SLICE_BYTES / max(1, batch.nbytes)))
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def pack_rows(docs: DataFrame, window: int, gram: int, bins: int) -> DataFrame:
-    """(bin, block): super-k-mers as rows of ``ROWS``, one block for each batch and bin.
+    """(bin, block): super-k-mers as rows of ``ROWS``, one block for each slice and bin.
 
     A row without a packed string is a mark: windows that are known to be in a document
     with a smaller id. Buckets that share 32 bits and a bin are taken together, which
@@ -106,7 +115,7 @@ def pack_rows(docs: DataFrame, window: int, gram: int, bins: int) -> DataFrame:
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             hashes: dict[str, int] = {}
             first: dict[str, int] = {}
             rows = []
