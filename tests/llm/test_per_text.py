@@ -10,7 +10,6 @@ from urllib.parse import quote
 
 import pytest
 import zstandard
-from conftest import ROOT  # noqa: F401
 
 from tidemark.llm.quality_rules import QualityRules, judge, quality_rules
 from tidemark.llm.queries import PII_KEY, URL_RULES

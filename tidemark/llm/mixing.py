@@ -22,7 +22,7 @@ CELLS = 4096
 def letter_share(text: Column) -> Column:
     """A quality weight from 0.05 to 1: the share of characters other than digits and symbols."""
     plain = F.length(F.regexp_replace(text, r"[0-9#*$%&|<>!@\\^~{}\[\]=+_]+", ""))
-    return F.greatest(F.coalesce(plain / F.length(text), F.lit(0.0)), F.lit(0.05))
+    return F.greatest(F.coalesce(F.try_divide(plain, F.length(text)), F.lit(0.0)), F.lit(0.05))
 
 
 def stored(frame: DataFrame, label: str) -> DataFrame:

@@ -46,10 +46,11 @@ class QualityRules:
     chunk: int = 4096
     bad_chunks: float = 0.5
     bands: tuple[Band, ...] = (
-        Band(512, 0.25, 1.15),
-        Band(2048, 0.20, 0.90),
-        Band(16384, 0.15, 0.85),
-        Band(float("inf"), 0.05, 0.85),
+        Band(512, 0.25, 1.0),
+        Band(1024, 0.20, 0.85),
+        Band(2048, 0.20, 0.74),
+        Band(16384, 0.15, 0.70),
+        Band(float("inf"), 0.05, 0.70),
     )
 
     def band(self, size: int) -> Band:

@@ -97,6 +97,11 @@ class Cipher:
                 out.append(value)
         return out[::-1]
 
+    def successor(self, value: str, pool: Sequence[str]) -> str:
+        """The next of a pool in a keyed order, the first after the last."""
+        ring = sorted(pool, key=lambda name: self._number("pool", 0, int.from_bytes(name.encode())))
+        return ring[(ring.index(value) + 1) % len(ring)]
+
     def rewrite(self, text: str, alphabets: Callable[[int, str], str | None], tweak: str) -> str:
         """The text with each character moved within its alphabet; case stays.
 
@@ -201,12 +206,11 @@ class Surrogates:
     def person(self, value: str) -> str:
         """One word of a name.
 
-        A name of the list becomes another of its gender and script. Others keep their
+        A name of the list becomes another of its gender and script, never itself. Others keep their
         script, length, vowels' places and last letter (which often tells the gender).
         """
         if names := POOL.get(value):
-            (place,) = self.cipher.permute([names.index(value)], [len(names)], "".join(names[:2]))
-            return names[place]
+            return self.cipher.successor(value, names)
         last = len(value) - 1
         inside = within(VOWELS, CONSONANTS)
         new = value
