@@ -18,9 +18,22 @@ from tidemark.llm.surrogates import replace_pii
 from tidemark.session import work_dir
 
 
+def aside(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """doc_id and text, and all columns under names that no operator uses."""
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    copies = [F.col(c).alias(n) for c, n in zip(docs.columns, names)]
+    return docs.select("doc_id", "text", *copies), names
+
+
+def back(found: DataFrame, docs: DataFrame, names: list[str]) -> DataFrame:
+    """The columns that ``aside`` has put away."""
+    return found.select(*(F.col(n).alias(c) for c, n in zip(docs.columns, names)))
+
+
 def rule_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
-    return quality_rules(docs, keep=_with_text(docs)).filter("kept").select(docs.columns)
+    rows, names = aside(docs)
+    return back(quality_rules(rows, keep=names).filter("kept"), docs, names)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +45,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = simhash_components(docs, shingle=4, distance=4)
     kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     ids = kept.select(F.col("doc_id").alias("_kept")).distinct()
-    chosen = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    chosen = docs.join(ids, docs["doc_id"].eqNullSafe(ids["_kept"]), "left_semi")
     named = chosen.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(
         F.min_by(F.struct(*docs.columns), F.struct("text", F.hash(*docs.columns))).alias("_row")
     )
@@ -41,18 +54,20 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item."""
-    found = find_leaks(docs, table(spark, sf_dir, "benchmark"), keep=_with_text(docs))
-    return found.filter("NOT contaminated").select(docs.columns)
+    rows, names = aside(docs)
+    found = find_leaks(rows, table(spark, sf_dir, "benchmark"), keep=names)
+    return back(found.filter("NOT contaminated"), docs, names)
 
 
 def hide_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with surrogates for personal data; ``n_chars`` follows the new text."""
-    others = [c for c in docs.columns if c != "text"]
-    replaced = replace_pii(docs, PII_KEY, keep=others)
-    if "n_chars" in others:
-        size = F.length("text").cast(docs.schema["n_chars"].dataType)
-        replaced = replaced.withColumn("n_chars", size)
-    return replaced.select(docs.columns)
+    rows, names = aside(docs)
+    others = [n for c, n in zip(docs.columns, names) if c != "text"]
+    found = replace_pii(rows, PII_KEY, keep=others)
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return found.select(
+        *(new.get(c, F.col(n)).alias(c) for c, n in zip(docs.columns, names))
+    )
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,10 +87,6 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def _with_text(docs: DataFrame) -> list[str]:
-    return list(docs.columns)
-
-
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, each on what the one before it kept."""
     docs = table(spark, sf_dir, "documents")
