@@ -51,6 +51,14 @@ def test_refunds_count_as_succeeded_and_net_out(spark):
     assert mix[None] == (1, None)
 
 
+def test_small_and_large_amounts_are_not_cut(spark):
+    small = spark.range(1_000_000).select(F.lit("a").alias("k"), F.lit(4e-7).alias("x"))
+    large = spark.range(1000).select(F.lit("b").alias("k"), F.lit(1e9 + 0.004).alias("x"))
+    found = {r["k"]: r["revenue_usd"] for r in revenue_by(small.union(large), "k", "x").collect()}
+    assert abs(found["a"] - 0.4) < 1e-9
+    assert abs(found["b"] - 1_000_000_000_004.0) < 0.01
+
+
 def test_flagship_plan(spark, folder):
     """One shuffle, three columns read, the filter pushed into the scan."""
     names = [f"c{n} STRING" for n in range(5)]

@@ -12,39 +12,10 @@ from tidemark.functions.scalars import (
     draw,
     iso_timestamp,
     lookup,
-    money_sum,
     pick,
 )
 
 
-def total(spark, values):
-    frame = spark.createDataFrame([(v,) for v in values], "a DOUBLE").repartition(4)
-    return frame.agg(money_sum(F.col("a"))).first()[0]
-
-
-@settings(max_examples=15, deadline=None)
-@given(st.lists(st.integers(-(10**13), 10**13), max_size=40))
-def test_sum_of_cents_is_exact(spark, cents):
-    exact = sum((Decimal(c) / 100 for c in cents), Decimal(0))
-    assert total(spark, [c / 100 for c in cents]) == (float(exact) if cents else None)
-
-
-def test_sum_does_not_depend_on_order(spark):
-    values = [random.Random(1).uniform(-100, 100) for _ in range(2000)]
-    shuffled = random.Random(2).sample(values, len(values))
-    assert total(spark, values) == total(spark, shuffled)
-    assert total(spark, values) == pytest.approx(math.fsum(values), abs=1e-3)
-
-
-def test_sum_of_what_is_no_amount(spark):
-    assert total(spark, [None, None]) is None
-    assert total(spark, [1.5, None]) == 1.5
-    assert math.isnan(total(spark, [1.0, float("nan")]))
-    assert total(spark, [1.0, float("inf")]) == float("inf")
-    assert total(spark, [1e300, 1.0]) == 1e300
-    assert total(spark, [1e20]) == 1e20
-
-
 def test_draws_are_uniform_and_independent(spark):
     rows = spark.range(40_000).select(
         draw(F.col("id"), 1, 10).alias("a"), draw(F.col("id"), 2, 4).alias("b")

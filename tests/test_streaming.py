@@ -278,9 +278,9 @@ def test_start_positions(spark):
     assert start_options(kafka, TRIM_HORIZON) == {"startingOffsets": "earliest"}
     assert start_options(Source(format="other"), "X") == {"startingPosition": "X"}
     assert start_options(Source(path="p"), LATEST) == {}
-    assert batch_options(Source(path="p"), 4) == {"maxBytesPerTrigger": str(2**30)}
-    assert batch_options(Source(path="p", options={"maxFilesPerTrigger": "9"}), 4) == {}
-    assert batch_options(kafka, 4) == {}
+    assert batch_options(Source(path="p")) == {"maxBytesPerTrigger": str(2**31)}
+    assert batch_options(Source(path="p", options={"maxFilesPerTrigger": "9"})) == {}
+    assert batch_options(kafka) == {}
     assert (kafka.payload_column, Source().payload_column) == ("value", "data")
     with pytest.raises(ValueError, match="NEWEST.*LATEST, TRIM_HORIZON"):
         open_stream(spark, Source(path="p"), "NEWEST")

@@ -5,12 +5,6 @@ from datetime import datetime, timezone
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A double holds micro-dollars exactly enough up to a billion dollars, and cents
-# up to ten trillion.
-MICROS_BELOW = 1e9
-CENTS_BELOW = 1e13
-
-
 def moment(at: datetime) -> Column:
     """A point in time as a timestamp; one without a zone is meant in UTC."""
     return F.lit(at if at.tzinfo else at.replace(tzinfo=timezone.utc))
@@ -26,30 +20,6 @@ def billing_period(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM")
 
 
-def money_sum(amount: Column) -> Column:
-    """Sum of a double column that does not depend on the order of the rows.
-
-    Whole dollars and micro-dollars are added as two integers, which is exact
-    and as fast as adding doubles, and joined once per group. Amounts over a
-    billion count to the cent. What does not fit (NaN, infinities, absurdly
-    large values) is added as double, so it shows in the result as it would in
-    a plain ``SUM``.
-    """
-    fits = F.abs(amount) < CENTS_BELOW
-    whole = F.floor(amount)
-    part = amount - whole
-    micros = (
-        F.when(F.abs(amount) < MICROS_BELOW, F.rint(part * 1_000_000))
-        .otherwise(F.rint(part * 100) * 10_000)
-        .cast("bigint")
-    )
-    dollars = F.sum(F.when(fits, whole)).cast("decimal(20,0)")
-    rest = F.sum(F.when(fits, micros)).cast("decimal(20,0)")
-    exact = (dollars + rest * F.lit("0.000001").cast("decimal(6,6)")).cast("double")
-    odd = F.sum(F.when(~fits, amount))
-    return F.when(odd.isNull(), exact).when(exact.isNull(), odd).otherwise(exact + odd)
-
-
 # Multipliers and modulus of the integer mix below; 2^31 - 1 is prime and small
 # enough that the product of two residues stays inside a 64-bit integer.
 MIX_PRIME = 2147483647

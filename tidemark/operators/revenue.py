@@ -5,7 +5,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import money_sum
 from tidemark.operators.decode import EVENT_TIME, INGEST_TIME
 
 LATENCY_LIMITS_MS = {"within_second": 1_000, "within_minute": 60_000}
@@ -20,7 +19,7 @@ def revenue_by(rows: DataFrame, key: str, amount: str) -> DataFrame:
     """Number of events and net amount per key."""
     return rows.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_events"),
-        money_sum(F.col(amount)).alias("revenue_usd"),
+        F.sum(amount).alias("revenue_usd"),
     )
 
 
@@ -28,7 +27,7 @@ def event_mix(payments: DataFrame) -> DataFrame:
     """Rows and amount per event type, status and refund flag."""
     return payments.groupBy("event_type", "status", "is_refund").agg(
         F.count(F.lit(1)).alias("n_events"),
-        money_sum(F.col("amount_usd")).alias("amount_usd"),
+        F.sum("amount_usd").alias("amount_usd"),
     )
 
 

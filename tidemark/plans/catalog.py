@@ -59,22 +59,27 @@ def query(function: Query) -> Query:
 # ---------------------------------------------------------------- batch queries
 
 
+def cents(totals: DataFrame, column: str = "revenue_usd") -> DataFrame:
+    """Totals rounded for comparison: the last digits of a sum of doubles depend on its order."""
+    return totals.withColumn(column, F.round(column, 2))
+
+
 @query
 def revenue_by_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = inputs.feed(spark, sf_dir, "payments")
-    return revenue_by(with_status(rows, "succeeded"), "subscription_tier", "amount_usd")
+    return cents(revenue_by(with_status(rows, "succeeded"), "subscription_tier", "amount_usd"))
 
 
 @query
 def revenue_by_partner(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = inputs.feed(spark, sf_dir, "partner_invoices")
-    return revenue_by(with_status(rows, "paid"), "partner_name", "total_amount_usd")
+    return cents(revenue_by(with_status(rows, "paid"), "partner_name", "total_amount_usd"))
 
 
 @query
 def revenue_by_advertiser(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = inputs.feed(spark, sf_dir, "ad_revenue")
-    return revenue_by(rows, "advertiser_name", "revenue_usd")
+    return cents(revenue_by(rows, "advertiser_name", "revenue_usd"))
 
 
 @query
@@ -82,7 +87,7 @@ def revenue_from_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship over redelivered wire records: decode, deduplicate, aggregate."""
     records = encode(inputs.utc(inputs.deliveries(spark, sf_dir).drop("seq", "batch_id")))
     rows = dedup_batch(decode(records, get_schema("subscription_payment")))
-    return revenue_by(with_status(rows, "succeeded"), "subscription_tier", "amount_usd")
+    return cents(revenue_by(with_status(rows, "succeeded"), "subscription_tier", "amount_usd"))
 
 
 @query
@@ -92,7 +97,7 @@ def filter_succeeded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def event_mix_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_mix(inputs.feed(spark, sf_dir, "payments"))
+    return cents(event_mix(inputs.feed(spark, sf_dir, "payments")), "amount_usd")
 
 
 def _decoded(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
@@ -423,6 +428,6 @@ def three_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = None
     for view, job in jobs.items():
         rows = read_table(spark, job.table.name).withColumn("feed", F.lit(view))
-        total = revenue_by(rows, "feed", amounts[view])
+        total = cents(revenue_by(rows, "feed", amounts[view]))
         totals = total if totals is None else totals.unionByName(total)
     return totals

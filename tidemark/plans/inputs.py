@@ -32,24 +32,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """A scan with a task for every core.
-
-    Encoding and decoding JSON costs far more than moving the few columns it
-    starts from, and a table of few row groups would do it in as few tasks. A
-    table that has a split for every core is left alone.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
-
-
-def feed(spark: SparkSession, sf_dir: str, view: str, parallel: bool = False) -> DataFrame:
+def feed(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
     """One of the derived feeds; unused columns are pruned down to the scan."""
     source = SOURCES[view]
     scan = table(spark, sf_dir, source)
     return spark.sql(
         f"WITH {source} AS (SELECT * FROM {{scan}}), {TEXTS[view].strip()} SELECT * FROM {view}",
-        scan=spread(scan) if parallel else scan,
+        scan=scan,
     )
 
 
@@ -65,11 +54,11 @@ def zoneless(rows: DataFrame) -> DataFrame:
 
 def feed_records(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
     """A feed as wire records."""
-    rows = feed(spark, sf_dir, view, parallel=True)
+    rows = feed(spark, sf_dir, view)
     return encode(utc(rows.drop("seq")), FEED_KEYS[view])
 
 
-def deliveries(spark: SparkSession, sf_dir: str, parallel: bool = True) -> DataFrame:
+def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payments with every copy that is delivered, and the delivery it is in."""
     first = F.expr(FIRST_DELIVERY).cast("bigint")
     copies = (
@@ -77,7 +66,7 @@ def deliveries(spark: SparkSession, sf_dir: str, parallel: bool = True) -> DataF
         .when(F.expr(AGAIN), F.array(first, first + 1))
         .otherwise(F.array(first))
     )
-    rows = feed(spark, sf_dir, "payments", parallel)
+    rows = feed(spark, sf_dir, "payments")
     return rows.withColumn("batch_id", F.explode(copies))
 
 
@@ -85,7 +74,7 @@ def delivery_rows(spark: SparkSession, sf_dir: str, number: int) -> DataFrame:
     """One delivery; only the days it can hold are read."""
     days = [None, None, *CUTS, None, None]
     since, until = days[number], days[number + 2]
-    rows = deliveries(spark, sf_dir, parallel=False)
+    rows = deliveries(spark, sf_dir)
     if since:
         rows = rows.filter(F.col("event_timestamp") >= F.to_date(F.lit(since)))
     if until:
@@ -108,7 +97,7 @@ def damaged_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Columns: ``seq``, and the payload. The kind of damage is ``seq % 13``.
     """
-    rows = feed(spark, sf_dir, "payments", parallel=True)
+    rows = feed(spark, sf_dir, "payments")
     kind = F.col("seq") % 13
     body = F.concat(
         F.lit('"status":"'), F.col("status"), F.lit('","amount_usd":'), F.col("amount_usd")

@@ -24,7 +24,7 @@ SHARDS = 8
 
 
 def _money(column: str) -> str:
-    return f"CAST(SUM(CAST({column} AS DECIMAL(28,6))) AS DOUBLE)"
+    return f"ROUND(SUM({column}), 2)"
 
 
 def _shard(key: str) -> str:

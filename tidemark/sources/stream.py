@@ -16,10 +16,9 @@ FILE_FORMATS = ("text", "parquet", "orc")
 KAFKA_OFFSETS = {LATEST: "latest", TRIM_HORIZON: "earliest"}
 START_FILE = "_start_position"
 
-# What one batch of files may hold, unless the options say: two full splits for
-# every core of the cluster.
+# What one batch of files may hold, unless the options say.
 FILE_LIMITS = {"maxFilesPerTrigger", "maxBytesPerTrigger"}
-BYTES_PER_CORE = 2 * 128 * 1024 * 1024
+BATCH_BYTES = 2 * 1024**3
 
 
 @dataclass(frozen=True)
@@ -56,7 +55,7 @@ def open_stream(
     """
     reader = spark.readStream.format(source.format).options(**source.options)
     reader = reader.options(**start_options(source, start))
-    reader = reader.options(**batch_options(source, spark.sparkContext.defaultParallelism))
+    reader = reader.options(**batch_options(source))
     if not source.is_files:
         return reader.load()
     if source.format != "text":
@@ -83,15 +82,15 @@ def start_options(source: Source, start: str) -> dict[str, str]:
     return {} if source.is_files else {"startingOffsets": KAFKA_OFFSETS[start]}
 
 
-def batch_options(source: Source, cores: int) -> dict[str, str]:
-    """The reader options that bound a batch of files by the size of the cluster.
+def batch_options(source: Source) -> dict[str, str]:
+    """The reader options that bound a batch of files, alike on clusters of any size.
 
     A long backlog becomes many batches, each of which can be run again by
     itself. Other sources have options of their own for this.
     """
     if not source.is_files or source.options.keys() & FILE_LIMITS:
         return {}
-    return {"maxBytesPerTrigger": str(cores * BYTES_PER_CORE)}
+    return {"maxBytesPerTrigger": str(BATCH_BYTES)}
 
 
 def _remember_start(spark: SparkSession, checkpoint: str | None) -> int:

@@ -1,7 +1,6 @@
 """The micro-batch sink: deduplicate, then store so that a replay changes nothing."""
 
 import logging
-from collections import deque
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -13,7 +12,6 @@ from tidemark.session import settings
 from tidemark.tables.event_table import TableSpec, ingest_day, store_batch
 
 QUERY_ID = "sql.streaming.queryId"
-REPORTS_KEPT = 1000
 
 FILES_BY_SIZE = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
 FIRST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
@@ -85,7 +83,7 @@ class TableSink:
     def __init__(self, target: TableSpec, after_write: Callable[[int], None] | None = None):
         self.target = target
         self.after_write = after_write
-        self.reports: deque[BatchReport] = deque(maxlen=REPORTS_KEPT)
+        self.reports: list[BatchReport] = []
 
     def __call__(self, rows: DataFrame, batch_id: int) -> None:
         stream = rows.sparkSession.sparkContext.getLocalProperty(QUERY_ID)

@@ -134,9 +134,17 @@ def write_partition(
 
 
 def ingest_day(rows: DataFrame) -> date | None:
-    """The ingest date all rows of a stamped batch bear; None if there are none."""
-    first = rows.select(INGEST_DATE).head()
-    return first and first[INGEST_DATE]
+    """The ingest date all rows of a stamped batch bear; None if there are none.
+
+    Rows of several dates, or of none, are an error: they belong in several batches.
+    """
+    date_column = F.col(INGEST_DATE)
+    first, last, n, dated = rows.agg(
+        F.min(date_column), F.max(date_column), F.count(F.lit(1)), F.count(date_column)
+    ).first()
+    if first != last or n != dated:
+        raise ValueError(f"a batch bears ingest dates from {first} to {last}, {n - dated} rows none")
+    return first
 
 
 def store_batch(
@@ -168,11 +176,19 @@ def read_table(spark: SparkSession, table: str) -> DataFrame:
 def as_of_batch(
     spark: SparkSession, table: str, batch_id: int, stream: str | None = None
 ) -> DataFrame:
-    """The table as it was right after a micro-batch; reads only older partitions."""
-    rows = current(spark, table).filter(F.col(BATCH) <= batch_id)
-    if stream is not None:
+    """The table as it was right after a micro-batch; reads only older partitions.
+
+    Batch numbers of different streams do not compare, so ``stream`` must be named if
+    the table has more than one.
+    """
+    rows = current(spark, table)
+    if stream is None:
+        streams = [r[STREAM] for r in rows.select(STREAM).distinct().limit(2).collect()]
+        if len(streams) > 1:
+            raise ValueError(f"{table} has batches of several streams, name one")
+    else:
         rows = rows.filter(F.col(STREAM) == stream)
-    return rows.drop(*BOOKKEEPING)
+    return rows.filter(F.col(BATCH) <= batch_id).drop(*BOOKKEEPING)
 
 
 def as_of_time(spark: SparkSession, table: str, at: datetime) -> DataFrame:
