@@ -15,6 +15,7 @@ per slice and string.
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import groupby
 
 import numpy as np
@@ -36,6 +37,8 @@ MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 BIN_CHARS = 4_000_000
 LEVEL = 6
 SLICE_BYTES = 6_000_000
+# Bytes of a text whose words are hashed at a time.
+HASHED_BYTES = 1 << 20
 # Upper half of a place: which text of the id, should rows with one id differ in it.
 TEXT_SHIFT = 32
 
@@ -47,13 +50,46 @@ def text_number(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), SEED) >> 33
 
 
-def minimisers(tokens: list[str], window: int, gram: int, hashes: dict[str, int]) -> np.ndarray:
+def single_spaced(text: str) -> bytes:
+    """The words of a text in UTF-8, joined by one space."""
+    return b" ".join(text.encode("utf-8", "surrogatepass").split())
+
+
+@lru_cache(maxsize=2)
+def powers(base: int, count: int) -> np.ndarray:
+    """1, base, base squared and so on, modulo 2**64."""
+    factors = np.full(count, base, np.uint64)
+    factors[0] = 1
+    return np.multiply.accumulate(factors)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each word: their polynomial in a fixed odd base.
+
+    It is read off sums over all bytes before an end and before a start, so no word is
+    handled by itself. Equal hashes of different words only make a bucket larger.
+    """
+    found = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        begin = starts[at]
+        end = max(at + 1, int(np.searchsorted(ends, begin + HASHED_BYTES)))
+        size = int(ends[end - 1] - begin)
+        room = max(HASHED_BYTES, 1 << size.bit_length())
+        sums = np.zeros(size + 1, np.uint64)
+        up = powers(MIX[0], room)[:size]
+        np.cumsum((data[begin : begin + size] + np.uint64(1)) * up, out=sums[1:])
+        first = starts[at:end] - begin
+        down = powers(pow(MIX[0], -1, 2**64), room)[first]
+        found[at:end] = (sums[ends[at:end] - begin] - sums[first]) * down
+        at = end
+    found ^= found >> np.uint64(32)
+    return found * np.uint64(MIX[1])
+
+
+def minimisers(single: np.ndarray, window: int, gram: int) -> np.ndarray:
     """The minimiser of each window, as a signed long."""
-    for word in tokens:
-        if word not in hashes:
-            hashes[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), SEED)
-    single = np.fromiter(map(hashes.__getitem__, tokens), np.uint64, len(tokens))
-    count = len(tokens) - gram + 1
+    count = len(single) - gram + 1
     mixed = np.zeros(count, np.uint64)
     for i in range(gram):
         mixed = (mixed ^ single[i : i + count]) * np.uint64(MIX[i % len(MIX)])
@@ -62,22 +98,27 @@ def minimisers(tokens: list[str], window: int, gram: int, hashes: dict[str, int]
     return spans.min(axis=1).view(np.int64)
 
 
-def super_kmers(
-    tokens: list[str], window: int, gram: int, hashes: dict[str, int]
-) -> Iterator[tuple[int, int, int]]:
-    """(bucket, first window, windows) for each run of windows with one minimiser."""
-    if len(tokens) < window:
+def super_kmers(spaced: bytes, window: int, gram: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """(bucket, first window, windows, words) for each run of windows with one minimiser."""
+    data = np.frombuffer(spaced, np.uint8)
+    gaps = np.flatnonzero(data == ord(" "))
+    if len(gaps) + 1 < window:
         return
-    smallest = minimisers(tokens, window, gram, hashes)
-    starts = np.flatnonzero(np.diff(smallest, prepend=~smallest[0]))
-    lengths = np.diff(starts, append=len(smallest))
-    yield from zip(smallest[starts].tolist(), starts.tolist(), lengths.tolist())
+    starts = np.concatenate([[0], gaps + 1])
+    ends = np.concatenate([gaps, [len(data)]])
+    smallest = minimisers(word_hashes(data, starts, ends), window, gram)
+    firsts = np.flatnonzero(np.diff(smallest, prepend=~smallest[0]))
+    counts = np.diff(firsts, append=len(smallest))
+    begin, end = starts[firsts], ends[firsts + counts + window - 2]
+    columns = (smallest[firsts], firsts, counts, begin, end)
+    for bucket, first, count, a, b in zip(*(c.tolist() for c in columns)):
+        yield bucket, first, count, spaced[a:b]
 
 
 ROWS = pa.schema(
     [
         ("bucket", pa.uint32()),
-        ("packed", pa.string()),
+        ("packed", pa.binary()),
         ("doc", pa.int64()),
         ("place", pa.int64()),
         ("windows", pa.int32()),
@@ -116,15 +157,13 @@ def pack_rows(docs: DataFrame, window: int, gram: int, bins: int) -> DataFrame:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
-            hashes: dict[str, int] = {}
-            first: dict[str, int] = {}
+            first: dict[bytes, int] = {}
             rows = []
             pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
             for doc, text in sorted((d, t) for d, t in pairs if d is not None and t):
-                tokens = WORDS.findall(text)
                 number = text_number(text) << TEXT_SHIFT
-                for bucket, start, count in super_kmers(tokens, window, gram, hashes):
-                    packed = " ".join(tokens[start : start + count + window - 1])
+                kmers = super_kmers(single_spaced(text), window, gram)
+                for bucket, start, count, packed in kmers:
                     known = first.setdefault(packed, doc) < doc
                     rows.append((bucket, None if known else packed, doc, number | start, count))
             if not rows:
@@ -158,13 +197,13 @@ def runs(flags: list[bool]) -> Iterator[tuple[int, int]]:
         at += size
 
 
-def marks_of_bucket(rows: list[tuple[str, int, int]], window: int) -> Iterator[Mark]:
+def marks_of_bucket(rows: list[tuple[bytes, int, int]], window: int) -> Iterator[Mark]:
     """Windows of (packed, doc, place) rows that are also in a row with a smaller doc."""
     found = []
     for row, (packed, doc, _) in enumerate(rows):
-        tokens = packed.split(" ")
+        tokens = packed.split(b" ")
         found += [
-            (" ".join(tokens[i : i + window]), doc, row, i) for i in range(len(tokens) - window + 1)
+            (b" ".join(tokens[i : i + window]), doc, row, i) for i in range(len(tokens) - window + 1)
         ]
     found.sort()
     covered: dict[int, set[int]] = {}
@@ -195,16 +234,15 @@ def find_marks(rows: DataFrame, window: int) -> DataFrame:
         known = table.filter(pa.array(mark)).select(names)
         found += zip(*(c.to_pylist() for c in known.columns))
         table = table.filter(pa.array(~mark))
-        buckets = table.column("bucket").to_numpy()
-        starts = np.flatnonzero(np.diff(buckets, prepend=~buckets[:1])) if len(buckets) else []
+        if not table.num_rows:
+            return found
+        buckets, docs = (table.column(c).to_numpy() for c in ("bucket", "doc"))
+        starts = np.flatnonzero(np.diff(buckets, prepend=~buckets[:1]))
         sizes = np.diff(starts, append=len(buckets))
-        for start, size in zip(starts, sizes):
-            if size > 1:
-                part = table.slice(start, size)
-                docs = part.column("doc").to_pylist()
-                if min(docs) < max(docs):
-                    columns = (part.column("packed").to_pylist(), docs, part.column("place").to_pylist())
-                    found += marks_of_bucket(list(zip(*columns)), window)
+        several = np.minimum.reduceat(docs, starts) < np.maximum.reduceat(docs, starts)
+        for start, size in zip(starts[several].tolist(), sizes[several].tolist()):
+            part = (table.column(c).slice(start, size) for c in ("packed", "doc", "place"))
+            found += marks_of_bucket(list(zip(*(c.to_pylist() for c in part))), window)
         return found
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
