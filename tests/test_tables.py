@@ -48,6 +48,19 @@ def test_create_append_replace(spark, table):
     assert read_table(spark, table).columns[-1] == "ingestion_date"
 
 
+def test_failed_rewrite_keeps_the_stored_batch(spark, table):
+    def fail(batches):
+        yield next(batches)
+        raise RuntimeError("lost")
+
+    spec, stored = TableSpec(table), rows(spark, 0, 10)
+    store(spark, spec, stored, 0)
+    broken = stored.mapInArrow(fail, stored.schema)
+    with pytest.raises(Exception, match="lost"):
+        store_batch(spark, spec, broken, DAY.date(), "s", 0)
+    assert read_table(spark, table).count() == 10
+
+
 def test_name_with_catalog(spark, table):
     spec = TableSpec(f"spark_catalog.{table}", evolve=True)
     store(spark, spec, rows(spark, 0, 10), 0)

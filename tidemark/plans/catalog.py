@@ -14,6 +14,16 @@ from pyspark.sql.types import BooleanType, StructField
 
 from tidemark.operators.decode import EVENT_TIME, INGEST_DATE, INGEST_TIME, decode
 from tidemark.operators.dedup import dedup_batch
+from tidemark.operators.finance import (
+    ad_fill,
+    events_per_minute,
+    net_revenue,
+    reconcile_invoices,
+    refund_links,
+    undecodable,
+    unified_revenue,
+    with_ratios,
+)
 from tidemark.operators.revenue import event_mix, ingest_latency, revenue_by, with_status
 from tidemark.plans import inputs
 from tidemark.plans.views import N_DELIVERIES
@@ -179,6 +189,58 @@ def dedup_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_batch(rows, within=("batch_id",)).select("batch_id", "event_id", "payment_id")
 
 
+@query
+def net_revenue_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = inputs.feed(spark, sf_dir, "payments")
+    totals = net_revenue(rows, "billing_period", "country_code", "payment_processor")
+    for column in ("gross_usd", "refund_usd", "net_usd"):
+        totals = cents(totals, column)
+    return totals
+
+
+@query
+def unified_revenue_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feeds = (inputs.feed(spark, sf_dir, view) for view in inputs.FEED_SCHEMAS)
+    return cents(unified_revenue(*feeds))
+
+
+@query
+def refund_link(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return refund_links(inputs.feed(spark, sf_dir, "payments"))
+
+
+@query
+def event_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per minute and type."""
+    rows = events_per_minute(inputs.utc(inputs.feed(spark, sf_dir, "payments")))
+    return rows.withColumn("minute", F.col("minute").cast("timestamp_ntz"))
+
+
+@query
+def invoice_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invoices that differ from what their subscriptions make up."""
+    rows = reconcile_invoices(inputs.feed(spark, sf_dir, "partner_invoices"))
+    return rows.filter("difference_usd <> 0")
+
+
+@query
+def ad_fill_by_advertiser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sums = ad_fill(inputs.feed(spark, sf_dir, "ad_revenue"), "advertiser_name", "billing_period")
+    ratios = with_ratios(cents(sums))
+    return cents(ratios.withColumn("fill_rate", F.round("fill_rate", 4)), "revenue_per_thousand")
+
+
+@query
+def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads that do not decode, whole, beside the payment each came from."""
+    rows = inputs.utc(inputs.feed(spark, sf_dir, "payments"))
+    records = inputs.cut_payload(
+        encode(rows.withColumn("row", F.col("seq")), keep=("seq", "row")), 5
+    ).select("row", PAYLOAD)
+    decoded = decode(records, get_schema("subscription_payment"), keep=("row", PAYLOAD))
+    return undecodable(records, decoded, PAYLOAD)
+
+
 # ------------------------------------------------------- tables loaded in batch
 
 

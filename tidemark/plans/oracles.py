@@ -174,6 +174,52 @@ ORACLES: dict[str, str] = {
         SELECT {_shard("k")} AS shard, COUNT(k) AS delivered, COUNT(*) - COUNT(k) AS failed
         FROM records GROUP BY 1""",
     "synth_payments": _synth(),
+    "net_revenue_by_period": f"""{WITH_PAYMENTS}
+        SELECT billing_period, country_code, payment_processor,
+          ROUND(SUM(CASE WHEN is_refund THEN 0.0::DOUBLE ELSE amount_usd END), 2) AS gross_usd,
+          ROUND(SUM(CASE WHEN is_refund THEN -amount_usd ELSE 0.0::DOUBLE END), 2) AS refund_usd,
+          {_money("amount_usd")} AS net_usd
+        FROM payments WHERE status = 'succeeded' GROUP BY ALL""",
+    "unified_revenue_by_period": f"""WITH {PAYMENTS}, {PARTNER_INVOICES}, {AD_REVENUE},
+        parts AS (
+          SELECT billing_period, country_code, 'payments' AS feed, amount_usd AS amount
+          FROM payments WHERE status = 'succeeded'
+          UNION ALL
+          SELECT billing_period, country_code, 'partner_invoices', total_amount_usd
+          FROM partner_invoices WHERE status = 'paid'
+          UNION ALL
+          SELECT billing_period, country_code, 'ad_revenue', revenue_usd FROM ad_revenue)
+        SELECT billing_period, country_code, feed, COUNT(*) AS n_events,
+          {_money("amount")} AS revenue_usd
+        FROM parts GROUP BY ALL""",
+    "refund_link": f"""{WITH_PAYMENTS}
+        SELECT r.original_payment_id, r.payment_id AS refund_id, r.amount_usd AS refund_usd,
+          p.amount_usd AS original_usd, p.status AS original_status
+        FROM payments r LEFT JOIN payments p
+          ON p.payment_id = r.original_payment_id AND NOT p.is_refund
+        WHERE r.is_refund""",
+    "event_rate": f"""{WITH_PAYMENTS}
+        SELECT CAST(date_trunc('minute', event_timestamp) AS TIMESTAMP) AS minute, event_type,
+          COUNT(*) AS n_events
+        FROM payments GROUP BY 1, 2""",
+    "invoice_reconcile": f"""WITH {PARTNER_INVOICES}
+        SELECT invoice_id, partner_name, total_amount_usd,
+          total_subscriptions * revenue_per_sub AS expected_usd,
+          ROUND(total_amount_usd - total_subscriptions * revenue_per_sub, 2) AS difference_usd
+        FROM partner_invoices
+        WHERE ROUND(total_amount_usd - total_subscriptions * revenue_per_sub, 2) <> 0""",
+    "ad_fill_by_advertiser": f"""WITH {AD_REVENUE}, sums AS (
+          SELECT advertiser_name, billing_period,
+            CAST(SUM(impression_count) AS BIGINT) AS impressions,
+            CAST(SUM(billable_impressions) AS BIGINT) AS billable,
+            {_money("revenue_usd")} AS revenue_usd
+          FROM ad_revenue GROUP BY ALL)
+        SELECT *, ROUND(billable / impressions, 4) AS fill_rate,
+          ROUND(revenue_usd * 1000 / billable, 2) AS revenue_per_thousand
+        FROM sums""",
+    "quarantine": f"""{WITH_PAYMENTS}
+        SELECT seq AS "row", substr({_wire_json()}, 1, 40) AS data
+        FROM payments WHERE seq % 5 = 0""",
     "dedup_in_batch": f"{WITH_DELIVERIES} {STORED}",
     "dedup_null_keys": f"""{WITH_DELIVERIES}
         SELECT DISTINCT batch_id, CASE WHEN seq % 3 <> 0 THEN event_id END AS event_id,

@@ -17,6 +17,7 @@ from pyspark.sql.types import StructField, StructType
 
 from tidemark.functions.scalars import moment
 from tidemark.operators.decode import INGEST_DATE, INGEST_TIME
+from tidemark.session import settings
 
 STREAM = "_stream"
 BATCH = "_batch_id"
@@ -122,15 +123,18 @@ def write_partition(
 ) -> None:
     """Store ``rows`` as the whole content of one micro-batch partition.
 
-    All partition values are given, so no task sorts by them and any object
-    store committer works. The catalog learns of a new partition only after its
-    files are complete.
+    The batch number is written as a dynamic partition: the files are staged, and
+    only the commit of the job puts them in place of those that are there. A write
+    that fails leaves the stored batch as it was. All values are constants, so no
+    task sorts by them.
     """
-    spec = partition_spec(day, stream, batch_id)
-    spark.sql(
-        f"INSERT OVERWRITE TABLE {quoted(table)} PARTITION ({spec}) SELECT * FROM {{rows}}",
-        rows=rows,
-    )
+    spec = f"{INGEST_DATE} = DATE'{day}', {STREAM} = {_text(stream)}, {BATCH}"
+    with settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {quoted(table)} PARTITION ({spec}) "
+            f"SELECT *, CAST({int(batch_id)} AS BIGINT) FROM {{rows}}",
+            rows=rows,
+        )
 
 
 def ingest_day(rows: DataFrame) -> date | None:
