@@ -195,3 +195,41 @@ def test_closed_days_take_new_columns(spark, table):
     history_view(spark, table, closed, view)
     assert spark.table(view).columns == spark.table(table).columns
     assert spark.table(view).count() == 60
+
+
+def test_late_rows_of_a_closed_day(spark, table):
+    """Batches that come after their day was closed are added to it, and never dropped."""
+    spec = three_days(spark, table)
+    closed, view = f"{table}_closed", f"{table}_all"
+    close_days(spark, table, closed, date(2024, 3, 2))
+    drop_closed(spark, table, closed)
+    store(spark, spec, rows(spark, 100, 105, DAY), 9)
+    drop_closed(spark, table, closed)
+    assert spark.table(table).count() == 45
+    for _ in range(2):
+        close_days(spark, table, closed, date(2024, 3, 2))
+        history_view(spark, table, closed, view)
+        assert spark.table(view).count() == 65
+    drop_closed(spark, table, closed)
+    assert spark.table(table).count() == 40
+    assert spark.table(view).count() == 65
+
+
+def test_replay_of_a_closed_batch(spark, table):
+    """A batch that was run again with other rows takes the place of its closed rows."""
+    spec = three_days(spark, table)
+    closed, view = f"{table}_closed", f"{table}_all"
+    close_days(spark, table, closed, date(2024, 3, 2))
+    store(spark, spec, rows(spark, 0, 7, DAY), 0)
+    close_days(spark, table, closed, date(2024, 3, 2))
+    history_view(spark, table, closed, view)
+    assert spark.table(view).count() == 57
+
+
+def test_batch_of_two_days_is_an_error(spark, table):
+    spec = TableSpec(table)
+    mixed = rows(spark, 0, 3, DAY).union(rows(spark, 3, 5, DAY + timedelta(days=1)))
+    with pytest.raises(Exception, match="ingest date"):
+        store(spark, spec, mixed, 0)
+    store(spark, spec, rows(spark, 0, 3, DAY), 0)
+    assert spark.table(table).count() == 3

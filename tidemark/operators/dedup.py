@@ -13,23 +13,27 @@ EVENT_KEY = "event_id"
 NULL_MARK = "_null_in"
 
 
-def dedup_batch(rows: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+def dedup_batch(rows: DataFrame, within: Sequence[str] = (), copies: str = "") -> DataFrame:
     """One row per event id, among the rows at hand.
 
     Copies fold on the map side before the shuffle, so an id that makes up a
     large share of the input reaches the final task as one row per map task.
     NULL ids count as equal: undecodable rows fold to one. Which copy survives
-    is not defined. ``within`` limits the comparison to rows equal in it.
+    is not defined. ``within`` limits the comparison to rows equal in it; ``copies`` names
+    a column to add with the number of rows that each one stands for.
 
     This is ``dropDuplicates`` with the other columns packed in one struct: one
     aggregate buffer in place of one per column halves the time of the sorts.
     """
     keys = [*within, EVENT_KEY]
     others = [c for c in rows.columns if c not in keys]
-    if not others:
+    if not others and not copies:
         return rows.dropDuplicates(keys)
-    kept = rows.groupBy(*keys).agg(F.first(F.struct(*others)).alias("kept"))
-    return kept.select(*keys, "kept.*").select(*rows.columns)
+    first = [F.first(F.struct(*others)).alias("kept")] if others else []
+    number = [F.count(F.lit(1)).alias(copies)] if copies else []
+    kept = rows.groupBy(*keys).agg(*first, *number)
+    unpacked = kept.select("*", "kept.*") if others else kept
+    return unpacked.select(*rows.columns, *([copies] if copies else []))
 
 
 def copy_folder(key: str = EVENT_KEY) -> Callable[..., Iterator[pa.RecordBatch]]:

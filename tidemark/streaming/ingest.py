@@ -84,7 +84,7 @@ def start_ingest(
     """Start a job; it runs until it is stopped, fails, or its trigger is done."""
     configure(spark)
     log.info("job %s: reading %s into %s", job.job_name, job.source, job.table.name)
-    sink = TableSink(job.table, after_write)
+    sink = TableSink(job.table, after_write, unique=bool(job.dedup_delay))
     writer = (
         event_rows(spark, job)
         .writeStream.queryName(job.job_name)

@@ -11,6 +11,7 @@ from tidemark.operators.dedup import EVENT_KEY, dedup_batch
 from tidemark.session import settings
 from tidemark.tables.event_table import TableSpec, ingest_day, store_batch
 
+COPIES = "_copies"
 QUERY_ID = "sql.streaming.queryId"
 
 FILES_BY_SIZE = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
@@ -24,9 +25,8 @@ log = logging.getLogger(__name__)
 class BatchReport:
     """What one micro-batch brought to the sink.
 
-    Where ids are compared across batches, copies are gone before they reach it.
-    ``received`` and ``undecodable`` are counted before a shuffle, so a task run
-    again after a lost executor can be counted twice; ``stored`` cannot.
+    Where ids are compared across batches, copies are gone before they reach it. All is
+    counted in the tasks that write, so a task run again is counted once.
     """
 
     batch_id: int
@@ -48,27 +48,30 @@ def write_settings(spark: SparkSession) -> dict[str, str]:
 
 
 def store_micro_batch(
-    target: TableSpec, rows: DataFrame, stream: str, batch_id: int
+    target: TableSpec, rows: DataFrame, stream: str, batch_id: int, unique: bool = False
 ) -> BatchReport | None:
     """Deduplicate and store one batch in a single pass; None if it is empty.
 
-    Only an empty batch costs no table write, and it creates no table either.
+    Only an empty batch costs no table write, and it creates no table either. Rows whose
+    ids are ``unique`` already are written by the tasks that hold them, without a shuffle.
     """
     day = ingest_day(rows)
     if day is None:
         log.info("batch %d for %s is empty, skipped", batch_id, target.name)
         return None
-    before, after = Observation(), Observation()
-    received = rows.observe(
-        before,
-        F.count(F.lit(1)).alias("received"),
-        F.count_if(F.col(EVENT_KEY).isNull()).alias("undecodable"),
-    )
-    kept = dedup_batch(received).observe(after, F.count(F.lit(1)).alias("stored"))
+    counted = rows.withColumn(COPIES, F.lit(1)) if unique else dedup_batch(rows, copies=COPIES)
+    undecodable = F.when(F.col(EVENT_KEY).isNull(), F.col(COPIES))
+    counts = Observation()
+    kept = counted.observe(
+        counts,
+        F.coalesce(F.sum(COPIES), F.lit(0)).alias("received"),
+        F.coalesce(F.sum(undecodable), F.lit(0)).alias("undecodable"),
+        F.count(F.lit(1)).alias("stored"),
+    ).drop(COPIES)
     spark = rows.sparkSession
     with settings(spark, write_settings(spark)):
         store_batch(spark, target, kept, day, stream, batch_id)
-    report = BatchReport(batch_id, **before.get, **after.get)
+    report = BatchReport(batch_id, **counts.get)
     log.info("stored in %s: %s", target.name, report)
     return report
 
@@ -77,18 +80,24 @@ class TableSink:
     """A ``foreachBatch`` function that stores micro-batches in one table.
 
     ``after_write`` is called with the number of each stored batch before the
-    stream commits it.
+    stream commits it. ``unique`` says that the stream's ids are unique in each batch.
     """
 
-    def __init__(self, target: TableSpec, after_write: Callable[[int], None] | None = None):
+    def __init__(
+        self,
+        target: TableSpec,
+        after_write: Callable[[int], None] | None = None,
+        unique: bool = False,
+    ):
         self.target = target
+        self.unique = unique
         self.after_write = after_write
         self.reports: list[BatchReport] = []
 
     def __call__(self, rows: DataFrame, batch_id: int) -> None:
         stream = rows.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
         try:
-            report = store_micro_batch(self.target, rows, stream, batch_id)
+            report = store_micro_batch(self.target, rows, stream, batch_id, self.unique)
         except Exception:
             log.exception("batch %d for %s failed", batch_id, self.target.name)
             raise

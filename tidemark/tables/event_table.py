@@ -138,17 +138,24 @@ def write_partition(
 
 
 def ingest_day(rows: DataFrame) -> date | None:
-    """The ingest date all rows of a stamped batch bear; None if there are none.
+    """The ingest date of a row of a stamped batch; None if there is no row."""
+    row = rows.select(INGEST_DATE).head()
+    if row is not None and row[0] is None:
+        raise ValueError("a row of the batch bears no ingest date")
+    return row and row[0]
 
-    Rows of several dates, or of none, are an error: they belong in several batches.
+
+def of_one_day(rows: DataFrame, day: date) -> DataFrame:
+    """The rows, which fail to be written if one bears another ingest date than ``day``.
+
+    Rows of several dates belong in several batches. Where the date is a constant, as in a
+    stream, the check is made once, before the rows are read.
     """
-    date_column = F.col(INGEST_DATE)
-    first, last, n, dated = rows.agg(
-        F.min(date_column), F.max(date_column), F.count(F.lit(1)), F.count(date_column)
-    ).first()
-    if first != last or n != dated:
-        raise ValueError(f"a batch bears ingest dates from {first} to {last}, {n - dated} rows none")
-    return first
+    given = F.coalesce(F.col(INGEST_DATE).cast("string"), F.lit("none"))
+    wrong = F.raise_error(F.concat(F.lit(f"ingest date {day} expected, found "), given))
+    return rows.filter(
+        F.when(F.col(INGEST_DATE).eqNullSafe(F.lit(day)), True).otherwise(wrong.cast("boolean"))
+    )
 
 
 def store_batch(
@@ -158,7 +165,7 @@ def store_batch(
     if not spark.catalog.tableExists(target.name):
         log.info("creating table %s", target.name)
         create_table(spark, target, rows.schema)
-    fitted = fit_columns(spark, target, rows)
+    fitted = fit_columns(spark, target, of_one_day(rows, day))
     write_partition(spark, target.name, fitted, day, stream, batch_id)
 
 

@@ -4,13 +4,13 @@ Every micro-batch owns a partition, so a table gathers thousands of them a day.
 Days that no stream writes to any more are copied to a second table with one
 partition per day. A view reads closed days there and open days from the live
 table; replacing it is the one step that readers see. Afterwards the closed
-partitions of the live table can be dropped.
+partitions of the live table can be dropped. Rows that come late for a closed day
+are seen from the next run of ``close_days`` on.
 """
 
 from datetime import date
-from urllib.parse import unquote
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.decode import INGEST_DATE
@@ -27,6 +27,10 @@ from tidemark.tables.event_table import (
 )
 
 CLOSED_BEFORE = "tidemark.closed_before"
+OWNER = (INGEST_DATE, STREAM, BATCH)
+
+# A write replaces the days it has rows of, and those alone, when its job commits.
+DAYS_ALONE = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
 
 # Pack small files into splits by their size, and use no more splits than it
 # takes, however many cores the cluster has.
@@ -36,16 +40,12 @@ FULL_SPLITS = {
 }
 
 
-def _partitions(spark: SparkSession, table: str, before: date) -> dict[date, list[dict[str, str]]]:
-    """The partitions of each day before ``before``, from the catalog alone."""
+def _days(spark: SparkSession, table: str, before: date) -> list[date]:
+    """The days before ``before`` that a table has partitions of, from the catalog alone."""
     day = F.regexp_extract("partition", f"{INGEST_DATE}=([^/]+)", 1)
-    shown = spark.sql(f"SHOW PARTITIONS {quoted(table)}").filter(day < str(before))
-    days: dict[date, list[dict[str, str]]] = {}
-    for row in shown.collect():
-        levels = (level.split("=", 1) for level in row["partition"].split("/"))
-        values = {name: unquote(value) for name, value in levels}
-        days.setdefault(date.fromisoformat(values[INGEST_DATE]), []).append(values)
-    return dict(sorted(days.items()))
+    shown = spark.sql(f"SHOW PARTITIONS {quoted(table)}").select(day.alias("day"))
+    found = shown.filter(F.col("day") < str(before)).distinct().collect()
+    return sorted(date.fromisoformat(row["day"]) for row in found)
 
 
 def _match_columns(spark: SparkSession, live: str, closed: str) -> list[str]:
@@ -63,27 +63,62 @@ def _match_columns(spark: SparkSession, live: str, closed: str) -> list[str]:
     return [c for c in spark.table(quoted(closed)).columns if c != INGEST_DATE]
 
 
-def close_days(spark: SparkSession, live: str, closed: str, before: date) -> None:
-    """Copy the days before ``before`` that are not closed yet.
+def _sizes(spark: SparkSession, table: str, days: list[date]) -> DataFrame:
+    """Rows of each micro-batch of some days; reads partition columns or two narrow ones."""
+    rows = current(spark, table).filter(F.col(INGEST_DATE).isin(days))
+    return rows.groupBy(*OWNER).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _compared(spark: SparkSession, live: str, closed: str, days: list[date]) -> DataFrame:
+    """The live micro-batches of some days, and how many rows of each (``held``) are closed."""
+    held = _sizes(spark, closed, days).withColumnRenamed("n", "held")
+    return _sizes(spark, live, days).join(held, list(OWNER), "left")
+
 
-    Nothing is shuffled: a task reads as many small files as make up one full
-    split and writes them as one, sorted by batch, so that reads as of a batch
-    skip row groups. A day is replaced as a whole: running this again after a
-    failure leaves one copy.
+def _close(spark: SparkSession, closed: str, day: date, rows: DataFrame, how: str) -> None:
+    """Write rows of a day to the closed table: a task reads small files that fill a split."""
+    merged = rows.drop(INGEST_DATE).sortWithinPartitions(STREAM, BATCH)
+    with settings(spark, FULL_SPLITS):
+        spark.sql(
+            f"INSERT {how} TABLE {quoted(closed)} "
+            f"PARTITION ({INGEST_DATE}) SELECT *, DATE'{day}' FROM {{merged}}",
+            merged=merged,
+        )
+
+
+def close_days(spark: SparkSession, live: str, closed: str, before: date) -> None:
+    """Copy what the days before ``before`` hold and the closed table does not.
+
+    A day that is closed for the first time is copied without a shuffle: a task reads as
+    many small files as make up one full split and writes them as one, sorted by batch,
+    so that reads as of a batch skip row groups. Micro-batches that came late for a closed
+    day are added to it. One that is there with another number of rows, after a failed run
+    or a replay, takes the place of its rows; the day is then written anew. Running this
+    again after a failure leaves one copy.
     """
-    columns = _match_columns(spark, live, closed)
+    columns = [*_match_columns(spark, live, closed), INGEST_DATE]
     since = closed_before(spark, closed) or date.min
-    for day in _partitions(spark, live, before):
-        if day < since:
-            continue
+    days = _days(spark, live, before)
+    late = [day for day in days if day < since]
+    for day in days[len(late) :]:
         rows = current(spark, live).filter(F.col(INGEST_DATE) == F.lit(day))
-        merged = rows.select(*columns).sortWithinPartitions(STREAM, BATCH)
-        with settings(spark, FULL_SPLITS):
-            spark.sql(
-                f"INSERT OVERWRITE TABLE {quoted(closed)} "
-                f"PARTITION ({INGEST_DATE} = DATE'{day}') SELECT * FROM {{merged}}",
-                merged=merged,
-            )
+        with settings(spark, DAYS_ALONE):
+            _close(spark, closed, day, rows.select(*columns), "OVERWRITE")
+    if late:
+        wrong = _compared(spark, live, closed, late).filter("NOT n <=> held")
+        open_days = wrong.groupBy(INGEST_DATE).agg(F.max(F.col("held").isNotNull()))
+        for day, other in sorted(map(tuple, open_days.collect())):
+            batches = wrong.filter(F.col(INGEST_DATE) == F.lit(day)).select(STREAM, BATCH)
+            of_day = F.col(INGEST_DATE) == F.lit(day)
+            new = current(spark, live).filter(of_day).select(*columns)
+            new = new.join(batches, [STREAM, BATCH], "left_semi").select(*columns)
+            if other:
+                kept = current(spark, closed).filter(of_day).select(*columns)
+                kept = kept.join(batches, [STREAM, BATCH], "left_anti").select(*columns)
+                with settings(spark, DAYS_ALONE):
+                    _close(spark, closed, day, kept.union(new), "OVERWRITE")
+            else:
+                _close(spark, closed, day, new, "INTO")
     if before > since:
         spark.sql(
             f"ALTER TABLE {quoted(closed)} SET TBLPROPERTIES ('{CLOSED_BEFORE}' = '{before}')"
@@ -113,13 +148,16 @@ def history_view(spark: SparkSession, live: str, closed: str, view: str) -> None
 
 
 def drop_closed(spark: SparkSession, live: str, closed: str) -> None:
-    """Drop the live partitions of closed days, once no reader needs them.
+    """Drop the live partitions whose rows the closed table holds, once no reader needs them.
 
-    The files of a table at an explicit location stay; its owner removes them.
+    A late one that ``close_days`` has not copied yet stays. The files of a table at an
+    explicit location stay; its owner removes them.
     """
     first_open = closed_before(spark, closed)
     if first_open is None:
         return
-    for parts in _partitions(spark, live, first_open).values():
-        specs = ", ".join(f"PARTITION ({partition_spec(**part)})" for part in parts)
-        spark.sql(f"ALTER TABLE {quoted(live)} DROP IF EXISTS {specs}")
+    for day in _days(spark, live, first_open):
+        held = _compared(spark, live, closed, [day]).filter("n = held").select(*OWNER)
+        specs = ", ".join(f"PARTITION ({partition_spec(*row)})" for row in held.collect())
+        if specs:
+            spark.sql(f"ALTER TABLE {quoted(live)} DROP IF EXISTS {specs}")
