@@ -2,6 +2,7 @@
 
 import random
 import re
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -291,3 +292,20 @@ def test_words_are_remembered_alike():
     subwords = Subwords(default_vocabulary())
     assert list(subwords.ids(["a", "bcd", "a"])) == list(Subwords(default_vocabulary()).ids(["a", "bcd", "a"]))
     assert subwords.ids([]).tolist() == [subwords.end]
+
+
+def test_short_texts_train_the_model(make):
+    texts = make(*["red green blue", "blue red green", "one two three four five six"] * 10)
+    drawn, trained = (score_texts(texts, replace(SMALL, steps=n)) for n in (0, 200))
+    before, after = ({r["doc_id"]: r["score"] for r in t.collect()} for t in (drawn, trained))
+    assert all(after[i] > before[i] + 1 for i in before)
+
+
+def test_padding_does_not_train():
+    model = Attention(SMALL, SMALL.groups + 1)
+    draw = np.random.default_rng(7)
+    x, t = draw.integers(0, SMALL.groups, (2, 4, 32))
+    counted = np.arange(32) < draw.integers(1, 32, (4, 1))
+    other = np.where(counted, t, 0)
+    (loss, grads), (same, others) = (model.gradients(x, y, counted) for y in (t, other))
+    assert loss == same and all(np.array_equal(grads[k], others[k]) for k in grads)
