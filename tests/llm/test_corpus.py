@@ -12,7 +12,9 @@ from tidemark.llm.components import components
 from tidemark.llm.decontamination import Retrieval, find_leaks
 from tidemark.llm.language_model import (
     Attention,
+    Insides,
     ModelOptions,
+    Scorer,
     Subwords,
     default_vocabulary,
     score_texts,
@@ -309,3 +311,28 @@ def test_padding_does_not_train():
     other = np.where(counted, t, 0)
     (loss, grads), (same, others) = (model.gradients(x, y, counted) for y in (t, other))
     assert loss == same and all(np.array_equal(grads[k], others[k]) for k in grads)
+
+
+def test_subwords_of_one_group_differ_as_context():
+    kinds = np.array([0, 0, 1, 1, 2])
+    model = Attention(ModelOptions(groups=2, dims=8, window=4, steps=300), 5, kinds)
+    # The next group depends on which subword of its group the input is.
+    x = np.array([[4, 0, 2, 0], [4, 1, 3, 1]])
+    t = np.array([[0, 1, 0, 1], [0, 0, 1, 0]])
+    model.train(x, t, np.ones(x.shape, bool), ModelOptions(groups=2, steps=300, batch=8))
+    logits = model.logits(model.hidden(x)["y"])
+    assert (logits.argmax(-1)[:, 1:] == t[:, 1:]).all()
+    assert np.allclose(logits, model.folded().logits(model.folded().hidden(x)["y"]), atol=1e-4)
+
+
+def test_scorer_reads_subwords():
+    group = np.array([0, 0, 1, 1])
+    alone = np.full(4, 0.5)
+    none = (np.zeros(0, np.int64), np.zeros(0))
+    insides = Insides.of(group, alone, np.ones(4, bool), 5.0, none)
+    scorer = Scorer(Attention(SMALL, 5), insides, SMALL)
+    inputs, targets, counted = scorer.cut(np.array([0, 1, 2, 3]))
+    assert inputs[0, :4].tolist() == [4, 0, 1, 2] and targets[0, :4].tolist() == [0, 0, 1, 1]
+    assert counted.sum() == 4
+    one, other = scorer.score([np.array([0, 2, 3]), np.array([1, 2, 3])])
+    assert one != other
