@@ -12,7 +12,6 @@ from tidemark.llm.components import components
 from tidemark.llm.decontamination import Retrieval, find_leaks
 from tidemark.llm.language_model import (
     Attention,
-    Insides,
     ModelOptions,
     Scorer,
     Subwords,
@@ -327,12 +326,27 @@ def test_subwords_of_one_group_differ_as_context():
 
 def test_scorer_reads_subwords():
     group = np.array([0, 0, 1, 1])
-    alone = np.full(4, 0.5)
-    none = (np.zeros(0, np.int64), np.zeros(0))
-    insides = Insides.of(group, alone, np.ones(4, bool), 5.0, none)
-    scorer = Scorer(Attention(SMALL, 5), insides, SMALL)
+    scorer = Scorer(Attention(SMALL, 5), group, SMALL)
     inputs, targets, counted = scorer.cut(np.array([0, 1, 2, 3]))
     assert inputs[0, :4].tolist() == [4, 0, 1, 2] and targets[0, :4].tolist() == [0, 0, 1, 1]
     assert counted.sum() == 4
     one, other = scorer.score([np.array([0, 2, 3]), np.array([1, 2, 3])])
     assert one != other
+
+
+def test_rare_pairs_count_as_well(documents):
+    few, all_of_them = (
+        {(r["doc_id"], r["n_tokens"]): r["score"] for r in score_texts(documents, options).collect()}
+        for options in (replace(SMALL, pairs=50), replace(SMALL, pairs=10**9))
+    )
+    assert few == pytest.approx(all_of_them, rel=1e-9)
+
+
+def test_all_training_rows_train(spark, documents):
+    def mean(options):
+        rows = score_texts(documents.repartition(3), options).filter("held_out").collect()
+        return sum(r["score"] for r in rows) / sum(r["n_tokens"] for r in rows)
+
+    # A sample of next to nothing leaves the weights as drawn, unless all rows train them.
+    sampled = replace(SMALL, sample=1)
+    assert mean(sampled) > mean(replace(sampled, rounds=0)) + 0.05
