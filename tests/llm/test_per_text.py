@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 import string
+import zlib
 from urllib.parse import quote
 
 import pytest
@@ -88,6 +89,30 @@ def test_cycles_and_garbage_end():
     assert find_secrets("A" * 50_000 + "\\uD83D" * 20 + "\\UFFFFFFFF")[1] == []
 
 
+def long_text(draw):
+    """Text that hardly compresses, with a secret at its end."""
+    return "".join(draw.choices(string.ascii_letters + " ", k=300)) + " password=abcdefgh12345"
+
+
+def test_url_safe_base64_is_one_run():
+    draw = random.Random(3)
+    for _ in range(100):
+        hidden = base64.urlsafe_b64encode(zlib.compress(long_text(draw).encode())).decode()
+        assert (0, 4, 4 + len(hidden)) in find_secrets(f"see {hidden} end")[1]
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n", "\n  "])
+@pytest.mark.parametrize("before, after", [("", ""), ("see\n", "\nend"), ("data:", " end")])
+def test_wrapped_base64_is_one_run(newline, before, after):
+    draw = random.Random(4)
+    for encode in (base64.b64encode, base64.urlsafe_b64encode):
+        for pack in (gzip.compress, lambda data: data):
+            coded = encode(pack(long_text(draw).encode())).decode()
+            hidden = newline.join(coded[i : i + 76] for i in range(0, len(coded), 76))
+            found = find_secrets(before + hidden + after)[1]
+            assert (0, len(before), len(before) + len(hidden)) in found
+
+
 # Surrogates
 
 

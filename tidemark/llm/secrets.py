@@ -16,6 +16,7 @@ import re
 import zlib
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from itertools import groupby
 
 import zstandard
 from pyspark.sql import DataFrame
@@ -35,7 +36,18 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPES = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\[uUx]([0-9A-Fa-f]+?)(?=\\|$)")
-BASE64 = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}|[A-Za-z0-9_-]{16,}={0,2}")
+BASE64 = (
+    re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}"),
+    re.compile(r"[A-Za-z0-9+/]{16,}={0,2}|[A-Za-z0-9_-]{16,}={0,2}"),
+    re.compile(r"[A-Za-z0-9_-]{16,}={0,2}"),
+)
+# Lines of base64, the first of which may begin within a line and the last may end in one.
+WRAPPED = re.compile(
+    r"(?:[A-Za-z0-9+/_-]{16,}|[A-Za-z0-9+/_-]+\r?\n[\x20\t]*[A-Za-z0-9+/_-]{16,})"
+    r"(?:\r?\n[\x20\t]*[A-Za-z0-9+/_-]+)*(?:(?:\r?\n[\x20\t]*)?={1,2})?"
+)
+LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+BREAKS = re.compile(r"\s+")
 
 # A decompressed layer is scanned up to this size, which bounds memory: 64 MiB take
 # at least 87,000 characters of base64 in one run.
@@ -151,6 +163,34 @@ def rewritten(layer: Layer, pattern: re.Pattern, decode: Callable[[str], str | N
     return Layer("".join(parts), lambda s, e: layer.place(starts[s], ends[e - 1]))
 
 
+def base64_spans(text: str) -> set[tuple[int, int]]:
+    """Where a text may hold base64: runs over both alphabets and over each, and lines of it.
+
+    Lines of one width belong together, with the end of the line before them, the start
+    of the line after them if that is shorter, both, or neither.
+    """
+    found = {m.span() for pattern in BASE64 for m in pattern.finditer(text)}
+    if "\n" not in text:
+        return found
+    for match in WRAPPED.finditer(text):
+        lines = [m.span() for m in LINE.finditer(text, *match.span())]
+        if len(lines) < 2:
+            continue
+        found.add(match.span())
+        sizes = [b - a for a, b in lines]
+        ends = [*(b for _, b in lines[:-1]), match.end()]
+        at = 0
+        for size, group in groupby(sizes):
+            after = at + len(list(group))
+            shorter = after < len(sizes) and sizes[after] < size
+            for first in {at, max(0, at - 1)}:
+                for last in {after, after + shorter}:
+                    if size >= 16 and last - first > 1:
+                        found.add((lines[first][0], ends[last - 1]))
+            at = after
+    return found
+
+
 def inner_layers(layer: Layer) -> list[Layer]:
     """Everything that decodes in a layer, one step down."""
     found = []
@@ -158,9 +198,9 @@ def inner_layers(layer: Layer) -> list[Layer]:
         found.append(rewritten(layer, PERCENT, decode_percent))
     if "\\" in layer.text:
         found.append(rewritten(layer, ESCAPES, decode_escapes))
-    for match in BASE64.finditer(layer.text):
-        if (text := decode_base64(match[0])) is not None:
-            span = layer.place(*match.span())
+    for start, end in base64_spans(layer.text):
+        if (text := decode_base64(BREAKS.sub("", layer.text[start:end]))) is not None:
+            span = layer.place(start, end)
             found.append(Layer(text, lambda s, e, span=span: span))
     return [x for x in found if x is not None]
 
