@@ -1,8 +1,10 @@
 """Operators that judge each text by itself."""
 
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import random
 import re
 import string
@@ -12,6 +14,7 @@ from urllib.parse import quote
 import pytest
 import zstandard
 
+from tidemark.llm import secrets
 from tidemark.llm.quality_rules import QualityRules, judge, quality_rules
 from tidemark.llm.queries import PII_KEY, URL_RULES
 from tidemark.llm.rule_ensemble import fit_rules, score_quality, train_quality
@@ -113,6 +116,48 @@ def test_wrapped_base64_is_one_run(newline, before, after):
             assert (0, len(before), len(before) + len(hidden)) in found
 
 
+PACKERS = [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress]
+
+
+@pytest.mark.parametrize("pack", PACKERS)
+def test_all_members_are_read(pack):
+    whole = pack(b"first part") + pack("zweiter Teil mit \u00fc ".encode()) + pack(b"password=abcdefgh12345")
+    for data in (whole, pack(whole), whole + b"\0\0"):
+        hidden = base64.b64encode(data).decode()
+        assert find_secrets(f"see {hidden} end")[1] == [(0, 4, 4 + len(hidden))]
+
+
+def test_long_layers_are_read_to_their_end():
+    text = "\u00e9" * 2**25 + "x, password=abcdefgh12345"
+    hidden = base64.b64encode(gzip.compress(gzip.compress(text.encode()))).decode()
+    assert (0, 4, 4 + len(hidden)) in find_secrets(f"see {hidden} end")[1]
+
+
+@pytest.mark.parametrize("pack", PACKERS)
+@pytest.mark.parametrize("filler", ["\u00e9", "A", "word "])
+def test_parts_of_long_layers(monkeypatch, pack, filler):
+    for name, size in (("CHUNK", 2**12), ("LONGEST", 2**14), ("OVERLAP", 2**8)):
+        monkeypatch.setattr(secrets, name, size)
+    text = filler * 20_000 + " password=abcdefgh12345"
+    hidden = base64.b64encode(pack(pack(text.encode()))).decode()
+    assert (0, 4, 4 + len(hidden)) in find_secrets(f"see {hidden} end")[1]
+
+
+def test_parts_cut_no_match(monkeypatch):
+    draw = random.Random(5)
+    monkeypatch.setattr(secrets, "CHUNK", 50)
+    for _ in range(200):
+        inner = base64.b64encode(b"token: ijklmnop1234").decode()
+        words = draw.choices(["ab", "x, y", "12"], k=80) + ["password  =  abcdefgh12345", inner, HEX]
+        draw.shuffle(words)
+        hidden = base64.b64encode(gzip.compress(" ".join(words).encode())).decode()
+        span = (0, len(hidden))
+        assert sorted(find_secrets(hidden)[1]) == [(0, *span), (2, *span)]
+        pieces = list(secrets.decoded(gzip.compress(" ".join(words).encode())))
+        found = [secrets.find_secrets(p)[1] for p in secrets.in_parts(pieces)]
+        assert sorted(k for part in found for k, _, _ in part) == [0, 0, 2]
+
+
 # Surrogates
 
 

@@ -10,13 +10,14 @@ a layer are mapped to the characters of the text that it came from.
 import base64
 import binascii
 import bz2
+import codecs
 import hashlib
 import lzma
 import re
 import zlib
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
-from itertools import groupby
+from itertools import chain, groupby
 
 import zstandard
 from pyspark.sql import DataFrame
@@ -49,9 +50,14 @@ WRAPPED = re.compile(
 LINE = re.compile(r"[A-Za-z0-9+/_-]+")
 BREAKS = re.compile(r"\s+")
 
-# A decompressed layer is scanned up to this size, which bounds memory: 64 MiB take
-# at least 87,000 characters of base64 in one run.
-MOST_BYTES = 64 * 2**20
+# Bytes that are decompressed at a time. Longer content is scanned in parts of about this
+# size, cut where no pattern can go on; a part without such a place grows to ``LONGEST``
+# characters, and shares ``OVERLAP`` with the next one.
+CHUNK = 2**21
+LONGEST = 2**26
+OVERLAP = 2**16
+# A character of no pattern, or a space between words: nothing above spans these.
+APART = re.compile(r"[^A-Za-z0-9+/_=.%\\\"':\s-]|(?<=[A-Za-z0-9])\x20(?=[A-Za-z0-9])")
 
 Span = tuple[int, int, int]
 
@@ -67,49 +73,176 @@ def scan(text: str) -> list[Span]:
 
 @dataclass(frozen=True)
 class Layer:
-    """A text, and the span of the document from which a span of it was decoded."""
+    """A text, and the span of the document from which a span of it was decoded.
+
+    With ``whole`` that is the same for all spans.
+    """
 
     text: str
     place: Callable[[int, int], tuple[int, int]]
+    whole: bool = False
 
 
-def printable(data: bytes) -> str | None:
-    """The text that bytes hold; None if they are not text."""
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    odd = sum(c < " " and c not in "\t\n\r\f\v" for c in text)
-    return None if odd or not text else text
+def odd(text: str) -> bool:
+    """Whether a text has characters that no text has."""
+    return any(c < " " and c not in "\t\n\r\f\v" for c in set(text))
 
 
-def inflate(data: bytes) -> bytes | None:
-    """The content of compressed bytes, up to ``MOST_BYTES``; None if they are not compressed."""
-    try:
-        if data[:2] == b"\x1f\x8b":
-            return zlib.decompressobj(31).decompress(data, MOST_BYTES)
-        if data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
-            return zlib.decompressobj().decompress(data, MOST_BYTES)
-        if data[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(data, MOST_BYTES)
-        if data[:6] == b"\xfd7zXZ\x00":
-            return lzma.LZMADecompressor(memlimit=2**27).decompress(data, MOST_BYTES)
-        if data[:4] == b"\x28\xb5\x2f\xfd":
-            with zstandard.ZstdDecompressor(max_window_size=2**27).stream_reader(data) as reader:
-                return reader.read(MOST_BYTES)
-    except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zstandard.ZstdError):
-        return None
+class Source:
+    """Bytes that come in pieces, as a file."""
+
+    def __init__(self, pieces: Iterable[bytes]):
+        self.pieces = iter(pieces)
+        self.held = b""
+
+    def peek(self, size: int) -> bytes:
+        """The next bytes, fewer only at the end."""
+        parts, n = [self.held], len(self.held)
+        while n < size and (piece := next(self.pieces, None)) is not None:
+            parts.append(piece)
+            n += len(piece)
+        self.held = b"".join(parts)
+        return self.held[:size]
+
+    def read(self, size: int) -> bytes:
+        found = self.peek(size)
+        self.held = self.held[len(found) :]
+        return found
+
+
+def opener(head: bytes) -> Callable[[], object] | None:
+    """What makes the decompressor for bytes that begin so; None if they are not compressed."""
+    if head[:2] == b"\x1f\x8b":
+        return lambda: zlib.decompressobj(31)
+    if head[:1] == b"\x78" and len(head) > 2 and int.from_bytes(head[:2], "big") % 31 == 0:
+        return zlib.decompressobj
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor
+    if head[:6] == b"\xfd7zXZ\x00":
+        return lambda: lzma.LZMADecompressor(memlimit=2**27)
+    if head[:4] == b"\x28\xb5\x2f\xfd":
+        return lambda: zstandard.ZstdDecompressor(max_window_size=2**27)
     return None
 
 
-def unpack(data: bytes) -> str | None:
-    """The text in bytes that may be compressed several times over; None if there is none."""
-    while (inner := inflate(data)) is not None and inner != data:
-        data = inner
-    return printable(data)
+def member(source: Source, tool: object) -> Iterator[bytes]:
+    """The content of one member, in pieces of at most ``CHUNK``; the source is left behind it."""
+    if isinstance(tool, zstandard.ZstdDecompressor):
+        # Blocks hold 128 KiB at most, so a few bytes at a time give pieces of bounded size.
+        tool = tool.decompressobj()
+        while not tool.eof and (piece := source.read(64)):
+            yield tool.decompress(piece)
+        source.held = tool.unused_data + source.held
+        return
+    rest = b""
+    while not tool.eof:
+        full = not rest and getattr(tool, "needs_input", True)
+        given = source.read(CHUNK) if full else rest
+        if full and not given:
+            # At the end of the input, what the decompressor still holds.
+            if found := tool.decompress(b"", CHUNK):
+                yield found
+                continue
+            return
+        found = tool.decompress(given, CHUNK)
+        rest = getattr(tool, "unconsumed_tail", b"")
+        yield found
+    source.held = tool.unused_data + source.held
+
+
+def inflate(source: Source) -> Iterator[bytes]:
+    """The content of all members of compressed bytes, one after another.
+
+    Input that ends early gives what there is. What follows the last member, be it padding
+    or broken, is left out; an error within the first one is raised.
+    """
+    first = True
+    while (make := opener(source.peek(6))) is not None:
+        try:
+            yield from member(source, make())
+        except BROKEN:
+            if first:
+                raise
+            return
+        first = False
+
+
+BROKEN = (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zstandard.ZstdError)
+
+
+def plain_bytes(data: bytes) -> Iterator[bytes]:
+    """The content of bytes that may be compressed several times over, in pieces."""
+    source = Source([data])
+    seen = set()
+    while opener(source.peek(6)) is not None:
+        inner = Source(inflate(source))
+        head = hashlib.sha256(inner.peek(CHUNK)).digest()
+        # Content that is its own content again has no text.
+        if head in seen:
+            raise ValueError("compressed data without end")
+        seen.add(head)
+        source = inner
+    while piece := source.read(CHUNK):
+        yield piece
+
+
+def decoded(data: bytes) -> Iterator[str]:
+    """The text of bytes in pieces; an error if they are not text."""
+    decoder = codecs.getincrementaldecoder("utf-8")()
+    for piece in plain_bytes(data):
+        yield decoder.decode(piece)
+    yield decoder.decode(b"", final=True)
+
+
+def in_parts(pieces: Iterable[str]) -> Iterator[str]:
+    """A text in parts of about ``CHUNK`` characters, cut where no pattern goes on."""
+    held, known = "", 0
+    for piece in pieces:
+        held += piece
+        if len(held) <= CHUNK:
+            continue
+        if place := last_apart(held, known):
+            yield held[:place]
+            held = held[place:]
+        elif len(held) > LONGEST:
+            yield held
+            held = held[-OVERLAP:]
+        # What is left has no such place, but at its end.
+        known = max(0, len(held) - 1)
+    if held:
+        yield held
+
+
+def last_apart(text: str, start: int) -> int:
+    """Where the last place after ``start`` ends at which a text can be cut; 0 if there is none."""
+    size = 256
+    while True:
+        begin = max(start, len(text) - size)
+        if places := [m.end() for m in APART.finditer(text, begin)]:
+            return places[-1]
+        if begin == start:
+            return 0
+        size *= 4
+
+
+def unpack(data: bytes) -> Iterator[str] | None:
+    """The text in bytes that may be compressed several times over; None if there is none.
+
+    Text of up to ``CHUNK`` bytes is one part. All of it is looked through before the
+    first part comes, so bytes that are not text have no part that is.
+    """
+    try:
+        size = 0
+        for text in decoded(data):
+            if odd(text):
+                return None
+            size += len(text)
+    except BROKEN:
+        return None
+    return in_parts(decoded(data)) if size else None
 
 
-def decode_base64(run: str) -> str | None:
+def decode_base64(run: str) -> Iterator[str] | None:
     plain = run.rstrip("=").replace("-", "+").replace("_", "/")
     if len(plain) % 4 == 1:
         return None
@@ -119,8 +252,17 @@ def decode_base64(run: str) -> str | None:
         return None
 
 
+def percent_bytes(run: str) -> bytes:
+    return bytes.fromhex(run.replace("%", ""))
+
+
 def decode_percent(run: str) -> str | None:
-    return unpack(bytes.fromhex(run.replace("%", "")))
+    """The text of a run if it is one part; more parts are layers of their own."""
+    parts = unpack(percent_bytes(run))
+    if parts is None:
+        return None
+    first = next(parts)
+    return first if next(parts, None) is None else None
 
 
 def decode_escapes(run: str) -> str | None:
@@ -144,6 +286,9 @@ def rewritten(layer: Layer, pattern: re.Pattern, decode: Callable[[str], str | N
             continue
         begin, end = match.span()
         parts += text[at:begin], decoded
+        if layer.whole:
+            at = end
+            continue
         starts += range(at, begin)
         ends += range(at + 1, begin + 1)
         # Characters that one escape each gave keep their place, others have the whole run.
@@ -158,6 +303,8 @@ def rewritten(layer: Layer, pattern: re.Pattern, decode: Callable[[str], str | N
     if not parts:
         return None
     parts.append(text[at:])
+    if layer.whole:
+        return Layer("".join(parts), layer.place, True)
     starts += range(at, len(text))
     ends += range(at + 1, len(text) + 1)
     return Layer("".join(parts), lambda s, e: layer.place(starts[s], ends[e - 1]))
@@ -191,36 +338,50 @@ def base64_spans(text: str) -> set[tuple[int, int]]:
     return found
 
 
-def inner_layers(layer: Layer) -> list[Layer]:
+def inner_layers(layer: Layer) -> Iterator[Layer]:
     """Everything that decodes in a layer, one step down."""
+    text = layer.text
     found = []
-    if "%" in layer.text:
+    if "%" in text:
         found.append(rewritten(layer, PERCENT, decode_percent))
-    if "\\" in layer.text:
+    if "\\" in text:
         found.append(rewritten(layer, ESCAPES, decode_escapes))
-    for start, end in base64_spans(layer.text):
-        if (text := decode_base64(BREAKS.sub("", layer.text[start:end]))) is not None:
+    yield from (x for x in found if x is not None)
+    for start, end in base64_spans(text):
+        if (parts := decode_base64(BREAKS.sub("", text[start:end]))) is not None:
             span = layer.place(start, end)
-            found.append(Layer(text, lambda s, e, span=span: span))
-    return [x for x in found if x is not None]
+            yield from (Layer(part, lambda s, e, span=span: span, True) for part in parts)
+    for match in PERCENT.finditer(text) if "%" in text else ():
+        data = percent_bytes(match[0])
+        if opener(data[:6]) and (parts := unpack(data)) is not None:
+            span = layer.place(*match.span())
+            first, second = next(parts), next(parts, None)
+            if second is not None:
+                yield from (
+                    Layer(part, lambda s, e, span=span: span, True)
+                    for part in chain([first, second], parts)
+                )
 
 
 def find_secrets(text: str) -> tuple[list[Span], list[Span]]:
     """Spans of the text itself, and all spans with those below encodings."""
     base = scan(text)
     found = set(base)
-    worklist = [Layer(text, lambda s, e: (s, e))]
+    # Layers come one at a time, so of a long content one part is held for each depth.
+    worklist = [inner_layers(Layer(text, lambda s, e: (s, e)))]
     seen = set()
     while worklist:
-        layer = worklist.pop()
-        for inner in inner_layers(layer):
-            size = len(inner.text)
-            key = (hashlib.sha256(inner.text.encode("utf-8", "surrogatepass")).digest(),)
-            key += inner.place(0, size)
-            if key not in seen:
-                seen.add(key)
-                found.update((k, *inner.place(s, e)) for k, s, e in scan(inner.text))
-                worklist.append(inner)
+        inner = next(worklist[-1], None)
+        if inner is None:
+            worklist.pop()
+            continue
+        size = len(inner.text)
+        key = (hashlib.sha256(inner.text.encode("utf-8", "surrogatepass")).digest(),)
+        key += inner.place(0, size)
+        if key not in seen:
+            seen.add(key)
+            found.update((k, *inner.place(s, e)) for k, s, e in scan(inner.text))
+            worklist.append(inner_layers(inner))
     return base, list(found)
 
 
