@@ -62,6 +62,28 @@ def test_bands_reject_repetition_and_noise():
     assert not verdict(noise)
 
 
+@pytest.mark.parametrize("size", [300, 400, 500, 700, 1000, 1500, 2000])
+def test_bands_reject_short_alphanumeric_noise(size):
+    draw = random.Random(size)
+    verdict = lambda t: judge(t, QualityRules(min_words=1), zstandard.ZstdCompressor(level=3))[-1]
+    for _ in range(50):
+        assert not verdict(noise(draw, size))
+
+
+def noise(draw, size):
+    words = ("".join(draw.choices(string.ascii_letters + string.digits, k=draw.randint(3, 9))) for _ in range(size))
+    return " ".join(words)[:size]
+
+
+def test_junk_in_a_long_clean_text_shows():
+    draw = random.Random(6)
+    known = ["".join(draw.choices(string.ascii_lowercase, k=draw.randint(2, 8))) for _ in range(3000)]
+    clean = " ".join(draw.choices(known, k=8000))
+    verdict = lambda t: judge(t, QualityRules(), zstandard.ZstdCompressor(level=3))[-1]
+    assert verdict(clean)
+    assert not verdict(clean[:20_000] + " " + noise(draw, 10_000) + " " + clean[20_000:])
+
+
 # Secrets
 
 
