@@ -7,7 +7,7 @@ from dataclasses import replace
 import numpy as np
 import pytest
 
-from tidemark.llm import simhash
+from tidemark.llm import simhash, substring_dedup
 from tidemark.llm.components import components
 from tidemark.llm.decontamination import Retrieval, find_leaks
 from tidemark.llm.language_model import (
@@ -144,6 +144,27 @@ def test_substrings_agree_with_brute_force(make):
         assert {r["doc_id"]: r["kept_text"] for r in found} == want
 
 
+def test_large_buckets_are_split(make, monkeypatch):
+    draw = random.Random(8)
+    passage = [f"p{i}" for i in range(20)]
+    texts = [" ".join([f"a{i}", *passage, f"b{i}", *draw.choices("xy", k=14)]) for i in range(200)]
+    docs = make(*texts).repartition(3).localCheckpoint()
+    want = removed(list(enumerate(texts)), 13)
+    for name, value in (("HOT", 10), ("SAMPLE", 1)):
+        monkeypatch.setattr(substring_dedup, name, value)
+    found = dedup_substrings(docs).collect()
+    assert {r["doc_id"]: r["kept_text"] for r in found} == want
+
+    def largest(hot):
+        blocks = substring_dedup.pack_rows(docs, 13, 3, 1, hot).collect()
+        rows = substring_dedup.from_blocks([bytes(r["block"]) for r in blocks])
+        kept = rows.filter(rows["packed"].is_valid())["bucket"].to_pylist()
+        return max(map(kept.count, set(kept)))
+
+    assert largest(frozenset()) > 100
+    assert largest(substring_dedup.hot_buckets(docs, 13, 3)) <= 20
+
+
 def test_substrings_of_odd_rows(odd, empty):
     rows = dedup_substrings(odd).collect()
     assert len(rows) == odd.count()

@@ -9,11 +9,17 @@ together and the smallest id of each is found exactly.
 The rows that a slice of an Arrow batch has for one bin of buckets travel as a single
 compressed block. A passage that very many documents share is folded before it travels:
 of the rows of one slice with the same packed string, only the smallest id goes to the
-bucket. The others are known to be covered already. So a bucket gets at most one row
-per slice and string.
+bucket. The others are known to be covered already, and travel by their id. So a bucket gets
+at most one row per slice and string.
+
+Where neighbouring words differ, so do the packed strings of a shared passage. Buckets
+that a sample shows to be large are therefore not used: their windows travel one by one
+to buckets of their own hash, folded in the same way. That is exact, whatever the sample
+says, since all windows of one minimiser take the same way.
 """
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import groupby
@@ -37,6 +43,10 @@ MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 BIN_CHARS = 4_000_000
 LEVEL = 6
 SLICE_BYTES = 6_000_000
+# Rows from which on a bucket counts as large, and of how many documents one is in the
+# sample that tells.
+HOT = 50_000
+SAMPLE = 32
 # Bytes of a text whose words are hashed at a time.
 HASHED_BYTES = 1 << 20
 # Upper half of a place: which text of the id, should rows with one id differ in it.
@@ -147,25 +157,66 @@ def in_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, rows)
 
 
-def pack_rows(docs: DataFrame, window: int, gram: int, bins: int) -> DataFrame:
+def folded(
+    batch: pa.RecordBatch, window: int, gram: int
+) -> Iterator[tuple[int, bytes | None, int, int, int, dict[bytes, int]]]:
+    """(bucket, words, doc, place, windows) of a slice's super-k-mers by doc, and the smallest
+    doc of each string so far; no words if a smaller one has them."""
+    first: dict[bytes, int] = {}
+    pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+    for doc, text in sorted((d, t) for d, t in pairs if d is not None and t):
+        number = text_number(text) << TEXT_SHIFT
+        for bucket, start, count, packed in super_kmers(single_spaced(text), window, gram):
+            known = first.setdefault(packed, doc) < doc
+            yield bucket, None if known else packed, doc, number | start, count, first
+
+
+def hot_buckets(docs: DataFrame, window: int, gram: int) -> frozenset[int]:
+    """Minimisers that get about ``HOT`` rows or more, judged by a sample of the documents."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches):
+            rows = folded(batch, window, gram)
+            found = Counter(bucket for bucket, packed, *_ in rows if packed is not None)
+            columns = [pa.array(list(c), pa.int64()) for c in (found.keys(), found.values())]
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "n"])
+
+    sample = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0).select("doc_id", "text")
+    sums = sample.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    return frozenset(r["bucket"] for r in sums.filter(F.col("n") * SAMPLE >= HOT).collect())
+
+
+def pack_rows(
+    docs: DataFrame, window: int, gram: int, bins: int, hot: frozenset[int] = frozenset()
+) -> DataFrame:
     """(bin, block): super-k-mers as rows of ``ROWS``, one block for each slice and bin.
 
     A row without a packed string is a mark: windows that are known to be in a document
-    with a smaller id. Buckets that share 32 bits and a bin are taken together, which
+    with a smaller id. Windows of ``hot`` buckets are rows of their own, in the bucket of
+    their hash. Buckets that share 32 bits and a bin are taken together, which
     is harmless, since windows are compared in full.
     """
 
+    shared = docs.sparkSession.sparkContext.broadcast(hot)
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot = shared.value
         for batch in in_slices(batches):
-            first: dict[bytes, int] = {}
             rows = []
-            pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            for doc, text in sorted((d, t) for d, t in pairs if d is not None and t):
-                number = text_number(text) << TEXT_SHIFT
-                kmers = super_kmers(single_spaced(text), window, gram)
-                for bucket, start, count, packed in kmers:
-                    known = first.setdefault(packed, doc) < doc
-                    rows.append((bucket, None if known else packed, doc, number | start, count))
+            for bucket, packed, doc, place, count, first in folded(batch, window, gram):
+                if packed is None:
+                    rows.append((doc, None, doc, place, count))
+                elif bucket not in hot:
+                    rows.append((bucket, packed, doc, place, count))
+                else:
+                    words = packed.split(b" ")
+                    for at in range(count):
+                        part = b" ".join(words[at : at + window])
+                        if first.setdefault(part, doc) < doc:
+                            rows.append((doc, None, doc, place + at, 1))
+                        else:
+                            own = xxhash.xxh64_intdigest(part, SEED) - 2**63
+                            rows.append((own, part, doc, place + at, 1))
             if not rows:
                 continue
             buckets, *others = zip(*rows)
@@ -291,7 +342,8 @@ def dedup_substrings(
     and never against one another.
     """
     size = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    marks = find_marks(pack_rows(docs, window, gram, 1 + size // BIN_CHARS), window)
+    hot = hot_buckets(docs, window, gram) if size > HOT else frozenset()
+    marks = find_marks(pack_rows(docs, window, gram, 1 + size // BIN_CHARS, hot), window)
     lists = marks.groupBy(F.col("doc").alias("_doc")).agg(
         F.collect_list(F.struct("place", "windows")).alias("marks")
     )
