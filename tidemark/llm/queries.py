@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.decontamination import find_leaks
 from tidemark.llm.language_model import score_texts
 from tidemark.llm.mixing import mix_sources
+from tidemark.llm.packing import pack_documents
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.rule_ensemble import score_quality, train_quality
 from tidemark.llm.secrets import scan_secrets
@@ -161,3 +162,17 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIG
            lambda w, i: places IS NULL OR NOT list_contains(places, i)), ' ')) AS kept_sha256
 FROM worded LEFT JOIN gone USING (doc_id)
 """
+
+
+@query
+def op12_pack_sequences(spark, sf_dir):
+    """Pieces of every document, packed into sequences of 2048 tokens."""
+    return pack_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
