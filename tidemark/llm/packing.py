@@ -42,6 +42,8 @@ REMEMBERED = 80 << 20
 ENTRY = 180
 SPACE = re.compile(r"[\x09-\x0D\x20]")
 ID_BYTES = 4
+LETTERS, MARKS = "abcdefghijklmnopqrstuvwxyz", ".,;:!?"
+PLAIN = re.compile("([a-z]+)([.,;:!?]*)")
 # Tokens that leave a task in one Arrow batch, about.
 BATCH_TOKENS = 1 << 20
 # Tails that are packed in one task.
@@ -101,12 +103,37 @@ class Subwords:
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.size = 0
+        self.plain = self._leaves_plain_words()
+
+    def _leaves_plain_words(self) -> bool:
+        """Whether this vocabulary cuts words between letters and marks, and nowhere else."""
+        steps = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        if None in steps:
+            return False
+        text = steps[0].normalize_str(f"{LETTERS}{MARKS}")
+        return [part for part, _ in steps[1].pre_tokenize_str(text)] == [LETTERS, MARKS]
+
+    def _part(self, part: str) -> bytes:
+        """The ids of letters or marks alone, which nothing cuts or changes before the model."""
+        ids = self.known.get(part) or self.older.get(part)
+        if ids is None:
+            ids = array("I", [t.id for t in self.tokenizer.model.tokenize(part)]).tobytes()
+            self.known[part] = ids
+        return ids
 
     def _learn(self, words: list[str]) -> None:
-        new = [w for w in words if w not in self.older]
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.known.update((w, array("I", e.ids).tobytes()) for w, e in zip(new, found))
-        self.known.update((w, self.older[w]) for w in words if w in self.older)
+        """Remember these words. Most are letters and marks, which need the model alone."""
+        odd: list[str] = []
+        for word in words:
+            if ids := self.older.get(word):
+                self.known[word] = ids
+            elif self.plain and (cut := PLAIN.fullmatch(word)):
+                letters, marks = cut.groups()
+                self.known[word] = self._part(letters) + (self._part(marks) if marks else b"")
+            else:
+                odd.append(word)
+        found = self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)
+        self.known.update((w, array("I", e.ids).tobytes()) for w, e in zip(odd, found))
         self.size += sum(map(len, words)) + ENTRY * len(words)
 
     def _of_texts(self, texts: pa.Array) -> Iterator[bytes]:
