@@ -20,7 +20,6 @@ from tidemark.tables.event_table import (  # noqa: E402
     TableSpec,
     create_namespace,
     current,
-    ingest_day,
     store_batch,
 )
 
@@ -50,9 +49,8 @@ def main():
 
     # Tasks fail after the shuffle, while files are written.
     rows = stamp(payment_run(spark, 10, 500, AT).select("event_id"), AT).repartition(4)
-    day = ingest_day(rows)
     store_batch(
-        spark, TableSpec("flaky.write"), rows.mapInArrow(fail_half_way, rows.schema), day, "s", 0
+        spark, TableSpec("flaky.write"), rows.mapInArrow(fail_half_way, rows.schema), "s", 0
     )
 
     def counts(table):

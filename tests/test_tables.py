@@ -1,3 +1,4 @@
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -5,19 +6,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField
 
 from tidemark.operators.decode import stamp
+from tidemark.operators.revenue import latency_quantiles
+from tidemark.session import settings
 from tidemark.tables.event_table import (
     TableSpec,
     add_columns,
     as_of_batch,
     as_of_time,
+    batch_list,
     create_table,
-    ingest_day,
     read_table,
     store_batch,
 )
 from tidemark.tables.upkeep import close_days, closed_before, drop_closed, history_view
 
 DAY = datetime(2024, 3, 1, 12)
+MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def rows(spark, start, end, at=DAY):
@@ -28,7 +32,7 @@ def rows(spark, start, end, at=DAY):
 
 
 def store(spark, spec, frame, batch_id, stream="s"):
-    store_batch(spark, spec, frame, ingest_day(frame), stream, batch_id)
+    return store_batch(spark, spec, frame, stream, batch_id)
 
 
 def count(spark, spec):
@@ -57,7 +61,7 @@ def test_failed_rewrite_keeps_the_stored_batch(spark, table):
     store(spark, spec, stored, 0)
     broken = stored.mapInArrow(fail, stored.schema)
     with pytest.raises(Exception, match="lost"):
-        store_batch(spark, spec, broken, DAY.date(), "s", 0)
+        store(spark, spec, broken, 0)
     assert read_table(spark, table).count() == 10
 
 
@@ -152,16 +156,61 @@ def test_as_of(spark, table):
     assert "ingestion_date" in partition_filters(as_of_time(spark, table, DAY))
 
 
-def test_write_sorts_only_to_deduplicate(spark, table):
-    """All partition values are fixed, so the write itself needs no sort."""
-    spec = three_days(spark, table)
-    frame = rows(spark, 0, 10).drop("ingestion_date")
-    plan = spark.sql(
-        f"EXPLAIN INSERT OVERWRITE TABLE {spec.name} PARTITION (ingestion_date = DATE'2024-01-01', "
-        "_stream = 's', _batch_id = 9) SELECT * FROM {frame}",
-        frame=frame,
-    ).first()[0]
-    assert "InsertIntoHadoopFsRelationCommand" in plan and "Sort" not in plan
+def test_loaders_side_by_side_in_one_session(spark, table):
+    """Threads that write batches of one day and stream, new and again, destroy nothing."""
+    spec = TableSpec(table)
+    for n in range(4):
+        store(spark, spec, rows(spark, n * 10, n * 10 + 10), n)
+    before = {k: spark.conf.get(k, None) for k in (MODE, "spark.sql.shuffle.partitions")}
+    with ThreadPoolExecutor(6) as pool:
+        for _ in range(2):
+            list(pool.map(lambda n: store(spark, spec, rows(spark, n * 10, n * 10 + 10), n), range(6)))
+    assert sorted(r["n"] for r in spark.table(table).collect()) == list(range(60))
+    assert batch_list(spark, table).count() == 6
+    assert before == {k: spark.conf.get(k, None) for k in before}
+
+
+def test_settings_of_threads_are_put_back_by_the_last(spark):
+    name = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+    before = spark.conf.get(name)
+    outer, inner = settings(spark, {name: "false"}), settings(spark, {name: "false"})
+    outer.__enter__()
+    inner.__enter__()
+    outer.__exit__(None, None, None)
+    assert spark.conf.get(name) == "false"
+    inner.__exit__(None, None, None)
+    assert spark.conf.get(name) == before
+
+
+def test_a_reader_keeps_the_attempt_it_reads(spark, table):
+    spec = TableSpec(table)
+    store(spark, spec, rows(spark, 0, 10), 0)
+    reading = read_table(spark, table).toLocalIterator()
+    next(reading)
+    store(spark, spec, rows(spark, 0, 4), 0)
+    assert len(list(reading)) == 9
+    assert read_table(spark, table).count() == 4
+
+
+def test_list_of_batches(spark, table):
+    spec = TableSpec(table)
+    timed = rows(spark, 0, 10).withColumn("event_timestamp", F.lit(DAY - timedelta(seconds=2)))
+    store(spark, spec, timed, 0)
+    store(spark, spec, timed.filter("n < 3"), 1, "other's")
+    store(spark, spec, timed.filter("n < 5"), 0)
+    assert store(spark, spec, timed.limit(0), 2) is None
+    listed = batch_list(spark, table).orderBy("stored").collect()
+    assert [(r["stream"], r["batch_id"], r["stored"]) for r in listed] == [("other's", 1, 3), ("s", 0, 5)]
+    assert all(r["ingestion_date"] == DAY.date() for r in listed)
+    found = latency_quantiles(batch_list(spark, table)).first()
+    assert (found["p50_ms"], found["p95_ms"]) == (2000, 2000)
+    with pytest.raises(ValueError, match="several streams"):
+        as_of_batch(spark, table, 0)
+
+
+def test_quantiles_without_event_time(spark, table):
+    store(spark, TableSpec(table), rows(spark, 0, 10), 0)
+    assert tuple(latency_quantiles(batch_list(spark, table)).first()) == (None, None)
 
 
 def test_closed_days(spark, table):

@@ -6,6 +6,7 @@ Queries that store a table write it below the folder named by
 
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,14 @@ from tidemark.operators.finance import (
     unified_revenue,
     with_ratios,
 )
-from tidemark.operators.revenue import event_mix, ingest_latency, revenue_by, with_status
+from tidemark.operators.revenue import (
+    event_mix,
+    ingest_latency,
+    latency_ms,
+    latency_quantiles,
+    revenue_by,
+    with_status,
+)
 from tidemark.plans import inputs
 from tidemark.plans.views import N_DELIVERIES
 from tidemark.schemas import get_schema
@@ -36,6 +44,7 @@ from tidemark.tables.event_table import (
     add_columns,
     as_of_batch,
     as_of_time,
+    batch_list,
     create_namespace,
     read_table,
 )
@@ -107,7 +116,8 @@ def filter_succeeded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def event_mix_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cents(event_mix(inputs.feed(spark, sf_dir, "payments")), "amount_usd")
+    mix = event_mix(inputs.feed(spark, sf_dir, "payments"))
+    return cents(mix.withColumn("share", F.round("share", 6)), "amount_usd")
 
 
 def _decoded(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
@@ -226,7 +236,7 @@ def invoice_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def ad_fill_by_advertiser(spark: SparkSession, sf_dir: str) -> DataFrame:
     sums = ad_fill(inputs.feed(spark, sf_dir, "ad_revenue"), "advertiser_name", "billing_period")
-    ratios = with_ratios(cents(sums))
+    ratios = cents(with_ratios(sums))
     return cents(ratios.withColumn("fill_rate", F.round("fill_rate", 4)), "revenue_per_thousand")
 
 
@@ -310,26 +320,55 @@ def ingest_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def latency_by_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact latency counts of each load, and whether the sketched quantiles have their rank.
+
+    Quantiles are those of the list of batches; the share of events below and up to each
+    must enclose what it stands for, within 2.5 percent.
+    """
     job = _load(spark, sf_dir, "latency")
     week = 7 * 24 * 3_600_000
     limits = {"within_week": week, "within_month": 4 * week}
     rows = read_table(spark, job.table.name)
-    return ingest_latency(rows, INGEST_DATE, limits_ms=limits).drop("p50_ms", "p95_ms")
+    quantiles = latency_quantiles(batch_list(spark, job.table.name), INGEST_DATE)
+    shares = rows.join(quantiles, INGEST_DATE).groupBy(INGEST_DATE)
+    delay = latency_ms()
+    ranks = shares.agg(
+        *(
+            (
+                (F.avg((delay < F.col(column)).cast("int")) <= share + 0.025)
+                & (F.avg((delay <= F.col(column)).cast("int")) >= share - 0.025)
+            ).alias(f"{column[:3]}_in_rank")
+            for column, share in (("p50_ms", 0.5), ("p95_ms", 0.95))
+        )
+    )
+    return ingest_latency(rows, INGEST_DATE, limits_ms=limits).join(ranks, INGEST_DATE)
 
 
 @query
 def batch_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the sink counted while it stored each batch, a fifth of it undecodable."""
+    """What the table's list says each batch brought, a fifth of it undecodable."""
     job = _job(spark, "reports")
-    reports = []
     for number in range(N_DELIVERIES):
         rows = inputs.utc(inputs.delivery_rows(spark, sf_dir, number))
         records = inputs.cut_payload(encode(rows, keep=("seq",)), 5)
-        reports.append(load_batch(records, job, number, inputs.load_time(number)))
-    return spark.createDataFrame(
-        [tuple(vars(r).values()) for r in reports if r],
-        "batch_id BIGINT, received BIGINT, undecodable BIGINT, stored BIGINT",
-    )
+        load_batch(records, job, number, inputs.load_time(number))
+    listed = batch_list(spark, job.table.name)
+    return listed.select("batch_id", "received", "undecodable", "stored")
+
+
+@query
+def concurrent_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loaders of one session side by side, on one day, new batches and rewrites: all stay."""
+    job = _job(spark, "concurrent")
+    day = inputs.load_time(0)
+
+    def load(number: int) -> None:
+        load_batch(inputs.delivery_records(spark, sf_dir, number), job, number, day)
+
+    load(0)
+    with ThreadPoolExecutor(N_DELIVERIES) as pool:
+        list(pool.map(load, [*range(N_DELIVERIES), 1, 2]))
+    return _stored(spark, job)
 
 
 @query

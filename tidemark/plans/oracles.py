@@ -146,6 +146,7 @@ ORACLES: dict[str, str] = {
         SELECT {PAYMENT_FIELDS} FROM payments WHERE status = 'succeeded'""",
     "event_mix_shares": f"""{WITH_PAYMENTS}
         SELECT event_type, status, is_refund, COUNT(*) AS n_events,
+          ROUND(COUNT(*) / SUM(COUNT(*)) OVER (), 6) AS share,
           {_money("amount_usd")} AS amount_usd
         FROM payments GROUP BY event_type, status, is_refund""",
     "decode_payments": f"{WITH_PAYMENTS} SELECT {PAYMENT_FIELDS} FROM payments",
@@ -212,9 +213,10 @@ ORACLES: dict[str, str] = {
           SELECT advertiser_name, billing_period,
             CAST(SUM(impression_count) AS BIGINT) AS impressions,
             CAST(SUM(billable_impressions) AS BIGINT) AS billable,
-            {_money("revenue_usd")} AS revenue_usd
+            SUM(revenue_usd) AS revenue_usd
           FROM ad_revenue GROUP BY ALL)
-        SELECT *, ROUND(billable / impressions, 4) AS fill_rate,
+        SELECT * REPLACE (ROUND(revenue_usd, 2) AS revenue_usd),
+          ROUND(billable / impressions, 4) AS fill_rate,
           ROUND(revenue_usd * 1000 / billable, 2) AS revenue_per_thousand
         FROM sums""",
     "quarantine": f"""{WITH_PAYMENTS}
@@ -226,6 +228,7 @@ ORACLES: dict[str, str] = {
           CASE WHEN seq % 3 <> 0 THEN payment_id END AS payment_id
         FROM deliveries""",
     "table_create_append": _stored(),
+    "concurrent_loads": _stored(),
     "as_of_batch_read": _stored("batch_id <= 2"),
     "as_of_time_read": _stored("batch_id <= 1"),
     "ingest_columns": f"""{WITH_DELIVERIES}, stored AS ({STORED})
@@ -240,7 +243,8 @@ ORACLES: dict[str, str] = {
         SELECT CAST(loaded AS DATE) AS ingestion_date, COUNT(*) AS n_events,
           MIN(ms) AS min_ms, MAX(ms) AS max_ms,
           COUNT(CASE WHEN ms <= 604800000 THEN 1 END) AS within_week,
-          COUNT(CASE WHEN ms <= 2419200000 THEN 1 END) AS within_month
+          COUNT(CASE WHEN ms <= 2419200000 THEN 1 END) AS within_month,
+          TRUE AS p50_in_rank, TRUE AS p95_in_rank
         FROM delays GROUP BY 1""",
     "batch_reports": f"""{WITH_DELIVERIES}
         SELECT batch_id, COUNT(*) AS received,

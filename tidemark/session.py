@@ -1,6 +1,7 @@
 """Session settings the package relies on, and where it may write working data."""
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
@@ -40,20 +41,38 @@ def local_session(app: str = "tidemark", cores: int | str = "*") -> SparkSession
     return configure(builder.getOrCreate())
 
 
+# Settings in force: how many hold each, and what it was before the first.
+_held: dict[tuple[int, str], list] = {}
+_lock = threading.Lock()
+
+
 @contextmanager
 def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
-    """Session settings for the statements inside; a stream keeps those it started with."""
-    before = {name: spark.conf.get(name, None) for name in values}
-    for name, value in values.items():
-        spark.conf.set(name, value)
+    """Session settings for the statements inside; a stream keeps those it started with.
+
+    They steer how work is cut up, never what comes out. Threads that share a session may
+    hold the same ones at a time; the last of them puts back what was there before.
+    """
+    session = spark._jsparkSession.hashCode()
+    with _lock:
+        for name, value in values.items():
+            held = _held.setdefault((session, name), [0, spark.conf.get(name, None)])
+            held[0] += 1
+            spark.conf.set(name, value)
     try:
         yield
     finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
+        with _lock:
+            for name in values:
+                held = _held[session, name]
+                held[0] -= 1
+                if held[0]:
+                    continue
+                del _held[session, name]
+                if held[1] is None:
+                    spark.conf.unset(name)
+                else:
+                    spark.conf.set(name, held[1])
 
 
 def work_dir(spark: SparkSession, label: str) -> str:

@@ -13,8 +13,8 @@ from tidemark.operators.dedup import dedup_across
 from tidemark.schemas import get_schema
 from tidemark.session import configure, settings
 from tidemark.sources.stream import LATEST, Source, open_stream
-from tidemark.tables.event_table import TableSpec
-from tidemark.streaming.sink import BatchReport, TableSink, store_micro_batch
+from tidemark.streaming.sink import TableSink, store_micro_batch
+from tidemark.tables.event_table import BatchReport, TableSpec
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -51,7 +51,7 @@ class IngestJob:
 
 @dataclass(frozen=True)
 class RunningJob:
-    """A started job: its query, and the sink that keeps the batch reports."""
+    """A started job: its query, and its sink."""
 
     query: StreamingQuery
     sink: TableSink

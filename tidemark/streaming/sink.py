@@ -2,14 +2,13 @@
 
 import logging
 from collections.abc import Callable
-from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.dedup import EVENT_KEY, dedup_batch
+from tidemark.operators.dedup import dedup_batch
 from tidemark.session import settings
-from tidemark.tables.event_table import TableSpec, ingest_day, store_batch
+from tidemark.tables.event_table import BatchReport, TableSpec, store_batch
 
 COPIES = "_copies"
 QUERY_ID = "sql.streaming.queryId"
@@ -21,20 +20,6 @@ PARTITIONS = "spark.sql.shuffle.partitions"
 log = logging.getLogger(__name__)
 
 
-@dataclass(frozen=True)
-class BatchReport:
-    """What one micro-batch brought to the sink.
-
-    Where ids are compared across batches, copies are gone before they reach it. All is
-    counted in the tasks that write, so a task run again is counted once.
-    """
-
-    batch_id: int
-    received: int
-    undecodable: int
-    stored: int
-
-
 def write_settings(spark: SparkSession) -> dict[str, str]:
     """How to shuffle and cut up a batch that is written.
 
@@ -52,34 +37,25 @@ def store_micro_batch(
 ) -> BatchReport | None:
     """Deduplicate and store one batch in a single pass; None if it is empty.
 
-    Only an empty batch costs no table write, and it creates no table either. Rows whose
-    ids are ``unique`` already are written by the tasks that hold them, without a shuffle.
+    An empty batch creates no table. Rows whose ids are ``unique`` already are written by
+    the tasks that hold them, without a shuffle.
     """
-    day = ingest_day(rows)
-    if day is None:
-        log.info("batch %d for %s is empty, skipped", batch_id, target.name)
-        return None
     counted = rows.withColumn(COPIES, F.lit(1)) if unique else dedup_batch(rows, copies=COPIES)
-    undecodable = F.when(F.col(EVENT_KEY).isNull(), F.col(COPIES))
-    counts = Observation()
-    kept = counted.observe(
-        counts,
-        F.coalesce(F.sum(COPIES), F.lit(0)).alias("received"),
-        F.coalesce(F.sum(undecodable), F.lit(0)).alias("undecodable"),
-        F.count(F.lit(1)).alias("stored"),
-    ).drop(COPIES)
     spark = rows.sparkSession
     with settings(spark, write_settings(spark)):
-        store_batch(spark, target, kept, day, stream, batch_id)
-    report = BatchReport(batch_id, **counts.get)
-    log.info("stored in %s: %s", target.name, report)
+        report = store_batch(spark, target, counted, stream, batch_id, COPIES)
+    if report is None:
+        log.info("batch %d for %s is empty, skipped", batch_id, target.name)
+    else:
+        log.info("stored in %s: %s", target.name, report)
     return report
 
 
 class TableSink:
     """A ``foreachBatch`` function that stores micro-batches in one table.
 
-    ``after_write`` is called with the number of each stored batch before the
+    It remembers the ``report`` of the last one; those of all are in the list of batches
+    (``batch_list``). ``after_write`` is called with the number of each stored batch before the
     stream commits it. ``unique`` says that the stream's ids are unique in each batch.
     """
 
@@ -92,7 +68,7 @@ class TableSink:
         self.target = target
         self.unique = unique
         self.after_write = after_write
-        self.reports: list[BatchReport] = []
+        self.report: BatchReport | None = None
 
     def __call__(self, rows: DataFrame, batch_id: int) -> None:
         stream = rows.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
@@ -103,6 +79,6 @@ class TableSink:
             raise
         if report is None:
             return
-        self.reports.append(report)
+        self.report = report
         if self.after_write:
             self.after_write(batch_id)

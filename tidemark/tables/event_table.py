@@ -1,32 +1,57 @@
 """Event tables: creation, replay-safe writes, reads and upkeep.
 
-A table is partitioned by ingest date, stream and micro-batch. A micro-batch
-owns exactly one partition and every write replaces that partition, so a batch
-that is run again after a failure is stored once. ``_stream`` is the id of the
-streaming query, which keeps the batch numbers of different checkpoints apart.
+A table is partitioned by ingest date, stream and micro-batch, and a micro-batch owns
+exactly one partition. Every attempt to store it writes a folder of its own; one catalog
+statement then makes that folder the partition. So a batch that is run again after a
+failure is stored once, a write that fails leaves what was there, a reader finds either
+attempt whole, and loaders that run side by side share neither a folder nor a session
+setting. ``_stream`` is the id of the streaming query, which keeps the batch numbers of
+different checkpoints apart.
+
+Beside each table lies the list of its batches, a table that is written in the same way:
+what each batch brought, and the folder it is in. Reads as of a batch and reports come
+from there, and a new catalog finds the partitions by it.
 """
 
+import json
 import logging
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timezone
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from tidemark.functions.scalars import moment
-from tidemark.operators.decode import INGEST_DATE, INGEST_TIME
-from tidemark.session import settings
+from tidemark.operators.decode import EVENT_TIME, INGEST_DATE, INGEST_TIME
+from tidemark.operators.dedup import EVENT_KEY
+from tidemark.operators.revenue import latency_ms
 
 STREAM = "_stream"
 BATCH = "_batch_id"
 BOOKKEEPING = (STREAM, BATCH)
 PARTITIONS = {INGEST_DATE: "DATE", STREAM: "STRING", BATCH: "BIGINT"}
 
-# Fixed value: the codec of the data files.
+# The codec of the data files, and where a table format expects its name.
 CODEC = "zstd"
-
+CODEC_PROPERTY = "write.parquet.compression-codec"
+# Providers whose partitions are folders of files; others replace rows by themselves.
+FILE_PROVIDERS = ("parquet", "orc")
+ATTEMPTS = "attempts"
+# A view over closed days names its live table in this property.
+LIVE_TABLE = "tidemark.live"
+BATCHES = "__batches"
+# What a batch brought; ``latency`` is a KLL sketch of milliseconds from event to ingest.
+REPORT = (
+    f"stream STRING, batch_id BIGINT, {INGEST_DATE} DATE, {INGEST_TIME} TIMESTAMP, "
+    "received BIGINT, undecodable BIGINT, stored BIGINT, latency BINARY, "
+    "folder STRING, written_at TIMESTAMP"
+)
+# Partitions that are named in one statement.
+AT_ONCE = 200
 log = logging.getLogger(__name__)
 
 
@@ -54,10 +79,12 @@ def _text(value: str) -> str:
 
 def partition_spec(ingestion_date: date | str, _stream: str, _batch_id: int | str) -> str:
     """The partition of one micro-batch, as SQL; arguments are named like its columns."""
-    return (
-        f"{INGEST_DATE} = DATE'{ingestion_date}', {STREAM} = {_text(_stream)}, "
-        f"{BATCH} = {int(_batch_id)}"
-    )
+    return f"{INGEST_DATE} = DATE'{ingestion_date}', {batch_spec(_stream, _batch_id)}"
+
+
+def batch_spec(_stream: str, _batch_id: int | str) -> str:
+    """The partition of one micro-batch in the list of batches, as SQL."""
+    return f"{STREAM} = {_text(_stream)}, {BATCH} = {int(_batch_id)}"
 
 
 def create_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -65,24 +92,88 @@ def create_namespace(spark: SparkSession, name: str, location: str | None = None
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(name)}{place}")
 
 
+def add_table(
+    spark: SparkSession, target: TableSpec, columns: str, keys: Iterable[str]
+) -> None:
+    """Create a partitioned table unless it is there, with the codec of its provider."""
+    place = f" LOCATION {_text(target.location)}" if target.location else ""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {quoted(target.name)} ({columns}) "
+        f"USING {target.provider} OPTIONS (compression '{CODEC}') "
+        f"PARTITIONED BY ({', '.join(f'`{k}`' for k in keys)}){place} "
+        f"TBLPROPERTIES ('{CODEC_PROPERTY}' = '{CODEC}')"
+    )
+
+
+def list_of(target: TableSpec) -> TableSpec:
+    """The list of the batches of a table."""
+    place = target.location and f"{target.location.rstrip('/')}{BATCHES}"
+    return TableSpec(target.name + BATCHES, location=place)
+
+
 def create_table(spark: SparkSession, target: TableSpec, schema: StructType) -> None:
-    """Create the table for rows of ``schema`` unless it is there already.
+    """Create the table for rows of ``schema`` and its list of batches unless they are there.
 
-    At an explicit ``location`` the partitions that an earlier catalog wrote
-    there are registered again.
+    At an explicit ``location`` the batches that were stored under an earlier catalog
+    are found by their list and registered again.
     """
     data = [f for f in schema.fields if f.name not in PARTITIONS]
     partitions = ", ".join(f"`{name}` {kind}" for name, kind in PARTITIONS.items())
-    place = f" LOCATION {_text(target.location)}" if target.location else ""
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {quoted(target.name)} ({columns_ddl(data)}, {partitions}) "
-        f"USING {target.provider} OPTIONS (compression '{CODEC}') "
-        f"PARTITIONED BY ({', '.join(f'`{p}`' for p in PARTITIONS)}){place}"
-    )
+    add_table(spark, target, f"{columns_ddl(data)}, {partitions}", PARTITIONS)
+    listed = list_of(target)
+    keys = ", ".join(f"`{k}` {PARTITIONS[k]}" for k in BOOKKEEPING)
+    add_table(spark, listed, f"{REPORT}, {keys}", BOOKKEEPING)
     if target.location:
-        # Appending nothing makes sure that there is a folder to look through.
-        spark.table(quoted(target.name)).limit(0).write.insertInto(target.name)
-        spark.sql(f"ALTER TABLE {quoted(target.name)} RECOVER PARTITIONS")
+        _recover(spark, target.name, listed)
+
+
+def _recover(spark: SparkSession, table: str, listed: TableSpec) -> None:
+    """Register the batches of a list whose catalog is gone; the last attempt of each counts."""
+    # Writing nothing makes sure that there is a folder to look through.
+    nothing = spark.createDataFrame([], REPORT).coalesce(1)
+    nothing.write.parquet(_attempt(listed.location))
+    files = spark.read.schema(REPORT).option("recursiveFileLookup", True)
+    place = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("place")
+    rows = files.parquet(f"{listed.location}/{ATTEMPTS}").select("*", place)
+    last = F.max_by(F.struct(INGEST_DATE, "folder", "place"), "written_at").alias("last")
+    found = rows.groupBy("stream", "batch_id").agg(last).select("stream", "batch_id", "last.*")
+    batches = found.collect()
+    for at in range(0, len(batches), AT_ONCE):
+        some = batches[at : at + AT_ONCE]
+        specs = [(partition_spec(r[INGEST_DATE], r["stream"], r["batch_id"]), r["folder"]) for r in some]
+        _add_partitions(spark, table, specs)
+        specs = [(batch_spec(r["stream"], r["batch_id"]), r["place"]) for r in some]
+        _add_partitions(spark, listed.name, specs)
+
+
+def _add_partitions(spark: SparkSession, table: str, places: Sequence[tuple[str, str]]) -> None:
+    """Register folders as partitions, but for those that are registered already."""
+    parts = " ".join(f"PARTITION ({spec}) LOCATION {_text(folder)}" for spec, folder in places)
+    spark.sql(f"ALTER TABLE {quoted(table)} ADD IF NOT EXISTS {parts}")
+
+
+def put_in_place(spark: SparkSession, table: str, spec: str, folder: str) -> None:
+    """Make a folder the content of a partition, in one step for those who read it."""
+    _add_partitions(spark, table, [(spec, folder)])
+    spark.sql(f"ALTER TABLE {quoted(table)} PARTITION ({spec}) SET LOCATION {_text(folder)}")
+
+
+def folder_of(spark: SparkSession, table: str) -> str:
+    """The folder of a table, as its catalog has it."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(table)} AS JSON").head()[0]
+    return json.loads(described)["location"]
+
+
+def _attempt(folder: str) -> str:
+    return f"{folder.rstrip('/')}/{ATTEMPTS}/{uuid.uuid4().hex}"
+
+
+def write_attempt(spark: SparkSession, target: TableSpec, rows: DataFrame, *keys: str) -> str:
+    """Write the rows to a fresh folder of the table that no reader knows of yet."""
+    folder = _attempt(folder_of(spark, target.name))
+    writer = rows.write.format(target.provider).option("compression", CODEC)
+    (writer.partitionBy(*keys) if keys else writer).save(folder)
+    return folder
 
 
 def add_columns(spark: SparkSession, table: str, fields: Iterable[StructField]) -> None:
@@ -118,62 +209,110 @@ def fit_columns(spark: SparkSession, target: TableSpec, rows: DataFrame) -> Data
     )
 
 
-def write_partition(
-    spark: SparkSession, table: str, rows: DataFrame, day: date, stream: str, batch_id: int
-) -> None:
-    """Store ``rows`` as the whole content of one micro-batch partition.
+@dataclass(frozen=True)
+class BatchReport:
+    """What one micro-batch brought to a table.
 
-    The batch number is written as a dynamic partition: the files are staged, and
-    only the commit of the job puts them in place of those that are there. A write
-    that fails leaves the stored batch as it was. All values are constants, so no
-    task sorts by them.
+    Where ids are compared across batches, copies are gone before they reach it. All is
+    counted in the tasks that write, so a task run again is counted once.
     """
-    spec = f"{INGEST_DATE} = DATE'{day}', {STREAM} = {_text(stream)}, {BATCH}"
-    with settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
-        spark.sql(
-            f"INSERT OVERWRITE TABLE {quoted(table)} PARTITION ({spec}) "
-            f"SELECT *, CAST({int(batch_id)} AS BIGINT) FROM {{rows}}",
-            rows=rows,
-        )
-
-
-def ingest_day(rows: DataFrame) -> date | None:
-    """The ingest date of a row of a stamped batch; None if there is no row."""
-    row = rows.select(INGEST_DATE).head()
-    if row is not None and row[0] is None:
-        raise ValueError("a row of the batch bears no ingest date")
-    return row and row[0]
 
+    batch_id: int
+    received: int
+    undecodable: int
+    stored: int
+
+
+def _counts(columns: Sequence[str], copies: str) -> list[Column]:
+    """What is counted of a batch while it is written."""
+    number = F.col(copies) if copies else F.lit(1)
+    lost = F.when(F.col(EVENT_KEY).isNull(), number) if EVENT_KEY in columns else F.lit(0)
+    timed = EVENT_TIME in columns
+    latency = F.kll_sketch_agg_bigint(latency_ms()) if timed else F.lit(None).cast("binary")
+    return [
+        F.coalesce(F.sum(number), F.lit(0)).alias("received"),
+        F.coalesce(F.sum(lost), F.lit(0)).alias("undecodable"),
+        F.count(F.lit(1)).alias("stored"),
+        F.count(INGEST_DATE).alias("dated"),
+        F.min(INGEST_DATE).alias("day"),
+        F.max(INGEST_DATE).alias("last_day"),
+        F.max(INGEST_TIME).alias("ingested_at"),
+        (latency if timed else F.max(latency)).alias("latency"),
+    ]
 
-def of_one_day(rows: DataFrame, day: date) -> DataFrame:
-    """The rows, which fail to be written if one bears another ingest date than ``day``.
 
-    Rows of several dates belong in several batches. Where the date is a constant, as in a
-    stream, the check is made once, before the rows are read.
+def store_batch(
+    spark: SparkSession,
+    target: TableSpec,
+    rows: DataFrame,
+    stream: str,
+    batch_id: int,
+    copies: str = "",
+) -> BatchReport | None:
+    """Store ``rows`` as the whole content of one micro-batch; None if there are none.
+
+    The table is created if it is not there yet, but not by an empty batch. All rows must
+    bear one ingest date; rows of several belong in several batches. ``copies`` names a
+    column, not stored, with the number of records that each row stands for. Nothing is
+    changed for readers until all is written and counted.
     """
-    given = F.coalesce(F.col(INGEST_DATE).cast("string"), F.lit("none"))
-    wrong = F.raise_error(F.concat(F.lit(f"ingest date {day} expected, found "), given))
-    return rows.filter(
-        F.when(F.col(INGEST_DATE).eqNullSafe(F.lit(day)), True).otherwise(wrong.cast("boolean"))
+    if not spark.catalog.tableExists(target.name):
+        if rows.isEmpty():
+            return None
+        log.info("creating table %s", target.name)
+        create_table(spark, target, rows.drop(copies).schema)
+    seen = Observation()
+    counted = rows.observe(seen, *_counts(rows.columns, copies)).drop(copies)
+    fitted = fit_columns(spark, target, counted)
+    if target.provider not in FILE_PROVIDERS:
+        raise ValueError(f"no way to replace partitions of {target.provider} tables")
+    folder = write_attempt(spark, target, fitted)
+    found = seen.get
+    if not found["stored"]:
+        return None
+    day = _one_day(found)
+    put_in_place(spark, target.name, partition_spec(day, stream, batch_id), folder)
+    _list_batch(spark, target, found, stream, batch_id, folder)
+    return BatchReport(batch_id, found["received"], found["undecodable"], found["stored"])
+
+
+def _one_day(found: Mapping[str, Any]) -> date:
+    if found["dated"] < found["stored"]:
+        raise ValueError("a row of the batch bears no ingest date")
+    if found["day"] != found["last_day"]:
+        raise ValueError(f"ingest dates {found['day']} and {found['last_day']} in one batch")
+    return found["day"]
+
+
+def _list_batch(
+    spark: SparkSession,
+    target: TableSpec,
+    found: Mapping[str, Any],
+    stream: str,
+    batch_id: int,
+    folder: str,
+) -> None:
+    listed = list_of(target)
+    now = datetime.now(timezone.utc)
+    values = (
+        *(stream, batch_id, found["day"], found["ingested_at"]),
+        *(found["received"], found["undecodable"], found["stored"], found["latency"]),
+        *(folder, now),
     )
+    row = spark.createDataFrame([values], REPORT).coalesce(1)
+    put_in_place(spark, listed.name, batch_spec(stream, batch_id), write_attempt(spark, listed, row))
 
 
-def store_batch(
-    spark: SparkSession, target: TableSpec, rows: DataFrame, day: date, stream: str, batch_id: int
-) -> None:
-    """Store one batch in its table, which is created if it is not there yet."""
-    if not spark.catalog.tableExists(target.name):
-        log.info("creating table %s", target.name)
-        create_table(spark, target, rows.schema)
-    fitted = fit_columns(spark, target, of_one_day(rows, day))
-    write_partition(spark, target.name, fitted, day, stream, batch_id)
+def batch_list(spark: SparkSession, table: str) -> DataFrame:
+    """What each stored batch of a table brought, one row per batch."""
+    return current(spark, table + BATCHES).drop(*BOOKKEEPING)
 
 
 def current(spark: SparkSession, table: str) -> DataFrame:
-    """All columns of a table, from the files it has now.
+    """All columns of a table, from the folders its partitions have now.
 
-    A session remembers the files of a partition. A replayed batch replaces
-    them, in the session of its stream, so the memory of this one is dropped.
+    A session may remember them. A replayed batch has another, put in place in the session
+    of its stream, so the memory of this one is dropped.
     """
     spark.catalog.refreshTable(quoted(table))
     return spark.table(quoted(table))
@@ -184,6 +323,18 @@ def read_table(spark: SparkSession, table: str) -> DataFrame:
     return current(spark, table).drop(*BOOKKEEPING)
 
 
+def _has_one_stream(spark: SparkSession, table: str) -> bool:
+    """Whether the batches of a table, or of the live table of a view, are of one stream.
+
+    The catalog tells: no file is opened.
+    """
+    properties = spark.sql(f"SHOW TBLPROPERTIES {quoted(table)}").filter(F.col("key") == LIVE_TABLE)
+    live = properties.head()
+    name = F.regexp_extract("partition", f"{STREAM}=([^/]+)", 1)
+    listed = quoted((live["value"] if live else table) + BATCHES)
+    return spark.sql(f"SHOW PARTITIONS {listed}").select(name).distinct().count() <= 1
+
+
 def as_of_batch(
     spark: SparkSession, table: str, batch_id: int, stream: str | None = None
 ) -> DataFrame:
@@ -193,12 +344,10 @@ def as_of_batch(
     the table has more than one.
     """
     rows = current(spark, table)
-    if stream is None:
-        streams = [r[STREAM] for r in rows.select(STREAM).distinct().limit(2).collect()]
-        if len(streams) > 1:
-            raise ValueError(f"{table} has batches of several streams, name one")
-    else:
+    if stream is not None:
         rows = rows.filter(F.col(STREAM) == stream)
+    elif not _has_one_stream(spark, table):
+        raise ValueError(f"{table} has batches of several streams, name one")
     return rows.filter(F.col(BATCH) <= batch_id).drop(*BOOKKEEPING)
 
 

@@ -8,6 +8,7 @@ partitions of the live table can be dropped. Rows that come late for a closed da
 are seen from the next run of ``close_days`` on.
 """
 
+from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,22 +17,25 @@ from pyspark.sql import functions as F
 from tidemark.operators.decode import INGEST_DATE
 from tidemark.session import settings
 from tidemark.tables.event_table import (
+    AT_ONCE,
     BATCH,
-    CODEC,
+    LIVE_TABLE,
     STREAM,
+    TableSpec,
     add_columns,
+    add_table,
+    batch_list,
     columns_ddl,
     current,
     partition_spec,
+    put_in_place,
     quoted,
+    write_attempt,
 )
 
 CLOSED_BEFORE = "tidemark.closed_before"
 OWNER = (INGEST_DATE, STREAM, BATCH)
 
-# A write replaces the days it has rows of, and those alone, when its job commits.
-DAYS_ALONE = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
-
 # Pack small files into splits by their size, and use no more splits than it
 # takes, however many cores the cluster has.
 FULL_SPLITS = {
@@ -40,22 +44,11 @@ FULL_SPLITS = {
 }
 
 
-def _days(spark: SparkSession, table: str, before: date) -> list[date]:
-    """The days before ``before`` that a table has partitions of, from the catalog alone."""
-    day = F.regexp_extract("partition", f"{INGEST_DATE}=([^/]+)", 1)
-    shown = spark.sql(f"SHOW PARTITIONS {quoted(table)}").select(day.alias("day"))
-    found = shown.filter(F.col("day") < str(before)).distinct().collect()
-    return sorted(date.fromisoformat(row["day"]) for row in found)
-
-
 def _match_columns(spark: SparkSession, live: str, closed: str) -> list[str]:
     """Give the closed table every column of the live one; returns their order."""
     fields = [f for f in spark.table(quoted(live)).schema.fields if f.name != INGEST_DATE]
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {quoted(closed)} ({columns_ddl(fields)}, "
-        f"`{INGEST_DATE}` DATE) USING parquet OPTIONS (compression '{CODEC}') "
-        f"PARTITIONED BY (`{INGEST_DATE}`)"
-    )
+    columns = f"{columns_ddl(fields)}, `{INGEST_DATE}` DATE"
+    add_table(spark, TableSpec(closed), columns, [INGEST_DATE])
     have = set(spark.table(quoted(closed)).columns)
     new = [f for f in fields if f.name not in have]
     if new:
@@ -63,63 +56,46 @@ def _match_columns(spark: SparkSession, live: str, closed: str) -> list[str]:
     return [c for c in spark.table(quoted(closed)).columns if c != INGEST_DATE]
 
 
-def _sizes(spark: SparkSession, table: str, days: list[date]) -> DataFrame:
-    """Rows of each micro-batch of some days; reads partition columns or two narrow ones."""
-    rows = current(spark, table).filter(F.col(INGEST_DATE).isin(days))
-    return rows.groupBy(*OWNER).agg(F.count(F.lit(1)).alias("n"))
-
-
-def _compared(spark: SparkSession, live: str, closed: str, days: list[date]) -> DataFrame:
-    """The live micro-batches of some days, and how many rows of each (``held``) are closed."""
-    held = _sizes(spark, closed, days).withColumnRenamed("n", "held")
-    return _sizes(spark, live, days).join(held, list(OWNER), "left")
+def _compared(spark: SparkSession, live: str, closed: str, before: date) -> DataFrame:
+    """The listed batches of the days before ``before``, and how many rows of each are closed.
 
-
-def _close(spark: SparkSession, closed: str, day: date, rows: DataFrame, how: str) -> None:
-    """Write rows of a day to the closed table: a task reads small files that fill a split."""
-    merged = rows.drop(INGEST_DATE).sortWithinPartitions(STREAM, BATCH)
-    with settings(spark, FULL_SPLITS):
-        spark.sql(
-            f"INSERT {how} TABLE {quoted(closed)} "
-            f"PARTITION ({INGEST_DATE}) SELECT *, DATE'{day}' FROM {{merged}}",
-            merged=merged,
-        )
+    What the live table got is in its list of batches, so only the closed one is counted,
+    by its narrow bookkeeping columns.
+    """
+    past = F.col(INGEST_DATE) < F.lit(before)
+    held = current(spark, closed).filter(past).groupBy(*OWNER).agg(F.count(F.lit(1)).alias("held"))
+    listed = batch_list(spark, live).filter(past)
+    wanted = listed.select(
+        INGEST_DATE, F.col("stream").alias(STREAM), F.col("batch_id").alias(BATCH), "stored"
+    )
+    return wanted.join(held, list(OWNER), "left")
 
 
 def close_days(spark: SparkSession, live: str, closed: str, before: date) -> None:
     """Copy what the days before ``before`` hold and the closed table does not.
 
-    A day that is closed for the first time is copied without a shuffle: a task reads as
-    many small files as make up one full split and writes them as one, sorted by batch,
-    so that reads as of a batch skip row groups. Micro-batches that came late for a closed
-    day are added to it. One that is there with another number of rows, after a failed run
-    or a replay, takes the place of its rows; the day is then written anew. Running this
-    again after a failure leaves one copy.
+    One job writes all days that lack a batch, or hold another number of its rows after a
+    replay: a task reads as many small files as make up one full split, sorted by batch, so
+    that reads as of a batch skip row groups. Batches that a day holds already come from
+    the closed table. Each day is then put in place in one step; a run that fails changes
+    nothing, and the next one starts anew.
     """
     columns = [*_match_columns(spark, live, closed), INGEST_DATE]
-    since = closed_before(spark, closed) or date.min
-    days = _days(spark, live, before)
-    late = [day for day in days if day < since]
-    for day in days[len(late) :]:
-        rows = current(spark, live).filter(F.col(INGEST_DATE) == F.lit(day))
-        with settings(spark, DAYS_ALONE):
-            _close(spark, closed, day, rows.select(*columns), "OVERWRITE")
-    if late:
-        wrong = _compared(spark, live, closed, late).filter("NOT n <=> held")
-        open_days = wrong.groupBy(INGEST_DATE).agg(F.max(F.col("held").isNotNull()))
-        for day, other in sorted(map(tuple, open_days.collect())):
-            batches = wrong.filter(F.col(INGEST_DATE) == F.lit(day)).select(STREAM, BATCH)
-            of_day = F.col(INGEST_DATE) == F.lit(day)
-            new = current(spark, live).filter(of_day).select(*columns)
-            new = new.join(batches, [STREAM, BATCH], "left_semi").select(*columns)
-            if other:
-                kept = current(spark, closed).filter(of_day).select(*columns)
-                kept = kept.join(batches, [STREAM, BATCH], "left_anti").select(*columns)
-                with settings(spark, DAYS_ALONE):
-                    _close(spark, closed, day, kept.union(new), "OVERWRITE")
-            else:
-                _close(spark, closed, day, new, "INTO")
-    if before > since:
+    compared = _compared(spark, live, closed, before)
+    wrong = compared.filter("NOT stored <=> held").select(*OWNER)
+    days = [row[0] for row in wrong.select(INGEST_DATE).distinct().collect()]
+    if days:
+        of_days = F.col(INGEST_DATE).isin(days)
+        new = current(spark, live).filter(of_days).join(F.broadcast(wrong), list(OWNER), "left_semi")
+        kept = current(spark, closed).filter(of_days).join(F.broadcast(wrong), list(OWNER), "left_anti")
+        rows = kept.select(*columns).union(new.select(*columns))
+        with settings(spark, FULL_SPLITS):
+            sorted_rows = rows.sortWithinPartitions(INGEST_DATE, STREAM, BATCH)
+            folder = write_attempt(spark, TableSpec(closed), sorted_rows, INGEST_DATE)
+        for day in sorted(days):
+            place = f"{folder}/{INGEST_DATE}={day}"
+            put_in_place(spark, closed, f"{INGEST_DATE} = DATE'{day}'", place)
+    if before > (closed_before(spark, closed) or date.min):
         spark.sql(
             f"ALTER TABLE {quoted(closed)} SET TBLPROPERTIES ('{CLOSED_BEFORE}' = '{before}')"
         )
@@ -140,24 +116,36 @@ def history_view(spark: SparkSession, live: str, closed: str, view: str) -> None
     names = [f.name for f in spark.table(quoted(live)).schema.fields]
     columns = ", ".join(f"`{n}`" for n in names)
     spark.sql(
-        f"CREATE OR REPLACE VIEW {quoted(view)} AS "
+        f"CREATE OR REPLACE VIEW {quoted(view)} TBLPROPERTIES ('{LIVE_TABLE}' = '{live}') AS "
         f"SELECT {columns} FROM {quoted(closed)} WHERE {INGEST_DATE} < DATE'{first_open}' "
         f"UNION ALL "
         f"SELECT {columns} FROM {quoted(live)} WHERE {INGEST_DATE} >= DATE'{first_open}'"
     )
 
 
+def _in_parts(rows: DataFrame) -> Iterable[list]:
+    """The rows a few at a time."""
+    some: list = []
+    for row in rows.toLocalIterator():
+        some.append(row)
+        if len(some) == AT_ONCE:
+            yield some
+            some = []
+    if some:
+        yield some
+
+
 def drop_closed(spark: SparkSession, live: str, closed: str) -> None:
     """Drop the live partitions whose rows the closed table holds, once no reader needs them.
 
-    A late one that ``close_days`` has not copied yet stays. The files of a table at an
-    explicit location stay; its owner removes them.
+    A late one that ``close_days`` has not copied yet stays. Files stay where they are, as
+    those of replaced attempts do: the owner of the storage removes what no partition
+    names.
     """
     first_open = closed_before(spark, closed)
     if first_open is None:
         return
-    for day in _days(spark, live, first_open):
-        held = _compared(spark, live, closed, [day]).filter("n = held").select(*OWNER)
-        specs = ", ".join(f"PARTITION ({partition_spec(*row)})" for row in held.collect())
-        if specs:
-            spark.sql(f"ALTER TABLE {quoted(live)} DROP IF EXISTS {specs}")
+    held = _compared(spark, live, closed, first_open).filter("stored = held").select(*OWNER)
+    for some in _in_parts(held):
+        specs = ", ".join(f"PARTITION ({partition_spec(*row)})" for row in some)
+        spark.sql(f"ALTER TABLE {quoted(live)} DROP IF EXISTS {specs}")
