@@ -35,7 +35,7 @@ CUT = bytes.maketrans(
 )
 
 # Bytes of text that are cut into words at once, and words a task counts before it hands over.
-SLICE = 1 << 22
+SLICE = 1 << 21
 COUNTED = 400_000
 # Words that every task knows by number, and bits of the filter for the others.
 DICTIONARY = 500_000
@@ -269,10 +269,9 @@ def phrase_counts(windows: DataFrame, least: int, common: int) -> DataFrame:
     dealt = (
         windows.withColumn("d3", F.when(split2, w3).otherwise(PADDING))
         .withColumn("d4", F.when(split3, w4).otherwise(PADDING))
-        .withColumn("deal", F.xxhash64("lang", "w1", "w2", "d3", "d4"))
-        .repartition("deal")
+        .repartition("w1", "w2", "lang", "d3", "d4")
     )
-    pair = ["deal", "lang", "w1", "w2", "d3", "d4"]
+    pair = ["w1", "w2", "lang", "d3", "d4"]
     n = F.sum("n").alias("n")
     counted = dealt.groupBy(*pair, "w3", "w4").agg(n)
     total = F.sum("n")
