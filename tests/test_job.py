@@ -22,9 +22,14 @@ def test_all():
         [
             *NEEDED, "--format", "kafka", "--option", "subscribe=topic", "--option", "a=b=c",
             "--payload", "p", "--start", "TRIM_HORIZON", "--dedup-delay", "2 days",
-            "--interval", "30 seconds", "--evolve",
+            "--interval", "30 seconds", "--evolve", "--location", "/t", "--provider", "orc",
+            "--state-partitions", "12",
         ]
     )
+    assert job.table == TableSpec("raw.t", "orc", "/t", True)
+    assert job.state_partitions == 12
+    job_2 = parse([*NEEDED, "--dedup-days", "3", "--quarantine", "raw.lost"])
+    assert (job_2.dedup_days, job_2.quarantine) == (3, TableSpec("raw.lost"))
     assert job.source.options == {"subscribe": "topic", "a": "b=c"}
     assert job.source.payload_column == "p"
     assert job.trigger == {"processingTime": "30 seconds"}

@@ -21,12 +21,17 @@ def parse(argv: Sequence[str] | None = None) -> IngestJob:
     args.add_argument("--table", required=True, help="database.table to write")
     args.add_argument("--schema", required=True, choices=list(WIRE_FIELDS))
     args.add_argument("--checkpoint", required=True, help="folder all executors share")
+    args.add_argument("--location", help="folder of the table, if not the catalog's choice")
+    args.add_argument("--provider", default="parquet", help="file format of the table")
+    args.add_argument("--quarantine", help="database.table for records that do not decode")
     args.add_argument("--path", help="folder of wire records, for file sources")
     args.add_argument("--format", default="parquet", help="Spark format of the source")
     args.add_argument("--payload", help="column that holds the JSON text")
     args.add_argument("--option", action="append", default=[], metavar="NAME=VALUE")
     args.add_argument("--start", default=LATEST, help="LATEST or TRIM_HORIZON")
     args.add_argument("--dedup-delay", help="compare ids across batches, e.g. '10 days'")
+    args.add_argument("--dedup-days", type=int, help="compare ids with those stored in N days")
+    args.add_argument("--state-partitions", type=int, help="number of state stores")
     args.add_argument("--dedup-time", choices=[INGEST_TIME, EVENT_TIME], default=INGEST_TIME)
     args.add_argument("--interval", help="time between batches, e.g. '30 seconds'")
     args.add_argument("--once", action="store_true", help="stop when all input is read")
@@ -45,12 +50,15 @@ def parse(argv: Sequence[str] | None = None) -> IngestJob:
             options=dict(pair.split("=", 1) for pair in given.option),
             payload=given.payload,
         ),
-        table=TableSpec(given.table, evolve=given.evolve),
+        table=TableSpec(given.table, given.provider, given.location, given.evolve),
         schema_name=given.schema,
         checkpoint=given.checkpoint,
         start=given.start,
         dedup_delay=given.dedup_delay,
         dedup_time=given.dedup_time,
+        state_partitions=given.state_partitions,
+        dedup_days=given.dedup_days,
+        quarantine=given.quarantine and TableSpec(given.quarantine, given.provider),
         trigger=trigger,
     )
 
@@ -61,9 +69,10 @@ def main(argv: Sequence[str] | None = None) -> None:
     job = parse(argv)
     spark = SparkSession.builder.appName(job.job_name).getOrCreate()
     spark.streams.addListener(ProgressLog())
-    database, _, _ = job.table.name.rpartition(".")
-    if database:
-        create_namespace(spark, database)
+    for table in filter(None, (job.table, job.quarantine)):
+        database, _, _ = table.name.rpartition(".")
+        if database:
+            create_namespace(spark, database)
     run_ingest(spark, job)
 
 

@@ -14,6 +14,14 @@ INGEST_TIME = "ingestion_timestamp"
 INGEST_DATE = "ingestion_date"
 
 
+def fields_of(schema: StructType, names: Sequence[str]) -> StructType:
+    """The part of a schema that a query reads; a payload is parsed for no other field."""
+    unknown = set(names) - set(schema.names)
+    if unknown:
+        raise ValueError(f"no fields of the schema: {', '.join(sorted(unknown))}")
+    return StructType([f for f in schema.fields if f.name in names])
+
+
 def parse_payload(
     records: DataFrame, schema: StructType, payload: str = "data", keep: Sequence[str] = ()
 ) -> DataFrame:

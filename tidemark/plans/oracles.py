@@ -269,6 +269,33 @@ ORACLES: dict[str, str] = {
     "stream_dedup_ingest_time": f"{WITH_PAYMENTS} SELECT {PAYMENT_FIELDS} FROM payments",
     "stream_dedup_watermark": f"{WITH_PAYMENTS} SELECT {PAYMENT_FIELDS} FROM payments",
     "start_position_latest": _stored("batch_id >= 2"),
+    "stream_dedup_history": f"{WITH_PAYMENTS} SELECT {PAYMENT_FIELDS} FROM payments",
+    "stream_from_source": f"{WITH_PAYMENTS} SELECT {PAYMENT_FIELDS} FROM payments",
+    "stream_event_rate": f"""{WITH_PAYMENTS}
+        SELECT date_trunc('minute', event_timestamp) AS minute, event_type, COUNT(*) AS n_events
+        FROM payments
+        WHERE date_trunc('minute', event_timestamp) + INTERVAL 1 MINUTE
+          <= (SELECT MAX(event_timestamp) - INTERVAL 2 DAY FROM payments)
+        GROUP BY 1, 2""",
+    "stream_quarantine": f"""{WITH_PAYMENTS}, texts AS (
+          SELECT seq % 13 AS kind, event_id,
+            '"status":"' || status || '","amount_usd":' || CAST(amount_usd AS STRING) AS body,
+            '{{"event_id":"' || event_id || '",' AS start
+          FROM payments),
+        lost AS (
+          SELECT CASE kind WHEN 1 THEN 'not json ' || event_id
+                   WHEN 2 THEN ''
+                   WHEN 4 THEN start || body
+                   WHEN 10 THEN '[' || start || body || ',"is_refund":false}},'
+                     || start || body || ',"is_refund":false}}]'
+                   WHEN 11 THEN '{{"EVENT_ID":"' || event_id || '","extra":{{"a":[1,2]}},'
+                     || body || '}}' END AS payload,
+            CASE kind WHEN 2 THEN 'empty' WHEN 3 THEN 'no payload' WHEN 10 THEN 'no object'
+                 WHEN 11 THEN 'no event id' ELSE 'not JSON' END AS cause
+          FROM texts WHERE kind IN (1, 2, 3, 4, 10, 11))
+        SELECT payload, cause, COUNT(*) AS n_records FROM lost GROUP BY ALL""",
+    "stream_options": f"""{WITH_DELIVERIES}
+        SELECT batch_id, COUNT(*) AS received FROM deliveries GROUP BY batch_id""",
     "three_feeds": f"""WITH {PAYMENTS}, {PARTNER_INVOICES}, {AD_REVENUE}
         SELECT 'payments' AS feed, COUNT(*) AS n_events, {_money("amount_usd")} AS revenue_usd
         FROM payments

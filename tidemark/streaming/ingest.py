@@ -10,10 +10,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.decode import INGEST_TIME, decode
 from tidemark.operators.dedup import dedup_across
+from tidemark.operators.quarantine import mark_undecodable
 from tidemark.schemas import get_schema
 from tidemark.session import configure, settings
 from tidemark.sources.stream import LATEST, Source, open_stream
-from tidemark.streaming.sink import TableSink, store_micro_batch
+from tidemark.streaming.sink import Storing, TableSink, store_micro_batch
 from tidemark.tables.event_table import BatchReport, TableSpec
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -33,8 +34,11 @@ class IngestJob:
     ``dedup_delay`` is None to compare event ids within each micro-batch, or a
     delay such as ``"10 days"`` to compare them across batches too, by
     ``dedup_time`` (see ``dedup_across``). ``state_partitions`` is the number of state stores
-    that needs; it cannot change once the checkpoint exists. ``trigger`` is passed to ``DataStreamWriter.trigger``;
-    without it batches follow each other as fast as they can.
+    that needs; it cannot change once the checkpoint exists. ``dedup_days`` compares them
+    without state, with the ids that the table itself got in so many days; large batches
+    suit it, as each reads those ids. ``quarantine`` is the table for records that do not
+    decode. ``trigger`` is passed to ``DataStreamWriter.trigger``; without it batches follow
+    each other as fast as they can.
     """
 
     job_name: str
@@ -46,8 +50,19 @@ class IngestJob:
     dedup_delay: str | None = None
     dedup_time: str = INGEST_TIME
     state_partitions: int | None = None
+    dedup_days: int | None = None
+    quarantine: TableSpec | None = None
     trigger: dict[str, object] = field(default_factory=dict)
 
+    def __post_init__(self):
+        if self.dedup_delay and (self.dedup_days is not None or self.quarantine):
+            # State would fold undecodable records before they could be kept apart.
+            raise ValueError("dedup_delay goes with neither dedup_days nor a quarantine")
+
+    @property
+    def storing(self) -> Storing:
+        return Storing(self.table, bool(self.dedup_delay), self.quarantine, self.dedup_days)
+
 
 @dataclass(frozen=True)
 class RunningJob:
@@ -59,18 +74,21 @@ class RunningJob:
 
 def event_rows(spark: SparkSession, job: IngestJob) -> DataFrame:
     """The decoded stream of a job, before it is cut into micro-batches."""
-    schema = get_schema(job.schema_name)
-    records = open_stream(spark, job.source, job.start, job.checkpoint)
-    rows = decode(records, schema, job.source.payload_column)
+    rows = _decoded(open_stream(spark, job.source, job.start, job.checkpoint), job)
     if not job.dedup_delay:
         return rows
     return dedup_across(rows, job.dedup_delay, job.dedup_time)
 
 
-def _state_settings(job: IngestJob) -> dict[str, str]:
+def _decoded(records: DataFrame, job: IngestJob, ingested_at: datetime | None = None) -> DataFrame:
+    schema, payload = get_schema(job.schema_name), job.source.payload_column
+    if not job.quarantine:
+        return decode(records, schema, payload, ingested_at)
+    return mark_undecodable(decode(records, schema, payload, ingested_at, (payload,)), payload)
+
+
+def state_settings(job: IngestJob) -> dict[str, str]:
     """Settings of the state store, for jobs that keep state."""
-    if not job.dedup_delay:
-        return {}
     # State of days of event ids belongs on disk, not in the executor heap.
     values = {STATE_STORE: ROCKSDB, STATE_CHANGELOG: "true"}
     if job.state_partitions:
@@ -84,10 +102,15 @@ def start_ingest(
     """Start a job; it runs until it is stopped, fails, or its trigger is done."""
     configure(spark)
     log.info("job %s: reading %s into %s", job.job_name, job.source, job.table.name)
-    sink = TableSink(job.table, after_write, unique=bool(job.dedup_delay))
+    return start_rows(spark, job, event_rows(spark, job), TableSink(job.storing, after_write))
+
+
+def start_rows(
+    spark: SparkSession, job: IngestJob, rows: DataFrame, sink: TableSink
+) -> RunningJob:
+    """Start storing any stream of stamped rows the way a job says."""
     writer = (
-        event_rows(spark, job)
-        .writeStream.queryName(job.job_name)
+        rows.writeStream.queryName(job.job_name)
         .foreachBatch(sink)
         .option("checkpointLocation", job.checkpoint)
     )
@@ -97,7 +120,7 @@ def start_ingest(
     context = spark.sparkContext
     context.setLocalProperty(POOL, job.job_name)
     try:
-        with settings(spark, _state_settings(job)):
+        with settings(spark, state_settings(job)):
             query = writer.start()
     finally:
         context.setLocalProperty(POOL, None)
@@ -109,14 +132,19 @@ def run_ingest(
     spark: SparkSession, job: IngestJob, after_write: Callable[[int], None] | None = None
 ) -> RunningJob:
     """Run a job to its end; a failure of the stream is raised here."""
-    running = start_ingest(spark, job, after_write)
+    return wait(start_ingest(spark, job, after_write))
+
+
+def wait(running: RunningJob) -> RunningJob:
+    """Wait for the end of a started job; a failure of the stream is raised here."""
+    name = running.query.name
     try:
         running.query.awaitTermination()
     except Exception:
-        log.exception("job %s failed", job.job_name)
+        log.exception("job %s failed", name)
         raise
     finally:
-        log.info("job %s stopped", job.job_name)
+        log.info("job %s stopped", name)
     return running
 
 
@@ -150,6 +178,5 @@ def load_batch(
     A retry with the same number and stamp replaces what the first try stored.
     Batches loaded this way are kept apart from streams by the name of the job.
     """
-    schema = get_schema(job.schema_name)
-    rows = decode(records, schema, job.source.payload_column, ingested_at)
-    return store_micro_batch(job.table, rows, job.job_name, batch_id)
+    rows = _decoded(records, job, ingested_at)
+    return store_micro_batch(job.storing, rows, job.job_name, batch_id)

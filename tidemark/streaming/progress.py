@@ -22,6 +22,8 @@ class ProgressLog(StreamingQueryListener):
     def onQueryProgress(self, event):
         p = event.progress
         late = sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
+        if late:
+            log.warning("query %s batch %d: %d rows behind the watermark", p.name, p.batchId, late)
         log.info(
             "query %s batch %d took %d ms, %d late rows left out",
             p.name,

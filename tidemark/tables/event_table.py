@@ -16,9 +16,9 @@ from there, and a new catalog finds the partitions by it.
 import json
 import logging
 import uuid
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -28,6 +28,7 @@ from pyspark.sql.types import StructField, StructType
 from tidemark.functions.scalars import moment
 from tidemark.operators.decode import EVENT_TIME, INGEST_DATE, INGEST_TIME
 from tidemark.operators.dedup import EVENT_KEY
+from tidemark.operators.quarantine import CAUSE, N_RECORDS, PAYLOAD_TEXT
 from tidemark.operators.revenue import latency_ms
 
 STREAM = "_stream"
@@ -41,6 +42,8 @@ CODEC_PROPERTY = "write.parquet.compression-codec"
 # Providers whose partitions are folders of files; others replace rows by themselves.
 FILE_PROVIDERS = ("parquet", "orc")
 ATTEMPTS = "attempts"
+# Tells the undecodable records of an attempt from the events.
+LOST = "_undecodable"
 # A view over closed days names its live table in this property.
 LIVE_TABLE = "tidemark.live"
 BATCHES = "__batches"
@@ -181,8 +184,8 @@ def add_columns(spark: SparkSession, table: str, fields: Iterable[StructField])
     spark.sql(f"ALTER TABLE {quoted(table)} ADD COLUMNS ({columns_ddl(fields)})")
 
 
-def fit_columns(spark: SparkSession, target: TableSpec, rows: DataFrame) -> DataFrame:
-    """Put the data columns of ``rows`` in the order of the table.
+def fitted_columns(spark: SparkSession, target: TableSpec, rows: DataFrame) -> list[Column]:
+    """The data columns of ``rows`` in the order of the table.
 
     A column the rows lack is filled with NULL. A column the table lacks is
     added to it if ``target.evolve`` and is an error otherwise, as is a column of
@@ -200,13 +203,11 @@ def fit_columns(spark: SparkSession, target: TableSpec, rows: DataFrame) -> Data
     if new:
         add_columns(spark, table, new)
         stored |= {f.name: f.dataType for f in new}
-    return rows.select(
-        *(
-            F.col(name) if name in given else F.lit(None).cast(kind).alias(name)
-            for name, kind in stored.items()
-            if name not in PARTITIONS
-        )
-    )
+    return [
+        F.col(name) if name in given else F.lit(None).cast(kind).alias(name)
+        for name, kind in stored.items()
+        if name not in PARTITIONS
+    ]
 
 
 @dataclass(frozen=True)
@@ -233,6 +234,7 @@ def _counts(columns: Sequence[str], copies: str) -> list[Column]:
         F.coalesce(F.sum(number), F.lit(0)).alias("received"),
         F.coalesce(F.sum(lost), F.lit(0)).alias("undecodable"),
         F.count(F.lit(1)).alias("stored"),
+        F.count_if(F.col(EVENT_KEY).isNull() if EVENT_KEY in columns else F.lit(False)).alias("lost"),
         F.count(INGEST_DATE).alias("dated"),
         F.min(INGEST_DATE).alias("day"),
         F.max(INGEST_DATE).alias("last_day"),
@@ -256,16 +258,12 @@ def store_batch(
     column, not stored, with the number of records that each row stands for. Nothing is
     changed for readers until all is written and counted.
     """
-    if not spark.catalog.tableExists(target.name):
-        if rows.isEmpty():
-            return None
-        log.info("creating table %s", target.name)
-        create_table(spark, target, rows.drop(copies).schema)
+    events = rows.drop(copies)
+    if not _ready(spark, rows, {target: events.schema}):
+        return None
     seen = Observation()
-    counted = rows.observe(seen, *_counts(rows.columns, copies)).drop(copies)
-    fitted = fit_columns(spark, target, counted)
-    if target.provider not in FILE_PROVIDERS:
-        raise ValueError(f"no way to replace partitions of {target.provider} tables")
+    counted = rows.observe(seen, *_counts(rows.columns, copies))
+    fitted = counted.select(*fitted_columns(spark, target, events))
     folder = write_attempt(spark, target, fitted)
     found = seen.get
     if not found["stored"]:
@@ -273,6 +271,70 @@ def store_batch(
     day = _one_day(found)
     put_in_place(spark, target.name, partition_spec(day, stream, batch_id), folder)
     _list_batch(spark, target, found, stream, batch_id, folder)
+    return _report(batch_id, found)
+
+
+def store_split_batch(
+    spark: SparkSession,
+    target: TableSpec,
+    quarantine: TableSpec,
+    rows: DataFrame,
+    stream: str,
+    batch_id: int,
+    copies: str,
+    between: Callable[[int], None] | None = None,
+) -> BatchReport | None:
+    """Store the events of a batch in one table and its undecodable records in another.
+
+    ``rows`` are marked (``mark_undecodable``). One job writes both to one attempt; then
+    each part is put in place, the records first. A crash in between (``between`` is called
+    there) leaves the batch uncommitted, and the next attempt puts both in place anew.
+    """
+    events = rows.drop(copies, PAYLOAD_TEXT, CAUSE)
+    records = rows.select(
+        PAYLOAD_TEXT, CAUSE, F.col(copies).alias(N_RECORDS), INGEST_TIME, INGEST_DATE
+    )
+    if not _ready(spark, rows, {target: events.schema, quarantine: records.schema}):
+        return None
+    seen = Observation()
+    counted = rows.observe(seen, *_counts(rows.columns, copies))
+    columns = fitted_columns(spark, target, events)
+    lost = F.col(EVENT_KEY).isNull().alias(LOST)
+    parts = counted.select(*columns, PAYLOAD_TEXT, CAUSE, F.col(copies).alias(N_RECORDS), lost)
+    folder = write_attempt(spark, target, parts, LOST)
+    found = seen.get
+    if not found["stored"]:
+        return None
+    day = _one_day(found)
+    kept = found["stored"] - found["lost"]
+    for table, n, value in ((quarantine, found["lost"], "true"), (target, kept, "false")):
+        spec = partition_spec(day, stream, batch_id)
+        place = f"{folder}/{LOST}={value}"
+        if n:
+            put_in_place(spark, table.name, spec, place)
+        else:
+            spark.sql(f"ALTER TABLE {quoted(table.name)} DROP IF EXISTS PARTITION ({spec})")
+        _list_batch(spark, table, {**found, "stored": n}, stream, batch_id, place)
+        if between and table is quarantine:
+            between(batch_id)
+    return _report(batch_id, {**found, "stored": kept})
+
+
+def _ready(spark: SparkSession, rows: DataFrame, schemas: Mapping[TableSpec, StructType]) -> bool:
+    """Make the tables that are missing; False if that would be for an empty batch."""
+    for target, schema in schemas.items():
+        if target.provider not in FILE_PROVIDERS:
+            raise ValueError(f"no way to replace partitions of {target.provider} tables")
+        if spark.catalog.tableExists(target.name):
+            continue
+        if rows.isEmpty():
+            return False
+        log.info("creating table %s", target.name)
+        create_table(spark, target, schema)
+    return True
+
+
+def _report(batch_id: int, found: Mapping[str, Any]) -> BatchReport:
     return BatchReport(batch_id, found["received"], found["undecodable"], found["stored"])
 
 
@@ -351,6 +413,20 @@ def as_of_batch(
     return rows.filter(F.col(BATCH) <= batch_id).drop(*BOOKKEEPING)
 
 
+def ids_of_days(
+    spark: SparkSession, table: str, day: date, days: int, stream: str, batch_id: int
+) -> DataFrame | None:
+    """The event ids stored on a day and the ``days`` before it, but for those of one batch.
+
+    None if there is no table yet. Reads the ids alone, of these days alone.
+    """
+    if not spark.catalog.tableExists(table):
+        return None
+    recent = F.col(INGEST_DATE).between(F.lit(day - timedelta(days=days)), F.lit(day))
+    own = (F.col(STREAM) == stream) & (F.col(BATCH) == batch_id)
+    return current(spark, table).filter(recent & ~own).select(EVENT_KEY)
+
+
 def as_of_time(spark: SparkSession, table: str, at: datetime) -> DataFrame:
     """The table as it was at a moment; reads only partitions up to that day."""
     rows, end = current(spark, table), moment(at)
