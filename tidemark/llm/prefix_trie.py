@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.mixing import stored
 
-BAND = 8
-ROOT = "root"
+BAND = 16
+ROOT = b"root"
 # Conversation ids that travel to a node's digest as one row.
 CHUNK = 1000
 
@@ -109,6 +109,11 @@ def with_shared_heads(turns: DataFrame, family: int, most: int) -> tuple[DataFra
     return rebuilt, convs.select("conv_id", (F.col("taken") + F.col("own")).alias("n_turns"))
 
 
+def _named(top: Column) -> Column:
+    """The id of the start that goes on from ``top`` with the turns of column ``start``."""
+    return F.unhex(F.md5(F.concat(top, F.unhex("start"))))
+
+
 def _starts(rows: DataFrame, deepest: int, band: int) -> list[DataFrame]:
     """Each place of each sequence with the id of the start that ends there, and ``above``.
 
@@ -132,10 +137,10 @@ def _starts(rows: DataFrame, deepest: int, band: int) -> list[DataFrame]:
         tops = ends.select("conv_id", (F.col("no") + 1).alias("no"), F.col("end").alias("top"))
         local = local.join(tops, ["conv_id", "no"], "left").join(ends, ["conv_id", "no"], "left")
         top = F.coalesce("top", F.lit(ROOT))
-        named = F.when(last, F.col("end")).otherwise(F.md5(F.concat(top, F.lit("/"), "start")))
+        named = F.when(last, F.col("end")).otherwise(_named(top))
     else:
         top = F.lit(ROOT)
-        named = F.md5(F.concat(top, F.lit("/"), "start"))
+        named = _named(top)
     before = so_far.rowsBetween(Window.unboundedPreceding, -1)
     found = (
         local.withColumn("id", named)
@@ -192,8 +197,13 @@ def _digests_of_ends(ends: DataFrame) -> DataFrame:
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         node, state = None, None
+
+        def rows(names: list[bytes], found: list[str]) -> pa.RecordBatch:
+            arrays = [pa.array(names, pa.binary()), pa.array(found, pa.string())]
+            return pa.RecordBatch.from_arrays(arrays, ["id", "ends_sha256"])
+
         for batch in batches:
-            names: list[str] = []
+            names: list[bytes] = []
             found: list[str] = []
             for name, ids in zip(batch.column(0).to_pylist(), batch.column(1)):
                 text = ids.as_py().encode()
@@ -205,11 +215,11 @@ def _digests_of_ends(ends: DataFrame) -> DataFrame:
                         found.append(state.hexdigest())
                     node, state = name, hashlib.sha256()
                 state.update(text)
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(found, pa.string())], ["id", "ends_sha256"])
+            yield rows(names, found)
         if node is not None:
-            yield pa.RecordBatch.from_pydict({"id": [node], "ends_sha256": [state.hexdigest()]})
+            yield rows([node], [state.hexdigest()])
 
-    return chunks.mapInArrow(digest, "id string, ends_sha256 string")
+    return chunks.mapInArrow(digest, "id binary, ends_sha256 string")
 
 
 def prefix_trie(turns: DataFrame, convs: DataFrame, band: int = BAND) -> DataFrame:
@@ -222,8 +232,8 @@ def prefix_trie(turns: DataFrame, convs: DataFrame, band: int = BAND) -> DataFra
     ``saved_tokens`` of the subtree, ``ends_sha256`` of the ids that end there. The root has
     depth 0. No conversations: no rows.
     """
-    deepest = turns.agg(F.max("place")).first()[0]
-    levels = _starts(turns, -1 if deepest is None else deepest, band)
+    longest = convs.agg(F.max("n_turns")).first()[0]
+    levels = _starts(turns, (longest or 0) - 1, band)
     parent = F.element_at("above", -1)
     nodes = levels[0].groupBy("id").agg(
         F.min("conv_id").alias("conv_id"),
@@ -232,7 +242,7 @@ def prefix_trie(turns: DataFrame, convs: DataFrame, band: int = BAND) -> DataFra
         F.first("above").alias("above"),
         F.first("n_bytes").alias("n_bytes"),
     )
-    nothing = F.array().cast("array<string>")
+    nothing = F.array().cast("array<binary>")
     root = convs.agg(F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n_convs")).select(
         F.lit(ROOT).alias("id"),
         "conv_id",
@@ -287,4 +297,4 @@ def prefix_trie(turns: DataFrame, convs: DataFrame, band: int = BAND) -> DataFra
 def conversation_trie(conversations: DataFrame, family: int = 5, most: int = 9) -> DataFrame:
     """The trie of conversations that share the first turns of their family (see above)."""
     turns, convs = with_shared_heads(stored(ordered_turns(conversations), "places"), family, most)
-    return prefix_trie(stored(turns, "rebuilt"), convs)
+    return prefix_trie(turns, convs)
