@@ -101,6 +101,99 @@ def test_layers_are_unwrapped_and_mapped_back():
     assert find_secrets(f"é {escaped} b")[1] == [(0, 2, 2 + len(escaped))]
 
 
+SECRET = "password=abcdefgh12345"
+
+
+@pytest.mark.parametrize(
+    "content",
+    [
+        f"log \x1b[31m{SECRET}\x1b[0m end of the line".encode(),
+        f"a\x00b {SECRET}".encode(),
+        f"caf\xe9 {SECRET} caf\xe9".encode("latin-1"),
+        f"wide {SECRET}".encode("utf-16"),
+        f"wide {SECRET}".encode("utf-16-be"),
+        SECRET.encode(),
+    ],
+)
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, zlib.compress, bz2.compress, lzma.compress])
+def test_no_character_hides_a_layer(content, pack):
+    hidden = base64.b64encode(pack(content)).decode()
+    assert find_secrets(f"see {hidden} end")[1] == [(0, 4, 4 + len(hidden))]
+
+
+@pytest.mark.parametrize("before, after", [("A", ""), ("ab", ""), ("x/y", ""), ("", "A"), ("Q", "Z")])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress])
+def test_base64_out_of_step(before, after, pack):
+    plain = base64.b64encode(pack(f"x {SECRET} with more text".encode())).decode().rstrip("=")
+    hidden = before + plain + after
+    assert (0, 4, 4 + len(hidden)) in find_secrets(f"see {hidden} end")[1]
+
+
+def zstd(data):
+    return zstandard.ZstdCompressor(write_checksum=True).compress(data)
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstd])
+@pytest.mark.parametrize("broken", ["checksum", "cut"])
+def test_broken_layers_give_what_came(pack, broken):
+    """A wrong checksum, or an end that is missing, loses nothing before it."""
+    draw = random.Random(3)
+    filler = "".join(draw.choices(string.ascii_letters, k=3000))
+    text = f"{SECRET} {filler}" if broken == "cut" else f"{filler} {SECRET}"
+    data = bytearray(pack(text.encode()))
+    if broken == "cut":
+        # The one block of this format comes out whole or not at all.
+        data = data if pack in (bz2.compress, zstd) else data[: len(data) * 2 // 3]
+    else:
+        # The check of the content: at the end but for formats with an index behind it.
+        at = {bz2.compress: -6, lzma.compress: -33}.get(pack, -3)
+        data[at] ^= 0x40
+    hidden = base64.b64encode(data).decode()
+    assert find_secrets(f"see {hidden} end")[1] == [(0, 4, 4 + len(hidden))]
+
+
+def test_percent_runs_that_are_not_utf8():
+    coded = "%FF%70assword=abcdefgh12345"
+    assert find_secrets(f"a {coded} b")[1] == [(0, 5, 2 + len(coded))]
+
+
+def test_bytes_without_text_are_no_layer():
+    draw = random.Random(4)
+    noise_runs = [base64.b64encode(draw.randbytes(300)).decode() for _ in range(200)]
+    assert find_secrets(" ".join(noise_runs))[1] == []
+
+
+def brute_base(text):
+    """The base spans, matched one place at a time."""
+    found = []
+    for kind, (pattern, least) in enumerate(
+        [
+            (r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 8),
+            (r"AKIA[A-Z0-9]+", 16),
+            (r"[0-9a-f]+", 32),
+        ]
+    ):
+        rule = re.compile(pattern, (re.IGNORECASE | re.ASCII) if not kind else 0)
+        at = 0
+        while at < len(text):
+            if not (m := rule.match(text, at)):
+                at += 1
+                continue
+            if len(m[2] if not kind else m[0]) >= least:
+                found.append((kind, m.start(), m.end()))
+            at = m.end()
+    return sorted(found)
+
+
+def test_base_spans_equal_brute_force(documents):
+    texts = [r["text"] for r in documents.collect()]
+    draw = random.Random(8)
+    words = ["password", "Token", "api_key", "apikey", '"', "'", ":", "=", " ", "AKIA", "abcdef0123456789", "Zz9", "\n"]
+    texts += ["".join(draw.choices(words, k=30)) for _ in range(300)]
+    for text in texts:
+        assert sorted(find_secrets(text)[0]) == brute_base(text)
+
+
 def test_base_matches_are_leftmost_and_filtered():
     text = f"secret=token: abcdefgh12 AKIA{'A' * 11} AKIA{'B' * 12} {HEX} {HEX[:31]}"
     base, found = find_secrets(text)
@@ -175,7 +268,7 @@ def test_parts_cut_no_match(monkeypatch):
         hidden = base64.b64encode(gzip.compress(" ".join(words).encode())).decode()
         span = (0, len(hidden))
         assert sorted(find_secrets(hidden)[1]) == [(0, *span), (2, *span)]
-        pieces = list(secrets.decoded(gzip.compress(" ".join(words).encode())))
+        pieces = list(secrets.decoded(secrets.plain_bytes(gzip.compress(" ".join(words).encode()))))
         found = [secrets.find_secrets(p)[1] for p in secrets.in_parts(pieces)]
         assert sorted(k for part in found for k, _, _ in part) == [0, 0, 2]
 

@@ -8,13 +8,13 @@ a layer are mapped to the characters of the text that it came from.
 """
 
 import base64
-import binascii
 import bz2
 import codecs
 import hashlib
 import lzma
 import re
 import zlib
+from bisect import bisect
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from itertools import chain, groupby
@@ -54,6 +54,20 @@ BREAKS = re.compile(r"\s+")
 # size, cut where no pattern can go on; a part without such a place grows to ``LONGEST``
 # characters, and shares ``OVERLAP`` with the next one.
 CHUNK = 2**21
+# Bytes that go into a decompressor at once, and come out of one that can be limited; the
+# memory that one may take.
+STEP = 4
+PIECE = 16
+# First bytes by which compressed content is told from other.
+HEAD = 256
+MOST_MEMORY = 2**27
+# Bytes that hold text: a stretch of printable ASCII, as long as the shortest pattern, in
+# UTF-8 and codings like it or in UTF-16.
+NARROW = re.compile(rb"[\t\n\r\x20-\x7e]{12}")
+WIDE = (
+    ("utf-16-le", re.compile(rb"(?:[\t\n\r\x20-\x7e]\x00){12}")),
+    ("utf-16-be", re.compile(rb"(?:\x00[\t\n\r\x20-\x7e]){12}")),
+)
 LONGEST = 2**26
 OVERLAP = 2**16
 # A character of no pattern, or a space between words: nothing above spans these.
@@ -75,17 +89,14 @@ def scan(text: str) -> list[Span]:
 class Layer:
     """A text, and the span of the document from which a span of it was decoded.
 
-    With ``whole`` that is the same for all spans.
+    With ``whole`` that is the same for all spans. ``shifted`` tells layers that come up only
+    if first characters of a run are left out.
     """
 
     text: str
     place: Callable[[int, int], tuple[int, int]]
     whole: bool = False
-
-
-def odd(text: str) -> bool:
-    """Whether a text has characters that no text has."""
-    return any(c < " " and c not in "\t\n\r\f\v" for c in set(text))
+    shifted: bool = False
 
 
 class Source:
@@ -114,57 +125,57 @@ def opener(head: bytes) -> Callable[[], object] | None:
     """What makes the decompressor for bytes that begin so; None if they are not compressed."""
     if head[:2] == b"\x1f\x8b":
         return lambda: zlib.decompressobj(31)
-    if head[:1] == b"\x78" and len(head) > 2 and int.from_bytes(head[:2], "big") % 31 == 0:
-        return zlib.decompressobj
+    if head[:1] == b"\x78" and int.from_bytes(head[:2], "big") % 31 == 0:
+        # Text may begin so as well: the header is two bytes.
+        return zlib.decompressobj if begins(head, zlib.decompressobj()) else None
     if head[:3] == b"BZh":
         return bz2.BZ2Decompressor
     if head[:6] == b"\xfd7zXZ\x00":
-        return lambda: lzma.LZMADecompressor(memlimit=2**27)
+        return lambda: lzma.LZMADecompressor(memlimit=MOST_MEMORY)
     if head[:4] == b"\x28\xb5\x2f\xfd":
-        return lambda: zstandard.ZstdDecompressor(max_window_size=2**27)
+        return lambda: zstandard.ZstdDecompressor(max_window_size=MOST_MEMORY).decompressobj()
     return None
 
 
 def member(source: Source, tool: object) -> Iterator[bytes]:
-    """The content of one member, in pieces of at most ``CHUNK``; the source is left behind it."""
-    if isinstance(tool, zstandard.ZstdDecompressor):
-        # Blocks hold 128 KiB at most, so a few bytes at a time give pieces of bounded size.
-        tool = tool.decompressobj()
-        while not tool.eof and (piece := source.read(64)):
-            yield tool.decompress(piece)
-        source.held = tool.unused_data + source.held
-        return
-    rest = b""
-    while not tool.eof:
-        full = not rest and getattr(tool, "needs_input", True)
-        given = source.read(CHUNK) if full else rest
-        if full and not given:
-            # At the end of the input, what the decompressor still holds.
-            if found := tool.decompress(b"", CHUNK):
-                yield found
-                continue
-            return
-        found = tool.decompress(given, CHUNK)
-        rest = getattr(tool, "unconsumed_tail", b"")
-        yield found
+    """The content of one member, in small pieces; the source is left behind it.
+
+    A few bytes go in at a time, no more than a checksum has: all content has come out by
+    the time that an error, in it or in the checksum behind it, is raised.
+    """
+    limited = not hasattr(tool, "flush")
+    while not tool.eof and (given := source.read(STEP)):
+        if not limited:
+            yield tool.decompress(given)
+            continue
+        found = tool.decompress(given, PIECE)
+        while found:
+            yield found
+            if tool.eof or tool.needs_input:
+                break
+            found = tool.decompress(b"", PIECE)
     source.held = tool.unused_data + source.held
 
 
+def begins(head: bytes, tool: object) -> bool:
+    """Whether content comes out of the first bytes of a member."""
+    try:
+        return any(member(Source([head]), tool))
+    except BROKEN:
+        return False
+
+
 def inflate(source: Source) -> Iterator[bytes]:
     """The content of all members of compressed bytes, one after another.
 
-    Input that ends early gives what there is. What follows the last member, be it padding
-    or broken, is left out; an error within the first one is raised.
+    Input that ends early or is broken gives what there is up to that place. What follows
+    the last member is left out.
     """
-    first = True
-    while (make := opener(source.peek(6))) is not None:
+    while (make := opener(source.peek(HEAD))) is not None:
         try:
             yield from member(source, make())
         except BROKEN:
-            if first:
-                raise
             return
-        first = False
 
 
 BROKEN = (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zstandard.ZstdError)
@@ -174,22 +185,34 @@ def plain_bytes(data: bytes) -> Iterator[bytes]:
     """The content of bytes that may be compressed several times over, in pieces."""
     source = Source([data])
     seen = set()
-    while opener(source.peek(6)) is not None:
+    while opener(source.peek(HEAD)) is not None:
         inner = Source(inflate(source))
         head = hashlib.sha256(inner.peek(CHUNK)).digest()
         # Content that is its own content again has no text.
         if head in seen:
-            raise ValueError("compressed data without end")
+            return
         seen.add(head)
         source = inner
     while piece := source.read(CHUNK):
         yield piece
 
 
-def decoded(data: bytes) -> Iterator[str]:
-    """The text of bytes in pieces; an error if they are not text."""
-    decoder = codecs.getincrementaldecoder("utf-8")()
-    for piece in plain_bytes(data):
+def coding(head: bytes) -> tuple[str, int]:
+    """The coding of text that begins so, and the bytes before it. Bytes that are not UTF-8,
+    such as Latin-1, and control characters do not keep the rest from being read."""
+    for name, pattern in WIDE:
+        if found := pattern.search(head):
+            return name, found.start() % 2
+    return "utf-8", 0
+
+
+def decoded(pieces: Iterable[bytes]) -> Iterator[str]:
+    """The text of bytes that come in pieces, in pieces."""
+    source = Source(pieces)
+    name, skip = coding(source.peek(CHUNK))
+    source.read(skip)
+    decoder = codecs.getincrementaldecoder(name)("replace")
+    while piece := source.read(CHUNK):
         yield decoder.decode(piece)
     yield decoder.decode(b"", final=True)
 
@@ -225,31 +248,29 @@ def last_apart(text: str, start: int) -> int:
         size *= 4
 
 
-def unpack(data: bytes) -> Iterator[str] | None:
-    """The text in bytes that may be compressed several times over; None if there is none.
+def unpack(data: bytes) -> Iterator[str]:
+    """The text in bytes that may be compressed several times over, in parts, if any.
 
-    Text of up to ``CHUNK`` bytes is one part. All of it is looked through before the
-    first part comes, so bytes that are not text have no part that is.
+    Bytes count as text as they are if a stretch of them could match a pattern.
     """
-    try:
-        size = 0
-        for text in decoded(data):
-            if odd(text):
-                return None
-            size += len(text)
-    except BROKEN:
-        return None
-    return in_parts(decoded(data)) if size else None
+    if opener(data[:HEAD]):
+        yield from in_parts(decoded(plain_bytes(data)))
+    if any(p.search(data) for p in (NARROW, *(pattern for _, pattern in WIDE))):
+        yield from in_parts(decoded([data]))
+
 
+def decode_base64(run: str) -> Iterator[tuple[str, bool]]:
+    """The texts of a run of base64 from each of four characters on, and if not the first.
 
-def decode_base64(run: str) -> Iterator[str] | None:
+    What stands before a run may be of its alphabet, or a character may be one too many;
+    without one of the others no byte is lost, and in step only one of the four is text.
+    """
     plain = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(plain) % 4 == 1:
-        return None
-    try:
-        return unpack(base64.b64decode(plain + "=" * (-len(plain) % 4), validate=True))
-    except binascii.Error:
-        return None
+    for start in range(min(4, len(plain))):
+        part = plain[start:]
+        part = part[: len(part) - (len(part) % 4 == 1)]
+        data = base64.b64decode(part + "=" * (-len(part) % 4))
+        yield from ((text, start > 0) for text in unpack(data))
 
 
 def percent_bytes(run: str) -> bytes:
@@ -257,12 +278,16 @@ def percent_bytes(run: str) -> bytes:
 
 
 def decode_percent(run: str) -> str | None:
-    """The text of a run if it is one part; more parts are layers of their own."""
-    parts = unpack(percent_bytes(run))
-    if parts is None:
-        return None
-    first = next(parts)
-    return first if next(parts, None) is None else None
+    """The text of a run, as Latin-1 if it is not UTF-8; compressed text if it is one part."""
+    data = percent_bytes(run)
+    if opener(data[:HEAD]):
+        parts = unpack(data)
+        first = next(parts, None)
+        return first if next(parts, None) is None else None
+    try:
+        return data.decode()
+    except UnicodeDecodeError:
+        return data.decode("latin-1")
 
 
 def decode_escapes(run: str) -> str | None:
@@ -304,10 +329,11 @@ def rewritten(layer: Layer, pattern: re.Pattern, decode: Callable[[str], str | N
         return None
     parts.append(text[at:])
     if layer.whole:
-        return Layer("".join(parts), layer.place, True)
+        return Layer("".join(parts), layer.place, True, layer.shifted)
     starts += range(at, len(text))
     ends += range(at + 1, len(text) + 1)
-    return Layer("".join(parts), lambda s, e: layer.place(starts[s], ends[e - 1]))
+    place = lambda s, e: layer.place(starts[s], ends[e - 1])
+    return Layer("".join(parts), place, False, layer.shifted)
 
 
 def base64_spans(text: str) -> set[tuple[int, int]]:
@@ -348,17 +374,18 @@ def inner_layers(layer: Layer) -> Iterator[Layer]:
         found.append(rewritten(layer, ESCAPES, decode_escapes))
     yield from (x for x in found if x is not None)
     for start, end in base64_spans(text):
-        if (parts := decode_base64(BREAKS.sub("", text[start:end]))) is not None:
-            span = layer.place(start, end)
-            yield from (Layer(part, lambda s, e, span=span: span, True) for part in parts)
+        span = layer.place(start, end)
+        for part, shifted in decode_base64(BREAKS.sub("", text[start:end])):
+            yield Layer(part, lambda s, e, span=span: span, True, layer.shifted or shifted)
     for match in PERCENT.finditer(text) if "%" in text else ():
         data = percent_bytes(match[0])
-        if opener(data[:6]) and (parts := unpack(data)) is not None:
+        if opener(data[:HEAD]):
+            parts = unpack(data)
             span = layer.place(*match.span())
-            first, second = next(parts), next(parts, None)
+            first, second = next(parts, None), next(parts, None)
             if second is not None:
                 yield from (
-                    Layer(part, lambda s, e, span=span: span, True)
+                    Layer(part, lambda s, e, span=span: span, True, layer.shifted)
                     for part in chain([first, second], parts)
                 )
 
@@ -366,7 +393,8 @@ def inner_layers(layer: Layer) -> Iterator[Layer]:
 def find_secrets(text: str) -> tuple[list[Span], list[Span]]:
     """Spans of the text itself, and all spans with those below encodings."""
     base = scan(text)
-    found = set(base)
+    # What lies below encodings, by kind and the secret itself.
+    below: dict[tuple[int, str], set[tuple[bool, int, int]]] = {}
     # Layers come one at a time, so of a long content one part is held for each depth.
     worklist = [inner_layers(Layer(text, lambda s, e: (s, e)))]
     seen = set()
@@ -380,9 +408,29 @@ def find_secrets(text: str) -> tuple[list[Span], list[Span]]:
         key += inner.place(0, size)
         if key not in seen:
             seen.add(key)
-            found.update((k, *inner.place(s, e)) for k, s, e in scan(inner.text))
+            for kind, start, end in scan(inner.text):
+                found = below.setdefault((kind, inner.text[start:end]), set())
+                found.add((inner.shifted, *inner.place(start, end)))
             worklist.append(inner_layers(inner))
-    return base, list(found)
+    added = {(k, *span) for (k, _), spans in below.items() for span in apart(spans)}
+    return base, list(added.union(base))
+
+
+def apart(spans: Iterable[tuple[bool, int, int]]) -> list[tuple[int, int]]:
+    """Of the places that give one secret, those that are meant.
+
+    All runs that give it from their start; others, longest first, where none of these is.
+    """
+    ordered = sorted(spans, key=lambda s: (s[0], s[1] - s[2], s[1]))
+    meant = [(start, end) for shifted, start, end in ordered if not shifted]
+    taken: list[tuple[int, int]] = []
+    for shifted, start, end in ordered:
+        at = bisect(taken, (start, end))
+        if (at == 0 or taken[at - 1][1] <= start) and (at == len(taken) or end <= taken[at][0]):
+            taken.insert(at, (start, end))
+            if shifted:
+                meant.append((start, end))
+    return meant
 
 
 def listed(spans: list[Span]) -> str:
