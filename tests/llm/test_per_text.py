@@ -292,6 +292,61 @@ def test_surrogates_keep_type_format_and_distinctness():
     assert s.person("Анна") != "Анна" and s.person("Анна")[0] > "z"
 
 
+HIDDEN = [
+    ("Mr Ek came", "Ek"),
+    ("Mr Äö came", "Äö"),
+    ("Señora Íñ vino", "Íñ"),
+    ("Mr İbrahim came", "İbrahim"),
+    ("Dr Łukasz Nowak came", "Łukasz"),
+    ("Dr Łukasz Nowak came", "Nowak"),
+    ("Mr Šimon came", "Šimon"),
+    ("Mr O'Brien came", "Brien"),
+    ("Ms Smith-Jones came", "Smith"),
+    ("Ms Smith-Jones came", "Jones"),
+    ("Mr Øø came", "Øø"),
+    ("MR JOHN SMITH came", "SMITH"),
+    ("Alice Brown signed ALICE BROWN", "BROWN"),
+    ("host 2001:db8:85a3::8a2e:370:7334 up", "8a2e"),
+    ("host fe80::1ff:fe23:4567:890a up", "4567"),
+    ("Passport no. X1234567 shown", "X1234567"),
+    ("at 12 Baker Hill Street now", "Baker"),
+    ("in der Hauptstraße 12a dort", "Haupt"),
+    ("born on 1984-03-02 there", "1984-03-02"),
+    ("DOB: 13.05.1977 there", "13.05.1977"),
+]
+
+
+@pytest.mark.parametrize("text, value", HIDDEN)
+def test_nothing_that_counts_stays(text, value):
+    new, *counts, shared = replace_entities(text, Surrogates(b"key"))
+    assert value not in new and sum(counts) > 0 and shared == 0
+    assert len(new.split()) == len(text.split())
+
+
+def test_capitals_are_the_same_name():
+    new = replace_entities("Mr Brown met BROWN and Brown.", Surrogates(b"key"))[0]
+    first, second, third = re.fullmatch(r"Mr (\S+) met (\S+) and (\S+)\.", new).groups()
+    assert second == first.upper() and third == first != "Brown"
+
+
+def test_no_value_is_its_own_surrogate():
+    """One ring over all values of a format: none stays, none is shared."""
+    s = Surrogates(b"key")
+    names = [a + b + c for a in "BDK" for b in "aeiou" for c in "nrt"]
+    assert all(s.person(n) != n for n in names) and len({s.person(n) for n in names}) == len(names)
+    days = [f"19{y:02d}-{m:02d}-11" for y in range(100) for m in range(1, 13)]
+    moved = [s.birth(d) for d in days]
+    assert len(set(moved)) == len(days) and not any(a == b for a, b in zip(days, moved))
+    assert all(len(m) == 10 and m[:2] == "19" for m in moved)
+    two = [s.cipher.permute([i], [7], "t")[0] for i in range(7)]
+    assert sorted(two) == list(range(7)) and all(i != v for i, v in enumerate(two))
+
+
+def test_words_around_colons_are_no_addresses():
+    text = "at 12:30:45 std::vector a::b ::1 face::b00c"
+    assert replace_entities(text, Surrogates(b"key"))[0] == text
+
+
 def test_coreference_and_other_keys():
     text = "Call +1 (988) 555-2485, 988-555-2485; bob@a.example.com. Mr Peter Lang came. Lang left."
     new, *counts = replace_entities(text, Surrogates(b"key"))
