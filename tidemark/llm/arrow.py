@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import (
     ArrayType,
+    BinaryType,
     BooleanType,
     DataType,
     DoubleType,
@@ -22,6 +23,7 @@ ARROW = {
     DoubleType(): pa.float64(),
     BooleanType(): pa.bool_(),
     StringType(): pa.string(),
+    BinaryType(): pa.binary(),
     ArrayType(StringType()): pa.list_(pa.string()),
     ArrayType(LongType()): pa.list_(pa.int64()),
     ArrayType(IntegerType()): pa.list_(pa.int32()),
