@@ -1,8 +1,12 @@
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.dedup import dedup_batch
+from tidemark.operators.decode import decode, fields_of
+from tidemark.operators.dedup import among, dedup_batch, without_stored
+from tidemark.schemas import get_schema
+from tidemark.sources.wire import WIRE_SCHEMA
 
 
 def test_one_row_per_id_nulls_equal(spark):
@@ -47,4 +51,46 @@ def test_copies_fold_before_the_shuffle(spark):
     plan = dedup_batch(frame)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
     above, below = plan.split("Exchange hashpartitioning", 1)
-    assert "partial_first" in below and "partial_first" not in above
+    assert "partial_min_by" in below and "partial_min_by" not in above
+
+
+def test_survivor_is_the_same_in_every_run(spark):
+    """Of copies that differ the earliest stays, then the one with the smallest hash."""
+    rows = [("a", 5, "x"), ("a", 3, "y"), ("a", 3, "z"), ("b", None, "p"), ("b", 1, "q")]
+    frame = spark.createDataFrame(rows, "event_id STRING, event_timestamp INT, t STRING")
+    kept = [sorted(map(tuple, dedup_batch(frame.repartition(n)).collect())) for n in (1, 2, 5)]
+    assert kept[0] == kept[1] == kept[2]
+    assert kept[0][0][:2] == ("a", 3) and kept[0][1] == ("b", None, "p")
+    by_text = dedup_batch(frame, first_by=("t",)).collect()
+    assert sorted(r["t"] for r in by_text) == ["p", "x"]
+
+
+def test_only_what_is_selected_travels(spark):
+    schema = fields_of(get_schema("subscription_payment"), ("event_id", "status", "amount_usd"))
+    records = spark.createDataFrame([("k", b'{"event_id":"a","status":"s"}')], WIRE_SCHEMA)
+    rows = decode(records, schema).select("event_id", "status", "amount_usd")
+    plan = dedup_batch(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1 and "StructField(status" in plan
+    assert "user_id" not in plan and "ingestion" not in plan
+    assert dedup_batch(rows).collect() == [("a", "s", None)]
+    with pytest.raises(ValueError, match="nothing"):
+        fields_of(schema, ["nothing"])
+
+
+def test_without_stored(spark):
+    rows = spark.createDataFrame([(n, f"e{n}" if n % 5 else None) for n in range(50)], "n INT, event_id STRING")
+    held = spark.createDataFrame([(f"e{n}",) for n in range(0, 50, 3)] + [(None,)], "event_id STRING")
+    found = without_stored(rows, held)
+    want = sorted(n for n in range(50) if n % 5 == 0 or n % 3)
+    assert sorted(r["n"] for r in found.collect()) == want
+    assert found.columns == rows.columns
+    assert without_stored(rows, held.limit(0)).count() == 50
+    assert without_stored(rows.limit(0), held).count() == 0
+
+
+def test_filter_keeps_all_that_match_and_few_others(spark):
+    ids = spark.range(1000).select(F.concat(F.lit("e"), "id").alias("event_id"))
+    rows = spark.range(200_000).select(F.concat(F.lit("e"), F.col("id") + 500).alias("event_id"))
+    found = {r["event_id"] for r in among(rows, ids).collect()}
+    assert found >= {f"e{n}" for n in range(500, 1000)}
+    assert len(found) < 600

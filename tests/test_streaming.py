@@ -7,8 +7,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.decode import EVENT_TIME, INGEST_TIME
+from tidemark.operators.decode import EVENT_TIME, INGEST_TIME, decode
 from tidemark.operators.dedup import copy_folder
+from tidemark.schemas import get_schema
 from tidemark.sources.stream import (
     LATEST,
     TRIM_HORIZON,
@@ -26,8 +27,12 @@ from tidemark.streaming.ingest import (
     run_all,
     run_ingest,
     start_ingest,
+    start_rows,
+    wait,
 )
 from tidemark.streaming.progress import ProgressLog
+from tidemark.streaming.rates import late_rows, run_rates
+from tidemark.streaming.sink import TableSink
 from tidemark.tables.event_table import TableSpec, batch_list, current
 
 NOON = "2024-03-01T12:00:00+00:00"
@@ -247,6 +252,112 @@ def test_late_rows_by_event_time(spark, table, folder):
     assert sum(op.numRowsDroppedByWatermark for op in states) > 0
 
 
+def test_ids_are_compared_with_stored_ones(spark, table, folder):
+    """Without state, also after a crash between write and commit; a hot id folds before."""
+    job = job_for(table, folder, dedup_days=3)
+    land(spark, job, [event("a"), event("a"), event("b"), "broken"])
+    run_ingest(spark, job)
+    land(spark, job, [event("a")] * 2000 + [event("c"), "broken"])
+    with pytest.raises(Exception, match="crash"):
+        run_ingest(spark, job, after_write=crash)
+    assert ids(spark, table) == ["", "", "a", "b", "c"]
+    run_ingest(spark, job)
+    assert ids(spark, table) == ["", "", "a", "b", "c"]
+    land(spark, job, [event("c"), event("b")])
+    run_ingest(spark, job)
+    assert ids(spark, table) == ["", "", "a", "b", "c"]
+
+
+def test_ids_older_than_the_days_may_come_again(spark, table, folder):
+    job = job_for(table, folder, dedup_days=2)
+    records = spark.createDataFrame([("k", event("a").encode())], WIRE_SCHEMA)
+    for number, day in enumerate((1, 3, 6)):
+        load_batch(records, job, number, datetime(2024, 3, day))
+    assert ids(spark, table) == ["a", "a"]
+
+
+def test_quarantine_takes_what_does_not_decode(spark, table, folder):
+    lost = TableSpec(f"{table}_lost")
+    job = job_for(table, folder, quarantine=lost)
+    bad = ["not json", "not json", "", "[]", '{"id":1}', '{"event_id":null}']
+    land(spark, job, [event("a"), event("a"), *bad])
+
+    def stop(batch_id):
+        raise RuntimeError("between")
+
+    sink = TableSink(job.storing, between=stop)
+    with pytest.raises(Exception, match="between"):
+        wait(start_rows(spark, job, event_rows(spark, job), sink))
+    assert current(spark, table).count() == 0
+    run_ingest(spark, job)
+    land(spark, job, ["only this"])
+    run_ingest(spark, job)
+    land(spark, job, [event("b")])
+    run_ingest(spark, job)
+    assert ids(spark, table) == ["a", "b"]
+    found = current(spark, lost.name).select("_batch_id", "payload", "cause", "n_records").collect()
+    assert sorted(map(tuple, found)) == [
+        (0, "", "empty", 1),
+        (0, "[]", "no object", 1),
+        (0, "not json", "not JSON", 2),
+        (0, '{"event_id":null}', "no event id", 1),
+        (0, '{"id":1}', "no event id", 1),
+        (1, "only this", "not JSON", 1),
+    ]
+    listed = batch_list(spark, table).orderBy("batch_id").collect()
+    counts = [(r["received"], r["undecodable"], r["stored"]) for r in listed]
+    assert counts == [(8, 6, 1), (1, 1, 0), (1, 0, 1)]
+
+
+def test_a_flood_of_one_payload_folds(spark, table, folder):
+    job = job_for(table, folder, quarantine=TableSpec(f"{table}_lost"))
+    land(spark, job, ["broken"] * 5000 + [event("a")])
+    run_ingest(spark, job)
+    assert current(spark, f"{table}_lost").select("n_records").collect() == [(5000,)]
+    with pytest.raises(ValueError, match="dedup_delay"):
+        job_for(table, folder, quarantine=TableSpec("x"), dedup_delay="1 day")
+
+
+def test_rates_of_finished_minutes(spark, table, folder, caplog):
+    """Copies count once, a late event is reported and left out, a replay changes nothing."""
+    job = job_for(table, folder, state_partitions=2)
+    listener = ProgressLog()
+    spark.streams.addListener(listener)
+
+    def typed(name, time):
+        return json.dumps({"event_id": name, "event_timestamp": time, "event_type": "t"})
+
+    try:
+        land(spark, job, [typed("a", "2024-03-01T12:00:10Z"), typed("b", "2024-03-01T12:00:50Z")])
+        run_rates(spark, job, "10 minutes")
+        land(spark, job, [typed("a", "2024-03-01T12:00:10Z"), typed("c", "2024-03-01T13:00:00Z"), "broken"])
+        run_rates(spark, job, "10 minutes")
+        land(spark, job, [typed("late", "2024-03-01T12:00:20Z"), typed("d", "2024-03-01T14:00:00Z")])
+        running = run_rates(spark, job, "10 minutes")
+        for _ in range(50):
+            if "behind the watermark" in caplog.text:
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    assert late_rows(running) == 1
+    assert "1 rows behind the watermark" in caplog.text
+    rows = current(spark, table).orderBy("minute").collect()
+    assert [(r["minute"].minute, r["minute"].hour, r["n_events"]) for r in rows] == [(0, 12, 2), (0, 13, 1)]
+
+
+def test_a_source_that_counts(spark, table, folder):
+    """Offsets of a source that is no file go on where the last run ended."""
+    source = Source(format="rate-micro-batch", options={"rowsPerBatch": "10"})
+    job = job_for(table, folder, source=source)
+    for _ in range(3):
+        ticks = open_stream(spark, source, TRIM_HORIZON, job.checkpoint)
+        payload = F.format_string('{"event_id":"e%d"}', "value")
+        rows = decode(ticks.select(payload.alias("data")), get_schema(job.schema_name))
+        wait(start_rows(spark, job, rows, TableSink(job.storing)))
+    assert ids(spark, table) == sorted(f"e{n}" for n in range(30))
+
+
 def test_latest_leaves_out_what_was_there(spark, table, folder):
     job = job_for(table, folder, start=LATEST)
     land(spark, job, [event("old")])
