@@ -12,12 +12,17 @@ from tidemark.llm.components import components
 from tidemark.llm.decontamination import Retrieval, find_leaks
 from tidemark.llm.language_model import (
     Attention,
+    Insides,
     ModelOptions,
     Scorer,
     Subwords,
     default_vocabulary,
+    found,
+    grouped,
     score_texts,
+    softmax,
     windows,
+    within,
 )
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.substring_dedup import dedup_substrings
@@ -371,3 +376,39 @@ def test_all_training_rows_train(spark, documents):
     # A sample of next to nothing leaves the weights as drawn, unless all rows train them.
     sampled = replace(SMALL, sample=1)
     assert mean(sampled) > mean(replace(sampled, rounds=0)) + 0.05
+
+
+def test_scores_do_not_depend_on_the_layout(documents):
+    """The model is trained on shards dealt by hashes, so tables cut in any way score alike."""
+    options = replace(SMALL, sample=2000, shard=5000)
+    found = [
+        {r["doc_id"]: r["score"] for r in score_texts(documents.repartition(n), options).collect()}
+        for n in (1, 12)
+    ]
+    assert found[0].keys() == found[1].keys()
+    for doc_id, score in found[0].items():
+        assert abs(score - found[1][doc_id]) <= 1e-4 * abs(score)
+
+
+def test_probabilities_add_up_to_one(documents):
+    """Of all subwords that may come next, for any context: groups and what is in them."""
+    texts = [r["text"] for r in documents.limit(30).collect()]
+    path = default_vocabulary()
+    subwords = Subwords(path)
+    uses = np.bincount(
+        np.concatenate([subwords.ids(re.findall(WORD, t)) for t in texts]), minlength=subwords.size
+    ).astype(float)
+    group, alone = grouped(uses, subwords.begins, SMALL.groups, SMALL.singles)
+    model = Attention(SMALL, subwords.size + 1, np.append(group, SMALL.groups))
+    inputs = np.array([[subwords.size, 5, 300, 7] + [9] * (SMALL.window - 4)])
+    shares = softmax(model.logits(model.hidden(inputs)["y"]))[0, :4].astype(float)
+    of_each = shares[:, group] * alone
+    assert np.allclose(of_each.sum(axis=1), 1, atol=1e-5)
+    # A pair that is known shifts weight within its group alone.
+    ids = np.flatnonzero(~subwords.begins)[:50]
+    counts = (np.sort(7 * len(group) + ids), np.arange(1.0, 51))
+    insides = Insides.of(group, alone, subwords.begins, 5.0, counts)
+    keys = 7 * len(group) + np.arange(len(group))
+    n, total = found(insides.pairs, keys), found(insides.totals, within(keys, group))
+    given = (n + 5.0 * alone) / (total + 5.0)
+    assert np.allclose(np.bincount(group, given, SMALL.groups), 1)
