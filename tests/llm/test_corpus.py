@@ -6,6 +6,7 @@ from dataclasses import replace
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import simhash, substring_dedup
 from tidemark.llm.components import components
@@ -24,7 +25,7 @@ from tidemark.llm.language_model import (
     windows,
     within,
 )
-from tidemark.llm.mixing import mix_sources
+from tidemark.llm.mixing import letter_share, mix_sources, stored
 from tidemark.llm.substring_dedup import dedup_substrings
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -153,7 +154,7 @@ def test_large_buckets_are_split(make, monkeypatch):
     draw = random.Random(8)
     passage = [f"p{i}" for i in range(20)]
     texts = [" ".join([f"a{i}", *passage, f"b{i}", *draw.choices("xy", k=14)]) for i in range(200)]
-    docs = make(*texts).repartition(3).localCheckpoint()
+    docs = stored(make(*texts).repartition(3), "texts")
     want = removed(list(enumerate(texts)), 13)
     for name, value in (("HOT", 10), ("SAMPLE", 1)):
         monkeypatch.setattr(substring_dedup, name, value)
@@ -170,6 +171,26 @@ def test_large_buckets_are_split(make, monkeypatch):
     assert largest(substring_dedup.hot_buckets(docs, 13, 3)) <= 20
 
 
+def test_a_window_in_every_text_leaves_a_task_in_few_rows(make):
+    """Folded over all slices of a task, not by slice."""
+    passage = " ".join(f"p{i}" for i in range(13))
+    docs = stored(make(*[f"a{i} {passage} b{i} " + "z" * 400_000 for i in range(60)]).coalesce(1), "texts")
+    everything = substring_dedup.Buckets(np.full(substring_dedup.FILTER_BITS // 8, 255, np.uint8))
+    blocks = substring_dedup.pack_rows(docs, 13, 3, 1, everything).collect()
+    assert len(blocks) > 3
+    rows = substring_dedup.from_blocks([bytes(r["block"]) for r in blocks])
+    assert sum(p == passage.encode() for p in rows["packed"].to_pylist()) <= 3
+
+
+def test_the_filter_has_all_large_buckets(spark):
+    bits = np.zeros(substring_dedup.FILTER_BITS // 8, np.uint8)
+    for bucket in (-5, 3, 2**62):
+        place = bucket % substring_dedup.FILTER_BITS
+        bits[place >> 3] |= 1 << (place & 7)
+    held = substring_dedup.Buckets(bits)
+    assert -5 in held and 3 in held and 2**62 in held and 4 not in held
+
+
 def test_substrings_of_odd_rows(odd, empty):
     rows = dedup_substrings(odd).collect()
     assert len(rows) == odd.count()
@@ -209,6 +230,33 @@ def test_mix_reaches_its_targets(spark, documents):
         assert all(r["taken"] in (whole * r["size"], (whole + 1) * r["size"]) for r in own)
 
 
+def test_mix_takes_the_smallest_keys(spark, documents):
+    """Against a sort of each source by its keys: exponential, scaled by quality."""
+    draws = documents.select(
+        "doc_id", F.xxhash64(F.lit(42), "doc_id").alias("drawn"), letter_share(F.col("text")).alias("w")
+    )
+    keys = {
+        r["doc_id"]: -np.log(((r["drawn"] % 2**64 >> 11) + 0.5) / 2.0**53) / r["w"]
+        for r in draws.collect()
+    }
+    rows = mix_sources(documents, keep=["doc_id", "source"]).collect()
+    for name in {r["source"] for r in rows}:
+        own = sorted((r for r in rows if r["source"] == name), key=lambda r: keys[r["doc_id"]])
+        rest = own[0]["target"] - own[0]["epochs"] * own[0]["source_size"]
+        before = 0
+        for r in own:
+            assert r["sampled"] == (before + r["size"] / 2 <= rest and rest > 0), r
+            before += r["size"]
+
+
+def test_rows_without_an_id_have_keys_of_their_own(spark):
+    rows = [(None, f"word {n} " * 5, "a", "") for n in range(400)] + [(1, "b " * 4000, "b", "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    found = [r for r in mix_sources(docs, (1, 3), keep=["source"]).collect() if r["source"] == "a"]
+    taken = sum(r["taken"] for r in found)
+    assert abs(taken - found[0]["target"]) <= 10 and 0 < sum(r["sampled"] for r in found) < 400
+
+
 def test_mix_of_odd_rows(spark, odd, empty):
     rows = mix_sources(odd).collect()
     assert len(rows) == odd.count()

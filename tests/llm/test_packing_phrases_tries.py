@@ -189,12 +189,9 @@ def test_collocations_equal_brute_force(documents, least):
     assert phrase_rows(collocations(documents.repartition(5), PhraseOptions(least=least))) == want
 
 
-def test_words_beyond_the_dictionary_count_as_well(documents, monkeypatch):
-    from tidemark.llm import collocations as module
-
-    monkeypatch.setattr(module, "SLICE", 2000)
+def test_words_beyond_the_dictionary_count_as_well(documents):
     rows = [(r["lang"], r["text"]) for r in documents.collect()]
-    found = collocations(documents, PhraseOptions(least=5, dictionary=40))
+    found = collocations(documents, PhraseOptions(least=5, dictionary=40, part=2000))
     assert phrase_rows(found) == brute_phrases(rows, 5)
 
 
@@ -223,13 +220,12 @@ def test_ties_go_by_phrase(spark):
     assert found == brute_phrases([("en", t) for t in texts])
 
 
-def test_a_text_longer_than_a_part(spark, monkeypatch):
-    from tidemark.llm import collocations as module
-
-    monkeypatch.setattr(module, "SLICE", 100)
+def test_a_text_longer_than_a_part(spark):
     texts = ["one two three four five, " * 300, "x" * 1000 + " one two"]
     made = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string")
-    assert phrase_rows(collocations(made)) == brute_phrases([("en", t) for t in texts])
+    for part in (1, 7, 100):
+        found = phrase_rows(collocations(made, PhraseOptions(part=part)))
+        assert found == brute_phrases([("en", t) for t in texts])
     assert {r["word"]: r["n"] for r in word_counts(made.select("lang", "text")).collect()}["one"] == 301
 
 

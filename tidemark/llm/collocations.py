@@ -35,7 +35,7 @@ CUT = bytes.maketrans(
 )
 
 # Bytes of text that are cut into words at once, and words a task counts before it hands over.
-SLICE = 1 << 21
+PART = 1 << 21
 COUNTED = 400_000
 # Words that every task knows by number, and bits of the filter for the others.
 DICTIONARY = 500_000
@@ -55,7 +55,8 @@ class PhraseOptions:
 
     A phrase of 2 to 4 words counts from ``least`` occurrences on. One that lies in a longer
     one with ``within`` percent of its occurrences is left out. ``most`` are returned for
-    each language. ``seed`` is of the hash of words beyond the dictionary.
+    each language. ``seed`` is of the hash of words beyond the dictionary of so many words,
+    and texts are read in parts of about ``part`` bytes.
     """
 
     least: int = 30
@@ -64,23 +65,24 @@ class PhraseOptions:
     scale: int = 2_000_000
     seed: int = 42
     dictionary: int = DICTIONARY
+    part: int = PART
 
 
-def _slices(text: bytes) -> Iterator[bytes]:
-    """Lower-cased text with marked ends, in parts of about ``SLICE`` bytes, words whole."""
+def _slices(text: bytes, size: int) -> Iterator[bytes]:
+    """Lower-cased text with marked ends, in parts of about ``size`` bytes, words whole."""
     text = text.translate(CUT)
     at = 0
     while at < len(text):
-        if len(text) - at <= SLICE:
+        if len(text) - at <= size:
             end = len(text)
         else:
-            places = [p for p in (text.find(c, at + SLICE) for c in (b" ", END)) if p >= 0]
+            places = [p for p in (text.find(c, at + size) for c in (b" ", END)) if p >= 0]
             end = min(places, default=len(text))
         yield text[at:end].replace(END, b" \xff ")
         at = end
 
 
-def _texts(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
+def _texts(batch: pa.RecordBatch, size: int) -> Iterator[tuple[str, list[bytes]]]:
     """(lang, words) of a batch, in parts; ``END`` is among the words where a piece ends."""
     held: dict[str, list[bytes]] = {}
     sizes: Counter[str] = Counter()
@@ -88,17 +90,17 @@ def _texts(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
     for lang, text in zip(langs, batch.column(1).cast(pa.binary())):
         # A text goes on from part to part, but not from the one before it.
         held.setdefault(lang, []).append(END)
-        for part in _slices(text.as_py() or b""):
+        for part in _slices(text.as_py() or b"", size):
             held.setdefault(lang, []).append(part)
             sizes[lang] += len(part)
-            if sizes[lang] >= SLICE:
+            if sizes[lang] >= size:
                 yield lang, b" ".join(held.pop(lang)).split()
                 del sizes[lang]
     for lang, parts in held.items():
         yield lang, b" ".join(parts).split()
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
+def word_counts(texts: DataFrame, part: int = PART) -> DataFrame:
     """(lang, word, n) of (lang, text). Words are counted in the map tasks first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,7 +116,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
             counts.clear()
 
         for batch in batches:
-            for lang, words in _texts(batch):
+            for lang, words in _texts(batch, part):
                 counts.setdefault(lang, Counter()).update(words)
                 if sum(map(len, counts.values())) >= COUNTED:
                     yield from handed_over()
@@ -211,7 +213,7 @@ def top_windows(texts: DataFrame, words: DataFrame, options: PhraseOptions) -> D
         zip(known.column("word").cast(pa.binary()).to_pylist(), known.column("id").to_pylist())
     )
     held = _others_filter(words.filter(F.col("id") > options.dictionary))
-    seed = options.seed
+    seed, part = options.seed, options.part
 
     class Numbers(dict):
         """Numbers of words; a word beyond the dictionary has one if the filter holds it."""
@@ -241,7 +243,7 @@ def top_windows(texts: DataFrame, words: DataFrame, options: PhraseOptions) -> D
             return pa.RecordBatch.from_arrays(arrays, ["lang", *WORDS, "n"])
 
         for batch in batches:
-            for lang, words in _texts(batch):
+            for lang, words in _texts(batch, part):
                 found = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
                 found = np.concatenate([rest.get(lang, none[:0]), found])
                 rest[lang] = found[max(0, len(found) - LONGEST + 1) :]
@@ -383,7 +385,7 @@ def collocations(
     time. Other columns are not read. No phrase frequent enough: no rows.
     """
     texts = docs.select(F.coalesce(docs[lang], F.lit(UNKNOWN_LANG)).alias("lang"), docs[text])
-    counts = stored(word_counts(texts), "word-counts")
+    counts = stored(word_counts(texts, options.part), "word-counts")
     sizes = counts.groupBy("lang").agg(F.sum("n").alias("n"))
     frequent = counts.filter(F.col("n") >= options.least)
     words = vocabulary(frequent, options)

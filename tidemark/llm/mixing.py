@@ -100,7 +100,8 @@ def mix_sources(
     """What a mix takes of each document.
 
     Sources in order of code points, null last, have ``weights`` in turn and share
-    as many words as there are. Result: the columns ``keep`` and
+    as many words as there are. They are few: a row each is ranked in one task. Result: the
+    columns ``keep`` and
 
     - size: words of the text, 0 for a null
     - source_size, target: of the document's source
@@ -116,7 +117,9 @@ def mix_sources(
     quality = letter_share(F.col("text")) if quality is None else quality
     spark = docs.sparkSession
     # In (0, 1): the upper 53 bits of the hash, and half a step.
-    draw = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id")), 11) + F.lit(0.5)) / 2.0**53
+    # Rows without an id draw by their texts, or all of them would have one key.
+    row = F.xxhash64(F.lit(seed), F.col("doc_id"), F.when(F.col("doc_id").isNull(), F.col("text")))
+    draw = (F.shiftrightunsigned(row, 11) + F.lit(0.5)) / 2.0**53
     weight = F.greatest(F.coalesce(quality, F.lit(0.05)), F.lit(1e-6))
     kept = [F.col(c).alias(f"_{i}") for i, c in enumerate(keep)]
     slim = docs.select(

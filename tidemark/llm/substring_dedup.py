@@ -47,6 +47,9 @@ SLICE_BYTES = 6_000_000
 # sample that tells.
 HOT = 50_000
 SAMPLE = 32
+# Bits of the filter that holds the large buckets, and windows of these that a task remembers.
+FILTER_BITS = 1 << 25
+REMEMBERED = 100_000
 # Bytes of a text whose words are hashed at a time.
 HASHED_BYTES = 1 << 20
 # Upper half of a place: which text of the id, should rows with one id differ in it.
@@ -171,8 +174,22 @@ def folded(
             yield bucket, None if known else packed, doc, number | start, count, first
 
 
-def hot_buckets(docs: DataFrame, window: int, gram: int) -> frozenset[int]:
-    """Minimisers that get about ``HOT`` rows or more, judged by a sample of the documents."""
+class Buckets:
+    """A set of buckets as a filter of a fixed size: it has all of them, and may have others."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+
+    def __contains__(self, bucket: int) -> bool:
+        place = bucket % FILTER_BITS
+        return bool(self.bits[place >> 3] >> (place & 7) & 1)
+
+
+def hot_buckets(docs: DataFrame, window: int, gram: int) -> Buckets:
+    """Minimisers that get about ``HOT`` rows or more, judged by a sample of the documents.
+
+    However many there are, the driver gets the set words of one filter.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
@@ -183,17 +200,26 @@ def hot_buckets(docs: DataFrame, window: int, gram: int) -> frozenset[int]:
 
     sample = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0).select("doc_id", "text")
     sums = sample.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    return frozenset(r["bucket"] for r in sums.filter(F.col("n") * SAMPLE >= HOT).collect())
+    place = F.pmod("bucket", F.lit(FILTER_BITS))
+    cells = sums.filter(F.col("n") * SAMPLE >= HOT).select(
+        F.floor(place / 64).alias("cell"),
+        F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int")).alias("bits"),
+    )
+    held = np.zeros(FILTER_BITS // 64, np.int64)
+    for cell, bits in cells.groupBy("cell").agg(F.bit_or("bits")).collect():
+        held[cell] = bits
+    return Buckets(held.view(np.uint8))
 
 
 def pack_rows(
-    docs: DataFrame, window: int, gram: int, bins: int, hot: frozenset[int] = frozenset()
+    docs: DataFrame, window: int, gram: int, bins: int, hot: Buckets | None = None
 ) -> DataFrame:
     """(bin, block): super-k-mers as rows of ``ROWS``, one block for each slice and bin.
 
     A row without a packed string is a mark: windows that are known to be in a document
     with a smaller id. Windows of ``hot`` buckets are rows of their own, in the bucket of
-    their hash. Buckets that share 32 bits and a bin are taken together, which
+    their hash; one that a task has met often is folded over all its slices, so a window
+    that is in every text leaves a task as a few rows. Buckets that share 32 bits and a bin are taken together, which
     is harmless, since windows are compared in full.
     """
 
@@ -201,19 +227,23 @@ def pack_rows(
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot = shared.value
+        # Windows met twice in a slice, and the smallest id so far; more are not remembered.
+        often: dict[bytes, int] = {}
         for batch in in_slices(batches):
             rows = []
             for bucket, packed, doc, place, count, first in folded(batch, window, gram):
                 if packed is None:
                     rows.append((doc, None, doc, place, count))
-                elif bucket not in hot:
+                elif hot is None or bucket not in hot:
                     rows.append((bucket, packed, doc, place, count))
                 else:
                     words = packed.split(b" ")
                     for at in range(count):
                         part = b" ".join(words[at : at + window])
-                        if first.setdefault(part, doc) < doc:
+                        if often.get(part, doc) < doc or first.setdefault(part, doc) < doc:
                             rows.append((doc, None, doc, place + at, 1))
+                            if part in often or len(often) < REMEMBERED:
+                                often[part] = min(often.get(part, doc), first.get(part, doc))
                         else:
                             own = xxhash.xxh64_intdigest(part, SEED) - 2**63
                             rows.append((own, part, doc, place + at, 1))
@@ -342,7 +372,7 @@ def dedup_substrings(
     and never against one another.
     """
     size = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    hot = hot_buckets(docs, window, gram) if size > HOT else frozenset()
+    hot = hot_buckets(docs, window, gram) if size > HOT else None
     marks = find_marks(pack_rows(docs, window, gram, 1 + size // BIN_CHARS, hot), window)
     lists = marks.groupBy(F.col("doc").alias("_doc")).agg(
         F.collect_list(F.struct("place", "windows")).alias("marks")
