@@ -358,6 +358,31 @@ def test_a_source_that_counts(spark, table, folder):
     assert ids(spark, table) == sorted(f"e{n}" for n in range(30))
 
 
+def land_in(spark, job, shard, payloads):
+    rows = [("k", p.encode()) for p in payloads]
+    frame = spark.createDataFrame(rows, WIRE_SCHEMA).coalesce(1)
+    frame.write.mode("append").parquet(f"{job.source.path}/shard={shard}")
+
+
+@pytest.mark.parametrize("start", [LATEST, TRIM_HORIZON])
+def test_offsets_of_shards(spark, table, folder, start):
+    """Each shard goes on at its own offset, also after a crash, and new shards begin at theirs."""
+    job = job_for(table, folder, source=Source(path=f"{folder}/log", format="sharded_log"), start=start)
+    land_in(spark, job, 0, [event("old")])
+    run_ingest(spark, job)
+    land_in(spark, job, 0, [event("a"), event("b")])
+    land_in(spark, job, 1, [event("c")])
+    with pytest.raises(Exception, match="crash"):
+        run_ingest(spark, job, after_write=crash)
+    land_in(spark, job, 1, [event("d")])
+    run_ingest(spark, job)
+    land_in(spark, job, 0, [event("e")])
+    run_ingest(spark, job)
+    assert ids(spark, table) == ["a", "b", "c", "d", "e", *(["old"] if start == TRIM_HORIZON else [])]
+    numbers = [r["batch_id"] for r in batch_list(spark, table).collect()]
+    assert len(numbers) == len(set(numbers)) == (2 if start == LATEST else 3)
+
+
 def test_latest_leaves_out_what_was_there(spark, table, folder):
     job = job_for(table, folder, start=LATEST)
     land(spark, job, [event("old")])

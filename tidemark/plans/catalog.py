@@ -579,6 +579,14 @@ def stream_from_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, job)
 
 
+@query
+def stream_shard_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries read from shards with an offset each, a restart after every one."""
+    job = _job(spark, "stream_shards")
+    job = replace(job, source=Source(path=job.source.path, format="sharded_log"))
+    return _stored(spark, _stream(spark, sf_dir, job))
+
+
 @query
 def stream_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Options reach the source: a backlog is read one file at a time, in the order of arrival."""

@@ -270,6 +270,7 @@ ORACLES: dict[str, str] = {
     "stream_dedup_watermark": f"{WITH_PAYMENTS} SELECT {PAYMENT_FIELDS} FROM payments",
     "start_position_latest": _stored("batch_id >= 2"),
     "stream_dedup_history": f"{WITH_PAYMENTS} SELECT {PAYMENT_FIELDS} FROM payments",
+    "stream_shard_offsets": _stored(),
     "stream_from_source": f"{WITH_PAYMENTS} SELECT {PAYMENT_FIELDS} FROM payments",
     "stream_event_rate": f"""{WITH_PAYMENTS}
         SELECT date_trunc('minute', event_timestamp) AS minute, event_type, COUNT(*) AS n_events

@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.sharded import FORMAT as SHARDED
+from tidemark.sources.sharded import ShardedLog
 from tidemark.sources.wire import PAYLOAD, WIRE_SCHEMA
 
 LATEST = "LATEST"
@@ -25,8 +27,9 @@ BATCH_BYTES = 2 * 1024**3
 class Source:
     """A stream source: Spark format, its options, and the column with the payload.
 
-    File folders of wire records need only ``path``; any other source that
-    yields a payload column is named by its format and described by options.
+    File folders of wire records need only ``path``, and so does ``sharded_log``, which keeps
+    an offset for each folder below it; any other source that yields a payload column is
+    named by its format and described by options.
     """
 
     path: str | None = None
@@ -53,11 +56,13 @@ def open_stream(
     TRIM_HORIZON takes all the source still holds, LATEST what arrives from now
     on. After the first start the checkpoint decides where to go on.
     """
+    if source.format == SHARDED:
+        spark.dataSource.register(ShardedLog)
     reader = spark.readStream.format(source.format).options(**source.options)
     reader = reader.options(**start_options(source, start))
     reader = reader.options(**batch_options(source))
     if not source.is_files:
-        return reader.load()
+        return reader.load(source.path) if source.path else reader.load()
     if source.format != "text":
         reader = reader.schema(WIRE_SCHEMA)
     records = reader.load(source.path)
