@@ -48,11 +48,18 @@ LOST = "_undecodable"
 LIVE_TABLE = "tidemark.live"
 BATCHES = "__batches"
 # What a batch brought; ``latency`` is a KLL sketch of milliseconds from event to ingest.
-REPORT = (
-    f"stream STRING, batch_id BIGINT, {INGEST_DATE} DATE, {INGEST_TIME} TIMESTAMP, "
-    "received BIGINT, undecodable BIGINT, stored BIGINT, latency BINARY, "
-    "folder STRING, written_at TIMESTAMP"
-)
+REPORT = {
+    "stream": "STRING",
+    "batch_id": "BIGINT",
+    INGEST_DATE: "DATE",
+    INGEST_TIME: "TIMESTAMP",
+    "received": "BIGINT",
+    "undecodable": "BIGINT",
+    "stored": "BIGINT",
+    "latency": "BINARY",
+    "folder": "STRING",
+    "written_at": "TIMESTAMP",
+}
 # Partitions that are named in one statement.
 AT_ONCE = 200
 log = logging.getLogger(__name__)
@@ -121,11 +128,10 @@ def create_table(spark: SparkSession, target: TableSpec, schema: StructType) ->
     are found by their list and registered again.
     """
     data = [f for f in schema.fields if f.name not in PARTITIONS]
-    partitions = ", ".join(f"`{name}` {kind}" for name, kind in PARTITIONS.items())
-    add_table(spark, target, f"{columns_ddl(data)}, {partitions}", PARTITIONS)
+    add_table(spark, target, f"{columns_ddl(data)}, {_ddl(PARTITIONS)}", PARTITIONS)
     listed = list_of(target)
-    keys = ", ".join(f"`{k}` {PARTITIONS[k]}" for k in BOOKKEEPING)
-    add_table(spark, listed, f"{REPORT}, {keys}", BOOKKEEPING)
+    keys = {k: PARTITIONS[k] for k in BOOKKEEPING}
+    add_table(spark, listed, _ddl(REPORT | keys), BOOKKEEPING)
     if target.location:
         _recover(spark, target.name, listed)
 
@@ -133,14 +139,15 @@ def create_table(spark: SparkSession, target: TableSpec, schema: StructType) ->
 def _recover(spark: SparkSession, table: str, listed: TableSpec) -> None:
     """Register the batches of a list whose catalog is gone; the last attempt of each counts."""
     # Writing nothing makes sure that there is a folder to look through.
-    nothing = spark.createDataFrame([], REPORT).coalesce(1)
+    nothing = spark.range(0, 0, 1, 1).select(*_values([None] * len(REPORT)))
     nothing.write.parquet(_attempt(listed.location))
-    files = spark.read.schema(REPORT).option("recursiveFileLookup", True)
+    files = spark.read.schema(_ddl(REPORT)).option("recursiveFileLookup", True)
     place = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("place")
     rows = files.parquet(f"{listed.location}/{ATTEMPTS}").select("*", place)
-    last = F.max_by(F.struct(INGEST_DATE, "folder", "place"), "written_at").alias("last")
-    found = rows.groupBy("stream", "batch_id").agg(last).select("stream", "batch_id", "last.*")
-    batches = found.collect()
+    last = {}
+    for row in rows.orderBy("written_at").collect():
+        last[row["stream"], row["batch_id"]] = row
+    batches = list(last.values())
     for at in range(0, len(batches), AT_ONCE):
         some = batches[at : at + AT_ONCE]
         specs = [(partition_spec(r[INGEST_DATE], r["stream"], r["batch_id"]), r["folder"]) for r in some]
@@ -149,6 +156,15 @@ def _recover(spark: SparkSession, table: str, listed: TableSpec) -> None:
         _add_partitions(spark, listed.name, specs)
 
 
+def _ddl(columns: Mapping[str, str]) -> str:
+    return ", ".join(f"`{name}` {kind}" for name, kind in columns.items())
+
+
+def _values(values: Sequence[Any]) -> list[Column]:
+    """The values of one entry of a list of batches, as literals."""
+    return [F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(values, REPORT.items())]
+
+
 def _add_partitions(spark: SparkSession, table: str, places: Sequence[tuple[str, str]]) -> None:
     """Register folders as partitions, but for those that are registered already."""
     parts = " ".join(f"PARTITION ({spec}) LOCATION {_text(folder)}" for spec, folder in places)
@@ -358,10 +374,11 @@ def _list_batch(
     now = datetime.now(timezone.utc)
     values = (
         *(stream, batch_id, found["day"], found["ingested_at"]),
-        *(found["received"], found["undecodable"], found["stored"], found["latency"]),
+        *(found["received"], found["undecodable"], found["stored"]),
+        found["latency"] and bytes(found["latency"]),
         *(folder, now),
     )
-    row = spark.createDataFrame([values], REPORT).coalesce(1)
+    row = spark.range(0, 1, 1, 1).select(*_values(values))
     put_in_place(spark, listed.name, batch_spec(stream, batch_id), write_attempt(spark, listed, row))
 
 
