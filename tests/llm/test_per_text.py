@@ -13,6 +13,7 @@ from urllib.parse import quote
 
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
 from tidemark.llm import secrets
 from tidemark.llm.quality_rules import QualityRules, judge, quality_rules
@@ -411,6 +412,23 @@ def test_constant_model_without_labels(spark, documents):
     assert fit_rules(spark.createDataFrame([(1,)], "label int")).intercept > 0
 
 
+def test_quality_of_odd_rows(spark, documents, odd, empty):
+    """Null, empty, repeated and clashing rows: one score each, equal for equal texts."""
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    repeated = labels.union(labels.limit(5)).withColumn("text", F.lit("clash"))
+    model = train_quality(documents, repeated)
+    rows = score_quality(odd, model).collect()
+    assert len(rows) == odd.count()
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in rows)
+    scores = {i: {r["score"] for r in rows if r["doc_id"] == i} for i in (1, 2, 5)}
+    assert scores[1] == scores[2] and len(scores[5]) == 1
+    assert [r["held_out"] for r in rows if r["doc_id"] is None] == [False]
+    assert score_quality(empty, model).count() == 0
+    short = spark.createDataFrame([(1, "x"), (2, "x"), (3, "!"), (4, "7 " * 50_000)], "doc_id long, text string")
+    found = [r["score"] for r in score_quality(short, model).orderBy("doc_id").collect()]
+    assert found[0] == found[1] and all(0 <= s <= 1 for s in found)
+
+
 # Edge cases of all
 
 

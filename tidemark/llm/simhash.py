@@ -234,7 +234,12 @@ def signatures(distinct: DataFrame, partitions: list[Partition]) -> DataFrame:
 
 
 def in_blocks(rows: DataFrame) -> DataFrame:
-    """The rows with the cell (x, y) of their bucket; 0, 0 where it has one block only."""
+    """The rows with the cell (x, y) of their bucket; 0, 0 where it has one block only.
+
+    A bucket of n rows sends n * n / ``BLOCK`` rows through the shuffle, each pair of which
+    meets in one cell. The plan weighs that: parts are chosen by the sum of n * n over their
+    buckets, so a table for which it outgrows the cost of further parts gets more of them.
+    """
     crowded = rows.groupBy("key").count().filter(F.col("count") > BLOCK)
     crowded = stored(
         crowded.select(
