@@ -126,6 +126,8 @@ def test_words_have_the_ids_of_the_whole_text(tokenizer, monkeypatch):
         "a\x1cb\x85c\xa0d é É İ ΑΣ ΑΣ. ﬁ it's IT'S don't\x00y",
         " ́a\nb\r\n\t\x0b\x0c z",
         "long text, cut. " * 500,
+        "Größe über naïve façade señor żółć привет Ελλάδα ǅ ſ ŉ ĳ ա 日本語 ꟊ 𞤀 a1 1a a.b.c e.g. x's. (ab) ab) 'ab,",
+        "e\u0301te\u0301 n\u0303 \u212b \u1e9e o\u0308 \u0131 I\u0307 \u03a3\u03c3\u03c2 ab\u0301.",
     ]
     want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in odd]
     words = Subwords(default_vocabulary())

@@ -22,6 +22,7 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, replace
 from functools import cache
 from pathlib import Path
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, BooleanType, LongType, StructType
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from tidemark.llm.arrow import fields
 from tidemark.llm.mixing import stored
@@ -42,8 +44,9 @@ REMEMBERED = 80 << 20
 ENTRY = 180
 SPACE = re.compile(r"[\x09-\x0D\x20]")
 ID_BYTES = 4
-LETTERS, MARKS = "abcdefghijklmnopqrstuvwxyz", ".,;:!?"
-PLAIN = re.compile("([a-z]+)([.,;:!?]*)")
+LETTERS, MARKS = "abcdefghijklmnopqrstuvwxyzäéñßłжω", ".,;:!?"
+# Letters below this are such in every version of Unicode.
+OLD_LETTERS = "\u0500"
 # Tokens that leave a task in one Arrow batch, about.
 BATCH_TOKENS = 1 << 20
 # Tails that are packed in one task.
@@ -87,6 +90,25 @@ def default_vocabulary() -> str:
     return str(root / "word_bpe_49k.json")
 
 
+def is_plain(word: str) -> bool:
+    """Whether a word is lower-case letters as they are."""
+    if not word.isalpha() or word != word.lower():
+        return False
+    return word.isascii() or (max(word) < OLD_LETTERS and is_normalized("NFC", word))
+
+
+class Letters(dict):
+    """Letters as a byte-level vocabulary spells them: a character for each byte."""
+
+    def __missing__(self, letter: str) -> str:
+        spelled = BYTES.pre_tokenize_str(letter)[0][0]
+        self[letter] = spelled
+        return spelled
+
+
+BYTES = ByteLevel(add_prefix_space=False, use_regex=False)
+
+
 class Subwords:
     """Token ids of texts, as little-endian unsigned 32-bit numbers.
 
@@ -103,6 +125,7 @@ class Subwords:
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.size = 0
+        self.letters = Letters()
         self.plain = self._leaves_plain_words()
 
     def _leaves_plain_words(self) -> bool:
@@ -111,25 +134,23 @@ class Subwords:
         if None in steps:
             return False
         text = steps[0].normalize_str(f"{LETTERS}{MARKS}")
-        return [part for part, _ in steps[1].pre_tokenize_str(text)] == [LETTERS, MARKS]
+        parts = [part for part, _ in steps[1].pre_tokenize_str(text)]
+        return parts == ["".join(map(self.letters.__getitem__, LETTERS)), MARKS]
 
-    def _part(self, part: str) -> bytes:
-        """The ids of letters or marks alone, which nothing cuts or changes before the model."""
-        ids = self.known.get(part) or self.older.get(part)
-        if ids is None:
-            ids = array("I", [t.id for t in self.tokenizer.model.tokenize(part)]).tobytes()
-            self.known[part] = ids
-        return ids
+    def _plain(self, word: str) -> bytes:
+        """The ids of lower-case letters, which nothing cuts or changes before the model."""
+        if not word.isascii():
+            word = "".join(map(self.letters.__getitem__, word))
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
 
     def _learn(self, words: list[str]) -> None:
-        """Remember these words. Most are letters and marks, which need the model alone."""
+        """Remember these words. Most are letters, which need the model alone."""
         odd: list[str] = []
         for word in words:
             if ids := self.older.get(word):
                 self.known[word] = ids
-            elif self.plain and (cut := PLAIN.fullmatch(word)):
-                letters, marks = cut.groups()
-                self.known[word] = self._part(letters) + (self._part(marks) if marks else b"")
+            elif self.plain and is_plain(word):
+                self.known[word] = self._plain(word)
             else:
                 odd.append(word)
         found = self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)
@@ -139,7 +160,11 @@ class Subwords:
     def _of_texts(self, texts: pa.Array) -> Iterator[bytes]:
         if self.size > REMEMBERED:  # words not met for long are forgotten
             self.known, self.older, self.size = {}, self.known, 0
-        words = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        texts = pc.ascii_lower(texts)
+        if self.plain:
+            # Letters and the marks behind them are words of their own, of which there are fewer.
+            texts = pc.replace_substring_regex(texts, "([a-z])([.,;:!?])", r"\1 \2")
+        words = pc.ascii_split_whitespace(texts)
         coded = words.flatten().dictionary_encode()
         names = coded.dictionary.to_pylist()
         if unknown := [w for w in names if w not in self.known]:
