@@ -175,7 +175,7 @@ def test_a_window_in_every_text_leaves_a_task_in_few_rows(make):
     """Folded over all slices of a task, not by slice."""
     passage = " ".join(f"p{i}" for i in range(13))
     docs = stored(make(*[f"a{i} {passage} b{i} " + "z" * 400_000 for i in range(60)]).coalesce(1), "texts")
-    everything = substring_dedup.Buckets(np.full(substring_dedup.FILTER_BITS // 8, 255, np.uint8))
+    everything = substring_dedup.Buckets(b"\xff" * (substring_dedup.FILTER_BITS // 8))
     blocks = substring_dedup.pack_rows(docs, 13, 3, 1, everything).collect()
     assert len(blocks) > 3
     rows = substring_dedup.from_blocks([bytes(r["block"]) for r in blocks])
@@ -187,7 +187,7 @@ def test_the_filter_has_all_large_buckets(spark):
     for bucket in (-5, 3, 2**62):
         place = bucket % substring_dedup.FILTER_BITS
         bits[place >> 3] |= 1 << (place & 7)
-    held = substring_dedup.Buckets(bits)
+    held = substring_dedup.Buckets(bits.tobytes())
     assert -5 in held and 3 in held and 2**62 in held and 4 not in held
 
 

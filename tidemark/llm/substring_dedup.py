@@ -140,16 +140,14 @@ ROWS = pa.schema(
 
 
 def as_block(columns: list[pa.Array]) -> bytes:
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, ROWS) as writer:
-        writer.write_batch(pa.RecordBatch.from_arrays(columns, schema=ROWS))
-    return zstandard.compress(sink.getvalue(), LEVEL)
+    """Rows without their schema, which all blocks share."""
+    return zstandard.compress(pa.RecordBatch.from_arrays(columns, schema=ROWS).serialize(), LEVEL)
 
 
 def from_blocks(blocks: list[bytes]) -> pa.Table:
     """The rows of a bin in order of their buckets."""
-    parts = [pa.ipc.open_stream(zstandard.decompress(b)).read_all() for b in blocks]
-    return pa.concat_tables(parts).sort_by("bucket").combine_chunks()
+    parts = [pa.ipc.read_record_batch(pa.py_buffer(zstandard.decompress(b)), ROWS) for b in blocks]
+    return pa.Table.from_batches(parts).sort_by("bucket").combine_chunks()
 
 
 def in_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,12 +175,12 @@ def folded(
 class Buckets:
     """A set of buckets as a filter of a fixed size: it has all of them, and may have others."""
 
-    def __init__(self, bits: np.ndarray):
+    def __init__(self, bits: bytes):
         self.bits = bits
 
     def __contains__(self, bucket: int) -> bool:
         place = bucket % FILTER_BITS
-        return bool(self.bits[place >> 3] >> (place & 7) & 1)
+        return self.bits[place >> 3] >> (place & 7) & 1 == 1
 
 
 def hot_buckets(docs: DataFrame, window: int, gram: int) -> Buckets:
@@ -208,7 +206,7 @@ def hot_buckets(docs: DataFrame, window: int, gram: int) -> Buckets:
     held = np.zeros(FILTER_BITS // 64, np.int64)
     for cell, bits in cells.groupBy("cell").agg(F.bit_or("bits")).collect():
         held[cell] = bits
-    return Buckets(held.view(np.uint8))
+    return Buckets(held.tobytes())
 
 
 def pack_rows(
