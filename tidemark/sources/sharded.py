@@ -1,7 +1,9 @@
 """A streaming source of wire records in shards, with an offset for each shard.
 
-A shard is a folder of Parquet files to which files are only ever added; its offset is the
-number of its files that were read, in the order in which they came. So a job starts at
+A shard is a folder of Parquet files to which one writer at a time adds files; its offset is
+the number of its files that were read, in the order of their modification times. A file
+that comes to light after a younger one was read would be taken for that one, so two jobs
+must not append to one shard at once. So a job starts at
 the end of every shard (LATEST) or at its beginning (TRIM_HORIZON), a shard that appears
 later is read from its beginning, and each shard is a partition of its own. The storage is
 whatever pyarrow opens under the path.
