@@ -40,7 +40,7 @@ SEED = 42
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 # Characters of documents for each bin, of which a task holds one at a time, and the
 # level at which its blocks are compressed.
-BIN_CHARS = 4_000_000
+BIN_CHARS = 4_500_000
 LEVEL = 6
 SLICE_BYTES = 6_000_000
 # Rows from which on a bucket counts as large, and of how many documents one is in the
@@ -48,7 +48,7 @@ SLICE_BYTES = 6_000_000
 HOT = 50_000
 SAMPLE = 32
 # Bits of the filter that holds the large buckets, and windows of these that a task remembers.
-FILTER_BITS = 1 << 25
+FILTER_BITS = 1 << 26
 REMEMBERED = 100_000
 # Bytes of a text whose words are hashed at a time.
 HASHED_BYTES = 1 << 20
