@@ -35,7 +35,7 @@ def test_odd_rows_pass_every_stage(spark, odd):
 
 
 def test_all_operators_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_run_gives_the_mix(spark):
