@@ -10,7 +10,17 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import simhash, substring_dedup
 from tidemark.llm.components import components
-from tidemark.llm.decontamination import Retrieval, find_leaks
+from tidemark.llm.decontamination import (
+    TERM,
+    Items,
+    Retrieval,
+    answer_of,
+    find_leaks,
+    fit_matcher,
+    numbered_texts,
+    numbers_of,
+    terms,
+)
 from tidemark.llm.language_model import (
     Attention,
     Insides,
@@ -304,6 +314,70 @@ def test_leaks_of_odd_rows(spark, odd, empty):
     assert find_leaks(odd, items.limit(0)).filter("contaminated").count() == 0
 
 
+def test_latent_space_is_that_of_all_passages(spark, make):
+    """Some 30,000 passages, against the eigenvectors of all of them."""
+    draw = np.random.default_rng(1)
+    words = np.array([f"w{i}" for i in range(12)])
+    odds = 0.7 ** np.arange(12)
+    texts = [" ".join(words[draw.choice(12, 25_600, p=odds / odds.sum())]) for _ in range(37)]
+    options = Retrieval()
+    items = Items.of([(1, " ".join(words[:8]), ""), (2, " ".join(words[4:]), "")])
+    docs = numbered_texts(make(*texts, "", None), items, ["doc_id"])
+    matcher = fit_matcher(docs, items, options)
+
+    known = [np.array([int(w[1:]) for w in t.split()]) for t in texts]
+    numbers = np.array([items.vocabulary[w] for w in words])
+    rows = [numbers[k[s : s + 64]] for k in known for s in range(0, len(k) - 32, 32)]
+    assert len(rows) > 29_000
+    counts = np.array([np.bincount(r, minlength=12) for r in rows])
+    # A null and an empty text have one passage without a word each.
+    idf = np.log((len(rows) + 3) / ((counts > 0).sum(axis=0) + 1)) + 0.1
+    np.testing.assert_allclose(matcher.idf, idf)
+
+    def vectors(counts):
+        weights = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0.0) * idf
+        return weights / np.linalg.norm(weights, axis=1, keepdims=True)
+
+    corpus, bench = vectors(counts), vectors(np.array([np.bincount(t, minlength=12) for t in items.terms]))
+    gram = corpus.T @ corpus + len(rows) / 2 * bench.T @ bench
+    best = np.linalg.eigh(gram)[1][:, ::-1]
+    np.testing.assert_allclose(np.abs(best.T @ matcher.space), np.eye(12), atol=2e-4)
+
+
+def test_words_are_those_of_the_pattern():
+    texts = ["foo_bar x-y z\x1cq \xa0 Stra\xdfe \xc9T\xc9 10\xb2 \xaa\xb5", "\u0391\u03a3 \u039f\u0394\u039f\u03a3. \u0130x", ""]
+    texts += ["a".join(map(chr, range(256))), " ".join(map(chr, range(600)))]
+    for text in texts:
+        assert terms(text) == TERM.findall(text.lower())
+
+
+def test_search_agrees_with_all_pairs(make):
+    """Every passage against every item without the latent space: it may lose a tenth at most."""
+    draw = np.random.default_rng(2)
+    words = [f"v{i}" for i in range(400)]
+    texts = [" ".join(draw.choice(words, 12)) for _ in range(20)]
+    rows = []
+    for n in range(120):
+        item = texts[n % 20].split()
+        part = [w for w in item if draw.random() > 0.2 * (n % 3)]
+        noise = list(draw.choice(words, 150))
+        at = int(draw.integers(150))
+        rows.append(" ".join(noise[:at] + part + noise[at:]))
+    options = Retrieval()
+    items = Items.of([(i, t, answer_of(t)) for i, t in enumerate(texts)])
+    docs = numbered_texts(make(*rows), items, ["doc_id"])
+    matcher = fit_matcher(docs, items, options)
+    found = wanted = 0
+    for row in docs.collect():
+        known = numbers_of(row["numbers"])
+        near = [(s, u) for s in range(0, len(known), options.stride) for u in range(len(texts))]
+        every = set(matcher.confirmed(known, near))
+        hits = set(matcher.search(known, np.array([len(known)]))[0])
+        assert hits <= every
+        found, wanted = found + len(hits), wanted + len(every)
+    assert wanted > 60 and found >= 0.9 * wanted
+
+
 # Language model
 
 

@@ -1,10 +1,9 @@
 """Finding benchmark items in documents by latent semantic retrieval.
 
 Texts become TF-IDF vectors over the words of the benchmark. A randomised singular
-value decomposition of passages, computed by Spark over a bounded sample of the
-corpus and all passages of the benchmark, gives the latent space. Each passage of each
-document is projected into it, and items at a small angle are candidates, however
-their words are ordered. A candidate counts if the longest common subsequence holds
+value decomposition of passages, computed by Spark over all passages of the corpus and
+of the benchmark, gives the latent space. Each passage of each document is projected
+into it, and items at a small angle are candidates, however their words are ordered. A candidate counts if the longest common subsequence holds
 most of the item's weight, and if the item's answer is there as well.
 
 The benchmark is read in blocks of a fixed number of items, so what goes to the
@@ -12,16 +11,17 @@ executors is bounded; every document is searched for every block.
 """
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType, StructType
 
-from tidemark.llm.arrow import fields, map_texts
+from tidemark.llm.arrow import as_batch, fields, map_texts
 from tidemark.llm.mixing import stored
 
 TERM = re.compile(r"[^\W_]+")
@@ -32,10 +32,9 @@ SENTENCE = re.compile(r"(?<=[.?!:])\s+")
 class Retrieval:
     """Parameters of the search.
 
-    Passages have ``passage`` words and start every ``stride``. ``sample`` bounds the
-    corpus passages that the latent space is fitted on; all are searched. ``cosine`` is
-    the least similarity of a candidate, ``lcs`` and ``answer`` the shares of the weight
-    of an item and of its answer that the common subsequence must hold.
+    Passages have ``passage`` words and start every ``stride``. ``cosine`` is the least
+    similarity of a candidate, ``lcs`` and ``answer`` the shares of the weight of an item
+    and of its answer that the common subsequence must hold.
     """
 
     passage: int = 64
@@ -43,7 +42,6 @@ class Retrieval:
     rank: int = 128
     oversample: int = 16
     power: int = 2
-    sample: int = 20_000
     block: int = 20_000
     cosine: float = 0.4
     lcs: float = 0.6
@@ -51,8 +49,17 @@ class Retrieval:
     seed: int = 42
 
 
+# Where words are of the first 256 characters, all others become blanks at once.
+BLANKED = "".join(c if TERM.match(c) else " " for c in map(chr, range(256))).encode("latin-1")
+
+
 def terms(text: str) -> list[str]:
-    return TERM.findall(text.lower())
+    text = text.lower()
+    try:
+        data = text.encode("latin-1")
+    except UnicodeEncodeError:
+        return TERM.findall(text)
+    return data.translate(BLANKED).decode("latin-1").split()
 
 
 def answer_of(text: str) -> str:
@@ -87,15 +94,17 @@ class Items:
         )
 
 
-def passage_starts(count: int, options: Retrieval) -> range:
-    """Starts of passages so that the last one reaches the end."""
-    return range(0, max(1, count - options.passage + options.stride), options.stride)
+def passage_numbers(sizes: np.ndarray, options: Retrieval) -> np.ndarray:
+    """How many passages texts of these sizes have, so that the last one reaches the end."""
+    return -(-np.maximum(1, sizes - options.passage + options.stride) // options.stride)
+
 
+UNKNOWN = np.int32(-1).tobytes()
 
-def numbered(text: str, vocabulary: dict[str, int]) -> np.ndarray:
-    """The text's words as numbers of the vocabulary, -1 for others."""
-    get = vocabulary.get
-    return np.array([get(w, -1) for w in terms(text)], np.int32)
+
+def numbered(text: str, numbers: dict[str, bytes]) -> bytes:
+    """The text's words as numbers of a vocabulary, -1 for others, end to end."""
+    return b"".join(map(numbers.get, terms(text), repeat(UNKNOWN)))
 
 
 def numbers_of(data: bytes | str | None) -> np.ndarray:
@@ -109,13 +118,13 @@ NUMBERS = fields(numbers=BinaryType())
 def numbered_texts(rows: DataFrame, items: Items, keep: Sequence[str]) -> DataFrame:
     """The columns ``keep`` of each row and the numbers of its words, written to be read often.
 
-    Words are cut and looked up once; counts, sample and search all go by the numbers.
+    Words are cut and looked up once; counts, latent space and search all go by the numbers.
     """
     vocabulary = rows.sparkSession.sparkContext.broadcast(items.vocabulary)
 
     def make():
-        words = vocabulary.value
-        return lambda text: (numbered(text, words).tobytes(),)
+        numbers = {w: np.int32(n).tobytes() for w, n in vocabulary.value.items()}
+        return lambda text: (numbered(text, numbers),)
 
     return stored(map_texts(rows, keep, NUMBERS, make), "numbers")
 
@@ -128,111 +137,168 @@ def vector(known: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return words, weights / length if length else weights
 
 
-def laid_out(known: np.ndarray, options: Retrieval) -> np.ndarray:
-    """The passages of a text as rows, the last ones filled up with -1."""
-    starts = np.array(passage_starts(len(known), options))
-    missing = np.full(options.passage, -1, np.int32)
-    rows = np.lib.stride_tricks.sliding_window_view(
-        np.concatenate([known, missing]), options.passage
-    )
-    return rows[starts]
-
-
-def passage_counts(texts: DataFrame, items: Items, options: Retrieval) -> tuple[int, np.ndarray]:
-    """The number of passages of the corpus, and how many have each word of the vocabulary."""
+def laid_out(known: np.ndarray, sizes: np.ndarray, options: Retrieval) -> np.ndarray:
+    """The passages of texts that lie end to end as rows, the last of each filled up with -1."""
+    counts = passage_numbers(sizes, options)
+    text = np.repeat(np.arange(len(sizes)), counts)
+    start = (np.arange(len(text)) - (np.cumsum(counts) - counts)[text]) * options.stride
+    padded = np.concatenate([known, np.full(options.passage, -1, np.int32)])
+    windows = np.lib.stride_tricks.sliding_window_view(padded, options.passage)
+    rows = windows[(np.cumsum(sizes) - sizes)[text] + start]
+    left = sizes[text] - start
+    short = np.flatnonzero(left < options.passage)
+    rows[short] = np.where(np.arange(options.passage) < left[short, None], rows[short], -1)
+    return rows
+
+
+# Passages that are laid out at a time; a longer text is laid out by itself.
+LAID_OUT = 4096
+
+
+def text_blocks(numbers: pa.Array, options: Retrieval) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The stored numbers of some texts at a time, end to end, and how many each has."""
+    texts = [numbers_of(data) for data in numbers.to_pylist()]
+    sizes = np.array([len(t) for t in texts], np.int64)
+    block = np.cumsum(passage_numbers(sizes, options)) // LAID_OUT
+    cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(texts)]
+    for start, end in zip(cuts, cuts[1:]):
+        if start < end:
+            yield np.concatenate(texts[start:end]), sizes[start:end]
+
+
+def distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, number and count of the distinct words of passages given as rows; sorts the rows."""
+    width = rows.shape[1]
+    rows.sort(axis=1)
+    new = rows >= 0
+    new[:, 1:] &= rows[:, 1:] != rows[:, :-1]
+    at = np.flatnonzero(new)
+    owner = at // width
+    counts = np.minimum(np.append(at[1:], rows.size), (owner + 1) * width) - at
+    return owner, rows.ravel()[at], counts
+
+
+# Passages that are multiplied at a time: neighbours share many of their words.
+TOGETHER = 16
+
+
+class Weighted:
+    """TF-IDF vectors, of length one, of passages given as rows; sorts the rows."""
+
+    def __init__(self, rows: np.ndarray, idf: np.ndarray):
+        self.n = len(rows)
+        self.owner, self.words, counts = distinct(rows)
+        weights = (1 + np.log(counts)) * idf[self.words]
+        lengths = np.sqrt(np.bincount(self.owner, weights**2, self.n))
+        self.weights = (weights / lengths[self.owner]).astype(np.float32)
+        self.bounds = np.searchsorted(self.owner, np.arange(self.n + 1)).tolist()
+
+    def parts(self, size: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """Some passages at a time: first, end, their words, and their vectors over these."""
+        here = np.zeros(size, bool)
+        place = np.zeros(size, np.int64)
+        for first in range(0, self.n, TOGETHER):
+            end = min(first + TOGETHER, self.n)
+            part = slice(self.bounds[first], self.bounds[end])
+            found = self.words[part]
+            here[found] = True
+            words = np.flatnonzero(here)
+            here[words] = False
+            place[words] = np.arange(len(words))
+            vectors = np.zeros((end - first, len(words)), np.float32)
+            vectors[self.owner[part] - first, place[found]] = self.weights[part]
+            yield first, end, words, vectors
+
+
+def passage_counts(
+    texts: DataFrame, items: Items, options: Retrieval
+) -> tuple[int, int, np.ndarray]:
+    """The passages of the corpus, those with a known word, and how many have each word."""
     size = len(items.vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size + 1, np.int64)
+        total = np.zeros(size + 2, np.int64)
         for batch in batches:
-            for data in batch.column(0).to_pylist():
-                passages = laid_out(numbers_of(data), options)
-                passages.sort(axis=1)
-                new = passages >= 0
-                new[:, 1:] &= passages[:, 1:] != passages[:, :-1]
-                words, n = np.unique(passages[new], return_counts=True)
-                total[words] += n
+            for known, sizes in text_blocks(batch.column(0), options):
+                passages = laid_out(known, sizes, options)
+                owner, words, _ = distinct(passages)
+                total[:size] += np.bincount(words, minlength=size)
                 total[size] += len(passages)
+                total[size + 1] += np.count_nonzero(np.diff(owner, prepend=-1))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["at", "n"])
 
     found = texts.select("numbers").mapInArrow(count, "at long, n long")
-    table = np.zeros(size + 1)
+    table = np.zeros(size + 2)
     for at, n in found.groupBy("at").agg(F.sum("n")).collect():
         table[at] = n
-    return int(table[size]), table[:size]
-
-
-# Documents are drawn by a hash of their ids, in so many steps.
-DRAWS = 1_000_000
+    return int(table[size]), int(table[size + 1]), table[:size]
 
 
-def sample_passages(texts: DataFrame, total: int, options: Retrieval) -> DataFrame:
-    """Word numbers of about ``sample`` passages, from documents with the first draws."""
-    part = min(DRAWS, DRAWS * options.sample // max(1, total))
+def gram_times(
+    texts: DataFrame, idf: np.ndarray, basis: np.ndarray, options: Retrieval
+) -> np.ndarray:
+    """A'A times a matrix, A being the vectors of all passages: each task adds up its own rows.
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for data in batch.column(0).to_pylist():
-                known = numbers_of(data)
-                for start in passage_starts(len(known), options):
-                    passage = known[start : start + options.passage]
-                    rows.append(passage[passage >= 0])
-            array = pa.array(rows, pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([array], ["words"])
-
-    drawn = texts.filter(F.col("draw") < part)
-    return drawn.select("numbers").mapInArrow(cut, "words array<int>")
-
-
-def gram_times(passages: DataFrame, idf: np.ndarray, basis: np.ndarray) -> np.ndarray:
-    """A'A times a matrix, A being the passages' vectors: each task adds up its own rows."""
-    context = passages.sparkSession.sparkContext
-    shared = context.broadcast((idf, basis))
+    What a task adds up is as large as the matrix, so there are two for each core, however
+    long the texts are, and the sums meet word by word.
+    """
+    context = texts.sparkSession.sparkContext
+    shared = context.broadcast((idf, basis.astype(np.float32)))
     size, width = basis.shape
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         idf, basis = shared.value
         total = np.zeros((size, width))
         for batch in batches:
-            for words in batch.column(0).to_pylist():
-                words, weights = vector(np.array(words, np.int32), idf)
-                if len(words):
-                    total[words] += np.outer(weights, weights @ basis[words])
+            for known, sizes in text_blocks(batch.column(0), options):
+                passages = Weighted(laid_out(known, sizes, options), idf)
+                some = np.zeros((size, width), np.float32)
+                for _, _, words, vectors in passages.parts(size):
+                    some[words] += vectors.T @ (vectors @ basis[words])
+                total += some
         rows = np.flatnonzero(total.any(axis=1))
-        arrays = [pa.array(rows), pa.array(list(total[rows]), pa.list_(pa.float64()))]
+        arrays = [pa.array(rows), pa.array([total[r].tobytes() for r in rows], pa.binary())]
         yield pa.RecordBatch.from_arrays(arrays, ["at", "row"])
 
-    found = passages.mapInArrow(multiply, "at long, row array<double>")
-    parts = found.select("at", F.posexplode("row").alias("column", "x"))
-    sums = parts.groupBy("at", "column").agg(F.sum("x").alias("x"))
-    rows = sums.groupBy("at").agg(F.sort_array(F.collect_list(F.struct("column", "x"))).alias("r"))
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for at, row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                sums[at] = sums.get(at, 0.0) + np.frombuffer(row)
+        arrays = [
+            pa.array(list(sums), pa.int64()),
+            pa.array([row.tobytes() for row in sums.values()], pa.binary()),
+        ]
+        yield pa.RecordBatch.from_arrays(arrays, ["at", "row"])
+
+    schema = "at long, row binary"
+    few = texts.select("numbers").coalesce(2 * context.defaultParallelism)
+    sums = few.mapInArrow(multiply, schema).repartition("at").mapInArrow(add, schema)
     out = np.zeros((size, width))
-    for at, row in rows.select("at", "r.x").collect():
-        out[at] = row
+    for at, row in sums.collect():
+        out[at] = np.frombuffer(row)
     shared.unpersist()
     return out
 
 
 def latent_space(
-    corpus: DataFrame, items: Items, idf: np.ndarray, options: Retrieval
+    texts: DataFrame, filled: int, items: Items, idf: np.ndarray, options: Retrieval
 ) -> np.ndarray:
     """The leading right singular vectors of the passages, by randomised subspace iteration.
 
-    Benchmark passages are weighed up to as much as the corpus sample, or a few hundred
-    items would drown in it.
+    Benchmark passages are weighed up to as much as the ``filled`` passages of the corpus,
+    or a few hundred items would drown in it.
     """
     size = len(items.vocabulary)
     width = min(size, options.rank + options.oversample)
     draw = np.random.default_rng(options.seed)
     basis = np.linalg.qr(draw.standard_normal((size, width)))[0]
     units = [vector(t, idf) for t in items.terms]
-    passages = stored(corpus.filter(F.size("words") > 0), "passages")
-    scale = max(1.0, passages.count()) / len(units)
+    scale = max(1.0, filled) / len(units)
 
     def gram(basis: np.ndarray) -> np.ndarray:
-        out = gram_times(passages, idf, basis)
+        out = gram_times(texts, idf, basis, options)
         for words, weights in units:
             out[words] += scale * np.outer(weights, weights @ basis[words])
         return out
@@ -253,6 +319,10 @@ def common_weight(item: np.ndarray, region: np.ndarray, weights: np.ndarray) ->
     return float(best[-1])
 
 
+# Angles between passages and items that are looked at at a time.
+PRODUCTS = 1 << 22
+
+
 class Matcher:
     """Searches texts for the items of a block."""
 
@@ -261,9 +331,9 @@ class Matcher:
         self.mass = np.array([idf[t].sum() for t in items.terms])
         self.answer_mass = np.array([idf[a].sum() for a in items.answers])
         # An item longer than a passage is looked for by each of its passages.
-        units = [laid_out(t, options) for t in items.terms]
-        self.owner = np.repeat(np.arange(len(units)), [len(u) for u in units])
-        units = np.concatenate(units)
+        sizes = np.array([len(t) for t in items.terms])
+        self.owner = np.repeat(np.arange(len(sizes)), passage_numbers(sizes, options))
+        units = laid_out(np.concatenate(items.terms), sizes, options)
         known = np.where(units >= 0, idf[units], 0.0)
         self.units = self.project(units)
         self.all_terms = np.concatenate(items.terms)
@@ -273,46 +343,62 @@ class Matcher:
     def project(self, passages: np.ndarray) -> np.ndarray:
         """Latent vectors, of length one, of passages given as rows; sorts the rows."""
         out = np.zeros((len(passages), self.space.shape[1]), np.float32)
-        width = passages.shape[1]
-        passages.sort(axis=1)
-        new = passages >= 0
-        new[:, 1:] &= passages[:, 1:] != passages[:, :-1]
-        at = np.flatnonzero(new)
-        owner = at // width
-        words = passages.ravel()[at]
-        counts = np.minimum(np.append(at[1:], passages.size), (owner + 1) * width) - at
-        weights = ((1 + np.log(counts)) * self.idf[words]).astype(np.float32)
-        bounds = np.searchsorted(owner, np.arange(len(passages) + 1)).tolist()
-        for row, start, end in zip(out, bounds, bounds[1:]):
-            row += weights[start:end] @ self.space[words[start:end]]
-        sizes = np.sqrt(np.bincount(owner, weights**2, len(passages)))
-        out /= np.maximum(sizes, 1e-9)[:, None].astype(np.float32)
+        for first, end, words, vectors in Weighted(passages, self.idf).parts(len(self.idf)):
+            out[first:end] = vectors @ self.space[words]
         return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
-    def search(self, known: np.ndarray) -> dict[int, float]:
-        """Items that a text holds, by its numbers, with the share of their weight."""
+    def candidates(self, known: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Text, start in it and unit of the passages near to an item, of texts end to end."""
         options = self.options
-        starts = np.array(passage_starts(len(known), options))
-        ends = np.minimum(starts + options.passage, len(known))
+        counts = passage_numbers(sizes, options)
+        text = np.repeat(np.arange(len(sizes)), counts)
+        starts = (np.arange(len(text)) - (np.cumsum(counts) - counts)[text]) * options.stride
+        ends = np.minimum(starts + options.passage, sizes[text])
         weight = np.concatenate([[0.0], np.cumsum(np.where(known >= 0, self.idf[known], 0.0))])
+        before = (np.cumsum(sizes) - sizes)[text]
         # Passages with less weight than any item needs can't pass the check below.
-        heavy = weight[ends] - weight[starts] >= self.least
-        starts = starts[heavy]
-        if not len(starts):
-            return {}
-        passages = laid_out(known, options)[heavy]
-        near = self.project(passages) @ self.units.T >= options.cosine
+        held = weight[before + ends] - weight[before + starts]
+        heavy = np.flatnonzero(held >= self.least)
+        vectors = self.project(laid_out(known, sizes, options)[heavy])
+        rows = max(1, PRODUCTS // len(self.units))
+        near = [
+            np.argwhere(vectors[n : n + rows] @ self.units.T >= options.cosine) + (n, 0)
+            for n in range(0, len(vectors), rows)
+        ]
+        passage, unit = np.concatenate([np.empty((0, 2), np.int64), *near]).T
+        return text[heavy[passage]], starts[heavy[passage]], unit
+
+    def search(self, known: np.ndarray, sizes: np.ndarray) -> list[dict[int, float]]:
+        """Items that texts hold, by their numbers end to end, with the share of their weight."""
+        found: list[dict[int, float]] = [{} for _ in sizes]
+        texts, starts, units = self.candidates(known, sizes)
+        first = np.cumsum(sizes) - sizes
+        cuts = np.flatnonzero(np.diff(texts, prepend=-1, append=-1)).tolist()
+        for begin, end in zip(cuts, cuts[1:]):
+            text = texts[begin]
+            words = known[first[text] : first[text] + sizes[text]]
+            near = zip(starts[begin:end].tolist(), units[begin:end])
+            found[text] = self.confirmed(words, near)
+        return found
+
+    def confirmed(
+        self, known: np.ndarray, near: Iterable[tuple[int, int]]
+    ) -> dict[int, float]:
+        """The items of a text among its candidates, given as start and unit."""
+        options = self.options
         # Items with too little weight in the whole text can't pass either.
-        here = np.zeros(len(self.idf), bool)
-        here[known[known >= 0]] = True
-        held = np.where(here[self.all_terms], self.idf[self.all_terms], 0.0)
-        enough = np.add.reduceat(held, self.first_terms) >= options.lcs * self.mass * (1 - 1e-9)
-        near &= enough[self.owner]
+        here = np.zeros(len(self.idf))
+        there = known[known >= 0]
+        here[there] = self.idf[there]
+        held = np.add.reduceat(here[self.all_terms], self.first_terms)
+        enough = held >= options.lcs * self.mass * (1 - 1e-9)
         found: dict[int, float] = {}
-        for at, unit in zip(*np.nonzero(near)):
+        for start, unit in near:
             number = self.owner[unit]
+            if not enough[number]:
+                continue
             size = len(self.items.terms[number])
-            region = known[max(0, starts[at] - size) : starts[at] + options.passage + size]
+            region = known[max(0, start - size) : start + options.passage + size]
             share = self.check(number, region)
             if share:
                 found[number] = max(share, found.get(number, 0.0))
@@ -338,9 +424,9 @@ class Matcher:
 
 
 def fit_matcher(texts: DataFrame, items: Items, options: Retrieval) -> Matcher:
-    total, counts = passage_counts(texts, items, options)
+    total, filled, counts = passage_counts(texts, items, options)
     idf = np.log((total + 1.0) / (counts + 1.0)) + 0.1
-    space = latent_space(sample_passages(texts, total, options), items, idf, options)
+    space = latent_space(texts, filled, items, idf, options)
     return Matcher(items, idf, space, options)
 
 
@@ -372,34 +458,35 @@ def find_leaks(
     (0 for none), ``contaminated`` is true if there is an item. Null and empty texts have
     none; neither does any text if the benchmark is empty. An item without an id counts
     as -1, one without words is left out. Repeated rows stay. The latent space is fitted
-    anew for each block of items; its corpus counts cover all rows of ``docs``.
+    anew for each block of items, on all rows of ``docs``.
     """
     options = options or Retrieval()
     context = docs.sparkSession.sparkContext
     kept = [F.col(c).alias(f"_{i}") for i, c in enumerate(keep)]
     names = [f"_{i}" for i in range(len(keep))]
     none = F.array().cast("array<bigint>")
-    draw = F.pmod(F.xxhash64(F.lit(options.seed), "doc_id"), F.lit(DRAWS)).alias("draw")
-    found = docs.select(*kept, "text", draw, none.alias("found"), F.lit(0.0).alias("best"))
+    found = docs.select(*kept, "text", none.alias("found"), F.lit(0.0).alias("best"))
     blocks = list(benchmark_blocks(benchmark, options.block))
     for turn, items in enumerate(blocks, 1):
         # The texts themselves are needed again for the words of the next block alone.
         again = ["text"] if turn < len(blocks) else []
-        keep_on = [*names, *again, "draw", "found", "best"]
+        keep_on = [*names, *again, "found", "best"]
         texts = numbered_texts(found, items, keep_on)
         shared = context.broadcast(fit_matcher(texts, items, options))
 
-        def make(shared=shared):
-            def match(data: bytes | str) -> tuple[list[int], float]:
-                hits = shared.value.search(numbers_of(data))
-                return sorted(set(hits)), max(hits.values(), default=0.0)
-
-            return match
-
-        found = map_texts(texts, keep_on, MATCH, make, text="numbers").select(
+        def match(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                blocks = text_blocks(batch.column(len(keep_on)), options)
+                hits = [h for known, sizes in blocks for h in shared.value.search(known, sizes)]
+                values = [sorted(set(h)) for h in hits], [max(h.values(), default=0.0) for h in hits]
+                kept = [batch.column(i) for i in range(len(keep_on))]
+                columns = kept + as_batch(values, MATCH)
+                yield pa.RecordBatch.from_arrays(columns, [*keep_on, "item_ids", "best_lcs"])
+
+        schema = StructType([texts.schema[c] for c in keep_on] + MATCH)
+        found = texts.select(*keep_on, "numbers").mapInArrow(match, schema).select(
             *names,
             *again,
-            "draw",
             F.sort_array(F.array_union("found", "item_ids")).alias("found"),
             F.greatest("best", "best_lcs").alias("best"),
         )
