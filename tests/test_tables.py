@@ -18,6 +18,7 @@ from tidemark.tables.event_table import (
     read_table,
     store_batch,
 )
+from tidemark.tables import upkeep
 from tidemark.tables.upkeep import close_days, closed_before, drop_closed, history_view
 
 DAY = datetime(2024, 3, 1, 12)
@@ -235,6 +236,20 @@ def test_closed_days(spark, table):
     assert files == 2
 
 
+def test_a_task_closes_a_bounded_part_of_the_days(spark, table, monkeypatch):
+    """What a task sorts does not grow with what is closed."""
+    monkeypatch.setattr(upkeep, "TASK_BYTES", 100_000)
+    at = datetime(2024, 3, 1, 6)
+    ids = spark.range(0, 40_000, 1, 8).select(F.sha2(F.col("id").cast("string"), 256).alias("event_id"))
+    for batch in range(2):
+        store_batch(spark, TableSpec(table), stamp(ids, at), "s", batch)
+    closed = f"{table}_closed"
+    close_days(spark, table, closed, date(2024, 3, 2))
+    files = spark.table(closed).groupBy("_metadata.file_path").count().collect()
+    assert sum(f["count"] for f in files) == 80_000
+    assert len(files) > 4 and max(f["count"] for f in files) < 20_000
+
+
 def test_closed_days_take_new_columns(spark, table):
     spec = three_days(spark, table)
     closed, view = f"{table}_closed", f"{table}_all"

@@ -36,12 +36,20 @@ from tidemark.tables.event_table import (
 CLOSED_BEFORE = "tidemark.closed_before"
 OWNER = (INGEST_DATE, STREAM, BATCH)
 
-# Pack small files into splits by their size, and use no more splits than it
-# takes, however many cores the cluster has.
-FULL_SPLITS = {
-    "spark.sql.files.openCostInBytes": "65536",
-    "spark.sql.files.minPartitionNum": "1",
-}
+# Compressed bytes that a task sorts: some thirty times as many in memory.
+TASK_BYTES = 16 * 1024**2
+
+
+def full_splits() -> dict[str, str]:
+    """Pack small files into splits by their size, as few as hold ``TASK_BYTES`` each.
+
+    However many cores the cluster has, and however much is closed at a time.
+    """
+    return {
+        "spark.sql.files.openCostInBytes": "65536",
+        "spark.sql.files.minPartitionNum": "1",
+        "spark.sql.files.maxPartitionBytes": str(TASK_BYTES),
+    }
 
 
 def _match_columns(spark: SparkSession, live: str, closed: str) -> list[str]:
@@ -89,7 +97,7 @@ def close_days(spark: SparkSession, live: str, closed: str, before: date) -> Non
         new = current(spark, live).filter(of_days).join(F.broadcast(wrong), list(OWNER), "left_semi")
         kept = current(spark, closed).filter(of_days).join(F.broadcast(wrong), list(OWNER), "left_anti")
         rows = kept.select(*columns).union(new.select(*columns))
-        with settings(spark, FULL_SPLITS):
+        with settings(spark, full_splits()):
             sorted_rows = rows.sortWithinPartitions(INGEST_DATE, STREAM, BATCH)
             folder = write_attempt(spark, TableSpec(closed), sorted_rows, INGEST_DATE)
         for day in sorted(days):
