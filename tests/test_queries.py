@@ -2,8 +2,10 @@
 
 import pytest
 from compare import differences
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
+from tidemark.plans import inputs
 from tidemark.plans.catalog import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -19,6 +21,18 @@ def test_query(spark, name):
     assert differences(frame, SF_DIR, entry_point.oracle_sql()[name]) == ""
 
 
+def test_deliveries_are_dealt_to_all_cores(spark, tmp_path):
+    """A few days of a file that is sorted by time are not the work of one task."""
+    events = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    events.coalesce(1).sortWithinPartitions("ts").write.parquet(f"{tmp_path}/events.parquet")
+    rows = inputs.delivery_rows(spark, str(tmp_path), 1)
+    tasks = rows.groupBy(F.spark_partition_id()).count().collect()
+    whole = inputs.deliveries(spark, str(tmp_path)).filter("batch_id = 1").drop("batch_id")
+    assert sum(t["count"] for t in tasks) == whole.count()
+    assert max(t["count"] for t in tasks) < whole.count() / spark.sparkContext.defaultParallelism
+    assert rows.exceptAll(whole).isEmpty()
+
+
 def test_entry(spark):
     rows = {r["subscription_tier"]: r["n_events"] for r in entry_point.entry(spark).collect()}
     assert set(rows) == {"basic", "standard", "premium", "basic_ads"}

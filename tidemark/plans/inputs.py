@@ -32,10 +32,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def feed(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
-    """One of the derived feeds; unused columns are pruned down to the scan."""
+# Tasks for each core that rows are dealt to.
+TASKS_PER_CORE = 4
+
+
+def n_tasks(spark: SparkSession) -> int:
+    return TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+
+
+def feed(spark: SparkSession, sf_dir: str, view: str, deal_by: str = "") -> DataFrame:
+    """One of the derived feeds; unused columns are pruned down to the scan.
+
+    ``deal_by`` names a column of the table by whose hash its rows, narrow as they still
+    are, are dealt evenly to all cores. A filter is applied before. Without it the files
+    decide, and a few days of a table that is sorted by time are in one or two splits.
+    """
     source = SOURCES[view]
     scan = table(spark, sf_dir, source)
+    if deal_by:
+        scan = scan.repartition(n_tasks(spark), deal_by)
     return spark.sql(
         f"WITH {source} AS (SELECT * FROM {{scan}}), {TEXTS[view].strip()} SELECT * FROM {view}",
         scan=scan,
@@ -58,7 +73,7 @@ def feed_records(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
     return encode(utc(rows.drop("seq")), FEED_KEYS[view])
 
 
-def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+def deliveries(spark: SparkSession, sf_dir: str, deal_by: str = "") -> DataFrame:
     """Payments with every copy that is delivered, and the delivery it is in."""
     first = F.expr(FIRST_DELIVERY).cast("bigint")
     copies = (
@@ -66,15 +81,15 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.expr(AGAIN), F.array(first, first + 1))
         .otherwise(F.array(first))
     )
-    rows = feed(spark, sf_dir, "payments")
+    rows = feed(spark, sf_dir, "payments", deal_by)
     return rows.withColumn("batch_id", F.explode(copies))
 
 
 def delivery_rows(spark: SparkSession, sf_dir: str, number: int) -> DataFrame:
-    """One delivery; only the days it can hold are read."""
+    """One delivery; only the days it can hold are read, and dealt to all cores."""
     days = [None, None, *CUTS, None, None]
     since, until = days[number], days[number + 2]
-    rows = deliveries(spark, sf_dir)
+    rows = deliveries(spark, sf_dir, deal_by="event_id")
     if since:
         rows = rows.filter(F.col("event_timestamp") >= F.to_date(F.lit(since)))
     if until:
