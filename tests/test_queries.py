@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 from tidemark.plans import inputs
+from tidemark.plans import catalog
 from tidemark.plans.catalog import QUERIES
+from tidemark.plans.views import N_DELIVERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -33,6 +35,17 @@ def test_deliveries_are_dealt_to_all_cores(spark, tmp_path):
     assert rows.exceptAll(whole).isEmpty()
 
 
+def test_files_of_a_delivery_are_read_together(spark, monkeypatch):
+    """A delivery of a backlog is no file of one task."""
+    jobs = []
+    run = catalog.run_ingest
+    monkeypatch.setattr(catalog, "run_ingest", lambda s, job: jobs.append(job) or run(s, job))
+    found = QUERIES["stream_options"](spark, "/root/testdata/sf0.01").collect()
+    assert len(found) == N_DELIVERIES
+    files = spark.read.parquet(jobs[0].source.path).inputFiles()
+    assert len(files) == N_DELIVERIES * int(jobs[0].source.options["maxFilesPerTrigger"]) > N_DELIVERIES
+
+
 def test_entry(spark):
     rows = {r["subscription_tier"]: r["n_events"] for r in entry_point.entry(spark).collect()}
     assert set(rows) == {"basic", "standard", "premium", "basic_ads"}

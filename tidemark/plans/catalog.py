@@ -72,6 +72,8 @@ SHARDS = 8
 # here, whatever its size.
 WHOLE_DELIVERIES = {"maxBytesPerTrigger": str(2**62)}
 STAMPS = (INGEST_TIME, INGEST_DATE)
+# Rows a file, at least, with which hashes leave no file without any.
+ROWS_FOR_ALL = 25
 
 
 def query(function: Query) -> Query:
@@ -589,12 +591,21 @@ def stream_shard_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_options(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Options reach the source: a backlog is read one file at a time, in the order of arrival."""
+    """Options reach the source: a backlog is read so many files at a time, in the order of arrival.
+
+    A delivery is that many files, or one if it is too small to have rows for each.
+    """
     job = _job(spark, "stream_options")
-    one = Source(path=job.source.path, options={"maxFilesPerTrigger": "1"})
-    job = replace(job, source=one)
+    sizes = inputs.deliveries(spark, sf_dir).groupBy("batch_id").count()
+    # Fewer files of the last delivery take no others into its batch.
+    full = sizes.filter(F.col("batch_id") < N_DELIVERIES - 1).filter(
+        F.col("count") >= ROWS_FOR_ALL * SHARDS
+    )
+    files = min(SHARDS, inputs.n_tasks(spark)) if full.count() == N_DELIVERIES - 1 else 1
+    some = Source(path=job.source.path, options={"maxFilesPerTrigger": str(files)})
+    job = replace(job, source=some)
     for number in range(N_DELIVERIES):
-        records = inputs.delivery_records(spark, sf_dir, number).coalesce(1)
+        records = inputs.delivery_records(spark, sf_dir, number).coalesce(files)
         records.write.mode("append").parquet(job.source.path)
     run_ingest(spark, job)
     return batch_list(spark, job.table.name).select("batch_id", "received")
