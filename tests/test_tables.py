@@ -8,6 +8,8 @@ from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField
 from tidemark.operators.decode import stamp
 from tidemark.operators.revenue import latency_quantiles
 from tidemark.session import settings
+from tidemark.streaming import sink
+from tidemark.streaming.sink import store_micro_batch
 from tidemark.tables.event_table import (
     TableSpec,
     add_columns,
@@ -250,6 +252,17 @@ def test_a_task_closes_a_bounded_part_of_the_days(spark, table, monkeypatch):
     assert len(files) > 4 and max(f["count"] for f in files) < 20_000
 
 
+def test_a_task_stores_a_bounded_part_of_a_batch(spark, table, monkeypatch):
+    """What a task folds and writes does not grow with the batch."""
+    monkeypatch.setattr(sink, "TASK_BYTES", 1024**2)
+    text = F.sha2(F.col("id").cast("string"), 256)
+    rows = spark.range(0, 200_000, 1, 4).select(text.alias("event_id"))
+    report = store_micro_batch(TableSpec(table), stamp(rows, datetime(2024, 3, 1)), "s", 0)
+    assert report.stored == 200_000
+    files = spark.table(table).groupBy("_metadata.file_path").count().collect()
+    assert len(files) > 4 and max(f["count"] for f in files) < 50_000
+
+
 def test_closed_days_take_new_columns(spark, table):
     spec = three_days(spark, table)
     closed, view = f"{table}_closed", f"{table}_all"
