@@ -1,5 +1,7 @@
 """Every registered query gives the rows of its check SQL."""
 
+from threading import Barrier
+
 import pytest
 from compare import differences
 from pyspark.sql import functions as F
@@ -46,6 +48,26 @@ def test_files_of_a_delivery_are_read_together(spark, monkeypatch):
     assert len(files) == N_DELIVERIES * int(jobs[0].source.options["maxFilesPerTrigger"]) > N_DELIVERIES
 
 
+def test_feeds_are_dealt_and_landed_side_by_side(spark, tmp_path, monkeypatch):
+    """No feed is encoded by the few tasks that its file gives, nor waits for another."""
+    tables = {"events": "ts", "orders": "o_orderdate", "lineitem": "l_shipdate"}
+    for name, time in tables.items():
+        rows = spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+        rows.coalesce(1).sortWithinPartitions(time).write.parquet(f"{tmp_path}/{name}.parquet")
+    together, tasks = Barrier(3), []
+    run = catalog.deliver
+
+    def deliver(records, path, shards):
+        together.wait(60)
+        tasks.append(records.select(F.spark_partition_id()).distinct().count())
+        return run(records, path, shards)
+
+    monkeypatch.setattr(catalog, "deliver", deliver)
+    found = QUERIES["three_feeds"](spark, str(tmp_path))
+    assert differences(found, "/root/testdata/sf0.001", entry_point.oracle_sql()["three_feeds"]) == ""
+    assert min(tasks) >= spark.sparkContext.defaultParallelism
+
+
 def test_entry(spark):
     rows = {r["subscription_tier"]: r["n_events"] for r in entry_point.entry(spark).collect()}
     assert set(rows) == {"basic", "standard", "premium", "basic_ads"}

@@ -67,9 +67,9 @@ def zoneless(rows: DataFrame) -> DataFrame:
     return rows.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz"))
 
 
-def feed_records(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
+def feed_records(spark: SparkSession, sf_dir: str, view: str, deal_by: str = "") -> DataFrame:
     """A feed as wire records."""
-    rows = feed(spark, sf_dir, view)
+    rows = feed(spark, sf_dir, view, deal_by)
     return encode(utc(rows.drop("seq")), FEED_KEYS[view])
 
 
