@@ -68,6 +68,30 @@ def test_feeds_are_dealt_and_landed_side_by_side(spark, tmp_path, monkeypatch):
     assert min(tasks) >= spark.sparkContext.defaultParallelism
 
 
+def _tasks_of_loads(spark, tmp_path, monkeypatch, name):
+    """How many tasks hold the rows of each large delivery that a query loads."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    rows.coalesce(1).sortWithinPartitions("ts").write.parquet(f"{tmp_path}/events.parquet")
+    tasks = []
+    run = catalog.load_batch
+
+    def load(records, *rest):
+        tasks.append(records.select(F.spark_partition_id()).distinct().count())
+        return run(records, *rest)
+
+    monkeypatch.setattr(catalog, "load_batch", load)
+    found = QUERIES[name](spark, str(tmp_path))
+    assert differences(found, "/root/testdata/sf0.01", entry_point.oracle_sql()[name]) == ""
+    assert len(tasks) == N_DELIVERIES
+    # The last delivery holds late copies alone.
+    return tasks[:-1]
+
+
+def test_batch_reports_loads_with_all_cores(spark, tmp_path, monkeypatch):
+    tasks = _tasks_of_loads(spark, tmp_path, monkeypatch, "batch_reports")
+    assert min(tasks) >= spark.sparkContext.defaultParallelism
+
+
 def test_entry(spark):
     rows = {r["subscription_tier"]: r["n_events"] for r in entry_point.entry(spark).collect()}
     assert set(rows) == {"basic", "standard", "premium", "basic_ads"}
