@@ -92,6 +92,11 @@ def test_batch_reports_loads_with_all_cores(spark, tmp_path, monkeypatch):
     assert min(tasks) >= spark.sparkContext.defaultParallelism
 
 
+def test_ingest_columns_loads_with_all_cores(spark, tmp_path, monkeypatch):
+    tasks = _tasks_of_loads(spark, tmp_path, monkeypatch, "ingest_columns")
+    assert min(tasks) >= spark.sparkContext.defaultParallelism
+
+
 def test_entry(spark):
     rows = {r["subscription_tier"]: r["n_events"] for r in entry_point.entry(spark).collect()}
     assert set(rows) == {"basic", "standard", "premium", "basic_ads"}
