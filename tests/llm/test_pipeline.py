@@ -1,7 +1,9 @@
 """The pipeline, and the columns that registered queries must have."""
 
 import corpus_pipeline
+import numpy as np
 
+from tidemark.llm import decontamination
 from tidemark.llm.queries import QUERIES
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.simhash import simhash_components
@@ -34,6 +36,24 @@ def test_odd_rows_pass_every_stage(spark, odd):
     assert sorted(r[0] for r in kept if r[0]) == [1, 4, 5, 6, 7]
 
 
+def test_leaks_are_sought_by_all_passages(spark, make, monkeypatch):
+    """Some 25,000 passages: every pass over the latent space takes all of them."""
+    texts = [" ".join(f"w{(i * k) % 997}" for i in range(25_600)) for k in range(1, 33)]
+    passes = []
+    run = decontamination.gram_times
+
+    def multiply(rows, *rest):
+        known = [decontamination.numbers_of(r["numbers"]) for r in rows.collect()]
+        sizes = np.array([len(k) for k in known])
+        passes.append(int(decontamination.passage_numbers(sizes, decontamination.Retrieval()).sum()))
+        return run(rows, *rest)
+
+    monkeypatch.setattr(decontamination, "gram_times", multiply)
+    docs = make(*texts)
+    assert corpus_pipeline.decontaminate(spark, docs, SF_DIR).columns == docs.columns
+    assert passes == [32 * 799] * 3
+
+
 def test_all_operators_are_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
