@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import simhash, substring_dedup
+from tidemark.llm import language_model, simhash, substring_dedup
 from tidemark.llm.components import components
 from tidemark.llm.decontamination import (
     TERM,
@@ -22,11 +22,13 @@ from tidemark.llm.decontamination import (
     terms,
 )
 from tidemark.llm.language_model import (
+    Adam,
     Attention,
     Insides,
     ModelOptions,
     Scorer,
     Subwords,
+    class_slots,
     default_vocabulary,
     found,
     grouped,
@@ -534,3 +536,53 @@ def test_probabilities_add_up_to_one(documents):
     n, total = found(insides.pairs, keys), found(insides.totals, within(keys, group))
     given = (n + 5.0 * alone) / (total + 5.0)
     assert np.allclose(np.bincount(group, given, SMALL.groups), 1)
+
+
+def test_targets_alone_score_like_all_groups():
+    """Also with a last class that is not full, and a batch that misses some classes."""
+    draw = np.random.default_rng(8)
+    for groups in (2, 7, 24):
+        options = replace(SMALL, groups=groups)
+        model = Attention(options, 30, slots=draw.permutation(groups))
+        model.lean(draw.integers(0, 50, groups))
+        x, t = draw.integers(0, 30, (3, 32)), draw.integers(0, max(2, groups - 9), (3, 32))
+        counted = draw.random(t.shape) < 0.7
+        every = model.logits(model.hidden(x)["y"])
+        assert np.allclose(np.exp(every).sum(-1), 1, atol=1e-5)
+        logs, at = model.logs(x, t, counted)
+        assert sorted(at) == np.flatnonzero(counted).tolist()
+        assert np.allclose(logs, np.take_along_axis(every, t[..., None], -1).ravel()[at], atol=1e-4)
+
+
+def test_classes_hold_every_group_once():
+    draw = np.random.default_rng(9)
+    for groups in (2, 5, 24, 250):
+        pairs = draw.integers(0, 9, (groups, groups)).astype(float)
+        for p in (pairs, 0 * pairs):
+            slots = class_slots(p, p.sum(axis=0))
+            assert sorted(slots) == list(range(groups))
+
+
+def test_a_token_needs_few_exponentials(monkeypatch):
+    """In training and in scoring, far fewer than there are groups."""
+    options = ModelOptions()
+    made = []
+    weigh = language_model.weigh
+    monkeypatch.setattr(language_model, "weigh", lambda x: made.append(x.size) or weigh(x))
+    group = np.arange(300) % options.groups
+    scorer = Scorer(Attention(options, 301), group, options)
+    cuts = scorer.cut(np.arange(32))
+    Adam(scorer.model).step(*(np.repeat(c, 4, axis=0) for c in cuts), 0.01)
+    assert sum(made) < 4 * 32 * 100
+    made.clear()
+    scorer.score([np.arange(32)] * 4)
+    assert sum(made) < 4 * 32 * 100
+
+
+def test_inputs_met_are_counted():
+    draw = np.random.default_rng(10)
+    model = Attention(SMALL, 40)
+    adam, batches = Adam(model), draw.integers(0, 24, (3, 4, 32))
+    for x in batches:
+        adam.step(x, x, np.ones(x.shape, bool), 0.01)
+    assert adam.met.tolist() == np.bincount(batches.ravel(), minlength=40).tolist()
