@@ -205,6 +205,81 @@ def test_common_words_are_dealt_apart(documents, monkeypatch):
     assert phrase_rows(collocations(documents, PhraseOptions(least=5))) == brute_phrases(rows, 5)
 
 
+def test_bins_are_counted_one_by_one(documents, monkeypatch):
+    from tidemark.llm import collocations as module
+
+    monkeypatch.setattr(module, "BIN_WORDS", 100)
+    monkeypatch.setattr(module, "COMMON", 50)
+    rows = [(r["lang"], r["text"]) for r in documents.collect()]
+    found = collocations(documents, PhraseOptions(least=5, dictionary=40, part=2000))
+    assert phrase_rows(found) == brute_phrases(rows, 5)
+
+
+def test_windows_of_a_part_are_one_row_for_each_bin(documents, spark):
+    from tidemark.llm import collocations as module
+
+    texts = documents.select("lang", "text").repartition(2)
+    options = PhraseOptions(least=1)
+    words = module.vocabulary(word_counts(texts), options)
+    blocks = module.packed(texts, words, options, 7, 3).collect()
+    # Seven bins for each task and language, whose texts here are less than a part.
+    langs = len({r["lang"] for r in blocks})
+    assert len(blocks) <= 7 * 2 * langs * 2
+    assert {r["bin"] for r in blocks} <= set(range(7))
+    n = int(module.unpacked_windows([bytes(r["block"]) for r in blocks], [0] * len(blocks))[1].sum())
+    pieces = (re.split(r"[.,;:!?\x0A-\x0D]", r["text"] or "") for r in documents.collect())
+    words_of = [re.findall(r"[^\x20\x09]+", piece) for found in pieces for piece in found]
+    assert n == sum(max(0, len(words) - 1) for words in words_of) > 20 * len(blocks)
+
+
+@pytest.mark.parametrize("most, several", [(40, 1), (2**62, 1), (2**62, 3)])
+def test_packed_windows_are_folded_like_plain_ones(most, several):
+    import numpy as np
+
+    from tidemark.llm.collocations import folded_windows, packed_windows, unpacked_windows
+
+    draw = np.random.default_rng(3)
+    least, common, bins = 5, 3, 4
+    # Small numbers are frequent, and some of the others are hashes.
+    names = np.concatenate([np.arange(1, 30), draw.integers(most // 2, most, 10)])
+    at = np.minimum(draw.geometric(0.3, (4, 4000)) - 1, len(names) - 1)
+    columns = [np.array(c) for c in names[at].astype(np.int64)]
+    columns[2][:500] = columns[3][:900] = 0
+    langs = draw.integers(0, several, 4000)
+    plain = Counter()
+    for lang, *window in zip(langs.tolist(), *(c.tolist() for c in columns)):
+        plain.update({(lang, *window[:k]) for k in (2, 3, 4) if 0 not in window[:k]})
+    held = defaultdict(list)
+    for half in (slice(0, 1500), slice(1500, 4000)):
+        for lang in range(several):
+            part = [c[half][langs[half] == lang] for c in columns]
+            for place, block in zip(*packed_windows(part, str(lang), bins, common)):
+                held[int(place)].append((block, lang))
+    assert len(held) == bins
+    found = Counter()
+    for blocks in held.values():
+        words, n, of = folded_windows(*unpacked_windows(*zip(*blocks)), least, common)
+        for lang, *window, times in zip(of.tolist(), *(c.tolist() for c in words), n.tolist()):
+            found.update({(lang, *window[:k]): times for k in (2, 3, 4) if 0 not in window[:k]})
+    often = lambda counts: {p: n for p, n in counts.items() if n >= least}
+    assert often(found) == often(plain)
+    assert any(len(p) == 5 for p in often(plain))
+    # A window keeps its last words only where they are frequent, or lie in several bins.
+    assert all(n >= least for p, n in found.items() if len(p) == 5)
+    assert len(found) < len(plain) / 4
+
+
+def test_small_languages_of_a_bin_are_counted_together(spark, monkeypatch):
+    from tidemark.llm import collocations as module
+
+    rows = [(f"l{i % 40}", f"a b c{i % 3}. a b d e, a b c{i % 3}") for i in range(4000)]
+    made = spark.createDataFrame([(t, lang) for lang, t in rows], "text string, lang string")
+    want = brute_phrases(rows)
+    for together in (0, 1 << 17):
+        monkeypatch.setattr(module, "TOGETHER", together)
+        assert phrase_rows(collocations(made)) == want
+
+
 def test_collocations_of_odd_rows(odd, empty, spark):
     assert collocations(empty).collect() == []
     rows = [(r["lang"], r["text"]) for r in odd.collect()]

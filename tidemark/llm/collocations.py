@@ -5,9 +5,13 @@ is frequent enough to be part of a phrase into one row with the words that follo
 columns, padded where the piece of text ends or a rare word follows. Only these longest
 windows are counted; a ROLLUP over the columns then sums the counts of shorter phrases from
 them. Before that, windows that are too rare to count as phrases of their length give up
-their last word, while they still lie in the partition that counted them; so the ROLLUP
+their last word, while they still lie in the bin that counted them; so the ROLLUP
 gets little more than the frequent phrases.
 
+Windows travel packed: those that a part of the text has for one bin are one row, a few
+bytes for each word. A task counts one bin at a time, so the memory it needs does not grow
+with the text.
+
 The most frequent words go to every task as small numbers, at most ``DICTIONARY`` of them.
 Other frequent words, of which a larger corpus has more, are told from rare ones by a Bloom
 filter of a fixed size and go by a 62-bit hash; two with one hash are an error, never a
@@ -21,7 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.mixing import stored
@@ -37,6 +41,12 @@ CUT = bytes.maketrans(
 # Bytes of text that are cut into words at once, and words a task counts before it hands over.
 PART = 1 << 21
 COUNTED = 400_000
+# A fixed odd multiplier that mixes numbers.
+MIX = np.uint64(0x9E3779B97F4A7C15)
+# Words of text for each bin of windows, of which a task holds one at a time.
+BIN_WORDS = 1_000_000
+# Bytes of packed windows up to which languages of a bin are counted together.
+TOGETHER = 1 << 17
 # Words that every task knows by number, and bits of the filter for the others.
 DICTIONARY = 500_000
 FILTER_BITS = 1 << 25
@@ -189,30 +199,106 @@ def _others_filter(others: DataFrame) -> np.ndarray | None:
     return held.view(np.uint64)
 
 
-def _combined(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Equal rows as one, and how many they were."""
-    with np.errstate(over="ignore"):
-        mixed = columns[0].astype(np.uint64)
-        for column in columns[1:]:
-            mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + column.astype(np.uint64)
-    order = np.argsort(mixed)
-    columns = [c[order] for c in columns]
-    new = np.ones(len(order), bool)
+def _mixed(seed: int | np.ndarray, columns: list[np.ndarray]) -> np.ndarray:
+    """A hash of each row."""
+    mixed = np.broadcast_to(np.asarray(seed, np.uint64), columns[0].shape)
+    for column in columns:
+        mixed = (mixed ^ column.astype(np.uint64)) * MIX
+        mixed ^= mixed >> np.uint64(29)
+    return mixed
+
+
+def _group_starts(*columns: np.ndarray) -> np.ndarray:
+    """Where runs of equal rows start."""
+    new = np.ones(len(columns[0]), bool)
     new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
-    starts = np.flatnonzero(new)
-    return [c[starts] for c in columns], np.diff(starts, append=len(order))
+    return np.flatnonzero(new)
+
+
+def _planes(column: np.ndarray) -> np.ndarray:
+    """The bytes of numbers, lowest first, as far as any number has them."""
+    used = max(1, (int(column.max()).bit_length() + 7) // 8)
+    return column.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :used].T
+
 
+def _numbers(planes: np.ndarray) -> np.ndarray:
+    """The numbers that have these bytes."""
+    numbers = np.zeros(planes.shape[1], np.int64)
+    for i, plane in enumerate(planes):
+        numbers |= plane.astype(np.int64) << 8 * i
+    return numbers
 
-def top_windows(texts: DataFrame, words: DataFrame, options: PhraseOptions) -> DataFrame:
-    """(lang, w1 .. w4, n): the longest windows of two frequent words or more.
 
-    Equal ones of one part of the text are one row.
+def packed_windows(
+    columns: list[np.ndarray], lang: str, bins: int, common: int
+) -> tuple[np.ndarray, list[bytes]]:
+    """The bins that get windows, and the packed windows of each; equal ones are one row.
+
+    Windows are dealt by their first two words; where both are among the ``common`` most
+    frequent words, by the third as well, and by the fourth if that one is common too: no
+    phrase dealt in one has a great share of the text.
+    """
+    w1, w2, w3, w4 = columns
+    split2 = (w1 <= common) & (w2 <= common)
+    split3 = split2 & (w3 <= common)
+    seed = xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"))
+    dealt = _mixed(seed, [w1, w2, np.where(split2, w3, PADDING), np.where(split3, w4, PADDING)])
+    # Top bits for the bin, others for the window, which bring equal ones together, and the
+    # lowest for the row: one sort of numbers.
+    place = len(w1).bit_length()
+    room = max(0, 64 - place - bins.bit_length())
+    dealt = (dealt >> np.uint64(1)) % np.uint64(bins)
+    keys = _mixed(seed, columns) >> np.uint64(64 - room) if room else np.zeros(len(w1), np.uint64)
+    keys = (dealt << np.uint64(room) | keys) << np.uint64(place) | np.arange(len(w1), dtype=np.uint64)
+    keys.sort()
+    order = (keys & np.uint64((1 << place) - 1)).astype(np.int64)
+    dealt = dealt[order]
+    columns = [c[order] for c in columns]
+    starts = _group_starts(dealt, *columns)
+    n = np.diff(starts, append=len(order))
+    dealt = dealt[starts]
+    words = _planes(np.concatenate([c[starts] for c in columns]))
+    counts = _planes(n)
+    planes = np.concatenate([words.reshape(len(words) * LONGEST, -1), counts])
+    head = bytes([len(words), len(counts)])
+    first = _group_starts(dealt)
+    ends = np.append(first[1:], len(dealt)).tolist()
+    return dealt[first], [head + planes[:, i:j].tobytes() for i, j in zip(first.tolist(), ends)]
+
+
+def unpacked_windows(
+    blocks: list[bytes], langs: list[int]
+) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The windows of packed ones, their counts, and the numbers of their languages."""
+    alike: dict[bytes, list[tuple[np.ndarray, int]]] = {}
+    for block, lang in zip(blocks, langs):
+        size = block[0] * LONGEST + block[1]
+        planes = np.frombuffer(block, np.uint8, offset=2).reshape(size, -1)
+        alike.setdefault(block[:2], []).append((planes, lang))
+    found = []
+    for (size, _), parts in alike.items():
+        rows = np.repeat([lang for _, lang in parts], [part.shape[1] for part, _ in parts])
+        planes = np.concatenate([part for part, _ in parts], axis=1)
+        words = planes[: size * LONGEST].reshape(size, LONGEST, -1)
+        columns = [_numbers(words[:, i]) for i in range(LONGEST)]
+        found.append([*columns, _numbers(planes[size * LONGEST :]), rows])
+    *columns, n, rows = (np.concatenate(c) for c in zip(*found))
+    return columns, n, rows
+
+
+def packed(
+    texts: DataFrame, words: DataFrame, options: PhraseOptions, bins: int, common: int
+) -> DataFrame:
+    """(bin, lang, block): the longest windows of two frequent words or more.
+
+    Equal ones of one part of the text are one row of a block.
     """
     known = words.filter(F.col("id") <= options.dictionary).select("word", "id").toArrow()
     numbers = dict(
         zip(known.column("word").cast(pa.binary()).to_pylist(), known.column("id").to_pylist())
     )
     held = _others_filter(words.filter(F.col("id") > options.dictionary))
+    held = held if held is None else held.tobytes()
     seed, part = options.seed, options.part
 
     class Numbers(dict):
@@ -222,8 +308,8 @@ def top_windows(texts: DataFrame, words: DataFrame, options: PhraseOptions) -> D
             if held is None or word == END:
                 return PADDING
             number = _hash(word, seed)
-            found = all(int(held[p // 64]) >> p % 64 & 1 for p in _places(number))
-            return number if found else PADDING
+            a, b = _places(number)
+            return number if held[a >> 3] >> (a & 7) & held[b >> 3] >> (b & 7) & 1 else PADDING
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = Numbers(numbers)
@@ -231,16 +317,18 @@ def top_windows(texts: DataFrame, words: DataFrame, options: PhraseOptions) -> D
         rest: dict[str, np.ndarray] = {}
         none = np.zeros(LONGEST - 1, np.int64)
 
-        def leads(lang: str, found: np.ndarray) -> pa.RecordBatch:
+        def leads(lang: str, found: np.ndarray) -> Iterator[pa.RecordBatch]:
             n = len(found) - LONGEST + 1
             columns = [found[:n]]
             for i in range(1, LONGEST):
                 columns.append(np.where(columns[-1] == PADDING, PADDING, found[i : i + n]))
             phrase = columns[1] != PADDING
-            columns, n = _combined([c[phrase] for c in columns])
-            langs = pa.array([lang], pa.string()).take(pa.array(np.zeros(len(n), np.int8)))
-            arrays = [langs, *map(pa.array, columns), pa.array(n)]
-            return pa.RecordBatch.from_arrays(arrays, ["lang", *WORDS, "n"])
+            if not phrase.any():
+                return
+            dealt, blocks = packed_windows([c[phrase] for c in columns], lang, bins, common)
+            langs = pa.array([lang] * len(blocks), pa.string())
+            arrays = [pa.array(dealt.astype(np.int32)), langs, pa.array(blocks, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["bin", "lang", "block"])
 
         for batch in batches:
             for lang, words in _texts(batch, part):
@@ -248,45 +336,115 @@ def top_windows(texts: DataFrame, words: DataFrame, options: PhraseOptions) -> D
                 found = np.concatenate([rest.get(lang, none[:0]), found])
                 rest[lang] = found[max(0, len(found) - LONGEST + 1) :]
                 if len(found) >= LONGEST:
-                    yield leads(lang, found)
+                    yield from leads(lang, found)
         for lang, found in rest.items():
-            yield leads(lang, np.concatenate([found, none]))
+            yield from leads(lang, np.concatenate([found, none]))
 
+    return texts.mapInArrow(windows, "bin int, lang string, block binary")
+
+
+def folded_windows(
+    columns: list[np.ndarray], n: np.ndarray, langs: np.ndarray, least: int, common: int
+) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Windows of one bin, of which rare ones have given up their last words.
+
+    A window with fewer than ``least`` occurrences in its language is counted as its first
+    three words, and these as its first two if they are too rare as well. Two words that are
+    too rare are left out. Words whose windows lie in other bins too are always kept.
+    """
+    # Hashes get numbers above all of the dictionary's, so that two words are one number.
+    whole = np.concatenate(columns)
+    large = np.flatnonzero(whole >> 31)
+    hashes, at = np.unique(whole[large], return_inverse=True)
+    whole[large] = at + (1 << 31)
+    w1, w2, w3, w4 = np.split(whole, LONGEST)
+    # With several languages, a number for each of them and first word.
+    first = w1
+    if (langs != langs[0]).any():
+        first = np.unique(langs << 32 | w1, return_inverse=True)[1]
+    pair = first << 32 | w2
+
+    order = np.argsort(pair)
+    starts = _group_starts(pair[order])
+    often = np.add.reduceat(n[order], starts) >= least
+    often = np.repeat(often, np.diff(starts, append=len(order)))
+    rows = order[often | ((w1 <= common) & (w2 <= common))[order]]
+    rows = rows[np.lexsort((w3[rows] << 32 | w4[rows], pair[rows]))]
+    pair, n, langs, w1, w2, w3, w4 = (c[rows] for c in (pair, n, langs, w1, w2, w3, w4))
+    if not len(n):
+        return [w1, w2, w3, w4], n, langs
+
+    starts = _group_starts(pair, w3, w4)
+    n = np.add.reduceat(n, starts)
+    pair, langs, w1, w2, w3, w4 = (c[starts] for c in (pair, langs, w1, w2, w3, w4))
+    of3, of2 = _group_starts(pair, w3), _group_starts(pair)
+    in3 = np.repeat(np.arange(len(of3)), np.diff(of3, append=len(n)))
+    in2 = np.repeat(np.arange(len(of2)), np.diff(of2, append=len(n)))
+    whole4 = n >= least
+    n3 = np.add.reduceat(n, of3)
+    split3 = np.maximum(np.maximum(w1[of3], w2[of3]), w3[of3]) <= common
+    whole3 = (n3 >= least) | split3
+    # What the longer ones don't take with them.
+    rest3 = np.where(whole3, n3 - np.bincount(in3[whole4], n[whole4], len(of3)).astype(np.int64), 0)
+    rest2 = np.add.reduceat(n, of2)
+    rest2 -= np.bincount(in2[of3][whole3], n3[whole3], len(of2)).astype(np.int64)
+    at4, at3, at2 = np.flatnonzero(whole4), of3[rest3 > 0], of2[rest2 > 0]
+    rows = np.concatenate([at4, at3, at2])
+    ends = len(at4), len(at4) + len(at3)
+    found = [c[rows] for c in (w1, w2, w3, w4)]
+    found[3][ends[0] :] = PADDING
+    found[2][ends[1] :] = PADDING
+    for column in found:
+        large = np.flatnonzero(column >> 31)
+        column[large] = hashes[column[large] - (1 << 31)]
+    return found, np.concatenate([n[at4], rest3[rest3 > 0], rest2[rest2 > 0]]), langs[rows]
+
+
+def counted_windows(blocks: DataFrame, least: int, common: int) -> DataFrame:
+    """(lang, w1 .. w4, n) of packed windows, counted in their bins and folded there."""
+    spark = blocks.sparkSession
+
+    def batch_of(langs: list[str], blocks: list[bytes]) -> pa.RecordBatch:
+        names = sorted({*langs})
+        number = {lang: i for i, lang in enumerate(names)}
+        windows = unpacked_windows(blocks, [number[lang] for lang in langs])
+        columns, n, of = folded_windows(*windows, least, common)
+        arrays = [pa.array(names, pa.string()).take(pa.array(of)), *map(pa.array, columns)]
+        return pa.RecordBatch.from_arrays([*arrays, pa.array(n)], ["lang", *WORDS, "n"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Of one bin: languages with few windows are counted together.
+        langs, blocks, held, size = [], [], None, 0
+        for batch in batches:
+            for number, lang, block in zip(*(c.to_pylist() for c in batch.columns)):
+                if blocks and (number != held or lang != langs[-1] and size >= TOGETHER):
+                    yield batch_of(langs, blocks)
+                    langs, blocks, size = [], [], 0
+                held = number
+                langs.append(lang)
+                blocks.append(block)
+                size += len(block)
+        if blocks:
+            yield batch_of(langs, blocks)
+
+    # Bins are a multiple of the partitions: each gets as many.
+    dealt = blocks.repartitionById(_partitions(spark), "bin").sortWithinPartitions("bin", "lang")
     columns = ", ".join(f"{w} long" for w in WORDS)
-    return texts.mapInArrow(windows, f"lang string, {columns}, n long")
+    return dealt.mapInArrow(count, f"lang string, {columns}, n long")
 
 
-def phrase_counts(windows: DataFrame, least: int, common: int) -> DataFrame:
+def _partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def phrase_counts(windows: DataFrame, least: int) -> DataFrame:
     """(lang, w1 .. w4, f): phrases of two words or more with ``least`` occurrences.
 
-    Words that a phrase lacks are ``PADDING``. Windows are dealt by their first two words;
-    where both are among the ``common`` most frequent words, by the third as well, and by
-    the fourth if that one is common too: no phrase dealt in one has a great share of the
-    text. A phrase found to be rare where all its windows lie gives up its last word there.
-    What is left is rolled up, which completes the counts of phrases dealt in many.
+    Words that a phrase lacks are ``PADDING``. Counted windows are rolled up, which
+    completes the counts of phrases dealt in many bins.
     """
-    w1, w2, w3, w4 = map(F.col, WORDS)
-    split2 = (w1 <= common) & (w2 <= common)
-    split3 = split2 & (w3 <= common)
-    dealt = (
-        windows.withColumn("d3", F.when(split2, w3).otherwise(PADDING))
-        .withColumn("d4", F.when(split3, w4).otherwise(PADDING))
-        .repartition("w1", "w2", "lang", "d3", "d4")
-    )
-    pair = ["w1", "w2", "lang", "d3", "d4"]
-    n = F.sum("n").alias("n")
-    counted = dealt.groupBy(*pair, "w3", "w4").agg(n)
-    total = F.sum("n")
-    folded = (
-        counted.withColumn("n3", total.over(Window.partitionBy(*pair, "w3")))
-        .withColumn("n2", total.over(Window.partitionBy(*pair)))
-        .filter((F.col("n2") >= least) | split2)
-        .withColumn("w4", F.when(F.col("n") >= least, w4).otherwise(PADDING))
-        .withColumn("w3", F.when((F.col("n3") >= least) | split3, w3).otherwise(PADDING))
-        .groupBy(*pair, "w3", "w4")
-        .agg(n)
-    )
-    rolled = folded.rollup("lang", *WORDS).agg(
+    w3, w4 = F.col("w3"), F.col("w4")
+    rolled = windows.rollup("lang", *WORDS).agg(
         F.sum("n").alias("f"), F.grouping_id().alias("rolled")
     )
     # The columns rolled up: none, the fourth word, the last two words.
@@ -393,8 +551,11 @@ def collocations(
     share = F.col("n") * COMMON > everything
     common = words.filter((F.col("id") <= options.dictionary) & share).count()
 
-    windows = top_windows(texts, words, options)
-    phrases = stored(phrase_counts(windows, options.least, common), "phrases")
+    partitions = _partitions(docs.sparkSession)
+    bins = partitions * -(-max(1, everything) // (BIN_WORDS * partitions))
+    blocks = packed(texts, words, options, bins, common)
+    windows = counted_windows(blocks, options.least, common)
+    phrases = stored(phrase_counts(windows, options.least), "phrases")
     padding = [F.lit(PADDING).cast("long").alias(w) for w in WORDS[1:]]
     singles = frequent.join(words.select("word", "id"), "word").select(
         "lang", F.col("id").alias("w1"), *padding, F.col("n").alias("f")
